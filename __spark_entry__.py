@@ -6,7 +6,7 @@ import os
 import sys
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DateType, DecimalType, IntegerType, TimestampNTZType, TimestampType
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -40,19 +40,19 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 def portable(df: DataFrame, digits: int = 4) -> DataFrame:
     """Types two engines print alike: rounded doubles, longs, dates and times as texts."""
 
-    def column(field):
-        col = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, DecimalType):
-            col = F.round(col, digits).cast("double")
-        elif isinstance(field.dataType, IntegerType):
-            col = col.cast("bigint")
-        elif isinstance(field.dataType, DateType):
-            col = col.cast("string")
-        elif isinstance(field.dataType, (TimestampNTZType, TimestampType)):
-            col = F.date_format(col, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-        return col.alias(field.name)
+    def column(field) -> str:
+        kind, name = field.dataType, f"`{field.name}`"
+        if isinstance(kind, DecimalType):
+            return f"CAST(round({name}, {digits}) AS DOUBLE) AS {name}"
+        if isinstance(kind, IntegerType):
+            return f"CAST({name} AS BIGINT) AS {name}"
+        if isinstance(kind, DateType):
+            return f"CAST({name} AS STRING) AS {name}"
+        if isinstance(kind, (TimestampNTZType, TimestampType)):
+            return f"date_format({name}, 'yyyy-MM-dd HH:mm:ss.SSSSSS') AS {name}"
+        return name
 
-    return df.select([column(f) for f in df.schema.fields])
+    return df.selectExpr(*[column(f) for f in df.schema.fields])
 
 
 # --- marketing ---
@@ -92,23 +92,23 @@ def _weekly_tables(s: Sources) -> dict:
 
 
 def _calendar_keys(s: Sources) -> DataFrame:
-    day = F.col("day")
-    return s.table("lineitem").select(F.col("l_shipdate").cast("date").alias("day")).distinct().select(
+    days = s.table("lineitem").selectExpr("CAST(l_shipdate AS DATE) AS day").distinct()
+    return days.selectExpr(
         "day",
-        week_key(day).alias("year_week"),
-        iso_week_key(day).alias("iso_year_week"),
-        slash_date(week_start(day)).alias("week_start"),
-        slash_date(week_end(day)).alias("week_end"),
+        f"{week_key('day')} AS year_week",
+        f"{iso_week_key('day')} AS iso_year_week",
+        f"{slash_date(week_start('day'))} AS week_start",
+        f"{slash_date(week_end('day'))} AS week_end",
     )
 
 
 def _paid_status(s: Sources) -> DataFrame:
-    return s.invoices.select("invoice_id", paid_status(F.col("total"), F.col("balance")).alias("paid_status"))
+    return s.invoices.selectExpr("invoice_id", f"{paid_status('total', 'balance')} AS paid_status")
 
 
 def _order_channel(rule) -> Callable[[Sources], DataFrame]:
-    return lambda s: s.linked_sales_orders.select(
-        "sales_order_id", "sales_order_no", rule(F.col("sales_order_no"), ORDER_RULES).alias("channel")
+    return lambda s: s.linked_sales_orders.selectExpr(
+        "sales_order_id", "sales_order_no", f"{rule('sales_order_no', ORDER_RULES)} AS channel"
     )
 
 
@@ -140,7 +140,7 @@ def _coverage(s: Sources) -> DataFrame:
 
 
 def _plan_pivot(s: Sources) -> DataFrame:
-    plan = s.plan_monthly.withColumn("month", F.date_format("plan_month", "yyyy-MM"))
+    plan = s.plan_monthly.selectExpr("*", "date_format(plan_month, 'yyyy-MM') AS month")
     months = [f"1998-{m:02d}" for m in range(1, 7)]
     dates = ("plan_month", "1998-01-01", "1998-06-30")
     return pivot_report(plan, ["sku"], "month", months, "planned_qty", date_range=dates)
@@ -209,28 +209,15 @@ def _statement(s: Sources) -> DataFrame:
     )
 
 
-def _channel_pl(s: Sources) -> DataFrame:
-    parts = [
-        pnl.allocate_static(_opex(s), s.rules, "payroll_pct"),
-        pnl.opex_alloc(_opex(s), s.rules, _shares(s), _commission_shares(s)),
-        pnl.tag_unallocated(_opex(s), s.rules, "unalloc_opex"),
-        pnl.allocate_other_expense(_other(s), s.rules, _shares(s)),
-        pnl.allocate_cogs(_revenue(s), pnl.po_cost_shares(_po_cost(s))),
-    ]
-    return pnl.with_net(pnl.channel_pl(_revenue(s), *parts))
-
-
 def _basic(s: Sources) -> DataFrame:
     return pnl.assign_channel_basic(s.ledger, s.accounts, s.invoices, ["2", "3"], ["4", "5"])
 
 
 def _conservation(s: Sources) -> DataFrame:
-    allocated = _statement(s).where(F.col("pl_section") == pnl.OPERATING_EXPENSE)
-    checked = q.conservation(_opex(s), allocated, ["account_name"])
+    allocated = _statement(s).where(f"pl_section = '{pnl.OPERATING_EXPENSE}'")
     # shares hold 12 digits, so an account may miss its source by less than a hundredth of a cent
-    for name in ("source_amount", "allocated_amount", "difference"):
-        checked = checked.withColumn(name, F.round(name, 4))
-    return checked
+    checked = q.conservation(_opex(s), allocated, ["account_name"])
+    return checked.selectExpr("account_name", *[f"round({c}, 4) AS {c}" for c in checked.columns[1:]])
 
 
 _QUERIES: dict[str, Callable[[Sources], DataFrame]] = {
@@ -285,7 +272,7 @@ _QUERIES: dict[str, Callable[[Sources], DataFrame]] = {
     "opex_other": lambda s: pnl.allocate_other_opex(_opex(s), s.rules, _shares(s)),
     "opex_unalloc": lambda s: pnl.tag_unallocated(_opex(s), s.rules, "unalloc_opex"),
     "other_expense": lambda s: pnl.allocate_other_expense(_other(s), s.rules, _shares(s)),
-    "channel_pl": _channel_pl,
+    "channel_pl": lambda s: pnl.with_net(_statement(s)),
     "channel_statement": _statement,
     "net_profit": lambda s: pnl.net_profit(_statement(s)),
     "pl_pivot": lambda s: pnl.profitability_pivot(_statement(s), "1997-01-01", "1997-12-31"),

@@ -1,4 +1,8 @@
-"""Column functions: calendar keys, name parsing, channel rules, statuses."""
+"""Scalar functions: calendar keys, name parsing, channel rules, statuses.
+
+Each takes and returns Spark SQL text, to be used in ``selectExpr``, ``where`` or ``expr``:
+``df.selectExpr("*", f"{week_key('day')} AS year_week")``.
+"""
 
 from marginloom.functions.calendar import (
     as_date,

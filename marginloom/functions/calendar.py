@@ -1,66 +1,57 @@
-"""Calendar columns. All of them are plain date arithmetic, free of the session time zone."""
+"""Calendar expressions. All of them are plain date arithmetic, free of the session time zone."""
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, functions as F
 
+def as_date(day: dt.date | str | None = None) -> str:
+    """The reporting date: a given day, or the day of the run."""
+    return "current_date()" if day is None else f"DATE'{dt.date.fromisoformat(str(day))}'"
 
-def as_date(as_of: dt.date | str | Column | None = None) -> Column:
-    """The reporting date: a given date, or the date of the run."""
-    if as_of is None:
-        return F.current_date()
-    if isinstance(as_of, Column):
-        return as_of.cast("date")
-    return F.lit(str(as_of)).cast("date")
 
-
-def week_start(day: Column) -> Column:
+def week_start(day: str) -> str:
     """Monday of the week."""
-    day = day.cast("date")
-    return F.date_sub(day, F.weekday(day))
+    return f"date_sub(CAST({day} AS DATE), weekday(CAST({day} AS DATE)))"
 
 
-def week_end(day: Column) -> Column:
+def week_end(day: str) -> str:
     """Sunday of the week."""
-    return F.date_add(week_start(day), 6)
+    return f"date_add({week_start(day)}, 6)"
 
 
-def _two_digits(number: Column) -> Column:
-    return F.lpad(number.cast("string"), 2, "0")
+def _key(year: str, monday: str) -> str:
+    return f"concat(CAST({year} AS STRING), '-', lpad(CAST(weekofyear({monday}) AS STRING), 2, '0'))"
 
 
-def week_key(day: Column) -> Column:
+def week_key(day: str) -> str:
     """``YYYY-WW``: calendar year of the Monday and its ISO week number.
 
     A Monday of late December that opens ISO week 1 keeps its own year
     (2024-12-30 is ``2024-01``); ``iso_week_key`` gives ``2025-01``.
     """
     monday = week_start(day)
-    return F.concat(F.year(monday).cast("string"), F.lit("-"), _two_digits(F.weekofyear(monday)))
+    return _key(f"year({monday})", monday)
 
 
-def iso_week_key(day: Column) -> Column:
-    """``YYYY-WW`` with the ISO week-numbering year."""
+def iso_week_key(day: str) -> str:
+    """``YYYY-WW`` with the ISO week-numbering year, which is that of the Thursday."""
     monday = week_start(day)
-    iso_year = F.year(F.date_add(monday, 3))
-    return F.concat(iso_year.cast("string"), F.lit("-"), _two_digits(F.weekofyear(monday)))
+    return _key(f"year(date_add({monday}, 3))", monday)
 
 
-def slash_date(day: Column) -> Column:
-    return F.date_format(day.cast("date"), "yyyy/MM/dd")
+def slash_date(day: str) -> str:
+    return f"date_format(CAST({day} AS DATE), 'yyyy/MM/dd')"
 
 
-def wall_micros(ts: Column) -> Column:
+def wall_micros(ts: str) -> str:
     """Microseconds on the wall clock since 1970-01-01, whatever the session time zone is."""
-    days = F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
-    seconds_in_day = F.hour(ts) * 3600 + F.minute(ts) * 60
-    micros_in_minute = (F.extract(F.lit("SECOND"), ts) * 1000000).cast("bigint")
-    return (days * 86400 + seconds_in_day) * 1000000 + micros_in_minute
+    days = f"CAST(datediff(CAST({ts} AS DATE), DATE'1970-01-01') AS BIGINT)"
+    seconds = f"{days} * 86400 + hour({ts}) * 3600 + minute({ts}) * 60"
+    return f"(({seconds}) * 1000000 + CAST(extract(SECOND FROM {ts}) * 1000000 AS BIGINT))"
 
 
-def minutes_between(start_micros: Column, end_micros: Column) -> Column:
+def minutes_between(start_micros: str, end_micros: str) -> str:
     """Whole minutes, truncated; NULL unless the end is strictly later."""
-    gap = end_micros - start_micros
-    return F.when(gap > 0, F.floor(gap / F.lit(60_000_000)).cast("bigint"))
+    gap = f"({end_micros} - {start_micros})"
+    return f"CASE WHEN {gap} > 0 THEN {gap} DIV 60000000 END"

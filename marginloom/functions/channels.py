@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, functions as F
+from marginloom.types import text
+
+Prefixes = tuple[tuple[str, str], ...]
 
 
 @dataclass(frozen=True)
@@ -15,8 +17,8 @@ class OrderRules:
     tried in the given order, so a longer prefix goes before a shorter one.
     """
 
-    plain: tuple[tuple[str, str], ...]
-    dashed: tuple[tuple[str, str], ...]
+    plain: Prefixes
+    dashed: Prefixes
     no_order: str = "No SO"
 
     def channels(self) -> list[str]:
@@ -24,32 +26,29 @@ class OrderRules:
         return list(dict.fromkeys(labels))
 
 
-def _first_prefix(number: Column, rules: tuple[tuple[str, str], ...], default: Column) -> Column:
-    chain = None
-    for prefix, label in rules:
-        hit = number.startswith(prefix)
-        chain = F.when(hit, F.lit(label)) if chain is None else chain.when(hit, F.lit(label))
-    return default if chain is None else chain.otherwise(default)
+def prefix_branches(number: str, rules: Prefixes, also: str = "") -> str:
+    """CASE branches, one per prefix, each under the condition ``also``."""
+    return " ".join(f"WHEN {also}startswith({number}, {text(p)}) THEN {text(label)}" for p, label in rules)
 
 
-def order_channel(number: Column, rules: OrderRules) -> Column:
+def order_channel(number: str, rules: OrderRules) -> str:
     """Channel of an order number; missing or unknown numbers get ``rules.no_order``."""
-    none = F.lit(rules.no_order)
+    without_dash = f"instr({number}, '-') = 0 AND "
     return (
-        F.when(number.isNull(), none)
-        .when(F.instr(number, "-") == 0, _first_prefix(number, rules.plain, none))
-        .otherwise(_first_prefix(number, rules.dashed, none))
+        f"CASE WHEN {number} IS NULL THEN {text(rules.no_order)} "
+        f"{prefix_branches(number, rules.plain, without_dash)} "
+        f"WHEN {without_dash}TRUE THEN {text(rules.no_order)} "
+        f"{prefix_branches(number, rules.dashed)} ELSE {text(rules.no_order)} END"
     )
 
 
-def order_channel_legacy(number: Column, rules: OrderRules) -> Column:
+def order_channel_legacy(number: str, rules: OrderRules) -> str:
     """Older rule: the same prefixes, an empty text where nothing matches."""
-    empty = F.lit("")
-    return F.when(F.instr(number, "-") == 0, _first_prefix(number, rules.plain, empty)).otherwise(
-        _first_prefix(number, rules.dashed, empty)
-    )
+    plain = f"CASE {prefix_branches(number, rules.plain)} ELSE '' END"
+    dashed = f"CASE {prefix_branches(number, rules.dashed)} ELSE '' END"
+    return f"if(instr({number}, '-') = 0, {plain}, {dashed})"
 
 
-def paid_status(total: Column, balance: Column) -> Column:
+def paid_status(total: str, balance: str) -> str:
     """Paid / Partial / Not Paid; an unknown balance counts as Not Paid."""
-    return F.when(balance == 0, "Paid").when(total != balance, "Partial").otherwise("Not Paid")
+    return f"CASE WHEN {balance} = 0 THEN 'Paid' WHEN {total} <> {balance} THEN 'Partial' ELSE 'Not Paid' END"

@@ -1,13 +1,11 @@
 """Parsing of ``Channel - Category - rest`` names."""
 
-from pyspark.sql import Column, functions as F
 
+def _before_dash(text: str) -> str:
+    return f"trim(substring({text}, 1, instr({text}, '-') - 1))"
 
-def _before_dash(text: Column) -> Column:
-    return F.trim(F.substring(text, F.lit(1), F.instr(text, "-") - 1))
 
-
-def name_segment(name: Column, position: int) -> Column:
+def name_segment(name: str, position: int) -> str:
     """First or second dash-separated segment, trimmed.
 
     A segment exists only if a dash closes it: ``A-B`` has first segment ``A`` and an
@@ -16,6 +14,5 @@ def name_segment(name: Column, position: int) -> Column:
     if position == 1:
         return _before_dash(name)
     if position == 2:
-        rest = F.substring(name, F.instr(name, "-") + 1, F.length(name))
-        return _before_dash(rest)
+        return _before_dash(f"substring({name}, instr({name}, '-') + 1)")
     raise ValueError("position is 1 or 2")

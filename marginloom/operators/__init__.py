@@ -5,8 +5,8 @@ from marginloom.operators.asof import first_after
 from marginloom.operators.joins import (
     exclude_keep_null,
     expand_seconds,
-    left_join_hot_left,
     left_join_hot_right,
+    left_join_spread_nulls,
     scaffold_join,
     tolerance_join,
     unfilled_scaffold,
@@ -22,8 +22,8 @@ __all__ = [
     "first_after",
     "first_row_flag",
     "joined_distinct",
-    "left_join_hot_left",
     "left_join_hot_right",
+    "left_join_spread_nulls",
     "newest_first",
     "pivot_report",
     "scaffold_join",

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-from functools import reduce
-from operator import add
-
 from pyspark.sql import DataFrame, functions as F
 
-from marginloom.types import ALLOCATED, SHARE, money, ratio
+from marginloom.types import ALLOCATED, SHARE, cast, money, ratio, text, texts
+
+
+def channel_array(channels: list[str]) -> str:
+    return f"array({texts(channels)})"
 
 
 def share_table(
@@ -21,14 +21,17 @@ def share_table(
     the listed ones) read the same aggregate, so Spark computes it once.
     """
     basis = basis or channels
-    value = F.col(amount)
-    sums = df.where(F.col("channel").isin(basis)).agg(
-        *[F.sum(F.when(F.col("channel") == c, value)).alias(f"_s{i}") for i, c in enumerate(basis)]
+    part = {c: f"_s{i}" for i, c in enumerate(basis)}
+    sums = df.where(f"channel IN ({texts(basis)})").selectExpr(
+        *[f"sum({amount}) FILTER (WHERE channel = {text(c)}) AS {s}" for c, s in part.items()]
     )
-    part = {c: F.col(f"_s{i}") for i, c in enumerate(basis)}
-    total = reduce(add, [F.coalesce(part[c], F.lit(0)) for c in channels])
-    rows = [F.struct(F.lit(c).alias("channel"), ratio(part[c], total).alias("share")) for c in channels]
-    return sums.select(F.inline(F.array(*rows)))
+    total = "(" + " + ".join(f"coalesce({part[c]}, 0)" for c in channels) + ")"
+    rows = ", ".join(f"named_struct('channel', {text(c)}, 'share', {ratio(part[c], total)})" for c in channels)
+    return sums.selectExpr(f"inline(array({rows}))")
+
+
+def _other_columns(df: DataFrame, *replaced: str) -> list[str]:
+    return [f"`{c}`" for c in df.columns if c not in replaced]
 
 
 def allocate_by_share(df: DataFrame, shares: DataFrame, channels: list[str], amount: str = "amount") -> DataFrame:
@@ -37,23 +40,17 @@ def allocate_by_share(df: DataFrame, shares: DataFrame, channels: list[str], amo
     ``shares`` comes from ``share_table`` and has one row per listed channel, which is what
     makes the broadcast safe. The fact rows are read once, not once per channel.
     """
-    spread = df.drop("channel").withColumn("channel", F.explode(F.array(*[F.lit(c) for c in channels])))
-    return (
-        spread.join(F.broadcast(shares), "channel", "left")
-        .withColumn(amount, (money(amount) * F.col("share")).cast(ALLOCATED))
-        .drop("share")
-    )
+    kept = _other_columns(df, "channel", amount)
+    spread = df.selectExpr(*kept, amount, f"explode({channel_array(channels)}) AS channel")
+    value = cast(f"{money(amount)} * share", ALLOCATED)
+    return spread.join(F.broadcast(shares), "channel", "left").selectExpr(*kept, f"{value} AS {amount}", "channel")
 
 
 def allocate_fixed(df: DataFrame, shares: dict[str, str], amount: str = "amount") -> DataFrame:
     """Each row once per channel, its amount times a constant share."""
-    options = [
-        F.struct(F.lit(c).alias("channel"), F.lit(Decimal(s)).cast(SHARE).alias("share")) for c, s in shares.items()
-    ]
-    return (
-        df.drop("channel")
-        .withColumn("_option", F.explode(F.array(*options)))
-        .withColumn("channel", F.col("_option.channel"))
-        .withColumn(amount, (money(amount) * F.col("_option.share")).cast(ALLOCATED))
-        .drop("_option")
+    kept = _other_columns(df, "channel", amount)
+    options = ", ".join(
+        f"named_struct('channel', {text(c)}, 'share', {cast(text(s), SHARE)})" for c, s in shares.items()
     )
+    spread = df.selectExpr(*kept, amount, f"inline(array({options}))")
+    return spread.selectExpr(*kept, f"{cast(f'{money(amount)} * share', ALLOCATED)} AS {amount}", "channel")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame
 
 BUCKET_SECONDS = 6 * 3600
 
@@ -23,33 +23,28 @@ def first_after(
     cut by key and time bucket, so a key with very many rows is worked on by many tasks; what
     lies beyond the bucket comes from one row per key and bucket.
     """
-    width = bucket_seconds * 1_000_000
-    stream = points.withColumn("_at", F.col(point_at)).withColumn("_event", F.lit(0))
-    marks = events.select(*on, F.col(event_at).alias("_at")).distinct().withColumn("_event", F.lit(1))
-    stream = stream.unionByName(marks, allowMissingColumns=True).withColumn("_bucket", F.floor(F.col("_at") / width))
-    event_time = F.when(F.col("_event") == 1, F.col("_at"))
-
-    # later rows first; at equal times the point goes first, so an equal event is not "after"
-    later_in_bucket = (
-        Window.partitionBy(*on, "_bucket")
-        .orderBy(F.col("_at").desc(), "_event")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    keys = ", ".join(on)
+    bucket = f"_at DIV {bucket_seconds * 1_000_000} AS _bucket"
+    marks = events.select(*on, event_at).distinct().selectExpr(*on, f"{event_at} AS _at", f"{event_at} AS _event")
+    stream = (
+        points.selectExpr("*", f"{point_at} AS _at", "CAST(NULL AS BIGINT) AS _event")
+        .unionByName(marks, allowMissingColumns=True)
+        .selectExpr("*", bucket)
     )
-    later_buckets = (
-        Window.partitionBy(*on)
-        .orderBy(F.col("_bucket").desc())
-        .rowsBetween(Window.unboundedPreceding, -1)
+    # later rows first; at equal times the point goes first, so an equal event is not "after"
+    inside = (
+        f"min(_event) OVER (PARTITION BY {keys}, _bucket ORDER BY _at DESC, _event NULLS FIRST "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _inside"
     )
     beyond = (
-        stream.groupBy(*on, "_bucket")
-        .agg(F.min(event_time).alias("_first"))
-        .withColumn("_beyond", F.min("_first").over(later_buckets))
-        .select(*on, "_bucket", "_beyond")
+        f"min(_first) OVER (PARTITION BY {keys} ORDER BY _bucket DESC "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _beyond"
     )
+    per_bucket = stream.groupBy(*on, "_bucket").agg({"_event": "min"}).withColumnRenamed("min(_event)", "_first")
+    later = per_bucket.selectExpr(*on, "_bucket", beyond)
     return (
-        stream.withColumn("_inside", F.min(event_time).over(later_in_bucket))
-        .where(F.col("_event") == 0)
-        .join(beyond, [*on, "_bucket"], "left")
-        .withColumn(out, F.coalesce("_inside", "_beyond"))
-        .select(*points.columns, out)
+        stream.selectExpr("*", inside)
+        .where("_event IS NULL")
+        .join(later, [*on, "_bucket"], "left")
+        .selectExpr(*points.columns, f"coalesce(_inside, _beyond) AS {out}")
     )

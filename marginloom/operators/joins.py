@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from marginloom.functions.calendar import wall_micros
+from marginloom.types import texts
 
 # A key is hot when it holds this part of the rows, and at least this many of them.
 HOT_SHARE = 0.005
@@ -16,9 +17,13 @@ HOT_KEYS = 128
 SALTS = 64
 
 
-def exclude_keep_null(col: Column, values: Iterable[str]) -> Column:
+def exclude_keep_null(col: str, values: Iterable[str]) -> str:
     """``NOT IN`` that keeps rows whose value is NULL."""
-    return ~col.isin(*values) | col.isNull()
+    return f"({col} NOT IN ({texts(values)}) OR {col} IS NULL)"
+
+
+def _names(columns: Iterable[str]) -> str:
+    return ", ".join(f"`{c}`" for c in columns)
 
 
 def hot_keys(df: DataFrame, on: list[str], hot_rows: int = HOT_ROWS, hot_share: float = HOT_SHARE) -> DataFrame:
@@ -27,30 +32,24 @@ def hot_keys(df: DataFrame, on: list[str], hot_rows: int = HOT_ROWS, hot_share:
     One pass over the key columns with a counting sketch that merges on the map side, so
     nothing is shuffled per key. A key the sketch misjudges costs speed, never rows.
     """
-    keys = df.select(*on).dropna()
-    counted = keys.agg(
-        F.expr(f"approx_top_k(xxhash64({', '.join(f'`{c}`' for c in on)}), {HOT_KEYS}, 20000)").alias("_top"),
-        F.count("*").alias("_rows"),
+    present = " AND ".join(f"`{c}` IS NOT NULL" for c in on)
+    counted = df.where(present).selectExpr(
+        f"approx_top_k(xxhash64({_names(on)}), {HOT_KEYS}, 20000) AS top", "count(*) AS n"
     )
     return (
-        counted.select(F.explode("_top").alias("_t"), "_rows")
-        .where(F.col("_t.count") >= F.greatest(F.lit(hot_rows).cast("double"), F.col("_rows") * hot_share))
-        .select(F.col("_t.item").alias("_hot"))
+        counted.selectExpr("inline(top)", "n")
+        .where(f"count >= greatest({hot_rows}, n * {hot_share})")
+        .selectExpr("item AS _hot")
     )
 
 
 def _tag_hot(df: DataFrame, on: list[str], hot: DataFrame) -> DataFrame:
-    return df.withColumn("_key", F.xxhash64(*on)).join(F.broadcast(hot), F.col("_key") == F.col("_hot"), "left")
+    return df.join(F.broadcast(hot), F.expr(f"xxhash64({_names(on)}) = _hot"), "left")
 
 
-def _row_salt(columns: list[str]) -> Column:
+def _row_salt(columns: list[str]) -> str:
     # the partition id spreads exact copies of a row as well; both parts repeat on a task retry
-    return F.pmod(F.xxhash64(*columns, F.spark_partition_id()), F.lit(SALTS)).cast("int")
-
-
-def _all_salts(is_hot: Column) -> Column:
-    every = F.sequence(F.lit(0), F.lit(SALTS - 1))
-    return F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0))))
+    return f"CAST(pmod(xxhash64({_names(columns)}, spark_partition_id()), {SALTS}) AS INT)"
 
 
 def left_join_hot_right(
@@ -63,37 +62,24 @@ def left_join_hot_right(
     definition, so the salts that found none are dropped and the result is the plain join.
     """
     hot = hot_keys(right, on, hot_rows, hot_share)
-    tagged_left = _tag_hot(left, on, hot)
-    salted_left = tagged_left.withColumn("_salt", _all_salts(F.col("_hot").isNotNull())).drop("_key")
-    tagged_right = _tag_hot(right, on, hot)
-    salted_right = tagged_right.withColumn(
-        "_salt", F.when(F.col("_hot").isNotNull(), _row_salt(right.columns)).otherwise(F.lit(0))
-    ).drop("_key", "_hot")
-    joined = salted_left.join(salted_right.withColumn("_found", F.lit(True)), [*on, "_salt"], "left")
-    return joined.where(F.col("_hot").isNull() | F.col("_found")).drop("_salt", "_hot", "_found")
+    every_salt = f"explode(if(_hot IS NULL, array(0), sequence(0, {SALTS - 1}))) AS _salt"
+    salted_left = _tag_hot(left, on, hot).selectExpr(*[f"`{c}`" for c in left.columns], "_hot", every_salt)
+    own_salt = f"if(_hot IS NULL, 0, {_row_salt(right.columns)}) AS _salt"
+    salted_right = _tag_hot(right, on, hot).selectExpr(*[f"`{c}`" for c in right.columns], "TRUE AS _found", own_salt)
+    joined = salted_left.join(salted_right, [*on, "_salt"], "left")
+    return joined.where("_hot IS NULL OR _found").drop("_salt", "_hot", "_found")
 
 
-def left_join_hot_left(
-    left: DataFrame, right: DataFrame, on: list[str], hot_rows: int = HOT_ROWS, hot_share: float = HOT_SHARE
-) -> DataFrame:
-    """Left join whose left side may hold many rows of one key, or of no key.
+def left_join_spread_nulls(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Left join whose left side may hold many rows without a key.
 
-    Rows without a key can match nothing and are spread over salts; rows of hot keys are
-    spread too, and the right rows of those keys repeated per salt.
+    Such rows match nothing, yet a plain join sends them all to one task. They are spread over
+    salts instead. Hot keys on the left are split by adaptive execution, which a left join
+    allows for its left side.
     """
-    hot = hot_keys(left, on, hot_rows, hot_share)
-    no_key = F.lit(False)
-    for name in on:
-        no_key = no_key | F.col(name).isNull()
-    salted_left = (
-        _tag_hot(left, on, hot)
-        .withColumn("_salt", F.when(F.col("_hot").isNotNull() | no_key, _row_salt(left.columns)).otherwise(F.lit(0)))
-        .drop("_key", "_hot")
-    )
-    salted_right = (
-        _tag_hot(right, on, hot).withColumn("_salt", _all_salts(F.col("_hot").isNotNull())).drop("_key", "_hot")
-    )
-    return salted_left.join(salted_right, [*on, "_salt"], "left").drop("_salt")
+    no_key = " OR ".join(f"`{c}` IS NULL" for c in on)
+    salted = left.selectExpr("*", f"if({no_key}, {_row_salt(left.columns)}, 0) AS _salt")
+    return salted.join(right.selectExpr("*", "0 AS _salt"), [*on, "_salt"], "left").drop("_salt")
 
 
 def unfilled_scaffold(scaffold: DataFrame, facts: DataFrame, on: list[str]) -> DataFrame:
@@ -114,9 +100,9 @@ def scaffold_join(scaffold: DataFrame, facts: DataFrame, on: list[str]) -> DataF
 
 def expand_seconds(df: DataFrame, ts: str, seconds: int = 10) -> DataFrame:
     """One copy of each row per second offset 0..seconds added to ``ts``."""
-    offset = F.explode(F.sequence(F.lit(0), F.lit(seconds)))
-    shifted = F.col(ts) + F.make_dt_interval(secs=F.col("_offset"))
-    return df.withColumn("_offset", offset).withColumn(ts, shifted).drop("_offset")
+    spread = df.selectExpr("*", f"explode(sequence(0, {seconds})) AS _offset")
+    shifted = [f"`{c}` + make_dt_interval(0, 0, 0, _offset) AS `{c}`" if c == ts else f"`{c}`" for c in df.columns]
+    return spread.selectExpr(*shifted)
 
 
 def tolerance_join(
@@ -129,9 +115,9 @@ def tolerance_join(
     found only once. A busy key is spread over its buckets.
     """
     width = seconds * 1_000_000
-    cut = left.withColumn("_l", wall_micros(F.col(left_ts))).withColumn("_bucket", F.floor(F.col("_l") / width))
-    placed = right.withColumn("_r", wall_micros(F.col(right_ts)))
-    own = F.floor(F.col("_r") / width)
-    placed = placed.withColumn("_bucket", F.explode(F.array(own, own + 1)))
-    near = F.col("_l").between(F.col("_r"), F.col("_r") + width)
+    cut = left.selectExpr("*", f"{wall_micros(left_ts)} AS _l").selectExpr("*", f"_l DIV {width} AS _bucket")
+    placed = right.selectExpr("*", f"{wall_micros(right_ts)} AS _r").selectExpr(
+        "*", f"explode(array(_r DIV {width}, _r DIV {width} + 1)) AS _bucket"
+    )
+    near = f"_l BETWEEN _r AND _r + {width}"
     return cut.join(placed, [*on, "_bucket"], "inner").where(near).drop("_l", "_r", "_bucket")

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-AGGREGATES = {"sum": F.sum, "min": F.min, "max": F.max}
+from marginloom.functions.calendar import as_date
 
 
 def pivot_report(
@@ -16,7 +16,7 @@ def pivot_report(
     values: list[str],
     value: str,
     agg: str = "sum",
-    where: Column | None = None,
+    where: str | None = None,
     date_range: tuple[str, dt.date | str, dt.date | str] | None = None,
 ) -> DataFrame:
     """Rows x column values; the user filters apply before the pivot.
@@ -27,8 +27,8 @@ def pivot_report(
         df = df.where(where)
     if date_range is not None:
         name, first, last = date_range
-        df = df.where(F.col(name).between(F.lit(str(first)).cast("date"), F.lit(str(last)).cast("date")))
-    return df.groupBy(*rows).pivot(column, values).agg(AGGREGATES[agg](value))
+        df = df.where(f"{name} BETWEEN {as_date(first)} AND {as_date(last)}")
+    return df.groupBy(*rows).pivot(column, values).agg(F.expr(f"{agg}({value})"))
 
 
 def first_row_flag(df: DataFrame, group: list[str], row_id: str, out: str, unique_by: list[str] | None = None) -> DataFrame:
@@ -38,21 +38,20 @@ def first_row_flag(df: DataFrame, group: list[str], row_id: str, out: str, uniqu
     columns, so one row per group is flagged if they tell its rows apart. The minimum is a
     grouped aggregate joined back (NULL group values match), so no group is gathered in one task.
     """
-    ranked = F.struct(row_id, *(unique_by or []))
+    ranked = f"struct({', '.join([row_id, *(unique_by or [])])})"
     smallest = (
-        df.where(F.col(row_id).isNotNull())
-        .groupBy(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(group)])
-        .agg(F.min(ranked).alias("_smallest"))
+        df.where(f"{row_id} IS NOT NULL")
+        .selectExpr(*[f"{c} AS _g{i}" for i, c in enumerate(group)], f"{ranked} AS _ranked")
+        .groupBy(*[f"_g{i}" for i in range(len(group))])
+        .agg(F.expr("min(_ranked) AS _smallest"))
+    )
+    same_group = F.expr(" AND ".join(f"{c} <=> _g{i}" for i, c in enumerate(group)))
+    is_first = f"{row_id} IS NOT NULL AND {ranked} <=> _smallest"
+    return df.join(smallest, same_group, "left").selectExpr(
+        *[f"`{c}`" for c in df.columns], f"if({is_first}, 1, 0) AS {out}"
     )
-    same_group = None
-    for i, c in enumerate(group):
-        match = F.col(c).eqNullSafe(F.col(f"_g{i}"))
-        same_group = match if same_group is None else same_group & match
-    flagged = df.withColumn("_ranked", ranked).join(smallest, same_group, "left")
-    is_first = F.col(row_id).isNotNull() & F.col("_ranked").eqNullSafe(F.col("_smallest"))
-    return flagged.withColumn(out, F.when(is_first, 1).otherwise(0)).select(*df.columns, out)
 
 
 def newest_first(df: DataFrame, newest: str, *then: str) -> DataFrame:
     """Descending by ``newest``; further columns ascending, which also lets one week be cut into ranges."""
-    return df.orderBy(F.col(newest).desc(), *then)
+    return df.orderBy(F.desc(newest), *then)

@@ -1,13 +1,11 @@
 """Distinct text lists."""
 
-from pyspark.sql import Column, functions as F
 
-
-def joined_distinct(col: str, separator: str = ", ") -> Column:
+def joined_distinct(col: str, separator: str = ", ") -> str:
     """Aggregate: distinct non-NULL texts in ascending order; NULL if there is none.
 
     For groups whose distinct texts are few (names of the agents on one call): the set is
     built with partial aggregation, so copies are dropped before the shuffle.
     """
-    names = F.array_sort(F.collect_set(col))
-    return F.when(F.size(names) > 0, F.array_join(names, separator))
+    names = f"array_sort(collect_set({col}))"
+    return f"if(size({names}) > 0, array_join({names}, '{separator}'), NULL)"

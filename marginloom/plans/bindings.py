@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marginloom.functions.calendar import week_key
 from marginloom.functions.channels import OrderRules
 from marginloom.sources.rules import rules_from_rows
-from marginloom.types import money, quantity
+from marginloom.types import money, quantity, text
 
 AS_OF = "1998-06-15"
 FY_START = "1997-11-01"
@@ -50,17 +50,33 @@ RULE_ROWS: list[tuple] = [
 ]
 
 
-def _text(col: str | Column) -> Column:
-    return (F.col(col) if isinstance(col, str) else col).cast("string")
+# Schemas of the test tables.
+TABLES = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 
 
-def _by_priority(*labels: str | None) -> Column:
-    """One label per order priority, 1 to 5."""
-    digit = F.substring("o_orderpriority", 1, 1)
-    chain = F.when(digit == "1", F.lit(labels[0]))
-    for n, label in enumerate(labels[1:], start=2):
-        chain = chain.when(digit == str(n), F.lit(label))
-    return chain
+def _digits(name: str) -> str:
+    return f"CAST({name} AS STRING)"
+
+
+def _by_priority(*labels: str) -> str:
+    """One label per order priority, 1 to 5; an empty label is NULL."""
+    branches = " ".join(f"WHEN '{n}' THEN {text(label or None)}" for n, label in enumerate(labels, start=1))
+    return f"CASE substring(o_orderpriority, 1, 1) {branches} END"
+
+
+BRAND_OF_PRIORITY = _by_priority("Brand#11", "Brand#12", "Brand#13", "Brand#14", "Costco")
+KIND_OF_PRIORITY = _by_priority("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL")
+SKU = "concat(p_brand, '-', p_type)"
 
 
 class Sources:
@@ -69,9 +85,13 @@ class Sources:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """One reader per table; the declared schema spares a job that reads file footers."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     @cached_property
     def rules(self) -> DataFrame:
@@ -79,362 +99,328 @@ class Sources:
 
     # --- sales ---
 
-    @property
+    @cached_property
     def _documents(self) -> DataFrame:
-        seller = F.pmod("o_custkey", F.lit(25))
-        number = F.concat(_by_priority("0089400", "SO-EB-", "SO-MB-", "SO-", None), _text("o_orderkey"))
-        return self.table("orders").select(
-            _text("o_orderkey").alias("invoice_id"),
-            _text("o_custkey").alias("customer_id"),
-            F.when(seller == 1, "").when(seller != 0, _text(seller)).alias("sales_person_id"),
-            F.concat(F.lit("INV-"), _text("o_orderkey")).alias("invoice_number"),
-            F.col("o_orderdate").cast("date").alias("invoice_date"),
-            money("o_totalprice").alias("total"),
-            (
-                F.when(F.col("o_orderpriority") == "1-URGENT", money(F.lit(0)))
-                .when(F.col("o_orderpriority") == "2-HIGH", money("o_totalprice"))
-                .otherwise(money(money("o_totalprice") - 100))
-            ).alias("balance"),
-            F.when(F.col("o_orderstatus") == "F", "Closed").otherwise("Open").alias("status"),
-            F.col("o_orderpriority").alias("source"),
-            F.lower(F.substring("o_orderpriority", 3, 20)).alias("source_new"),
-            F.col("o_orderstatus").alias("shipping_status"),
-            number.alias("so_number"),
+        seller = "pmod(o_custkey, 25)"
+        prefix = _by_priority("0089400", "SO-EB-", "SO-MB-", "SO-", "")
+        total = money("o_totalprice")
+        balance = f"CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN {total} ELSE {total} - 100 END"
+        return self.table("orders").selectExpr(
+            f"{_digits('o_orderkey')} AS invoice_id",
+            f"{_digits('o_custkey')} AS customer_id",
+            f"CASE {seller} WHEN 0 THEN NULL WHEN 1 THEN '' ELSE {_digits(seller)} END AS sales_person_id",
+            "concat('INV-', o_orderkey) AS invoice_number",
+            "CAST(o_orderdate AS DATE) AS invoice_date",
+            f"{total} AS total",
+            f"{money(balance)} AS balance",
+            "if(o_orderstatus = 'F', 'Closed', 'Open') AS status",
+            "o_orderpriority AS source",
+            "lower(substring(o_orderpriority, 3)) AS source_new",
+            "o_orderstatus AS shipping_status",
+            f"concat({prefix}, o_orderkey) AS so_number",
         )
 
-    @property
+    @cached_property
     def invoices(self) -> DataFrame:
-        return self._documents.where(F.col("shipping_status") != "P")
+        return self._documents.where("shipping_status <> 'P'")
 
-    @property
+    @cached_property
     def credit_notes(self) -> DataFrame:
-        notes = self._documents.where(F.col("shipping_status") == "P")
-        return notes.select(F.col("invoice_id").alias("creditnote_id"), "sales_person_id")
+        return self._documents.where("shipping_status = 'P'").selectExpr("invoice_id AS creditnote_id", "sales_person_id")
 
-    @property
+    @cached_property
     def invoice_items(self) -> DataFrame:
-        return self.table("lineitem").select(
-            F.concat(_text("l_orderkey"), F.lit("-"), _text("l_linenumber")).alias("item_id"),
-            _text("l_orderkey").alias("invoice_id"),
-            _text("l_partkey").alias("product_id"),
-            F.concat(F.lit("Item "), _text("l_partkey")).alias("item_name"),
-            quantity("l_quantity").alias("quantity"),
-            money("l_extendedprice").alias("total"),
-            _text("l_suppkey").alias("warehouse_id"),
+        return self.table("lineitem").selectExpr(
+            "concat(l_orderkey, '-', l_linenumber) AS item_id",
+            f"{_digits('l_orderkey')} AS invoice_id",
+            f"{_digits('l_partkey')} AS product_id",
+            "concat('Item ', l_partkey) AS item_name",
+            f"{quantity('l_quantity')} AS quantity",
+            f"{money('l_extendedprice')} AS total",
+            f"{_digits('l_suppkey')} AS warehouse_id",
         )
 
-    @property
-    def sales_order_invoice(self) -> DataFrame:
+    @cached_property
+    def _order_kinds(self) -> DataFrame:
         """An invoice belongs to one sales order per kind of line it has: a many-to-many link."""
-        return (
-            self.table("lineitem")
-            .select("l_orderkey", "l_returnflag", "l_linestatus")
-            .distinct()
-            .select(
-                F.concat(_text("l_orderkey"), F.lit("-"), "l_returnflag", "l_linestatus").alias("sales_order_id"),
-                _text("l_orderkey").alias("invoice_id"),
-            )
+        return self.table("lineitem").select("l_orderkey", "l_returnflag", "l_linestatus").distinct()
+
+    @cached_property
+    def sales_order_invoice(self) -> DataFrame:
+        return self._order_kinds.selectExpr(
+            "concat(l_orderkey, '-', l_returnflag, l_linestatus) AS sales_order_id",
+            f"{_digits('l_orderkey')} AS invoice_id",
         )
 
-    @property
+    @cached_property
     def linked_sales_orders(self) -> DataFrame:
-        kind = F.concat("l_returnflag", "l_linestatus")
-        prefix = (
-            F.when(kind == "AF", "0089400")
-            .when(kind == "AO", "SO-EB-")
-            .when(kind == "NF", "SO-VM-")
-            .when(kind == "NO", "SO-MB-")
-            .when(kind == "RF", "SO-")
-            .otherwise("PO-")
-        )
-        return (
-            self.table("lineitem")
-            .select("l_orderkey", "l_returnflag", "l_linestatus")
-            .distinct()
-            .select(
-                F.concat(_text("l_orderkey"), F.lit("-"), kind).alias("sales_order_id"),
-                F.concat(prefix, _text("l_orderkey")).alias("sales_order_no"),
-                F.lower("l_returnflag").alias("type"),
-            )
+        prefix = """CASE concat(l_returnflag, l_linestatus) WHEN 'AF' THEN '0089400' WHEN 'AO' THEN 'SO-EB-'
+            WHEN 'NF' THEN 'SO-VM-' WHEN 'NO' THEN 'SO-MB-' WHEN 'RF' THEN 'SO-' ELSE 'PO-' END"""
+        return self._order_kinds.selectExpr(
+            "concat(l_orderkey, '-', l_returnflag, l_linestatus) AS sales_order_id",
+            f"concat({prefix}, l_orderkey) AS sales_order_no",
+            "lower(l_returnflag) AS type",
         )
 
-    @property
+    @cached_property
     def sales_orders(self) -> DataFrame:
-        state = (
-            F.when(F.col("o_orderstatus") == "F", "fulfilled").when(F.col("o_orderstatus") == "O", "confirmed").otherwise("draft")
-        )
-        return self.table("orders").select(
-            _text("o_orderkey").alias("sales_order_id"),
-            F.concat(F.lit("SO-"), _text("o_orderkey")).alias("sales_order_no"),
-            F.lit("retail").alias("type"),
-            state.alias("status"),
-            F.col("o_orderdate").cast("date").alias("order_date"),
+        return self.table("orders").selectExpr(
+            f"{_digits('o_orderkey')} AS sales_order_id",
+            "concat('SO-', o_orderkey) AS sales_order_no",
+            "'retail' AS type",
+            "CASE o_orderstatus WHEN 'F' THEN 'fulfilled' WHEN 'O' THEN 'confirmed' ELSE 'draft' END AS status",
+            "CAST(o_orderdate AS DATE) AS order_date",
         )
 
-    @property
+    @cached_property
     def sales_order_items(self) -> DataFrame:
-        return self.table("lineitem").select(
-            _text("l_orderkey").alias("sales_order_id"),
-            F.concat(F.lit("Item "), _text("l_partkey")).alias("item_name"),
-            quantity("l_quantity").alias("quantity"),
+        return self.table("lineitem").selectExpr(
+            f"{_digits('l_orderkey')} AS sales_order_id",
+            "concat('Item ', l_partkey) AS item_name",
+            f"{quantity('l_quantity')} AS quantity",
         )
 
-    @property
+    @cached_property
     def invoice_payments(self) -> DataFrame:
-        return self.table("lineitem").select(
-            _text("l_orderkey").alias("invoice_id"),
-            F.col("l_shipdate").alias("created_time"),
-            money("l_extendedprice").alias("amount"),
+        return self.table("lineitem").selectExpr(
+            f"{_digits('l_orderkey')} AS invoice_id", "l_shipdate AS created_time", f"{money('l_extendedprice')} AS amount"
         )
 
-    @property
+    @cached_property
     def customers(self) -> DataFrame:
-        segment = F.col("c_mktsegment")
-        kind = F.when(segment == "MACHINERY", "Dealer - Gold").when(segment != "HOUSEHOLD", F.lower(segment))
-        return self.table("customer").select(
-            _text("c_custkey").alias("customer_id"),
-            kind.alias("account_type"),
-            F.when(F.col("c_acctbal") < 1000, "person").otherwise("business").alias("contact_type"),
+        kind = "CASE c_mktsegment WHEN 'MACHINERY' THEN 'Dealer - Gold' WHEN 'HOUSEHOLD' THEN NULL ELSE lower(c_mktsegment) END"
+        return self.table("customer").selectExpr(
+            f"{_digits('c_custkey')} AS customer_id",
+            f"{kind} AS account_type",
+            "if(c_acctbal < 1000, 'person', 'business') AS contact_type",
         )
 
-    @property
+    @cached_property
     def items(self) -> DataFrame:
-        return self.table("part").select(
-            _text("p_partkey").alias("item_id"),
-            F.concat(F.lit("Item "), _text("p_partkey")).alias("item_name"),
-            F.concat("p_brand", F.lit("-"), "p_type").alias("sku"),
-            F.col("p_type").alias("category_id"),
+        return self.table("part").selectExpr(
+            f"{_digits('p_partkey')} AS item_id",
+            "concat('Item ', p_partkey) AS item_name",
+            f"{SKU} AS sku",
+            "p_type AS category_id",
         )
 
-    @property
+    @cached_property
     def categories(self) -> DataFrame:
-        kinds = self.table("part").select("p_type").distinct()
-        return kinds.select(F.col("p_type").alias("category_id"), F.col("p_type").alias("category_name"))
+        return self.table("part").selectExpr("p_type AS category_id", "p_type AS category_name").distinct()
 
-    @property
+    @cached_property
     def sales_persons(self) -> DataFrame:
-        return self.table("nation").select(_text("n_nationkey").alias("sales_person_id"), F.col("n_name").alias("name"))
+        return self.table("nation").selectExpr(f"{_digits('n_nationkey')} AS sales_person_id", "n_name AS name")
 
     # --- advertising and deals ---
 
-    @property
-    def _ad_names(self) -> DataFrame:
-        return self.table("part").select(
-            _text("p_partkey").alias("id"), F.concat_ws(" - ", "p_brand", "p_type", "p_name").alias("name")
+    def _ad_names(self, ad: str, name: str) -> DataFrame:
+        return self.table("part").selectExpr(
+            f"{_digits('p_partkey')} AS {ad}", f"concat_ws(' - ', p_brand, p_type, p_name) AS {name}"
         )
 
-    @property
+    @cached_property
     def fb_ad_sets(self) -> DataFrame:
-        return self._ad_names
+        return self._ad_names("id", "name")
 
-    @property
+    @cached_property
     def g_campaigns(self) -> DataFrame:
-        return self._ad_names.withColumnsRenamed({"id": "campaign_id", "name": "campaign"})
+        return self._ad_names("campaign_id", "campaign")
 
     def _ad_costs(self, flag: str, ad: str, day: str, cost: str) -> DataFrame:
-        rows = self.table("lineitem").where(F.col("l_returnflag") == flag)
-        return rows.select(
-            _text("l_partkey").alias(ad), F.col("l_shipdate").cast("date").alias(day), money("l_extendedprice").alias(cost)
+        return (
+            self.table("lineitem")
+            .where(f"l_returnflag = '{flag}'")
+            .selectExpr(
+                f"{_digits('l_partkey')} AS {ad}",
+                f"CAST(l_shipdate AS DATE) AS {day}",
+                f"{money('l_extendedprice')} AS {cost}",
+            )
         )
 
-    @property
+    @cached_property
     def fb_insights(self) -> DataFrame:
         return self._ad_costs("A", "adset_id", "reporting_starts", "amount_spent")
 
-    @property
+    @cached_property
     def g_performance(self) -> DataFrame:
         return self._ad_costs("R", "campaign_id", "day", "costs")
 
-    @property
+    @cached_property
     def other_spend(self) -> DataFrame:
         return (
             self.table("orders")
-            .where(F.col("o_orderstatus") == "O")
-            .select(
-                week_key(F.col("o_orderdate")).alias("year_week"),
-                _by_priority("Brand#11", "Brand#12", "Brand#13", "Brand#14", "Costco").alias("channel"),
-                _by_priority("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL").alias("product_category"),
-                money("o_totalprice").alias("spending_cad"),
+            .where("o_orderstatus = 'O'")
+            .selectExpr(
+                f"{week_key('o_orderdate')} AS year_week",
+                f"{BRAND_OF_PRIORITY} AS channel",
+                f"{KIND_OF_PRIORITY} AS product_category",
+                f"{money('o_totalprice')} AS spending_cad",
             )
         )
 
-    @property
+    @cached_property
     def deals_weekly(self) -> DataFrame:
-        status, value = F.col("o_orderstatus"), money("o_totalprice")
-        return (
-            self.table("orders")
-            .groupBy(
-                week_key(F.col("o_orderdate")).alias("year_week"),
-                _by_priority("Brand#11", "Brand#12", "Brand#13", "Brand#14", "Costco").alias("channel"),
-            )
-            .agg(
-                F.sum(F.when(status == "O", value)).alias("pipeline"),
-                F.sum(F.when(status == "O", money(value * F.lit("0.5").cast("decimal(2,1)")))).alias("weighted_pipeline"),
-                F.count("*").alias("deal_count"),
-                F.count(F.when(status == "P", 1)).alias("qualification_cnt"),
-                F.count(F.when(status == "F", 1)).alias("closed_won_cnt"),
-                F.count(F.when(status == "O", 1)).alias("closed_lost_cnt"),
-            )
+        deals = self.table("orders").selectExpr(
+            f"{week_key('o_orderdate')} AS year_week",
+            f"{BRAND_OF_PRIORITY} AS channel",
+            "o_orderstatus",
+            f"{money('o_totalprice')} AS value",
         )
+        columns = {
+            "pipeline": "sum(value) FILTER (WHERE o_orderstatus = 'O')",
+            "weighted_pipeline": f"sum({money('value * 0.5')}) FILTER (WHERE o_orderstatus = 'O')",
+            "deal_count": "count(*)",
+            "qualification_cnt": "count_if(o_orderstatus = 'P')",
+            "closed_won_cnt": "count_if(o_orderstatus = 'F')",
+            "closed_lost_cnt": "count_if(o_orderstatus = 'O')",
+        }
+        return deals.groupBy("year_week", "channel").agg(*[F.expr(f"{e} AS {c}") for c, e in columns.items()])
 
     # --- stock and plan ---
 
-    @property
+    @cached_property
     def tracked_skus(self) -> DataFrame:
         """SKUs of the regular range; promotional articles are not tracked."""
-        return self.items.where(F.col("category_id") != "PROMO").select("sku")
+        return self.items.where("category_id <> 'PROMO'").select("sku")
 
-    @property
+    @cached_property
     def stock_by_warehouse(self) -> DataFrame:
-        sign = F.when(F.col("l_linestatus") == "O", -1).otherwise(1)
-        rows = self.table("lineitem").select("l_partkey", "l_quantity", "l_linenumber", "l_discount", "l_linestatus")
-        parts = self.table("part").select("p_partkey", "p_brand", "p_type", "p_name")
-        return rows.join(parts, F.col("l_partkey") == F.col("p_partkey"), "inner").select(
-            F.concat("p_brand", F.lit("-"), "p_type").alias("sku"),
-            F.col("p_name").alias("item_name"),
-            quantity(F.col("l_quantity") * sign).alias("quantity_available"),
-            quantity("l_discount").alias("external_inv"),
-            quantity("l_linenumber").alias("transit_inv"),
+        parts = self.table("part").selectExpr("p_partkey AS l_partkey", f"{SKU} AS sku", "p_name AS item_name")
+        signed = "if(l_linestatus = 'O', -l_quantity, l_quantity)"
+        return (
+            self.table("lineitem")
+            .join(parts, "l_partkey", "inner")
+            .selectExpr(
+                "sku",
+                "item_name",
+                f"{quantity(signed)} AS quantity_available",
+                f"{quantity('l_discount')} AS external_inv",
+                f"{quantity('l_linenumber')} AS transit_inv",
+            )
         )
 
-    @property
+    @cached_property
     def plan_monthly(self) -> DataFrame:
-        first, last = (F.lit(m).cast("date") for m in PLAN_MONTHS)
-        per_sku = (
-            self.table("part")
-            .where(F.col("p_type") != "LARGE")
-            .groupBy(F.concat("p_brand", F.lit("-"), "p_type").alias("sku"))
-            .agg(F.sum("p_size").alias("_size"))
-        )
-        months = F.explode(F.sequence(first, last, F.expr("interval 1 month")))
-        return per_sku.withColumn("plan_month", months).select(
-            "sku", "plan_month", quantity(F.col("_size") + F.month("plan_month")).alias("planned_qty")
+        first, last = (f"DATE'{month}'" for month in PLAN_MONTHS)
+        sizes = self.table("part").where("p_type <> 'LARGE'").selectExpr(f"{SKU} AS sku", "p_size")
+        return (
+            sizes.groupBy("sku")
+            .agg(F.expr("sum(p_size) AS size"))
+            .selectExpr("sku", "size", f"explode(sequence({first}, {last}, INTERVAL 1 MONTH)) AS plan_month")
+            .selectExpr("sku", "plan_month", f"{quantity('size + month(plan_month)')} AS planned_qty")
         )
 
     # --- calls ---
 
-    @property
+    @cached_property
     def call_logs(self) -> DataFrame:
-        event, user = F.col("event_type"), F.col("user_id")
-        kind = F.when(event == "error", "missed").when(event == "click", "outgoing").otherwise("incoming")
         return (
             self.table("events")
-            .where(event.isin("error", "click", "purchase"))
-            .select(
-                _text("event_id").alias("log_id"),
-                kind.alias("call_type"),
-                F.when(user == 8, "").when(user != 7, _text(user)).alias("customer_number"),
-                F.col("ts").alias("start_time"),
-                F.when(F.col("value") > 50, "true").otherwise("false").alias("missed_call_returned"),
+            .where("event_type IN ('error', 'click', 'purchase')")
+            .selectExpr(
+                f"{_digits('event_id')} AS log_id",
+                "CASE event_type WHEN 'error' THEN 'missed' WHEN 'click' THEN 'outgoing' ELSE 'incoming' END AS call_type",
+                f"CASE user_id WHEN 7 THEN NULL WHEN 8 THEN '' ELSE {_digits('user_id')} END AS customer_number",
+                "ts AS start_time",
+                "if(value > 50, 'true', 'false') AS missed_call_returned",
             )
         )
 
-    @property
+    @cached_property
     def agent_metrics(self) -> DataFrame:
         """One leg per outgoing call, two per incoming one."""
-        event = F.col("event_type")
-        first = F.pmod("event_id", F.lit(30))
-        agents = F.when(event == "click", F.array(first)).otherwise(F.array(first, F.pmod("event_id", F.lit(7))))
-        legs = self.table("events").where(event.isin("click", "purchase")).withColumn("_agent", F.explode(agents))
-        return legs.select(
-            _text("event_id").alias("calllog_id"),
-            F.when(F.col("_agent") == 29, "").otherwise(_text("_agent")).alias("agent"),
-            F.when(event == "click", "outgoing").otherwise("incoming").alias("call_type"),
-            F.when(F.col("value") < 10, "no answer").otherwise("answered").alias("hangup_cause"),
-            (F.col("ts") - F.expr("interval 3 seconds")).alias("agent_called_time"),
+        agents = "if(event_type = 'click', array(event_id % 30), array(event_id % 30, event_id % 7))"
+        return (
+            self.table("events")
+            .where("event_type IN ('click', 'purchase')")
+            .selectExpr("*", f"explode({agents}) AS agent_key")
+            .selectExpr(
+                f"{_digits('event_id')} AS calllog_id",
+                f"if(agent_key = 29, '', {_digits('agent_key')}) AS agent",
+                "if(event_type = 'click', 'outgoing', 'incoming') AS call_type",
+                "if(value < 10, 'no answer', 'answered') AS hangup_cause",
+                "ts - INTERVAL 3 SECONDS AS agent_called_time",
+            )
         )
 
-    @property
+    @cached_property
     def agents(self) -> DataFrame:
-        return self.table("nation").select(_text("n_nationkey").alias("agent_id"), F.col("n_name").alias("name"))
+        return self.table("nation").selectExpr(f"{_digits('n_nationkey')} AS agent_id", "n_name AS name")
 
     # --- ledger ---
 
-    @property
+    @cached_property
     def accounts(self) -> DataFrame:
-        kind = F.col("p_type")
-        account_type = (
-            F.when(kind == "STANDARD", "Income")
-            .when(kind == "LARGE", "Cost Of Goods Sold")
-            .when(kind == "SMALL", "Other Income")
-            .when(kind == "MEDIUM", "Other Expense")
-            .otherwise("Expense")
-        )
-        return self.table("part").select(
-            _text("p_partkey").alias("account_id"),
-            F.concat_ws(" ", "p_type", "p_brand").alias("account_name"),
-            account_type.alias("account_type"),
+        kind = """CASE p_type WHEN 'STANDARD' THEN 'Income' WHEN 'LARGE' THEN 'Cost Of Goods Sold'
+            WHEN 'SMALL' THEN 'Other Income' WHEN 'MEDIUM' THEN 'Other Expense' ELSE 'Expense' END"""
+        return self.table("part").selectExpr(
+            f"{_digits('p_partkey')} AS account_id",
+            "concat_ws(' ', p_type, p_brand) AS account_name",
+            f"{kind} AS account_type",
         )
 
-    @property
+    @cached_property
     def ledger(self) -> DataFrame:
-        number = F.col("l_linenumber")
-        entity_type = (
-            F.when(F.col("l_returnflag") != "N", "invoice")
-            .when(number <= 2, "bill")
-            .when(number == 3, "inventory_adjustment_by_quantity")
-            .when(number != 4, "expense")
-        )
-        return self.table("lineitem").select(
-            _text("l_partkey").alias("account_id"),
-            F.when(F.col("l_returnflag") != "N", _text("l_orderkey")).alias("entity_id"),
-            entity_type.alias("entity_type"),
-            _text("l_suppkey").alias("vendor_id"),
-            F.col("l_shipdate").cast("date").alias("transaction_date"),
-            money("l_extendedprice").alias("debit_minus_credit"),
-            money(money("l_extendedprice") + money("l_quantity")).alias("credit_minus_debit"),
+        entity_type = """CASE WHEN l_returnflag <> 'N' THEN 'invoice' WHEN l_linenumber <= 2 THEN 'bill'
+            WHEN l_linenumber = 3 THEN 'inventory_adjustment_by_quantity' WHEN l_linenumber <> 4 THEN 'expense' END"""
+        credit = f"{money('l_extendedprice')} + {money('l_quantity')}"
+        return self.table("lineitem").selectExpr(
+            f"{_digits('l_partkey')} AS account_id",
+            f"if(l_returnflag <> 'N', {_digits('l_orderkey')}, NULL) AS entity_id",
+            f"{entity_type} AS entity_type",
+            f"{_digits('l_suppkey')} AS vendor_id",
+            "CAST(l_shipdate AS DATE) AS transaction_date",
+            f"{money('l_extendedprice')} AS debit_minus_credit",
+            f"{money(credit)} AS credit_minus_debit",
         )
 
-    @property
+    @cached_property
     def po_items(self) -> DataFrame:
-        return self.table("lineitem").select(
-            _text("l_partkey").alias("product_id"),
-            money("l_extendedprice").alias("item_price"),
-            quantity("l_quantity").alias("quantity"),
+        return self.table("lineitem").selectExpr(
+            f"{_digits('l_partkey')} AS product_id",
+            f"{money('l_extendedprice')} AS item_price",
+            f"{quantity('l_quantity')} AS quantity",
         )
 
     # --- rule tables and lists as large as the data, for the checks ---
 
-    @property
+    @cached_property
     def article_rules(self) -> DataFrame:
         """Share of each article kind in its brand, rounded to two digits, so some brands miss 1."""
-        kinds = self.table("part").groupBy("p_brand", "p_type").agg(F.count("*").alias("_n"))
-        brands = self.table("part").groupBy("p_brand").agg(F.count("*").alias("_all"))
-        value = F.round(F.col("_n").cast("double") / F.col("_all"), 2)
-        return kinds.join(brands, "p_brand").select(
-            F.lit("payroll_pct").alias("type"),
-            F.col("p_brand").alias("key"),
-            F.col("p_type").alias("channel"),
-            quantity(value).alias("value"),
+        kinds = self.table("part").groupBy("p_brand", "p_type").agg(F.expr("count(*) AS n"))
+        brands = self.table("part").groupBy("p_brand").agg(F.expr("count(*) AS all_n"))
+        return kinds.join(brands, "p_brand").selectExpr(
+            "'payroll_pct' AS type",
+            "p_brand AS key",
+            "p_type AS channel",
+            f"{quantity('round(CAST(n AS DOUBLE) / all_n, 2)')} AS value",
         )
 
-    @property
+    @cached_property
     def order_rules(self) -> DataFrame:
         """One rule per line and supplier, copies included; some keys look like spreadsheet numbers."""
-        number = F.col("l_linenumber")
-        key = F.when(number == 1, F.concat(_text("l_suppkey"), F.lit(".97995E+18"))).otherwise(_text("l_suppkey"))
-        return self.table("lineitem").select(
-            F.when(number == 2, "so_prefix").otherwise("vendor").alias("type"),
-            key.alias("key"),
-            F.col("l_returnflag").alias("channel"),
-            F.when(number == 2, quantity(F.lit(2))).alias("value"),
+        return self.table("lineitem").selectExpr(
+            "if(l_linenumber = 2, 'so_prefix', 'vendor') AS type",
+            f"if(l_linenumber = 1, concat(l_suppkey, '.97995E+18'), {_digits('l_suppkey')}) AS key",
+            "l_returnflag AS channel",
+            f"{quantity('if(l_linenumber = 2, 2, NULL)')} AS value",
         )
 
     def customer_rules(self, buyers_only: bool) -> DataFrame:
         """Customer to segment; the second version knows customers by their orders."""
         people = self.table("customer")
         if buyers_only:
-            late = self.table("orders").where(F.col("o_orderstatus") == "P")
-            people = people.join(late, F.col("c_custkey") == F.col("o_custkey"), "left_semi")
-        return people.select(
-            F.lit("salesperson").alias("type"),
-            _text("c_custkey").alias("key"),
-            F.col("c_mktsegment").alias("channel"),
-            F.lit(None).cast("decimal(18,6)").alias("value"),
+            buyers = self.table("orders").where("o_orderstatus = 'P'").selectExpr("o_custkey AS c_custkey")
+            people = people.join(buyers, "c_custkey", "left_semi")
+        return people.selectExpr(
+            "'salesperson' AS type",
+            f"{_digits('c_custkey')} AS key",
+            "c_mktsegment AS channel",
+            "CAST(NULL AS DECIMAL(18,6)) AS value",
         )
 
-    @property
+    @cached_property
     def portal_invoices(self) -> DataFrame:
         """Invoice numbers as a portal lists them: repeated, and some of them credit notes."""
-        lines = self.table("lineitem").where(F.col("l_returnflag") == "A")
-        return lines.select(F.concat(F.lit("INV-"), _text("l_orderkey")).alias("invoice_number"))
+        return self.table("lineitem").where("l_returnflag = 'A'").selectExpr("concat('INV-', l_orderkey) AS invoice_number")

@@ -4,17 +4,17 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from marginloom.functions.calendar import as_date
-from marginloom.types import QUANTITY, TOTAL_QUANTITY, quantity
+from marginloom.types import QUANTITY, TOTAL_QUANTITY, cast, quantity, texts
 
 # Order states that do not count as sales.
 EXCLUDED_STATUS = ["void", "draft", "pending_approval", "approved"]
 # Coverage windows in days, today included.
 COVERAGE_DAYS = (28, 42, 56)
 
-AsOf = dt.date | str | Column | None
+Day = dt.date | str | None
 STOCK = ["on_hand", "in_transit", "external_inv"]
 
 
@@ -24,7 +24,11 @@ def _tracked(df: DataFrame, skus: list[str] | DataFrame | None) -> DataFrame:
         return df
     if isinstance(skus, DataFrame):
         return df.join(skus.select("sku").distinct(), "sku", "left_semi")
-    return df.where(F.col("sku").isin(list(skus)))
+    return df.where(f"sku IN ({texts(skus)})")
+
+
+def _sum_by_sku(df: DataFrame, value: str, out: str) -> DataFrame:
+    return df.groupBy("sku").agg(F.expr(f"{cast(f'sum({value})', TOTAL_QUANTITY)} AS {out}"))
 
 
 def sales_order_lines(
@@ -35,18 +39,21 @@ def sales_order_lines(
     excluded_status: list[str] = EXCLUDED_STATUS,
     min_year: int = 2025,
 ) -> DataFrame:
-    """Order lines of the tracked SKUs; a line repeats for every SKU that shares its item name."""
-    counted = orders.where(~F.col("status").isin(excluded_status) & (F.year("order_date") >= min_year))
+    """Order lines of the tracked SKUs; a line repeats for every SKU that shares its item name.
+
+    The first year is a date bound, which the scan can use.
+    """
+    counted = orders.where(f"status NOT IN ({texts(excluded_status)}) AND order_date >= DATE'{min_year}-01-01'")
     products = _tracked(items, skus).select("sku", "item_name")
     return (
         order_items.join(counted, "sales_order_id", "inner")
         .join(products, "item_name", "inner")
-        .select(
-            F.col("sales_order_no").alias("so_number"),
-            F.col("status").alias("so_status"),
+        .selectExpr(
+            "sales_order_no AS so_number",
+            "status AS so_status",
             "sku",
             "item_name",
-            quantity("quantity").alias("quantity"),
+            f"{quantity('quantity')} AS quantity",
             "order_date",
         )
     )
@@ -54,14 +61,11 @@ def sales_order_lines(
 
 def stock_on_hand(stock: DataFrame, skus: list[str] | DataFrame | None = None) -> DataFrame:
     """Stock per SKU and item name over all warehouses; negative stock is pre-sold."""
+    sums = {"on_hand": "quantity_available", "external_inv": "external_inv", "in_transit": "transit_inv"}
     return (
         _tracked(stock, skus)
         .groupBy("sku", "item_name")
-        .agg(
-            F.sum(quantity("quantity_available")).alias("on_hand"),
-            F.sum(quantity("external_inv")).alias("external_inv"),
-            F.sum(quantity("transit_inv")).alias("in_transit"),
-        )
+        .agg(*[F.expr(f"sum({quantity(source)}) AS {out}") for out, source in sums.items()])
     )
 
 
@@ -71,48 +75,44 @@ def sales_vs_plan(plan: DataFrame, lines: DataFrame) -> DataFrame:
     Sales are summed to SKU and month before the join; a plan row given twice counts its
     sales twice, as the row-level join does.
     """
-    sold = lines.groupBy("sku", F.trunc("order_date", "month").alias("_month")).agg(F.sum("quantity").alias("_sold"))
-    planned = plan.groupBy("sku", "plan_month", "planned_qty").agg(F.count("*").alias("_copies"))
-    same_month = F.trunc("plan_month", "month")
+    monthly = lines.selectExpr("sku", "trunc(order_date, 'month') AS _month", "quantity")
+    sold = monthly.groupBy("sku", "_month").agg(F.expr("sum(quantity) AS _sold"))
+    planned = plan.groupBy("sku", "plan_month", "planned_qty").agg(F.expr("count(*) AS _copies"))
     return (
-        planned.withColumn("_month", same_month)
+        planned.selectExpr("*", "trunc(plan_month, 'month') AS _month")
         .join(sold, ["sku", "_month"], "left")
-        .select(
+        .selectExpr(
             "sku",
-            F.col("plan_month").alias("month"),
-            quantity("planned_qty").alias("plan_qty"),
-            F.coalesce((F.col("_sold") * F.col("_copies")).cast(TOTAL_QUANTITY), F.lit(0).cast(TOTAL_QUANTITY)).alias("actual_qty"),
+            "plan_month AS month",
+            f"{quantity('planned_qty')} AS plan_qty",
+            f"coalesce({cast('_sold * _copies', TOTAL_QUANTITY)}, 0) AS actual_qty",
         )
     )
 
 
-def ytd_actuals(lines: DataFrame, fy_start: dt.date | str, as_of: AsOf = None) -> DataFrame:
+def ytd_actuals(lines: DataFrame, fy_start: dt.date | str, as_of: Day = None) -> DataFrame:
     """Sold quantity per SKU from the start of the fiscal year to the reporting date."""
-    in_year = F.col("order_date").between(as_date(fy_start), as_date(as_of))
-    return lines.where(in_year).groupBy("sku").agg(F.sum("quantity").alias("ytd_actual_qty"))
+    in_year = lines.where(f"order_date BETWEEN {as_date(fy_start)} AND {as_date(as_of)}")
+    return _sum_by_sku(in_year, "quantity", "ytd_actual_qty")
 
 
-def ytd_plan(daily: DataFrame, fy_start: dt.date | str, as_of: AsOf = None) -> DataFrame:
+def ytd_plan(daily: DataFrame, fy_start: dt.date | str, as_of: Day = None) -> DataFrame:
     """Planned quantity per SKU from the start of the fiscal year to the reporting date."""
-    in_year = F.col("plan_date").between(as_date(fy_start), as_date(as_of))
-    return daily.where(in_year).groupBy("sku").agg(F.sum("daily_plan_qty").alias("ytd_plan_qty"))
+    in_year = daily.where(f"plan_date BETWEEN {as_date(fy_start)} AND {as_date(as_of)}")
+    return _sum_by_sku(in_year, "daily_plan_qty", "ytd_plan_qty")
 
 
-def next_months_plan(plan: DataFrame, as_of: AsOf = None, months: tuple[int, ...] = (1, 2)) -> DataFrame:
+def next_months_plan(plan: DataFrame, as_of: Day = None, months: tuple[int, ...] = (1, 2)) -> DataFrame:
     """Planned quantity per SKU of the coming calendar months."""
-    coming = [F.trunc(F.add_months(as_date(as_of), n), "month") for n in months]
-    return (
-        plan.where(F.trunc("plan_month", "month").isin(coming))
-        .groupBy("sku")
-        .agg(F.sum("planned_qty").alias("next_plan_qty"))
-    )
+    coming = ", ".join(f"trunc(add_months({as_date(as_of)}, {n}), 'month')" for n in months)
+    return _sum_by_sku(plan.where(f"trunc(plan_month, 'month') IN ({coming})"), "planned_qty", "next_plan_qty")
 
 
 def daily_plan(plan: DataFrame) -> DataFrame:
     """The monthly plan spread evenly over the days of its month."""
-    first, last = F.trunc("plan_month", "month"), F.last_day("plan_month")
-    per_day = F.round(quantity("planned_qty").cast("double") / F.day(last), 6).cast(QUANTITY)
-    return plan.select("sku", F.explode(F.sequence(first, last)).alias("plan_date"), per_day.alias("daily_plan_qty"))
+    per_day = f"round({cast(quantity('planned_qty'), 'DOUBLE')} / day(last_day(plan_month)), 6)"
+    days = "sequence(trunc(plan_month, 'month'), last_day(plan_month))"
+    return plan.selectExpr("sku", f"explode({days}) AS plan_date", f"{cast(per_day, QUANTITY)} AS daily_plan_qty")
 
 
 def inventory_coverage(stock: DataFrame, next_plan: DataFrame) -> DataFrame:
@@ -122,20 +122,18 @@ def inventory_coverage(stock: DataFrame, next_plan: DataFrame) -> DataFrame:
 
 def with_coverage_status(coverage: DataFrame) -> DataFrame:
     """Adds total available and Sufficient / Shortfall (also Shortfall without a plan)."""
-    available = F.col("on_hand") + F.col("in_transit")
-    status = F.when(F.col("total_available") >= F.col("next_plan_qty"), "Sufficient").otherwise("Shortfall")
-    return coverage.withColumn("total_available", available).withColumn("coverage_status", status)
+    return coverage.selectExpr(
+        "*",
+        "on_hand + in_transit AS total_available",
+        "if(on_hand + in_transit >= next_plan_qty, 'Sufficient', 'Shortfall') AS coverage_status",
+    )
 
 
 def sku_performance(coverage: DataFrame, actuals: DataFrame, plan: DataFrame) -> DataFrame:
     """Coverage with year-to-date sales and plan, zero where there is none."""
-    zero = F.lit(0).cast(TOTAL_QUANTITY)
-    return (
-        coverage.join(actuals, "sku", "left")
-        .join(plan, "sku", "left")
-        .withColumn("ytd_actual_qty", F.coalesce("ytd_actual_qty", zero))
-        .withColumn("ytd_plan_qty", F.coalesce("ytd_plan_qty", zero))
-    )
+    joined = coverage.join(actuals, "sku", "left").join(plan, "sku", "left")
+    filled = [f"coalesce({c}, {cast('0', TOTAL_QUANTITY)}) AS {c}" for c in ("ytd_actual_qty", "ytd_plan_qty")]
+    return joined.selectExpr(*coverage.columns, *filled)
 
 
 def coverage_by_day(stock: DataFrame, daily: DataFrame) -> DataFrame:
@@ -144,20 +142,18 @@ def coverage_by_day(stock: DataFrame, daily: DataFrame) -> DataFrame:
 
 
 def coverage_windows(
-    stock: DataFrame, daily: DataFrame, as_of: AsOf = None, days: tuple[int, ...] = COVERAGE_DAYS
+    stock: DataFrame, daily: DataFrame, as_of: Day = None, days: tuple[int, ...] = COVERAGE_DAYS
 ) -> DataFrame:
     """Planned demand of the next days (today included) per window, beside the stock.
 
     The plan is summed per SKU before it meets the stock.
     """
     today = as_date(as_of)
-    day, qty = F.col("plan_date"), F.col("daily_plan_qty")
-    zero = F.lit(0).cast(QUANTITY)
-    demand = (
-        daily.where(day.between(today, F.date_add(today, max(days) - 1)))
-        .groupBy("sku")
-        .agg(*[F.sum(F.when(day <= F.date_add(today, n - 1), qty).otherwise(zero)).alias(f"plan_{n}d") for n in days])
-    )
+    sums = [
+        f"coalesce(sum(daily_plan_qty) FILTER (WHERE plan_date < date_add({today}, {n})), 0) AS plan_{n}d" for n in days
+    ]
+    coming = daily.where(f"plan_date >= {today} AND plan_date < date_add({today}, {max(days)})")
+    demand = coming.groupBy("sku").agg(*[F.expr(s) for s in sums])
     return stock.join(demand, "sku", "inner").select("sku", "item_name", *STOCK, *[f"plan_{n}d" for n in days])
 
 

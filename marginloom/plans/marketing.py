@@ -3,18 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
-from decimal import Decimal
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marginloom.functions.calendar import as_date, slash_date, week_end, week_key, week_start
 from marginloom.functions.channels import OrderRules, order_channel, order_channel_legacy, paid_status
 from marginloom.functions.text import name_segment
 from marginloom.operators.joins import exclude_keep_null, left_join_hot_right, unfilled_scaffold
 from marginloom.operators.report import first_row_flag, newest_first
-from marginloom.types import MONEY, money
+from marginloom.types import TOTAL_MONEY, cast, money, text, texts
 
 # Fixed value: exchange rate of platform spend.
 USD_TO_CAD = "1.35"
@@ -23,40 +22,33 @@ DEALER_TYPES = ["Dealer - Bronze", "Dealer - Gold", "Dealer - Silver", "Dealer -
 CLOSED = "Closed"
 
 SPEND = ["fb_usd", "fb_cad", "google_usd", "google_cad", "other_cad"]
-SPEND_KEYS = ["year_week", "name", "channel", "product_category"]
-TOTAL = "decimal(28,4)"
+CAD = ["fb_cad", "google_cad", "other_cad"]
+Day = dt.date | str | None
 
 
-def _spend_rows(df: DataFrame, filled: dict[str, Column]) -> DataFrame:
-    """The common spend schema: given columns, zero in the others."""
-    zero = F.lit(0).cast(TOTAL)
-    return df.select(*SPEND_KEYS, *[filled.get(c, zero).cast(TOTAL).alias(c) for c in SPEND])
+def _spend_rows(df: DataFrame, name: str, channel: str, category: str, filled: dict[str, str]) -> DataFrame:
+    """The common spend schema: given amounts, zero in the others."""
+    amounts = [f"{cast(filled.get(c, '0'), TOTAL_MONEY)} AS {c}" for c in SPEND]
+    return df.selectExpr(
+        "year_week", f"{name} AS name", f"{channel} AS channel", f"{category} AS product_category", *amounts
+    )
 
 
 def _platform_spend(
-    names: DataFrame, name_id: str, name: str, costs: DataFrame, cost_id: str, day: str, cost: str, fx: str
+    names: DataFrame, name_id: str, name: str, costs: DataFrame, cost_id: str, day: str, cost: str
 ) -> DataFrame:
-    """Weekly spend of one platform per ad name, in USD and CAD.
+    """Weekly cost of one platform per ad name.
 
     Costs are summed per ad and week before the names are joined, so the join handles one row
     per ad and week and a busy ad is combined on the map side. Sums are exact, so rounding
-    follows the whole group.
+    can follow the whole group.
     """
-    weekly = (
-        costs.where(F.col(cost) > 0)
-        .groupBy(F.col(cost_id).alias("_ad"), week_key(F.col(day)).alias("year_week"))
-        .agg(F.sum(money(cost)).alias("_usd"))
-    )
-    named = names.select(F.col(name_id).alias("_ad"), F.col(name).alias("name"))
-    return (
-        weekly.join(named, "_ad", "inner")
-        .groupBy("year_week", "name")
-        .agg(F.sum("_usd").alias("_usd"))
-        .withColumn("channel", name_segment(F.col("name"), 1))
-        .withColumn("product_category", name_segment(F.col("name"), 2))
-        .withColumn("_rounded_usd", F.round("_usd", 2))
-        .withColumn("_rounded_cad", F.round(F.col("_usd") * F.lit(Decimal(fx)), 2))
+    spent = costs.where(f"{cost} > 0").selectExpr(
+        f"{cost_id} AS _ad", f"{week_key(day)} AS year_week", f"{money(cost)} AS _cost"
     )
+    weekly = spent.groupBy("_ad", "year_week").agg(F.expr("sum(_cost) AS _cost"))
+    named = names.selectExpr(f"{name_id} AS _ad", f"{name} AS name")
+    return weekly.join(named, "_ad", "inner").groupBy("year_week", "name").agg(F.expr("sum(_cost) AS usd"))
 
 
 def ad_spend(
@@ -68,43 +60,55 @@ def ad_spend(
     fx: str = USD_TO_CAD,
 ) -> DataFrame:
     """Weekly spend of both platforms per ad name, and the manual spend rows as they are."""
-    usd, cad = F.col("_rounded_usd"), F.col("_rounded_cad")
-    fb = _platform_spend(fb_sets, "id", "name", fb_insights, "adset_id", "reporting_starts", "amount_spent", fx)
-    google = _platform_spend(g_campaigns, "campaign_id", "campaign", g_performance, "campaign_id", "day", "costs", fx)
-    manual = other.where(F.col("spending_cad") > 0).withColumn("name", F.col("channel"))
+    fb = _platform_spend(fb_sets, "id", "name", fb_insights, "adset_id", "reporting_starts", "amount_spent")
+    google = _platform_spend(g_campaigns, "campaign_id", "campaign", g_performance, "campaign_id", "day", "costs")
+    usd, cad = "round(usd, 2)", f"round(usd * {fx}, 2)"
+    parsed = "name", name_segment("name", 1), name_segment("name", 2)
+    manual = other.where("spending_cad > 0")
     return (
-        _spend_rows(fb, {"fb_usd": usd, "fb_cad": cad})
-        .unionByName(_spend_rows(google, {"google_usd": usd, "google_cad": cad}))
-        .unionByName(_spend_rows(manual, {"other_cad": F.round(money("spending_cad"), 2)}))
+        _spend_rows(fb, *parsed, {"fb_usd": usd, "fb_cad": cad})
+        .unionByName(_spend_rows(google, *parsed, {"google_usd": usd, "google_cad": cad}))
+        .unionByName(
+            _spend_rows(
+                manual, "channel", "channel", "product_category", {"other_cad": f"round({money('spending_cad')}, 2)"}
+            )
+        )
     )
 
 
+def _sums(columns: list[str]) -> list:
+    return [F.expr(f"sum({c}) AS {c}") for c in columns]
+
+
 def spend_by_category(spend: DataFrame) -> DataFrame:
     """Spend per week and category; the total covers both platforms, not the manual spend."""
-    return spend.groupBy("year_week", F.col("product_category").alias("item_category")).agg(
-        F.sum("fb_cad").alias("fb_spend_cad"),
-        F.sum("google_cad").alias("google_spend_cad"),
-        (F.sum("fb_cad") + F.sum("google_cad")).alias("total_spend_cad"),
-        F.sum("fb_usd").alias("fb_spend_usd"),
-        F.sum("google_usd").alias("google_spend_usd"),
+    return (
+        spend.groupBy("year_week", "product_category")
+        .agg(*_sums(SPEND[:4]))
+        .selectExpr(
+            "year_week",
+            "product_category AS item_category",
+            "fb_cad AS fb_spend_cad",
+            "google_cad AS google_spend_cad",
+            "fb_cad + google_cad AS total_spend_cad",
+            "fb_usd AS fb_spend_usd",
+            "google_usd AS google_spend_usd",
+        )
     )
 
 
 def spend_by_channel(spend: DataFrame) -> DataFrame:
     """Spend in CAD per week and channel."""
-    return spend.groupBy("year_week", "channel").agg(*[F.sum(c).alias(c) for c in ("fb_cad", "google_cad", "other_cad")])
+    return spend.groupBy("year_week", "channel").agg(*_sums(CAD))
 
 
 def _scaffold(bounds: DataFrame, channels: list[str]) -> DataFrame:
-    weeks = F.sequence(week_start(F.col("_first")), F.col("_last"), F.expr("interval 7 days"))
+    weeks = f"sequence({week_start('first')}, last, INTERVAL 7 DAYS)"
     return (
-        bounds.select(F.explode(weeks).alias("week_start"))
-        .withColumn("channel", F.explode(F.array(*[F.lit(c) for c in channels])))
-        .select(
-            week_key(F.col("week_start")).alias("year_week"),
-            "channel",
-            "week_start",
-            week_end(F.col("week_start")).alias("week_end"),
+        bounds.selectExpr(f"explode({weeks}) AS week_start")
+        .selectExpr("week_start", f"explode(array({texts(channels)})) AS channel")
+        .selectExpr(
+            f"{week_key('week_start')} AS year_week", "channel", "week_start", f"{week_end('week_start')} AS week_end"
         )
     )
 
@@ -113,31 +117,26 @@ def week_channel_scaffold(
     spark: SparkSession, first: dt.date | str, last: dt.date | str, channels: list[str]
 ) -> DataFrame:
     """One row per week from ``first`` to ``last`` and channel."""
-    bounds = spark.range(1).select(as_date(first).alias("_first"), as_date(last).alias("_last"))
-    return _scaffold(bounds, channels)
+    return _scaffold(spark.sql(f"SELECT {as_date(first)} AS first, {as_date(last)} AS last"), channels)
 
 
 def scaffold_over(df: DataFrame, day: str, channels: list[str]) -> DataFrame:
     """One row per week between the first and last ``day`` found in ``df`` and channel."""
-    bounds = df.agg(F.min(F.col(day).cast("date")).alias("_first"), F.max(F.col(day).cast("date")).alias("_last"))
+    bounds = df.selectExpr(f"CAST(min({day}) AS DATE) AS first", f"CAST(max({day}) AS DATE) AS last")
     return _scaffold(bounds, channels)
 
 
 def _order_links(junction: DataFrame, orders: DataFrame) -> DataFrame:
     """Invoice to sales order, one row per link; a link to a missing order has NULL order fields."""
-    numbered = orders.select("sales_order_id", "sales_order_no", F.col("type").alias("sales_order_type"))
-    return (
-        junction.select("invoice_id", F.col("sales_order_id").alias("_link"))
-        .join(numbered, F.col("_link") == F.col("sales_order_id"), "left")
-        .drop("_link")
-    )
+    links = junction.selectExpr("invoice_id", "sales_order_id AS _link")
+    numbered = orders.selectExpr("sales_order_id", "sales_order_no", "type AS sales_order_type")
+    return links.join(numbered, F.expr("_link = sales_order_id"), "left").drop("_link")
 
 
 def closed_invoices(invoices: DataFrame, junction: DataFrame, orders: DataFrame, rules: OrderRules) -> DataFrame:
     """Closed invoices with week and channel; an invoice with several orders repeats per order."""
-    closed = invoices.where(F.col("status") == CLOSED)
-    day, number = F.col("invoice_date"), F.col("sales_order_no")
-    return left_join_hot_right(closed, _order_links(junction, orders), ["invoice_id"]).select(
+    closed = invoices.where(f"status = {text(CLOSED)}")
+    return left_join_hot_right(closed, _order_links(junction, orders), ["invoice_id"]).selectExpr(
         "invoice_id",
         "customer_id",
         "invoice_date",
@@ -149,14 +148,14 @@ def closed_invoices(invoices: DataFrame, junction: DataFrame, orders: DataFrame,
         "sales_person_id",
         "status",
         "shipping_status",
-        week_key(day).alias("invoice_week"),
-        slash_date(week_start(day)).alias("invoice_date_start"),
-        slash_date(week_end(day)).alias("invoice_date_end"),
+        f"{week_key('invoice_date')} AS invoice_week",
+        f"{slash_date(week_start('invoice_date'))} AS invoice_date_start",
+        f"{slash_date(week_end('invoice_date'))} AS invoice_date_end",
         "sales_order_id",
         "sales_order_no",
         "sales_order_type",
-        order_channel_legacy(number, rules).alias("so_channel_old"),
-        order_channel(number, rules).alias("channel"),
+        f"{order_channel_legacy('sales_order_no', rules)} AS so_channel_old",
+        f"{order_channel('sales_order_no', rules)} AS channel",
     )
 
 
@@ -174,24 +173,30 @@ def weekly_payments(
     Payments are summed per invoice and week, and order links counted per invoice and
     channel, before the two meet: amount x links equals the sum over the repeated rows.
     """
-    paid = payments.groupBy("invoice_id", week_key(F.col("created_time")).alias("year_week")).agg(
-        F.sum(money("amount")).alias("_amount")
-    )
+    received = payments.selectExpr("invoice_id", f"{week_key('created_time')} AS year_week", f"{money('amount')} AS _amount")
+    paid = received.groupBy("invoice_id", "year_week").agg(*_sums(["_amount"]))
     links = (
         _order_links(junction, orders)
-        .groupBy(F.col("invoice_id").alias("_linked"), order_channel(F.col("sales_order_no"), rules).alias("channel"))
-        .agg(F.count("*").alias("_links"))
+        .selectExpr("invoice_id AS _invoice", f"{order_channel('sales_order_no', rules)} AS channel")
+        .groupBy("_invoice", "channel")
+        .agg(F.expr("count(*) AS _links"))
     )
-    buyers = invoices.select(F.col("invoice_id").alias("_invoice"), "customer_id")
-    with_buyer = paid.join(buyers, F.col("invoice_id") == F.col("_invoice"), "left")
-    retail = with_buyer.join(customers.select("customer_id", "account_type"), "customer_id", "left").where(
-        exclude_keep_null(F.col("account_type"), dealers)
+    buyers = invoices.selectExpr("invoice_id AS _invoice", "customer_id")
+    retail = (
+        paid.join(buyers, F.expr("invoice_id = _invoice"), "left")
+        .join(customers.select("customer_id", "account_type"), "customer_id", "left")
+        .where(exclude_keep_null("account_type", dealers))
     )
     # a payment without its invoice has no order either
-    linked = retail.join(links, F.col("_invoice") == F.col("_linked"), "left")
-    value = F.col("_amount") * F.coalesce("_links", F.lit(1))
-    return linked.groupBy("year_week", F.coalesce("channel", F.lit(rules.no_order)).alias("channel")).agg(
-        F.sum(value).cast(TOTAL).alias("paid_total")
+    return (
+        retail.join(links, "_invoice", "left")
+        .selectExpr(
+            "year_week",
+            f"coalesce(channel, {text(rules.no_order)}) AS channel",
+            "_amount * coalesce(_links, 1) AS _value",
+        )
+        .groupBy("year_week", "channel")
+        .agg(F.expr(f"{cast('sum(_value)', TOTAL_MONEY)} AS paid_total"))
     )
 
 
@@ -208,100 +213,93 @@ def sales_and_spend(
     payments: DataFrame,
     deals: DataFrame,
     flag_group: list[str],
-    as_of: dt.date | str | Column | None = None,
+    as_of: Day = None,
     dealers: list[str] = DEALER_TYPES,
     exclude_before_join: bool = False,
     unique_flag: bool = False,
 ) -> DataFrame:
     """Week x channel x invoice line with spend, payments and deals (38 columns).
 
-    ``spend`` holds one row per key of ``spend_on`` (output column to spend column).
-    Weeks without invoices stay; a week and channel with dealer invoices only is dropped,
-    unless ``exclude_before_join`` removes the dealers first. The flag is set after all
-    filters, so one flagged row per group carries the repeated header amounts.
+    ``spend``, ``payments`` and ``deals`` hold one row per key (``spend_on`` maps output
+    columns to spend columns). Weeks without invoices stay; a week and channel with dealer
+    invoices only is dropped, unless ``exclude_before_join`` removes the dealers first. The
+    flag is set after all filters, so the flagged rows of a group carry the repeated amounts.
     """
-    this_week = week_key(as_date(as_of))
-    weeks = scaffold.where(F.col("year_week") <= this_week).select("year_week", "channel", "week_start", "week_end")
+    week_and_channel = ["year_week", "channel"]
+    weeks = scaffold.where(f"year_week <= {week_key(as_date(as_of))}").select(*week_and_channel, "week_start", "week_end")
     buyers = customers.select("customer_id", "contact_type", "account_type")
-    not_dealer = exclude_keep_null(F.col("account_type"), dealers)
-
-    headers = closed.withColumn("year_week", F.col("invoice_week")).join(buyers, "customer_id", "left")
-    filling = headers.where(not_dealer) if exclude_before_join else closed.withColumn("year_week", F.col("invoice_week"))
-    headers = weeks.join(headers.where(not_dealer), ["year_week", "channel"], "inner")
-    empty_weeks = unfilled_scaffold(weeks, filling, ["year_week", "channel"])
+    keyed = closed.withColumnRenamed("invoice_week", "year_week")
+    retail = keyed.join(buyers, "customer_id", "left").where(exclude_keep_null("account_type", dealers))
+    headers = weeks.join(retail, week_and_channel, "inner").selectExpr("*", "year_week AS invoice_week")
+    empty_weeks = unfilled_scaffold(weeks, retail if exclude_before_join else keyed, week_and_channel)
 
-    line = lines.select(
-        "invoice_id", "item_id", "product_id", "item_name", "quantity", F.col("total").alias("item_total"), "warehouse_id"
+    line = lines.selectExpr(
+        "invoice_id", "item_id", "product_id", "item_name", "quantity", "total AS item_total", "warehouse_id"
     )
-    products = items.select(F.col("item_id").alias("product_id"), "sku", "category_id")
-    persons = sales_persons.select("sales_person_id", F.col("name").alias("sales_person"))
     rows = (
         left_join_hot_right(headers, line, ["invoice_id"])
-        .join(products, "product_id", "left")
+        .join(items.selectExpr("item_id AS product_id", "sku", "category_id"), "product_id", "left")
         .join(categories.select("category_id", "category_name"), "category_id", "left")
-        .join(persons, "sales_person_id", "left")
+        .join(sales_persons.selectExpr("sales_person_id", "name AS sales_person"), "sales_person_id", "left")
     )
     unique_by = ["invoice_id", "sales_order_id", "product_id"] if unique_flag else None
     flagged = first_row_flag(rows, flag_group, "item_id", "is_first_row", unique_by)
     # weeks without invoices join after the flag: they hold no item, and need no second pass
-    flagged = flagged.unionByName(empty_weeks.withColumn("is_first_row", F.lit(0)), allowMissingColumns=True)
+    flagged = flagged.unionByName(empty_weeks.selectExpr("*", "0 AS is_first_row"), allowMissingColumns=True)
 
-    spent = spend.select(*[F.col(c).alias(f"_{c}") for c in spend_on.values()], "fb_cad", "google_cad", "other_cad")
+    spent = spend.selectExpr(*[f"{c} AS _{c}" for c in spend_on.values()], *CAD)
     on_spend = reduce(and_, [F.col(c) == F.col(f"_{s}") for c, s in spend_on.items()])
-    flagged = (
+    return (
         flagged.join(spent, on_spend, "left")
-        .join(payments, ["year_week", "channel"], "left")
-        .join(deals, ["year_week", "channel"], "left")
-    )
-    return flagged.select(
-        "year_week",
-        "invoice_week",
-        F.coalesce("invoice_date_start", slash_date(F.col("week_start"))).alias("invoice_date_start"),
-        F.coalesce("invoice_date_end", slash_date(F.col("week_end"))).alias("invoice_date_end"),
-        "item_name",
-        F.col("quantity").alias("item_quantity"),
-        "item_total",
-        F.col("category_name").alias("item_category"),
-        F.col("sales_order_no").alias("sales_order_number"),
-        "channel",
-        "so_channel_old",
-        F.col("fb_cad").alias("fb_spend"),
-        F.col("google_cad").alias("google_spend"),
-        F.col("other_cad").alias("other_spend"),
-        (F.col("fb_cad") + F.col("google_cad") + F.col("other_cad")).alias("total_spend"),
-        "invoice_date",
-        F.col("paid_total").alias("total_paid"),
-        "sales_order_type",
-        F.col("sku").alias("item_sku"),
-        F.col("source").alias("invoice_source"),
-        F.col("source_new").alias("invoice_channel"),
-        "sales_person",
-        paid_status(F.col("total"), F.col("balance")).alias("invoice_paid_status"),
-        F.col("status").alias("invoice_status"),
-        F.col("pipeline").alias("pipeline_amount"),
-        F.col("weighted_pipeline").alias("weighted_pipeline_amount"),
-        "deal_count",
-        "qualification_cnt",
-        F.col("closed_won_cnt").alias("won_cnt"),
-        F.col("closed_lost_cnt").alias("lost_cnt"),
-        F.col("contact_type").alias("customer_contact_type"),
-        F.col("account_type").alias("customer_account_type"),
-        "invoice_number",
-        F.col("warehouse_id").alias("item_warehouse_id"),
-        F.col("sales_order_id").alias("so_id"),
-        "invoice_id",
-        F.col("shipping_status").alias("invoice_shipping_status"),
-        "is_first_row",
+        .join(payments, week_and_channel, "left")
+        .join(deals, week_and_channel, "left")
+        .selectExpr(
+            "year_week",
+            "invoice_week",
+            f"coalesce(invoice_date_start, {slash_date('week_start')}) AS invoice_date_start",
+            f"coalesce(invoice_date_end, {slash_date('week_end')}) AS invoice_date_end",
+            "item_name",
+            "quantity AS item_quantity",
+            "item_total",
+            "category_name AS item_category",
+            "sales_order_no AS sales_order_number",
+            "channel",
+            "so_channel_old",
+            "fb_cad AS fb_spend",
+            "google_cad AS google_spend",
+            "other_cad AS other_spend",
+            "fb_cad + google_cad + other_cad AS total_spend",
+            "invoice_date",
+            "paid_total AS total_paid",
+            "sales_order_type",
+            "sku AS item_sku",
+            "source AS invoice_source",
+            "source_new AS invoice_channel",
+            "sales_person",
+            f"{paid_status('total', 'balance')} AS invoice_paid_status",
+            "status AS invoice_status",
+            "pipeline AS pipeline_amount",
+            "weighted_pipeline AS weighted_pipeline_amount",
+            "deal_count",
+            "qualification_cnt",
+            "closed_won_cnt AS won_cnt",
+            "closed_lost_cnt AS lost_cnt",
+            "contact_type AS customer_contact_type",
+            "account_type AS customer_account_type",
+            "invoice_number",
+            "warehouse_id AS item_warehouse_id",
+            "sales_order_id AS so_id",
+            "invoice_id",
+            "shipping_status AS invoice_shipping_status",
+            "is_first_row",
+        )
     )
 
 
 def sales_and_spend_by_category(spend: DataFrame, **tables) -> DataFrame:
     """Invoice lines beside the spend of their week and category; flag per week and category."""
-    by_category = spend.groupBy("year_week", "product_category").agg(
-        *[F.sum(c).alias(c) for c in ("fb_cad", "google_cad", "other_cad")]
-    )
     return sales_and_spend(
-        spend=by_category,
+        spend=spend.groupBy("year_week", "product_category").agg(*_sums(CAD)),
         spend_on={"year_week": "year_week", "category_name": "product_category"},
         flag_group=["year_week", "category_name"],
         **tables,

@@ -6,14 +6,15 @@ import datetime as dt
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from marginloom.operators.allocate import allocate_by_share, allocate_fixed, share_table
-from marginloom.operators.joins import left_join_hot_left
+from marginloom.functions.channels import prefix_branches
+from marginloom.operators.allocate import allocate_by_share, allocate_fixed, channel_array, share_table
+from marginloom.operators.joins import left_join_spread_nulls
 from marginloom.operators.report import pivot_report
 from marginloom.sources import rules as kinds
 from marginloom.sources.rules import rules_of
-from marginloom.types import ALLOCATED, MONEY, QUANTITY, SHARE, money
+from marginloom.types import ALLOCATED, QUANTITY, SHARE, cast, money, quantity, text, texts
 
 # Channels, the marker of shared costs, report sections, account types.
 B2B, RETAIL, CLUB, UNALLOCATED = "B2B", "Retail", "Costco", "Unallocated"
@@ -58,7 +59,7 @@ class BlankSellerRules:
     @staticmethod
     def from_rules(rules: DataFrame) -> "BlankSellerRules":
         """The same rules read from the ``so_prefix`` and ``default_channel`` rows."""
-        wanted = rules.where(F.col("type").isin(kinds.SO_PREFIX, kinds.DEFAULT_CHANNEL))
+        wanted = rules.where(f"type IN ({texts([kinds.SO_PREFIX, kinds.DEFAULT_CHANNEL])})")
         rows = wanted.select("type", "key", "channel").limit(MAX_STRUCTURAL_RULES + 1).collect()
         if len(rows) > MAX_STRUCTURAL_RULES:
             raise kinds.RuleError("too many structural rules")
@@ -82,11 +83,13 @@ def invoice_bridge(invoices: DataFrame) -> DataFrame:
 
 def entity_bridge(bridge: DataFrame, credit_notes: DataFrame) -> DataFrame:
     """Invoices and credit notes under one entity id."""
-    invoice = bridge.select(F.col("invoice_id").alias("entity_id"), "sales_person_id", "so_number")
-    credit = credit_notes.select(F.col("creditnote_id").alias("entity_id"), "sales_person_id")
-    return invoice.withColumn("document", F.lit(INVOICE)).unionByName(
-        credit.withColumn("so_number", F.lit("")).withColumn("document", F.lit(CREDIT_NOTE))
+    invoice = bridge.selectExpr(
+        "invoice_id AS entity_id", "sales_person_id", "so_number", f"{text(INVOICE)} AS document"
     )
+    credit = credit_notes.selectExpr(
+        "creditnote_id AS entity_id", "sales_person_id", "'' AS so_number", f"{text(CREDIT_NOTE)} AS document"
+    )
+    return invoice.unionByName(credit)
 
 
 def posted(ledger: DataFrame, accounts: DataFrame, account_types: list[str]) -> DataFrame:
@@ -95,75 +98,57 @@ def posted(ledger: DataFrame, accounts: DataFrame, account_types: list[str]) ->
     The account list is reduced by type before the join, so ledger rows of other types are
     gone after it.
     """
-    chart = accounts.where(F.col("account_type").isin(account_types))
-    return ledger.join(chart, "account_id", "inner")
-
-
-def section_of(account_type: Column) -> Column:
-    return (
-        F.when(account_type == "Income", OPERATING_INCOME)
-        .when(account_type == "Cost Of Goods Sold", COST_OF_GOODS)
-        .when(account_type == "Other Income", OTHER_INCOME)
-    )
+    return ledger.join(accounts.where(f"account_type IN ({texts(account_types)})"), "account_id", "inner")
 
 
 def classify(rows: DataFrame) -> DataFrame:
     """Adds the report section and the signed amount: income as credit, cost as debit."""
-    kind = F.col("account_type")
-    signed = F.when(kind.isin(INCOME_TYPES), money("credit_minus_debit")).otherwise(money("debit_minus_credit"))
-    return rows.withColumn("pl_section", section_of(kind)).withColumn("amount", signed)
-
-
-def _blank(name: str) -> Column:
-    return F.col(name).isNull() | (F.col(name) == "")
+    section = f"""CASE account_type WHEN 'Income' THEN {text(OPERATING_INCOME)}
+        WHEN 'Cost Of Goods Sold' THEN {text(COST_OF_GOODS)} WHEN 'Other Income' THEN {text(OTHER_INCOME)} END"""
+    signed = f"if(account_type IN ({texts(INCOME_TYPES)}), credit_minus_debit, debit_minus_credit)"
+    return rows.selectExpr("*", f"{section} AS pl_section", f"{money(signed)} AS amount")
 
 
-def _blank_seller_channel(blank: BlankSellerRules) -> Column:
-    """Channel of a known document that no salesperson rule covers."""
-    no_seller = _blank("sales_person_id")
-    chain = F.when(no_seller & (F.col("document") == CREDIT_NOTE), blank.credit_note)
-    for prefix, label in blank.prefixes:
-        chain = chain.when(no_seller & F.col("so_number").startswith(prefix), label)
-    return chain.when(no_seller, blank.invoice).otherwise(blank.other_seller)
+def _blank_seller_branches(blank: BlankSellerRules) -> str:
+    """CASE branches for a known document that no salesperson rule covers."""
+    no_seller = "coalesce(sales_person_id, '') = ''"
+    return (
+        f"WHEN {no_seller} AND document = {text(CREDIT_NOTE)} THEN {text(blank.credit_note)} "
+        f"{prefix_branches('so_number', blank.prefixes, no_seller + ' AND ')} "
+        f"WHEN {no_seller} THEN {text(blank.invoice)} ELSE {text(blank.other_seller)}"
+    )
 
 
 def _seller_bridge(bridge: DataFrame, rules: DataFrame) -> DataFrame:
-    sellers = rules_of(rules, kinds.SALESPERSON)
-    by_seller = sellers.select(F.col("key").alias("sales_person_id"), F.col("channel").alias("seller_channel"))
+    by_seller = rules_of(rules, kinds.SALESPERSON, "key AS sales_person_id", "channel AS seller_channel")
     return bridge.join(by_seller, "sales_person_id", "left")
 
 
 def _ruled_accounts(accounts: DataFrame, rules: DataFrame) -> DataFrame:
     """Accounts with the rules that depend on the account alone, joined before the ledger."""
-    club = rules_of(rules, kinds.CLUB_ACCOUNT)
-    kept = rules_of(rules, kinds.COGS_UNALLOCATED)
-    by_account = club.select(F.col("key").alias("account_name"), F.col("channel").alias("account_channel"))
-    kept_out = kept.select(F.col("key").alias("account_name"), F.lit(True).alias("keeps_cost"))
+    by_account = rules_of(rules, kinds.CLUB_ACCOUNT, "key AS account_name", "channel AS account_channel")
+    kept_out = rules_of(rules, kinds.COGS_UNALLOCATED, "key AS account_name", "TRUE AS keeps_cost")
     return accounts.join(by_account, "account_name", "left").join(kept_out, "account_name", "left")
 
 
-def assign_channel(rows: DataFrame, blank: BlankSellerRules = BlankSellerRules()) -> DataFrame:
-    """Adds ``channel`` by priority.
+def channel_case(blank: BlankSellerRules = BlankSellerRules()) -> str:
+    """The channel of an income or cost row, by priority.
 
     Without a known document: account rule, vendor rule, shared cost of goods, unallocated.
     With one: salesperson rule, then the rules for a blank salesperson. A cost row whose
     entity type is NULL is not shared; it stays unallocated.
     """
     shared_cost = (
-        (F.col("account_type") == "Cost Of Goods Sold")
-        & F.col("keeps_cost").isNull()
-        & (F.col("entity_type") != STOCK_ADJUSTMENT)
+        f"account_type = 'Cost Of Goods Sold' AND keeps_cost IS NULL AND entity_type <> {text(STOCK_ADJUSTMENT)}"
     )
-    no_document = F.col("document").isNull()
-    channel = (
-        F.when(no_document & F.col("account_channel").isNotNull(), F.col("account_channel"))
-        .when(no_document & F.col("vendor_channel").isNotNull(), F.col("vendor_channel"))
-        .when(no_document & shared_cost, PRO_RATA)
-        .when(no_document, UNALLOCATED)
-        .when(F.col("seller_channel").isNotNull(), F.col("seller_channel"))
-        .otherwise(_blank_seller_channel(blank))
+    return (
+        "CASE WHEN document IS NULL AND account_channel IS NOT NULL THEN account_channel "
+        "WHEN document IS NULL AND vendor_channel IS NOT NULL THEN vendor_channel "
+        f"WHEN document IS NULL AND {shared_cost} THEN {text(PRO_RATA)} "
+        f"WHEN document IS NULL THEN {text(UNALLOCATED)} "
+        "WHEN seller_channel IS NOT NULL THEN seller_channel "
+        f"{_blank_seller_branches(blank)} END"
     )
-    return rows.withColumn("channel", channel)
 
 
 def channel_revenue(
@@ -175,20 +160,19 @@ def channel_revenue(
 ) -> DataFrame:
     """Income and cost-of-goods rows of the ledger with their channel; shared costs are marked."""
     rows = posted(ledger, _ruled_accounts(accounts, rules), REVENUE_TYPES)
-    vendors = rules_of(rules, kinds.VENDOR)
-    by_vendor = vendors.select(F.col("key").alias("vendor_id"), F.col("channel").alias("vendor_channel"))
+    by_vendor = rules_of(rules, kinds.VENDOR, "key AS vendor_id", "channel AS vendor_channel")
     rows = classify(rows).join(by_vendor, "vendor_id", "left")
-    # many ledger rows have no entity, and one entity may have very many rows
-    rows = left_join_hot_left(rows, _seller_bridge(bridge, rules), ["entity_id"])
-    return assign_channel(rows, blank).select(*PL_COLUMNS)
+    # a large part of the ledger has no entity
+    rows = left_join_spread_nulls(rows, _seller_bridge(bridge, rules), ["entity_id"])
+    return rows.selectExpr(*PL_COLUMNS[:4], f"{channel_case(blank)} AS channel")
 
 
 def avg_po_cost(po_items: DataFrame) -> DataFrame:
     """Average purchase price per product, weighted by quantity; NULL without quantity."""
-    spent = F.sum(F.col("item_price").cast(MONEY) * F.col("quantity").cast(QUANTITY))
-    bought = F.sum(F.col("quantity").cast(QUANTITY))
-    average = F.try_divide(spent.cast("double"), bought.cast("double"))
-    return po_items.groupBy("product_id").agg(F.round(average, 6).cast(QUANTITY).alias("avg_cost"))
+    spent = f"CAST(sum({money('item_price')} * {quantity('quantity')}) AS DOUBLE)"
+    bought = f"CAST(sum({quantity('quantity')}) AS DOUBLE)"
+    average = cast(f"round(try_divide({spent}, {bought}), 6)", QUANTITY)
+    return po_items.groupBy("product_id").agg(F.expr(f"{average} AS avg_cost"))
 
 
 def channel_po_cost(lines: DataFrame, invoices: DataFrame, average: DataFrame, rules: DataFrame) -> DataFrame:
@@ -196,22 +180,22 @@ def channel_po_cost(lines: DataFrame, invoices: DataFrame, average: DataFrame, r
 
     Quantities are summed per channel and product before the average cost is joined.
     """
-    sellers = rules_of(rules, kinds.SALESPERSON)
-    by_seller = sellers.select(F.col("key").alias("sales_person_id"), F.col("channel").alias("seller_channel"))
-    headers = invoices.select("invoice_id", "sales_person_id").join(by_seller, "sales_person_id", "left")
+    headers = _seller_bridge(invoices.select("invoice_id", "sales_person_id"), rules)
     sold = (
         lines.select("invoice_id", "product_id", "quantity")
         .join(headers, "invoice_id", "inner")
-        .groupBy(F.coalesce("seller_channel", F.lit(RETAIL)).alias("channel"), "product_id")
-        .agg(F.sum(F.col("quantity").cast(QUANTITY)).alias("_sold"))
+        .selectExpr(f"coalesce(seller_channel, {text(RETAIL)}) AS channel", "product_id", "quantity")
+        .groupBy("channel", "product_id")
+        .agg(F.expr(f"CAST(sum({quantity('quantity')}) AS DECIMAL(19,6)) AS _sold"))
     )
-    cost = F.sum(F.col("_sold").cast("decimal(19,6)") * F.col("avg_cost"))
-    return sold.join(average, "product_id", "inner").groupBy("channel").agg(cost.alias("total_cost"))
+    cost = F.expr("sum(_sold * avg_cost) AS total_cost")
+    return sold.join(average, "product_id", "inner").groupBy("channel").agg(cost)
 
 
 def revenue_shares(revenue: DataFrame, channels: list[str] = SALES_CHANNELS) -> DataFrame:
     """Share of each channel in operating income over all dates."""
-    return share_table(revenue.where(F.col("pl_section") == OPERATING_INCOME), channels, basis=SALES_CHANNELS)
+    income = revenue.where(f"pl_section = {text(OPERATING_INCOME)}")
+    return share_table(income, channels, basis=SALES_CHANNELS)
 
 
 def po_cost_shares(po_cost: DataFrame, channels: list[str] = SALES_CHANNELS) -> DataFrame:
@@ -221,14 +205,14 @@ def po_cost_shares(po_cost: DataFrame, channels: list[str] = SALES_CHANNELS) ->
 
 def allocate_cogs(revenue: DataFrame, shares: DataFrame) -> DataFrame:
     """Shared cost of goods spread over the channels by purchase cost."""
-    shared = revenue.where(F.col("channel") == PRO_RATA)
+    shared = revenue.where(f"channel = {text(PRO_RATA)}")
     return allocate_by_share(shared, shares, SALES_CHANNELS).select(*PL_COLUMNS)
 
 
 def expenses(ledger: DataFrame, accounts: DataFrame, account_type: str, section: str) -> DataFrame:
     """Expense rows of one account type: section, account, date, debit amount."""
-    return posted(ledger, accounts, [account_type]).select(
-        F.lit(section).alias("pl_section"), "account_name", "transaction_date", money("debit_minus_credit").alias("amount")
+    return posted(ledger, accounts, [account_type]).selectExpr(
+        f"{text(section)} AS pl_section", "account_name", "transaction_date", f"{money('debit_minus_credit')} AS amount"
     )
 
 
@@ -241,26 +225,27 @@ def other_expenses(ledger: DataFrame, accounts: DataFrame) -> DataFrame:
 
 
 def _with_rules(rows: DataFrame, rules: DataFrame, rule_type: str) -> DataFrame:
-    ruled = rules_of(rules, rule_type).select(F.col("key").alias("account_name"), "channel", "value")
-    return rows.join(ruled, "account_name", "inner")
+    return rows.join(rules_of(rules, rule_type, "key AS account_name", "channel", "value"), "account_name", "inner")
 
 
 def _without_rules(rows: DataFrame, rules: DataFrame, rule_types: list[str]) -> DataFrame:
-    ruled = rules.where(F.col("type").isin(rule_types)).select(F.col("key").alias("account_name")).distinct()
+    ruled = rules.where(f"type IN ({texts(rule_types)})").selectExpr("key AS account_name").distinct()
     return rows.join(ruled, "account_name", "left_anti")
 
 
+def _with_amount(rows: DataFrame, amount: str) -> DataFrame:
+    return rows.selectExpr(*PL_COLUMNS[:3], f"{cast(amount, ALLOCATED)} AS amount", "channel")
+
+
 def allocate_static(rows: DataFrame, rules: DataFrame, rule_type: str) -> DataFrame:
     """Expense rows of ruled accounts, once per listed channel, times the listed share."""
-    amount = (F.col("amount") * F.col("value")).cast(ALLOCATED)
-    return _with_rules(rows, rules, rule_type).withColumn("amount", amount).select(*PL_COLUMNS)
+    return _with_amount(_with_rules(rows, rules, rule_type), "amount * value")
 
 
 def allocate_commission(rows: DataFrame, rules: DataFrame, shares: DataFrame) -> DataFrame:
     """Commission accounts to the channels listed for them, by the two-way revenue shares."""
-    listed = _with_rules(rows, rules, kinds.COMMISSION).where(F.col("channel").isin(COMMISSION_CHANNELS))
-    amount = (F.col("amount") * F.col("share")).cast(ALLOCATED)
-    return listed.join(F.broadcast(shares), "channel", "left").withColumn("amount", amount).select(*PL_COLUMNS)
+    listed = _with_rules(rows, rules, kinds.COMMISSION).where(f"channel IN ({texts(COMMISSION_CHANNELS)})")
+    return _with_amount(listed.join(F.broadcast(shares), "channel", "left"), "amount * share")
 
 
 def allocate_other_opex(rows: DataFrame, rules: DataFrame, shares: DataFrame) -> DataFrame:
@@ -270,8 +255,7 @@ def allocate_other_opex(rows: DataFrame, rules: DataFrame, shares: DataFrame) ->
 
 def tag_unallocated(rows: DataFrame, rules: DataFrame, rule_type: str) -> DataFrame:
     """Accounts kept whole under the channel of their rule."""
-    kept = _with_rules(rows, rules, rule_type)
-    return kept.withColumn("amount", F.col("amount").cast(ALLOCATED)).select(*PL_COLUMNS)
+    return _with_amount(_with_rules(rows, rules, rule_type), "amount")
 
 
 def allocate_other_expense(rows: DataFrame, rules: DataFrame, shares: DataFrame) -> DataFrame:
@@ -293,19 +277,19 @@ def opex_alloc(rows: DataFrame, rules: DataFrame, shares: DataFrame, commission_
 
 def channel_pl(revenue: DataFrame, *parts: DataFrame) -> DataFrame:
     """All parts of the statement in one table; shared cost markers give way to their allocation."""
-    own = revenue.where(F.col("channel") != PRO_RATA)
-    columns = [F.col(c).cast(ALLOCATED).alias(c) if c == "amount" else F.col(c) for c in PL_COLUMNS]
-    return reduce(DataFrame.unionByName, [part.select(*columns) for part in (own, *parts)])
+    own = revenue.where(f"channel <> {text(PRO_RATA)}")
+    return reduce(DataFrame.unionByName, [_with_amount(part, "amount") for part in (own, *parts)])
 
 
 def net_profit(pl: DataFrame) -> DataFrame:
     """Income minus cost per date and channel."""
-    income = F.col("pl_section").isin(OPERATING_INCOME, OTHER_INCOME)
-    signed = F.when(income, F.col("amount")).otherwise(-F.col("amount"))
+    signed = f"if(pl_section IN ({texts([OPERATING_INCOME, OTHER_INCOME])}), amount, -amount)"
     return (
         pl.groupBy("transaction_date", "channel")
-        .agg(F.sum(signed).alias("amount"))
-        .select(F.lit(NET).alias("pl_section"), F.lit(NET_ACCOUNT).alias("account_name"), "transaction_date", "amount", "channel")
+        .agg(F.expr(f"sum({signed}) AS amount"))
+        .selectExpr(
+            f"{text(NET)} AS pl_section", f"{text(NET_ACCOUNT)} AS account_name", "transaction_date", "amount", "channel"
+        )
     )
 
 
@@ -315,37 +299,34 @@ def with_net(pl: DataFrame) -> DataFrame:
 
 
 def _account_shares(accounts: DataFrame, rules: DataFrame, shares: DataFrame, commission_shares: DataFrame) -> DataFrame:
-    """Account x channel -> share for every expense account: all expense rules in one small table."""
+    """Expense account x channel -> share: all expense rules in one table of accounts.
 
-    carried = ["account_id", "account_name", "pl_section"]
-    chart = accounts.where(F.col("account_type").isin("Expense", "Other Expense"))
-    section = F.when(F.col("account_type") == "Expense", OPERATING_EXPENSE).otherwise(OTHER_EXPENSE)
-    chart = chart.withColumn("pl_section", section).select(*carried)
-
-    def keyed(of_section: str, part: DataFrame) -> DataFrame:
-        listed = chart.where(F.col("pl_section") == of_section)
-        return listed.join(part, "account_name", "inner").select(*carried, "channel", "share")
-
-    def ruled(rule_type: str, share: Column) -> DataFrame:
-        return rules_of(rules, rule_type).select(F.col("key").alias("account_name"), "channel", share.cast(SHARE).alias("share"))
-
-    def general(of_section: str, rule_types: list[str]) -> DataFrame:
-        free = _without_rules(chart.where(F.col("pl_section") == of_section), rules, rule_types)
-        spread = free.withColumn("channel", F.explode(F.array(*[F.lit(c) for c in SALES_CHANNELS])))
-        return spread.join(F.broadcast(shares), "channel", "left").select(*carried, "channel", "share")
-
-    commission = rules_of(rules, kinds.COMMISSION).where(F.col("channel").isin(COMMISSION_CHANNELS))
-    commission = commission.select(F.col("key").alias("account_name"), "channel")
-    commission = commission.join(F.broadcast(commission_shares), "channel", "left")
-    parts = [
-        *[keyed(OPERATING_EXPENSE, ruled(t, F.col("value"))) for t in (kinds.PAYROLL, kinds.ADVERTISING, kinds.PAYMENT)],
-        keyed(OPERATING_EXPENSE, commission),
-        keyed(OPERATING_EXPENSE, ruled(kinds.OPEX_UNALLOCATED, F.lit(1))),
-        general(OPERATING_EXPENSE, RULED_EXPENSES),
-        keyed(OTHER_EXPENSE, ruled(kinds.OTHER_UNALLOCATED, F.lit(1))),
-        general(OTHER_EXPENSE, [kinds.OTHER_UNALLOCATED]),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    Listed accounts get the listed value, or the two-way revenue share (commissions), or the
+    whole amount (kept accounts); accounts without a rule get the three-way revenue shares.
+    """
+    chart = accounts.where("account_type IN ('Expense', 'Other Expense')").selectExpr(
+        "account_id",
+        "account_name",
+        f"if(account_type = 'Expense', {text(OPERATING_EXPENSE)}, {text(OTHER_EXPENSE)}) AS pl_section",
+    )
+    by_type = f"""CASE WHEN type IN ({texts(RULED_EXPENSES)}) THEN {text(OPERATING_EXPENSE)}
+        WHEN type = {text(kinds.OTHER_UNALLOCATED)} THEN {text(OTHER_EXPENSE)} END"""
+    listed = rules.selectExpr("key AS account_name", f"{by_type} AS pl_section", "type", "channel", "value").where(
+        "pl_section IS NOT NULL"
+    )
+    kept_whole = texts([kinds.OPEX_UNALLOCATED, kinds.OTHER_UNALLOCATED])
+    share = f"""CASE WHEN type = {text(kinds.COMMISSION)} THEN share WHEN type IN ({kept_whole}) THEN 1 ELSE value END"""
+    ruled = (
+        listed.where(f"type <> {text(kinds.COMMISSION)} OR channel IN ({texts(COMMISSION_CHANNELS)})")
+        .join(F.broadcast(commission_shares), "channel", "left")
+        .selectExpr("account_name", "pl_section", "channel", f"{cast(share, SHARE)} AS share")
+    )
+    carried = ["account_id", "account_name", "pl_section", "channel", "share"]
+    of_rules = chart.join(ruled, ["account_name", "pl_section"], "inner").select(*carried)
+    free = chart.join(listed.select("account_name", "pl_section").distinct(), ["account_name", "pl_section"], "left_anti")
+    spread = free.selectExpr("*", f"explode({channel_array(SALES_CHANNELS)}) AS channel")
+    general = spread.join(F.broadcast(shares), "channel", "left").select(*carried)
+    return of_rules.unionByName(general)
 
 
 def channel_statement(
@@ -366,25 +347,17 @@ def channel_statement(
     """
     revenue = channel_revenue(ledger, accounts, bridge, rules, blank)
     po_shares = po_cost_shares(channel_po_cost(lines, invoices, avg_po_cost(po_items), rules))
-    is_shared = F.col("channel") == PRO_RATA
-    channels = F.when(is_shared, F.array(*[F.lit(c) for c in SALES_CHANNELS])).otherwise(F.array("channel"))
-    of_cost = po_shares.select(F.col("channel").alias("_to"), "share")
-    part = F.when(F.col("_shared"), F.col("share")).otherwise(F.lit(1).cast(SHARE))
-    income_and_cost = (
-        revenue.withColumn("_shared", is_shared)
-        .withColumn("_to", F.explode(channels))
-        .join(F.broadcast(of_cost), "_to", "left")
-        .select(
-            "pl_section", "account_name", "transaction_date",
-            (F.col("amount") * part).cast(ALLOCATED).alias("amount"), F.col("_to").alias("channel"),
-        )
+    # every row becomes one row per receiving channel; only shared costs have more than one
+    receivers = f"if(channel = {text(PRO_RATA)}, {channel_array(SALES_CHANNELS)}, array(channel))"
+    spread = revenue.selectExpr(*PL_COLUMNS[:4], f"channel = {text(PRO_RATA)} AS shared", f"explode({receivers}) AS channel")
+    income_and_cost = _with_amount(
+        spread.join(F.broadcast(po_shares), "channel", "left"), f"amount * if(shared, share, {cast('1', SHARE)})"
     )
     account_shares = _account_shares(
         accounts, rules, revenue_shares(revenue), revenue_shares(revenue, COMMISSION_CHANNELS)
     )
-    amount = (money("debit_minus_credit") * F.col("share")).cast(ALLOCATED)
-    expense = ledger.join(account_shares, "account_id", "inner").withColumn("amount", amount).select(*PL_COLUMNS)
-    return income_and_cost.unionByName(expense)
+    expense = ledger.join(account_shares, "account_id", "inner")
+    return income_and_cost.unionByName(_with_amount(expense, f"{money('debit_minus_credit')} * share"))
 
 
 def profitability_pivot(
@@ -407,16 +380,17 @@ def assign_channel_basic(
     blank: BlankSellerRules = BlankSellerRules(),
 ) -> DataFrame:
     """Income and cost rows with a channel from the invoice alone: listed sellers, prefixes, defaults."""
-    bridge = invoice_bridge(invoices).withColumnRenamed("invoice_id", "entity_id").withColumn("document", F.lit(INVOICE))
-    rows = left_join_hot_left(classify(posted(ledger, accounts, REVENUE_TYPES)), bridge, ["entity_id"])
-    seller = F.col("sales_person_id")
+    bridge = invoice_bridge(invoices).selectExpr(
+        "invoice_id AS entity_id", "sales_person_id", "so_number", f"{text(INVOICE)} AS document"
+    )
+    rows = left_join_spread_nulls(classify(posted(ledger, accounts, REVENUE_TYPES)), bridge, ["entity_id"])
     channel = (
-        F.when(F.col("document").isNull(), UNALLOCATED)
-        .when(seller.isin(b2b_sellers), B2B)
-        .when(seller.isin(club_sellers), CLUB)
-        .otherwise(_blank_seller_channel(blank))
+        f"CASE WHEN document IS NULL THEN {text(UNALLOCATED)} "
+        f"WHEN sales_person_id IN ({texts(b2b_sellers)}) THEN {text(B2B)} "
+        f"WHEN sales_person_id IN ({texts(club_sellers)}) THEN {text(CLUB)} "
+        f"{_blank_seller_branches(blank)} END"
     )
-    return rows.withColumn("channel", channel).select(*PL_COLUMNS)
+    return rows.selectExpr(*PL_COLUMNS[:4], f"{channel} AS channel")
 
 
 def fixed_split(
@@ -429,14 +403,12 @@ def fixed_split(
 ) -> DataFrame:
     """Expense rows split by constant shares, for accounts chosen by name or name prefix."""
 
-    def named(names: list[str] | None, prefixes: tuple[str, ...]) -> Column:
-        hit = F.col("account_name").isin(list(names or []))
-        for prefix in prefixes:
-            hit = hit | F.col("account_name").startswith(prefix)
-        return hit
+    def named(names: list[str] | None, prefixes: tuple[str, ...]) -> str:
+        hits = [f"account_name IN ({texts(names or [])})", *[f"startswith(account_name, {text(p)})" for p in prefixes]]
+        return f"coalesce({' OR '.join(hits)}, FALSE)"
 
     if include is not None or include_prefixes:
         rows = rows.where(named(include, include_prefixes))
     if exclude is not None or exclude_prefixes:
-        rows = rows.where(~named(exclude, exclude_prefixes))
+        rows = rows.where(f"NOT {named(exclude, exclude_prefixes)}")
     return allocate_fixed(rows, shares).select(*PL_COLUMNS)

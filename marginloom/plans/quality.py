@@ -4,37 +4,38 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from marginloom.types import ALLOCATED
+from marginloom.sources.rules import ADVERTISING, PAYMENT, PAYROLL, SO_PREFIX
+from marginloom.types import ALLOCATED, cast, text, texts
 
-# Rule types whose shares must sum to one, and types whose keys are ids.
-SHARE_TYPES = ["payroll_pct", "ad_pct", "payment_account"]
-PREFIX_TYPE = "so_prefix"
+# Rule types whose shares must sum to one.
+SHARE_TYPES = [PAYROLL, ADVERTISING, PAYMENT]
 
 
 def share_sums(rules: DataFrame, types: list[str] | None = SHARE_TYPES) -> DataFrame:
     """Accounts whose shares do not sum to exactly 1."""
-    listed = rules if types is None else rules.where(F.col("type").isin(types))
-    return listed.groupBy("type", "key").agg(F.sum("value").alias("total")).where((F.col("total") != 1) | F.col("total").isNull())
+    listed = rules if types is None else rules.where(f"type IN ({texts(types)})")
+    sums = listed.groupBy("type", "key").agg(F.sum("value").alias("total"))
+    return sums.where("total <> 1 OR total IS NULL")
 
 
 def damaged_keys(rules: DataFrame) -> DataFrame:
     """Keys damaged by a spreadsheet: scientific notation, or a prefix shorter than its stated length."""
-    scientific = F.col("key").rlike(r"^[0-9]+(\.[0-9]+)?[eE]\+?[0-9]+$")
-    short = (F.col("type") == PREFIX_TYPE) & (F.length("key") < F.col("value"))
-    damage = F.when(scientific, "scientific notation").when(short, "shorter than its length")
-    return rules.withColumn("damage", damage).where(F.col("damage").isNotNull()).select("type", "key", "channel", "damage")
+    scientific = r"key RLIKE '^[0-9]+([.][0-9]+)?[eE][+]?[0-9]+$'"
+    short = f"type = {text(SO_PREFIX)} AND length(key) < value"
+    damage = f"CASE WHEN {scientific} THEN 'scientific notation' WHEN {short} THEN 'shorter than its length' END"
+    return rules.selectExpr("type", "key", "channel", f"{damage} AS damage").where("damage IS NOT NULL")
 
 
 def duplicate_rules(rules: DataFrame) -> DataFrame:
     """(type, key, channel) listed more than once."""
-    return rules.groupBy("type", "key", "channel").agg(F.count("*").alias("copies")).where(F.col("copies") > 1)
+    return rules.groupBy("type", "key", "channel").agg(F.expr("count(*) AS copies")).where("copies > 1")
 
 
 def rule_drift(old: DataFrame, new: DataFrame, columns: tuple[str, ...] = ("type", "key", "channel", "value")) -> DataFrame:
     """Rules found in one version only, copies counted."""
     before, after = old.select(*columns), new.select(*columns)
-    removed = before.exceptAll(after).withColumn("change", F.lit("removed"))
-    added = after.exceptAll(before).withColumn("change", F.lit("added"))
+    removed = before.exceptAll(after).selectExpr("*", "'removed' AS change")
+    added = after.exceptAll(before).selectExpr("*", "'added' AS change")
     return removed.unionByName(added)
 
 
@@ -43,13 +44,10 @@ def invoice_crossref(listed: DataFrame, invoices: DataFrame) -> DataFrame:
 
     Copies are counted before the join, so each number meets the invoices once.
     """
-    numbers = listed.groupBy("invoice_number").agg(F.count("*").alias("times_listed"))
-    known = invoices.select("invoice_number").distinct().withColumn("_known", F.lit(True))
-    return numbers.join(known, "invoice_number", "left").select(
-        "invoice_number",
-        "times_listed",
-        (F.col("times_listed") > 1).alias("is_duplicate"),
-        F.coalesce("_known", F.lit(False)).alias("is_known"),
+    numbers = listed.groupBy("invoice_number").agg(F.expr("count(*) AS times_listed"))
+    known = invoices.select("invoice_number").distinct().selectExpr("invoice_number", "TRUE AS known")
+    return numbers.join(known, "invoice_number", "left").selectExpr(
+        "invoice_number", "times_listed", "times_listed > 1 AS is_duplicate", "known IS NOT NULL AS is_known"
     )
 
 
@@ -65,9 +63,9 @@ def unknown_numbers(listed: DataFrame, invoices: DataFrame) -> DataFrame:
 
 def conservation(source: DataFrame, allocated: DataFrame, keys: list[str], amount: str = "amount") -> DataFrame:
     """Per key: source amount, allocated amount and their difference."""
-    before = source.groupBy(*keys).agg(F.sum(F.col(amount).cast(ALLOCATED)).alias("source_amount"))
-    after = allocated.groupBy(*keys).agg(F.sum(F.col(amount).cast(ALLOCATED)).alias("allocated_amount"))
-    joined = before.join(after, keys, "full")
-    zero = F.lit(0).cast(ALLOCATED)
-    gap = F.coalesce("allocated_amount", zero) - F.coalesce("source_amount", zero)
-    return joined.withColumn("difference", gap)
+    total = f"sum({cast(amount, ALLOCATED)})"
+    before = source.groupBy(*keys).agg(F.expr(f"{total} AS source_amount"))
+    after = allocated.groupBy(*keys).agg(F.expr(f"{total} AS allocated_amount"))
+    zero = cast("0", ALLOCATED)
+    gap = f"coalesce(allocated_amount, {zero}) - coalesce(source_amount, {zero}) AS difference"
+    return before.join(after, keys, "full").selectExpr("*", gap)

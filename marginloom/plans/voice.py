@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from marginloom.functions.calendar import minutes_between, wall_micros
 from marginloom.operators.asof import first_after
-from marginloom.operators.joins import expand_seconds, left_join_hot_left, tolerance_join
+from marginloom.operators.joins import expand_seconds, tolerance_join
 from marginloom.operators.textagg import joined_distinct
-from marginloom.types import ratio
+from marginloom.types import ratio, text
 
 # Call types, the outcome that counts as answered, the label of answered calls.
 MISSED, OUTGOING, INCOMING = "missed", "outgoing", "incoming"
@@ -18,24 +18,32 @@ INCOMING_PREFIX = "incoming: "
 CLOCK_TOLERANCE = 10
 SERVICE_MINUTES = 60
 
+MISSED_COLUMNS = ["missed_id", "customer_number", "missed_at", "yr", "mth", "was_returned"]
 
-def _filled(name: str) -> Column:
-    return F.col(name).isNotNull() & (F.col(name) != "")
+
+def _filled(name: str) -> str:
+    return f"{name} IS NOT NULL AND {name} <> ''"
+
+
+def _max(source: str, out: str):
+    return F.expr(f"max({source}) AS {out}")
 
 
 def _agent_names(agents: DataFrame) -> DataFrame:
-    return agents.groupBy(F.col("agent_id").alias("agent")).agg(F.max("name").alias("agent_name"))
+    return agents.groupBy("agent_id").agg(_max("name", "agent_name")).withColumnRenamed("agent_id", "agent")
 
 
 def _placed_calls(metrics: DataFrame) -> DataFrame:
-    return metrics.where((F.col("call_type") == OUTGOING) & _filled("agent"))
+    return metrics.where(f"call_type = {text(OUTGOING)} AND {_filled('agent')}")
+
+
+def _named_calls(metrics: DataFrame, agents: DataFrame) -> DataFrame:
+    return _placed_calls(metrics).join(agents.selectExpr("agent_id AS agent", "name AS agent_name"), "agent", "left")
 
 
 def outgoing_agent_map(metrics: DataFrame, agents: DataFrame, seconds: int = CLOCK_TOLERANCE) -> DataFrame:
     """Agent and time of each outgoing call, repeated for every second of clock tolerance."""
-    names = agents.select(F.col("agent_id").alias("agent"), F.col("name").alias("agent_name"))
-    named = _placed_calls(metrics).join(names, "agent", "left")
-    calls = named.select(F.col("agent_called_time").alias("out_time"), "agent_name")
+    calls = _named_calls(metrics, agents).selectExpr("agent_called_time AS out_time", "agent_name")
     return expand_seconds(calls, "out_time", seconds)
 
 
@@ -43,9 +51,7 @@ def matched_call_agents(
     logs: DataFrame, metrics: DataFrame, agents: DataFrame, on: list[str], seconds: int = CLOCK_TOLERANCE
 ) -> DataFrame:
     """Calls with the agents recorded at most ``seconds`` before them; the map without its copies."""
-    names = agents.select(F.col("agent_id").alias("agent"), F.col("name").alias("agent_name"))
-    placed = _placed_calls(metrics).join(names, "agent", "left")
-    return tolerance_join(logs, placed, on, "start_time", "agent_called_time", seconds)
+    return tolerance_join(logs, _named_calls(metrics, agents), on, "start_time", "agent_called_time", seconds)
 
 
 def outgoing_calls(metrics: DataFrame, agents: DataFrame, logs: DataFrame) -> DataFrame:
@@ -56,10 +62,11 @@ def outgoing_calls(metrics: DataFrame, agents: DataFrame, logs: DataFrame) -> Da
     """
     legs = (
         _placed_calls(metrics)
-        .groupBy(F.col("calllog_id").alias("log_id"), "agent")
-        .agg(F.max("agent_called_time").alias("out_time"))
+        .groupBy("calllog_id", "agent")
+        .agg(_max("agent_called_time", "out_time"))
+        .withColumnRenamed("calllog_id", "log_id")
     )
-    numbers = logs.groupBy("log_id").agg(F.max("customer_number").alias("customer_number"))
+    numbers = logs.groupBy("log_id").agg(_max("customer_number", "customer_number"))
     return (
         legs.join(_agent_names(agents), "agent", "left")
         .join(numbers, "log_id", "left")
@@ -70,39 +77,42 @@ def outgoing_calls(metrics: DataFrame, agents: DataFrame, logs: DataFrame) -> Da
 def answered_incoming(logs: DataFrame, metrics: DataFrame, agents: DataFrame) -> DataFrame:
     """One row per answered incoming call; several agents are listed by name."""
     calls = (
-        logs.where((F.col("call_type") == INCOMING) & _filled("customer_number"))
+        logs.where(f"call_type = {text(INCOMING)} AND {_filled('customer_number')}")
         .groupBy("log_id")
-        .agg(F.max("customer_number").alias("customer_number"), F.max("start_time").alias("in_time"))
+        .agg(_max("customer_number", "customer_number"), _max("start_time", "in_time"))
     )
-    answered = metrics.where(F.col("hangup_cause") == ANSWERED)
-    legs = answered.select(F.col("calllog_id").alias("log_id"), "agent").distinct()
+    answered = metrics.where(f"hangup_cause = {text(ANSWERED)}")
+    legs = answered.selectExpr("calllog_id AS log_id", "agent").distinct()
     listed = legs.join(_agent_names(agents), "agent", "left").groupBy("log_id").agg(
-        joined_distinct("agent_name").alias("agent_name")
+        F.expr(f"{joined_distinct('agent_name')} AS agent_name")
     )
     return calls.join(listed, "log_id", "inner").select("log_id", "customer_number", "in_time", "agent_name")
 
 
 def missed_calls(logs: DataFrame) -> DataFrame:
     """Missed calls with a known customer number."""
-    return logs.where((F.col("call_type") == MISSED) & _filled("customer_number")).select(
-        F.col("log_id").alias("missed_id"),
+    return logs.where(f"call_type = {text(MISSED)} AND {_filled('customer_number')}").selectExpr(
+        "log_id AS missed_id",
         "customer_number",
-        F.col("start_time").alias("missed_at"),
-        F.year("start_time").alias("yr"),
-        F.month("start_time").alias("mth"),
-        F.col("missed_call_returned").alias("was_returned"),
+        "start_time AS missed_at",
+        "year(start_time) AS yr",
+        "month(start_time) AS mth",
+        "missed_call_returned AS was_returned",
     )
 
 
 def returning_calls(outgoing: DataFrame, incoming: DataFrame) -> DataFrame:
     """Both directions in one table: number, time, agent, direction."""
-    out = outgoing.select("customer_number", "out_time", F.col("agent_name").alias("callback_agent"))
-    answered = incoming.select(
-        "customer_number", F.col("in_time").alias("out_time"), F.col("agent_name").alias("callback_agent")
-    )
-    return out.withColumn("call_direction", F.lit(OUTGOING)).unionByName(
-        answered.withColumn("call_direction", F.lit(INCOMING))
-    )
+
+    def side(calls: DataFrame, time: str, direction: str) -> DataFrame:
+        return calls.selectExpr(
+            "customer_number",
+            f"{time} AS out_time",
+            "agent_name AS callback_agent",
+            f"{text(direction)} AS call_direction",
+        )
+
+    return side(outgoing, "out_time", OUTGOING).unionByName(side(incoming, "in_time", INCOMING))
 
 
 def callback_candidates(logs: DataFrame, outgoing: DataFrame, incoming: DataFrame) -> DataFrame:
@@ -112,18 +122,13 @@ def callback_candidates(logs: DataFrame, outgoing: DataFrame, incoming: DataFram
     customers (filter ``logs`` first). ``callback_agents`` and ``callback_summary`` give its
     results without building it.
     """
-    missed = missed_calls(logs)
-    minutes = minutes_between(wall_micros(F.col("missed_at")), wall_micros(F.col("out_time")))
-
-    def beside(calls: DataFrame, time: str, direction: str) -> DataFrame:
-        side = calls.select("customer_number", F.col(time).alias("out_time"), F.col("agent_name").alias("callback_agent"))
-        return (
-            missed.join(side, "customer_number", "left")
-            .withColumn("mins_to_callback", minutes)
-            .withColumn("call_direction", F.lit(direction))
-        )
-
-    return beside(outgoing, "out_time", OUTGOING).unionByName(beside(incoming, "in_time", INCOMING))
+    directions = f"explode(array({text(OUTGOING)}, {text(INCOMING)})) AS call_direction"
+    missed = missed_calls(logs).selectExpr("*", directions)
+    minutes = minutes_between(wall_micros("missed_at"), wall_micros("out_time"))
+    return (
+        missed.join(returning_calls(outgoing, incoming), ["customer_number", "call_direction"], "left")
+        .selectExpr(*MISSED_COLUMNS, "out_time", "callback_agent", f"{minutes} AS mins_to_callback", "call_direction")
+    )
 
 
 def callback_agents(logs: DataFrame, outgoing: DataFrame, incoming: DataFrame) -> DataFrame:
@@ -133,29 +138,29 @@ def callback_agents(logs: DataFrame, outgoing: DataFrame, incoming: DataFrame) -
     are NULL for an agent who called only before the miss. A missed call whose customer had
     no other contact gives one row without agent and direction.
     """
+    # agents may be unknown: a text that keeps NULL apart from every name
+    agent_key = "coalesce(concat('name ', callback_agent), 'unknown') AS _agent"
     calls = (
         returning_calls(outgoing, incoming)
         .where(_filled("customer_number"))
-        .withColumn("_at", wall_micros(F.col("out_time")))
-        # agents may be unknown: a text that keeps NULL apart from every name
-        .withColumn("_agent", F.coalesce(F.concat(F.lit("name "), "callback_agent"), F.lit("unknown")))
+        .selectExpr("customer_number", "call_direction AS _direction", "callback_agent", agent_key, f"{wall_micros('out_time')} AS _at")
     )
-    contacts = calls.select("customer_number", "call_direction", "_agent", "callback_agent").distinct()
-    missed = missed_calls(logs).withColumn("_missed", wall_micros(F.col("missed_at")))
-    points = left_join_hot_left(missed, contacts, ["customer_number"]).fillna("none", ["call_direction", "_agent"])
-    timed = first_after(points, calls, ["customer_number", "call_direction", "_agent"], "_missed", "_at", "_first")
-    direction = F.when(F.col("call_direction") != "none", F.col("call_direction"))
-    return timed.select(
-        "missed_id",
-        "customer_number",
-        "missed_at",
-        "yr",
-        "mth",
-        "was_returned",
-        "callback_agent",
-        direction.alias("call_direction"),
-        minutes_between(F.col("_missed"), F.col("_first")).alias("mins_to_callback"),
+    contacts = calls.select("customer_number", "_direction", "_agent", "callback_agent").distinct()
+    points = (
+        missed_calls(logs)
+        .join(contacts, "customer_number", "left")
+        .selectExpr(
+            *MISSED_COLUMNS,
+            "callback_agent",
+            "_direction AS call_direction",
+            "coalesce(_direction, 'none') AS _direction",
+            "coalesce(_agent, 'none') AS _agent",
+            f"{wall_micros('missed_at')} AS _missed",
+        )
     )
+    timed = first_after(points, calls, ["customer_number", "_direction", "_agent"], "_missed", "_at", "_first")
+    minutes = minutes_between("_missed", "_first")
+    return timed.selectExpr(*MISSED_COLUMNS, "callback_agent", "call_direction", f"{minutes} AS mins_to_callback")
 
 
 def callback_summary(
@@ -167,63 +172,66 @@ def callback_summary(
     first, ``only_after`` leaves them out), then by label; answerers of the customer's own
     calls are prefixed.
     """
-    agents = callback_agents(logs, outgoing, incoming)
-    prefixed = F.concat(F.lit(INCOMING_PREFIX), F.col("callback_agent"))
-    label = F.when(F.col("call_direction") == INCOMING, prefixed).otherwise(F.col("callback_agent"))
-    if only_after:
-        label = F.when(F.col("mins_to_callback").isNotNull(), label)
-    # one row per missed call and agent: the list is as long as the text it becomes
-    entry = F.when(label.isNotNull(), F.struct(F.col("mins_to_callback").alias("mins"), label.alias("label")))
-    entries = F.array_sort(F.collect_list(entry))
-    names = F.array_distinct(F.transform(entries, lambda e: e["label"]))
-    return agents.groupBy("missed_id").agg(
-        *[F.max(c).alias(c) for c in ("customer_number", "missed_at", "yr", "mth", "was_returned")],
-        F.when(F.size(names) > 0, F.array_join(names, ", ")).alias("all_agents"),
-        F.min("mins_to_callback").alias("mins_to_callback"),
+    listed = "AND mins_to_callback IS NOT NULL" if only_after else ""
+    label = f"if(call_direction = {text(INCOMING)}, concat({text(INCOMING_PREFIX)}, callback_agent), callback_agent)"
+    # one entry per missed call and agent: the list is as long as the text it becomes
+    entries = f"""collect_list(CASE WHEN callback_agent IS NOT NULL {listed}
+        THEN named_struct('mins', mins_to_callback, 'label', {label}) END)"""
+    names = f"array_distinct(transform(array_sort({entries}), e -> e.label))"
+    return (
+        callback_agents(logs, outgoing, incoming)
+        .groupBy("missed_id")
+        .agg(
+            *[_max(c, c) for c in MISSED_COLUMNS[1:]],
+            F.expr(f"nullif(array_join({names}, ', '), '') AS all_agents"),
+            F.expr("min(mins_to_callback) AS mins_to_callback"),
+        )
     )
 
 
 def callback_report(summary: DataFrame, year: int | None = None, service_minutes: int = SERVICE_MINUTES) -> DataFrame:
     """One row per customer and missed call with the never-called-back and in-time flags."""
     if year is not None:
-        summary = summary.where(F.col("yr") == year)
+        summary = summary.where(f"yr = {year}")
     return (
         summary.groupBy("customer_number", "missed_id")
         .agg(
-            F.min("mins_to_callback").alias("mins_to_callback"),
-            F.max("all_agents").alias("all_agents"),
-            F.max("was_returned").alias("was_returned"),
+            F.expr("min(mins_to_callback) AS mins_to_callback"),
+            _max("all_agents", "all_agents"),
+            _max("was_returned", "was_returned"),
+        )
+        .selectExpr(
+            "*",
+            "mins_to_callback IS NULL AS never_called_back",
+            f"coalesce(mins_to_callback <= {service_minutes}, FALSE) AS within_service_level",
         )
-        .withColumn("never_called_back", F.col("mins_to_callback").isNull())
-        .withColumn("within_service_level", F.coalesce(F.col("mins_to_callback") <= service_minutes, F.lit(False)))
     )
 
 
 def callback_rate(summary: DataFrame, by: list[str], service_minutes: int = SERVICE_MINUTES) -> DataFrame:
     """Share of missed calls that were returned, and returned in time."""
-    minutes = F.col("mins_to_callback")
+    counts = {
+        "missed": "count(*)",
+        "returned": "count(mins_to_callback)",
+        "in_time": f"count_if(mins_to_callback <= {service_minutes})",
+    }
     return (
         summary.groupBy(*by)
-        .agg(
-            F.count("*").alias("missed"),
-            F.count(minutes).alias("returned"),
-            F.count(F.when(minutes <= service_minutes, 1)).alias("in_time"),
+        .agg(*[F.expr(f"{count} AS {out}") for out, count in counts.items()])
+        .selectExpr(
+            "*", f"{ratio('returned', 'missed')} AS callback_rate", f"{ratio('in_time', 'missed')} AS in_time_rate"
         )
-        .withColumn("callback_rate", ratio(F.col("returned"), F.col("missed")))
-        .withColumn("in_time_rate", ratio(F.col("in_time"), F.col("missed")))
     )
 
 
 def pickup_rate(metrics: DataFrame, agents: DataFrame) -> DataFrame:
     """Call legs per agent and outcome, and their share in the agent's legs.
 
-    The definition is ours: the reference names the report without giving its query.
+    The definition is ours: the report is known by name only.
     """
-    counted = metrics.where(_filled("agent")).groupBy("agent", "hangup_cause").agg(F.count("*").alias("legs"))
+    counted = metrics.where(_filled("agent")).groupBy("agent", "hangup_cause").agg(F.expr("count(*) AS legs"))
     # the window runs over the counts: one row per agent and outcome
-    of_agent = F.sum("legs").over(Window.partitionBy("agent"))
-    return (
-        counted.withColumn("share", ratio(F.col("legs"), of_agent))
-        .join(_agent_names(agents), "agent", "left")
-        .select("agent", "agent_name", "hangup_cause", "legs", "share")
+    shared = counted.selectExpr("*", f"{ratio('legs', 'sum(legs) OVER (PARTITION BY agent)')} AS share")
+    return shared.join(_agent_names(agents), "agent", "left").select(
+        "agent", "agent_name", "hangup_cause", "legs", "share"
     )

@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.ui.enabled": "false",
+    # call-site capture doubles the time to build a plan
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -4,20 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql import DataFrame, SparkSession
 
-from marginloom.types import QUANTITY
+from marginloom.types import quantity, text
 
-RULES = StructType(
-    [
-        StructField("type", StringType()),
-        StructField("key", StringType()),
-        StructField("channel", StringType()),
-        StructField("value", QUANTITY),
-        StructField("description", StringType()),
-    ]
-)
+RULE_COLUMNS = ["type", "key", "channel", "value", "description"]
+RULES_TEXT = ", ".join(f"{c} STRING" for c in RULE_COLUMNS)
 
 # The rule types the P&L reads.
 SALESPERSON = "salesperson"
@@ -38,26 +30,16 @@ class RuleError(ValueError):
     """The rules table would give wrong amounts."""
 
 
-def rules_of(rules: DataFrame, rule_type: str) -> DataFrame:
-    return rules.where(F.col("type") == rule_type).select("key", "channel", "value")
+def rules_of(rules: DataFrame, rule_type: str, *columns: str) -> DataFrame:
+    """Rules of one type; ``columns`` are the expressions wanted from key, channel and value."""
+    return rules.where(f"type = {text(rule_type)}").selectExpr(*(columns or ("key", "channel", "value")))
 
 
 def rules_from_rows(spark: SparkSession, rows: Iterable[tuple]) -> DataFrame:
     """Rules given in code as ``(type, key, channel, value)``; a local relation with known size."""
-
-    def text(value: object) -> str:
-        return "NULL" if value is None else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-    listed = ", ".join(f"({text(t)}, {text(k)}, {text(c)}, {text(v)})" for t, k, c, v in rows)
+    listed = ", ".join(f"({', '.join(text(v) for v in row)})" for row in rows)
     raw = spark.sql(f"SELECT * FROM VALUES {listed} AS t(type, `key`, channel, value)")
-    return raw.select("type", "key", "channel", F.col("value").cast(QUANTITY).alias("value"))
-
-
-def _read(spark: SparkSession, path: str) -> DataFrame:
-    as_text = StructType([StructField(f.name, StringType()) for f in RULES.fields])
-    raw = spark.read.schema(as_text).option("header", True).option("mode", "FAILFAST").csv(path)
-    value = F.when(F.trim("value") != "", F.col("value")).cast(QUANTITY)
-    return raw.withColumn("value", value)
+    return raw.selectExpr("type", "key", "channel", f"{quantity('value')} AS value")
 
 
 def load_rules(spark: SparkSession, path: str) -> DataFrame:
@@ -68,7 +50,9 @@ def load_rules(spark: SparkSession, path: str) -> DataFrame:
     """
     from marginloom.plans.quality import damaged_keys, duplicate_rules
 
-    rules = _read(spark, path)
+    raw = spark.read.schema(RULES_TEXT).option("header", True).option("mode", "FAILFAST").csv(path)
+    value = quantity("nullif(trim(value), '')")
+    rules = raw.selectExpr("type", "key", "channel", f"{value} AS value", "description")
     doubled = duplicate_rules(rules).limit(5).collect()
     if doubled:
         raise RuleError(f"duplicate rules: {[(r['type'], r['key'], r['channel']) for r in doubled]}")

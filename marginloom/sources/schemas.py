@@ -2,32 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import (
-    DateType,
-    LongType,
-    StringType,
-    StructField,
-    StructType,
-    TimestampNTZType,
-)
-
 from marginloom.types import MONEY, QUANTITY
 
 _TYPES = {
-    "text": StringType(),
+    "text": "STRING",
     "money": MONEY,
     "qty": QUANTITY,
-    "date": DateType(),
-    "time": TimestampNTZType(),
-    "long": LongType(),
+    "date": "DATE",
+    "time": "TIMESTAMP_NTZ",
+    "long": "BIGINT",
 }
 
 
-def _table(**columns: str) -> StructType:
-    return StructType([StructField(name, _TYPES[kind], True) for name, kind in columns.items()])
+def _table(**columns: str) -> str:
+    return ", ".join(f"{name} {_TYPES[kind]}" for name, kind in columns.items())
 
 
-SCHEMAS: dict[str, StructType] = {
+SCHEMAS: dict[str, str] = {
     # sales
     "invoices": _table(
         invoice_id="text",

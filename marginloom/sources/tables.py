@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from marginloom.sources.schemas import SCHEMAS
 
@@ -28,8 +28,7 @@ def read_csv(spark: SparkSession, path: str, name: str) -> DataFrame:
 
 def read_invoice_list(spark: SparkSession, path: str) -> DataFrame:
     """Invoice numbers, one per line; blank lines dropped, duplicates kept."""
-    number = F.trim(F.col("value"))
-    return spark.read.text(path).select(number.alias("invoice_number")).where(F.col("invoice_number") != "")
+    return spark.read.text(path).selectExpr("trim(value) AS invoice_number").where("invoice_number <> ''")
 
 
 def publish_view(df: DataFrame, name: str) -> DataFrame:

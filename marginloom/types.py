@@ -1,25 +1,40 @@
-"""Column types shared by every table."""
+"""Number types shared by every table, as Spark SQL text."""
 
-from pyspark.sql import Column, functions as F
-from pyspark.sql.types import DecimalType
-
-MONEY = DecimalType(18, 4)
-QUANTITY = DecimalType(18, 6)
-TOTAL_QUANTITY = DecimalType(28, 6)
+MONEY = "DECIMAL(18,4)"
+TOTAL_MONEY = "DECIMAL(28,4)"
+QUANTITY = "DECIMAL(18,6)"
+TOTAL_QUANTITY = "DECIMAL(28,6)"
 # Shares are held at 12 decimals: money (scale 4) x share (scale 12) is an exact
 # DECIMAL(37,16), so allocated amounts sum to the same value in any order.
-SHARE = DecimalType(18, 12)
-ALLOCATED = DecimalType(38, 16)
+SHARE = "DECIMAL(18,12)"
+ALLOCATED = "DECIMAL(38,16)"
+
+
+def cast(expr: str, kind: str) -> str:
+    return f"CAST({expr} AS {kind})"
+
+
+def money(expr: str) -> str:
+    return cast(expr, MONEY)
+
+
+def quantity(expr: str) -> str:
+    return cast(expr, QUANTITY)
 
 
-def money(col) -> Column:
-    return F.col(col).cast(MONEY) if isinstance(col, str) else col.cast(MONEY)
+def text(value: str | None) -> str:
+    """A text literal."""
+    if value is None:
+        return "NULL"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def quantity(col) -> Column:
-    return F.col(col).cast(QUANTITY) if isinstance(col, str) else col.cast(QUANTITY)
+def texts(values) -> str:
+    """A list of text literals for IN; an empty list matches nothing."""
+    return ", ".join(text(v) for v in values) or "NULL"
 
 
-def ratio(numerator: Column, denominator: Column) -> Column:
+def ratio(numerator: str, denominator: str) -> str:
     """Quotient of two exact sums as a SHARE; NULL when the base is zero or missing."""
-    return F.round(F.try_divide(numerator.cast("double"), denominator.cast("double")), 12).cast(SHARE)
+    quotient = f"try_divide({cast(numerator, 'DOUBLE')}, {cast(denominator, 'DOUBLE')})"
+    return cast(f"round({quotient}, 12)", SHARE)
