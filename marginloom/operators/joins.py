@@ -14,6 +14,8 @@ HOT_SHARE = 0.005
 HOT_ROWS = 1_000_000
 # Keys the counting sketch reports, so the broadcast list of hot keys never exceeds this.
 HOT_KEYS = 128
+# Keys the sketch follows: enough to keep every key above HOT_SHARE.
+TRACKED_KEYS = 2048
 SALTS = 64
 
 
@@ -34,7 +36,7 @@ def hot_keys(df: DataFrame, on: list[str], hot_rows: int = HOT_ROWS, hot_share:
     """
     present = " AND ".join(f"`{c}` IS NOT NULL" for c in on)
     counted = df.where(present).selectExpr(
-        f"approx_top_k(xxhash64({_names(on)}), {HOT_KEYS}, 20000) AS top", "count(*) AS n"
+        f"approx_top_k(xxhash64({_names(on)}), {HOT_KEYS}, {TRACKED_KEYS}) AS top", "count(*) AS n"
     )
     return (
         counted.selectExpr("inline(top)", "n")
@@ -43,7 +45,8 @@ def hot_keys(df: DataFrame, on: list[str], hot_rows: int = HOT_ROWS, hot_share:
     )
 
 
-def _tag_hot(df: DataFrame, on: list[str], hot: DataFrame) -> DataFrame:
+def tag_hot(df: DataFrame, on: list[str], hot: DataFrame) -> DataFrame:
+    """Adds ``_hot``, NULL for ordinary keys; ``hot`` comes from ``hot_keys`` and is bounded."""
     return df.join(F.broadcast(hot), F.expr(f"xxhash64({_names(on)}) = _hot"), "left")
 
 
@@ -63,9 +66,9 @@ def left_join_hot_right(
     """
     hot = hot_keys(right, on, hot_rows, hot_share)
     every_salt = f"explode(if(_hot IS NULL, array(0), sequence(0, {SALTS - 1}))) AS _salt"
-    salted_left = _tag_hot(left, on, hot).selectExpr(*[f"`{c}`" for c in left.columns], "_hot", every_salt)
+    salted_left = tag_hot(left, on, hot).selectExpr(*[f"`{c}`" for c in left.columns], "_hot", every_salt)
     own_salt = f"if(_hot IS NULL, 0, {_row_salt(right.columns)}) AS _salt"
-    salted_right = _tag_hot(right, on, hot).selectExpr(*[f"`{c}`" for c in right.columns], "TRUE AS _found", own_salt)
+    salted_right = tag_hot(right, on, hot).selectExpr(*[f"`{c}`" for c in right.columns], "TRUE AS _found", own_salt)
     joined = salted_left.join(salted_right, [*on, "_salt"], "left")
     return joined.where("_hot IS NULL OR _found").drop("_salt", "_hot", "_found")
 

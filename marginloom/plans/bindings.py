@@ -141,25 +141,24 @@ class Sources:
         )
 
     @cached_property
-    def _order_kinds(self) -> DataFrame:
-        """An invoice belongs to one sales order per kind of line it has: a many-to-many link."""
-        return self.table("lineitem").select("l_orderkey", "l_returnflag", "l_linestatus").distinct()
+    def _order_parts(self) -> DataFrame:
+        """Sales orders behind an invoice: two, one or none by priority, a many-to-many link."""
+        parts = """CASE o_orderpriority WHEN '1-URGENT' THEN array('0089400', 'SO-EB-') WHEN '2-HIGH' THEN array('SO-VM-', 'SO-MB-')
+            WHEN '3-MEDIUM' THEN array('SO-') WHEN '4-NOT SPECIFIED' THEN array('PO-') END"""
+        return self.table("orders").selectExpr("o_orderkey", "o_orderstatus", f"explode({parts}) AS prefix")
 
     @cached_property
     def sales_order_invoice(self) -> DataFrame:
-        return self._order_kinds.selectExpr(
-            "concat(l_orderkey, '-', l_returnflag, l_linestatus) AS sales_order_id",
-            f"{_digits('l_orderkey')} AS invoice_id",
+        return self._order_parts.selectExpr(
+            "concat('S', prefix, o_orderkey) AS sales_order_id", f"{_digits('o_orderkey')} AS invoice_id"
         )
 
     @cached_property
     def linked_sales_orders(self) -> DataFrame:
-        prefix = """CASE concat(l_returnflag, l_linestatus) WHEN 'AF' THEN '0089400' WHEN 'AO' THEN 'SO-EB-'
-            WHEN 'NF' THEN 'SO-VM-' WHEN 'NO' THEN 'SO-MB-' WHEN 'RF' THEN 'SO-' ELSE 'PO-' END"""
-        return self._order_kinds.selectExpr(
-            "concat(l_orderkey, '-', l_returnflag, l_linestatus) AS sales_order_id",
-            f"concat({prefix}, l_orderkey) AS sales_order_no",
-            "lower(l_returnflag) AS type",
+        return self._order_parts.selectExpr(
+            "concat('S', prefix, o_orderkey) AS sales_order_id",
+            "concat(prefix, o_orderkey) AS sales_order_no",
+            "lower(o_orderstatus) AS type",
         )
 
     @cached_property

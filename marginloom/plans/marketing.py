@@ -37,18 +37,12 @@ def _spend_rows(df: DataFrame, name: str, channel: str, category: str, filled: d
 def _platform_spend(
     names: DataFrame, name_id: str, name: str, costs: DataFrame, cost_id: str, day: str, cost: str
 ) -> DataFrame:
-    """Weekly cost of one platform per ad name.
-
-    Costs are summed per ad and week before the names are joined, so the join handles one row
-    per ad and week and a busy ad is combined on the map side. Sums are exact, so rounding
-    can follow the whole group.
-    """
+    """Weekly cost of one platform per ad name: one grouping, combined on the map side."""
     spent = costs.where(f"{cost} > 0").selectExpr(
         f"{cost_id} AS _ad", f"{week_key(day)} AS year_week", f"{money(cost)} AS _cost"
     )
-    weekly = spent.groupBy("_ad", "year_week").agg(F.expr("sum(_cost) AS _cost"))
     named = names.selectExpr(f"{name_id} AS _ad", f"{name} AS name")
-    return weekly.join(named, "_ad", "inner").groupBy("year_week", "name").agg(F.expr("sum(_cost) AS usd"))
+    return spent.join(named, "_ad", "inner").groupBy("year_week", "name").agg(F.expr("sum(_cost) AS usd"))
 
 
 def ad_spend(
@@ -170,33 +164,32 @@ def weekly_payments(
 ) -> DataFrame:
     """Cash received per week and channel without dealers.
 
-    Payments are summed per invoice and week, and order links counted per invoice and
-    channel, before the two meet: amount x links equals the sum over the repeated rows.
+    A payment counts once per order of its invoice. The orders are counted per channel first,
+    into one row per invoice, so payments meet one row each and are shuffled once.
     """
-    received = payments.selectExpr("invoice_id", f"{week_key('created_time')} AS year_week", f"{money('amount')} AS _amount")
-    paid = received.groupBy("invoice_id", "year_week").agg(*_sums(["_amount"]))
+    channels = rules.channels()
     links = (
         _order_links(junction, orders)
-        .selectExpr("invoice_id AS _invoice", f"{order_channel('sales_order_no', rules)} AS channel")
-        .groupBy("_invoice", "channel")
-        .agg(F.expr("count(*) AS _links"))
+        .selectExpr("invoice_id", f"{order_channel('sales_order_no', rules)} AS channel")
+        .groupBy("invoice_id")
+        .agg(*[F.expr(f"count_if(channel = {text(c)}) AS _n{i}") for i, c in enumerate(channels)])
     )
-    buyers = invoices.selectExpr("invoice_id AS _invoice", "customer_id")
-    retail = (
-        paid.join(buyers, F.expr("invoice_id = _invoice"), "left")
+    counts = ", ".join(f"named_struct('channel', {text(c)}, 'links', _n{i})" for i, c in enumerate(channels))
+    headers = (
+        invoices.select("invoice_id", "customer_id")
+        .join(links, "invoice_id", "left")
         .join(customers.select("customer_id", "account_type"), "customer_id", "left")
-        .where(exclude_keep_null("account_type", dealers))
+        .selectExpr("invoice_id", "account_type", f"if(_n0 IS NULL, NULL, filter(array({counts}), c -> c.links > 0)) AS _orders")
     )
-    # a payment without its invoice has no order either
+    received = payments.selectExpr("invoice_id", f"{week_key('created_time')} AS year_week", f"{money('amount')} AS _amount")
+    # a payment or invoice without an order counts once, under the label for that
+    none = f"array(named_struct('channel', {text(rules.no_order)}, 'links', 1L))"
     return (
-        retail.join(links, "_invoice", "left")
-        .selectExpr(
-            "year_week",
-            f"coalesce(channel, {text(rules.no_order)}) AS channel",
-            "_amount * coalesce(_links, 1) AS _value",
-        )
+        received.join(headers, "invoice_id", "left")
+        .where(exclude_keep_null("account_type", dealers))
+        .selectExpr("year_week", "_amount", f"inline(coalesce(_orders, {none}))")
         .groupBy("year_week", "channel")
-        .agg(F.expr(f"{cast('sum(_value)', TOTAL_MONEY)} AS paid_total"))
+        .agg(F.expr(f"{cast('sum(_amount * links)', TOTAL_MONEY)} AS paid_total"))
     )
 
 

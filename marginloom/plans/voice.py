@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from marginloom.functions.calendar import minutes_between, wall_micros
 from marginloom.operators.asof import first_after
-from marginloom.operators.joins import expand_seconds, tolerance_join
+from marginloom.operators.joins import HOT_ROWS, expand_seconds, hot_keys, tolerance_join
 from marginloom.operators.textagg import joined_distinct
 from marginloom.types import ratio, text
 
@@ -131,36 +131,43 @@ def callback_candidates(logs: DataFrame, outgoing: DataFrame, incoming: DataFram
     )
 
 
-def callback_agents(logs: DataFrame, outgoing: DataFrame, incoming: DataFrame) -> DataFrame:
+def callback_agents(
+    logs: DataFrame, outgoing: DataFrame, incoming: DataFrame, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Missed call x agent in contact with the customer: minutes to that agent's first later call.
 
     One row per missed call, direction and agent, however many calls there were; the minutes
     are NULL for an agent who called only before the miss. A missed call whose customer had
-    no other contact gives one row without agent and direction.
+    no other contact gives one row without agent and direction. Customers with at least
+    ``hot_rows`` calls, and a large part of all, are cut by time.
     """
-    # agents may be unknown: a text that keeps NULL apart from every name
-    agent_key = "coalesce(concat('name ', callback_agent), 'unknown') AS _agent"
+    # one text per direction and agent that keeps an unknown agent apart from every name
+    contact = "concat(call_direction, coalesce(concat(' by ', callback_agent), '')) AS _contact"
     calls = (
         returning_calls(outgoing, incoming)
         .where(_filled("customer_number"))
-        .selectExpr("customer_number", "call_direction AS _direction", "callback_agent", agent_key, f"{wall_micros('out_time')} AS _at")
+        .selectExpr("customer_number", contact, f"{wall_micros('out_time')} AS _at")
     )
-    contacts = calls.select("customer_number", "_direction", "_agent", "callback_agent").distinct()
-    points = (
-        missed_calls(logs)
-        .join(contacts, "customer_number", "left")
-        .selectExpr(
-            *MISSED_COLUMNS,
-            "callback_agent",
-            "_direction AS call_direction",
-            "coalesce(_direction, 'none') AS _direction",
-            "coalesce(_agent, 'none') AS _agent",
-            f"{wall_micros('missed_at')} AS _missed",
-        )
+    contacts = calls.select("customer_number", "_contact").distinct()
+    missed = missed_calls(logs).selectExpr("missed_id", "customer_number", "missed_at", "was_returned")
+    hot = hot_keys(missed.select("customer_number").unionByName(calls.select("customer_number")), ["customer_number"], hot_rows)
+    points = missed.join(contacts, "customer_number", "left").selectExpr(
+        *missed.columns, "coalesce(_contact, '') AS _contact", f"{wall_micros('missed_at')} AS _missed"
+    )
+    timed = first_after(
+        points, calls, ["customer_number", "_contact"], "_missed", "_at", "_first", hot, ["customer_number"]
+    )
+    return timed.selectExpr(
+        "missed_id",
+        "customer_number",
+        "missed_at",
+        "year(missed_at) AS yr",
+        "month(missed_at) AS mth",
+        "was_returned",
+        "if(_contact LIKE '% by %', substring(_contact, instr(_contact, ' by ') + 4), NULL) AS callback_agent",
+        "nullif(substring_index(_contact, ' by ', 1), '') AS call_direction",
+        f"{minutes_between('_missed', '_first')} AS mins_to_callback",
     )
-    timed = first_after(points, calls, ["customer_number", "_direction", "_agent"], "_missed", "_at", "_first")
-    minutes = minutes_between("_missed", "_first")
-    return timed.selectExpr(*MISSED_COLUMNS, "callback_agent", "call_direction", f"{minutes} AS mins_to_callback")
 
 
 def callback_summary(
