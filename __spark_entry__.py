@@ -162,7 +162,7 @@ def _summary(s: Sources) -> DataFrame:
 
 
 def _matched(s: Sources) -> DataFrame:
-    return vo.matched_call_agents(s.call_logs, s.agent_metrics, s.agents, ["call_type"]).select(
+    return vo.matched_call_agents(s.call_logs, s.agent_metrics, s.agents).select(
         "log_id", "customer_number", "start_time", "agent_called_time", "agent_name"
     )
 

@@ -328,7 +328,7 @@ class Sources:
 
     @cached_property
     def agent_metrics(self) -> DataFrame:
-        """One leg per outgoing call, two per incoming one."""
+        """One leg per outgoing call, two per incoming one; recorded up to 14 seconds early."""
         agents = "if(event_type = 'click', array(event_id % 30), array(event_id % 30, event_id % 7))"
         return (
             self.table("events")
@@ -339,7 +339,7 @@ class Sources:
                 f"if(agent_key = 29, '', {_digits('agent_key')}) AS agent",
                 "if(event_type = 'click', 'outgoing', 'incoming') AS call_type",
                 "if(value < 10, 'no answer', 'answered') AS hangup_cause",
-                "ts - INTERVAL 3 SECONDS AS agent_called_time",
+                "ts - make_dt_interval(0, 0, 0, event_id % 15) AS agent_called_time",
             )
         )
 

@@ -48,10 +48,16 @@ def outgoing_agent_map(metrics: DataFrame, agents: DataFrame, seconds: int = CLO
 
 
 def matched_call_agents(
-    logs: DataFrame, metrics: DataFrame, agents: DataFrame, on: list[str], seconds: int = CLOCK_TOLERANCE
+    logs: DataFrame, metrics: DataFrame, agents: DataFrame, on: tuple[str, ...] = ("log_id",), seconds: int = CLOCK_TOLERANCE
 ) -> DataFrame:
-    """Calls with the agents recorded at most ``seconds`` before them; the map without its copies."""
-    return tolerance_join(logs, _named_calls(metrics, agents), on, "start_time", "agent_called_time", seconds)
+    """Calls with the agents recorded at most ``seconds`` before them; the map without its copies.
+
+    ``on`` are columns both sides share, the call id by default. With no more than the call
+    type, as the map is used, every call meets all calls placed in the same seconds.
+    """
+    placed = _named_calls(metrics, agents).withColumnRenamed("calllog_id", "log_id")
+    wanted = [*on, *[c for c in placed.columns if c not in {*on, *logs.columns}]]
+    return tolerance_join(logs, placed.select(*wanted), list(on), "start_time", "agent_called_time", seconds)
 
 
 def outgoing_calls(metrics: DataFrame, agents: DataFrame, logs: DataFrame) -> DataFrame:

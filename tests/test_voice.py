@@ -115,7 +115,7 @@ def test_agent_map_and_tolerance_match_agree(calls, got):
     assert agent_map.count() == 6 * 11
     outgoing = logs.where("call_type = 'outgoing'")
     by_map = outgoing.join(agent_map, outgoing["start_time"] == agent_map["out_time"])
-    by_range = vo.matched_call_agents(outgoing, metrics, agents, ["call_type"])
+    by_range = vo.matched_call_agents(outgoing, metrics, agents, ("call_type",))
     assert got(by_map, "log_id", "agent_name") == got(by_range, "log_id", "agent_name")
 
 
