@@ -12,7 +12,9 @@ from marginloom.functions.calendar import (
     wall_micros,
     week_end,
     week_key,
+    week_number,
     week_start,
+    week_text,
 )
 from marginloom.functions.channels import OrderRules, order_channel, order_channel_legacy, paid_status
 from marginloom.functions.text import name_segment
@@ -30,5 +32,7 @@ __all__ = [
     "wall_micros",
     "week_end",
     "week_key",
+    "week_number",
     "week_start",
+    "week_text",
 ]

@@ -12,22 +12,29 @@ def channel_array(channels: list[str]) -> str:
 
 
 def share_table(
-    df: DataFrame, channels: list[str], amount: str = "amount", basis: list[str] | None = None
+    df: DataFrame, channels: list[str], amount: str = "amount", also: dict[str, list[str]] | None = None
 ) -> DataFrame:
     """``channel, share``: part of each listed channel in their common total, one row per channel.
 
     One global sum with partial sums on the map side. A channel without rows, or a zero
-    total, gives a NULL share. Share tables over one ``basis`` (the channels summed, at least
-    the listed ones) read the same aggregate, so Spark computes it once.
+    total, gives a NULL share. ``also`` adds share columns over fewer channels (NULL for the
+    others) from the same sums.
     """
-    basis = basis or channels
-    part = {c: f"_s{i}" for i, c in enumerate(basis)}
-    sums = df.where(f"channel IN ({texts(basis)})").selectExpr(
+    part = {c: f"_s{i}" for i, c in enumerate(channels)}
+    sums = df.where(f"channel IN ({texts(channels)})").selectExpr(
         *[f"sum({amount}) FILTER (WHERE channel = {text(c)}) AS {s}" for c, s in part.items()]
     )
-    total = "(" + " + ".join(f"coalesce({part[c]}, 0)" for c in channels) + ")"
-    rows = ", ".join(f"named_struct('channel', {text(c)}, 'share', {ratio(part[c], total)})" for c in channels)
-    return sums.selectExpr(f"inline(array({rows}))")
+    tables = {"share": channels, **(also or {})}
+    total = {name: "(" + " + ".join(f"coalesce({part[c]}, 0)" for c in group) + ")" for name, group in tables.items()}
+
+    def row(channel: str) -> str:
+        shares = [
+            f"{text(name)}, {ratio(part[channel] if channel in group else 'NULL', total[name])}"
+            for name, group in tables.items()
+        ]
+        return f"named_struct('channel', {text(channel)}, {', '.join(shares)})"
+
+    return sums.selectExpr(f"inline(array({', '.join(row(c) for c in channels)}))")
 
 
 def _other_columns(df: DataFrame, *replaced: str) -> list[str]:

@@ -8,7 +8,7 @@ from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marginloom.functions.calendar import as_date, slash_date, week_end, week_key, week_start
+from marginloom.functions.calendar import as_date, slash_date, week_end, week_key, week_number, week_start, week_text
 from marginloom.functions.channels import OrderRules, order_channel, order_channel_legacy, paid_status
 from marginloom.functions.text import name_segment
 from marginloom.operators.joins import exclude_keep_null, left_join_hot_right, unfilled_scaffold
@@ -39,10 +39,11 @@ def _platform_spend(
 ) -> DataFrame:
     """Weekly cost of one platform per ad name: one grouping, combined on the map side."""
     spent = costs.where(f"{cost} > 0").selectExpr(
-        f"{cost_id} AS _ad", f"{week_key(day)} AS year_week", f"{money(cost)} AS _cost"
+        f"{cost_id} AS _ad", f"{week_number(day)} AS _week", f"{money(cost)} AS _cost"
     )
     named = names.selectExpr(f"{name_id} AS _ad", f"{name} AS name")
-    return spent.join(named, "_ad", "inner").groupBy("year_week", "name").agg(F.expr("sum(_cost) AS usd"))
+    weekly = spent.join(named, "_ad", "inner").groupBy("_week", "name").agg(F.expr("sum(_cost) AS usd"))
+    return weekly.selectExpr(f"{week_text('_week')} AS year_week", "name", "usd")
 
 
 def ad_spend(
@@ -181,15 +182,16 @@ def weekly_payments(
         .join(customers.select("customer_id", "account_type"), "customer_id", "left")
         .selectExpr("invoice_id", "account_type", f"if(_n0 IS NULL, NULL, filter(array({counts}), c -> c.links > 0)) AS _orders")
     )
-    received = payments.selectExpr("invoice_id", f"{week_key('created_time')} AS year_week", f"{money('amount')} AS _amount")
+    received = payments.selectExpr("invoice_id", f"{week_number('created_time')} AS _week", f"{money('amount')} AS _amount")
     # a payment or invoice without an order counts once, under the label for that
     none = f"array(named_struct('channel', {text(rules.no_order)}, 'links', 1L))"
     return (
         received.join(headers, "invoice_id", "left")
         .where(exclude_keep_null("account_type", dealers))
-        .selectExpr("year_week", "_amount", f"inline(coalesce(_orders, {none}))")
-        .groupBy("year_week", "channel")
+        .selectExpr("_week", "_amount", f"inline(coalesce(_orders, {none}))")
+        .groupBy("_week", "channel")
         .agg(F.expr(f"{cast('sum(_amount * links)', TOTAL_MONEY)} AS paid_total"))
+        .selectExpr(f"{week_text('_week')} AS year_week", "channel", "paid_total")
     )
 
 

@@ -194,8 +194,13 @@ def channel_po_cost(lines: DataFrame, invoices: DataFrame, average: DataFrame, r
 
 def revenue_shares(revenue: DataFrame, channels: list[str] = SALES_CHANNELS) -> DataFrame:
     """Share of each channel in operating income over all dates."""
+    return share_table(revenue.where(f"pl_section = {text(OPERATING_INCOME)}"), channels)
+
+
+def revenue_share_pairs(revenue: DataFrame) -> DataFrame:
+    """``channel, share, commission_share``: both kinds of revenue shares from one sum over the ledger."""
     income = revenue.where(f"pl_section = {text(OPERATING_INCOME)}")
-    return share_table(income, channels, basis=SALES_CHANNELS)
+    return share_table(income, SALES_CHANNELS, also={"commission_share": COMMISSION_CHANNELS})
 
 
 def po_cost_shares(po_cost: DataFrame, channels: list[str] = SALES_CHANNELS) -> DataFrame:
@@ -298,7 +303,7 @@ def with_net(pl: DataFrame) -> DataFrame:
     return pl.unionByName(net_profit(pl))
 
 
-def _account_shares(accounts: DataFrame, rules: DataFrame, shares: DataFrame, commission_shares: DataFrame) -> DataFrame:
+def _account_shares(accounts: DataFrame, rules: DataFrame, shares: DataFrame) -> DataFrame:
     """Expense account x channel -> share: all expense rules in one table of accounts.
 
     Listed accounts get the listed value, or the two-way revenue share (commissions), or the
@@ -311,22 +316,22 @@ def _account_shares(accounts: DataFrame, rules: DataFrame, shares: DataFrame, co
     )
     by_type = f"""CASE WHEN type IN ({texts(RULED_EXPENSES)}) THEN {text(OPERATING_EXPENSE)}
         WHEN type = {text(kinds.OTHER_UNALLOCATED)} THEN {text(OTHER_EXPENSE)} END"""
-    listed = rules.selectExpr("key AS account_name", f"{by_type} AS pl_section", "type", "channel", "value").where(
-        "pl_section IS NOT NULL"
+    listed = rules.selectExpr("key AS account_name", f"{by_type} AS pl_section", "type", "channel", "value")
+    listed = listed.where("pl_section IS NOT NULL")
+    account = ["account_name", "pl_section"]
+    payable = listed.where(f"type <> {text(kinds.COMMISSION)} OR channel IN ({texts(COMMISSION_CHANNELS)})")
+    ruled = chart.join(payable, account, "inner")
+    free = chart.join(listed.select(*account).distinct(), account, "left_anti").selectExpr(
+        "*", f"explode({channel_array(SALES_CHANNELS)}) AS channel"
     )
     kept_whole = texts([kinds.OPEX_UNALLOCATED, kinds.OTHER_UNALLOCATED])
-    share = f"""CASE WHEN type = {text(kinds.COMMISSION)} THEN share WHEN type IN ({kept_whole}) THEN 1 ELSE value END"""
-    ruled = (
-        listed.where(f"type <> {text(kinds.COMMISSION)} OR channel IN ({texts(COMMISSION_CHANNELS)})")
-        .join(F.broadcast(commission_shares), "channel", "left")
-        .selectExpr("account_name", "pl_section", "channel", f"{cast(share, SHARE)} AS share")
+    part = f"""CASE WHEN type IS NULL THEN share WHEN type = {text(kinds.COMMISSION)} THEN commission_share
+        WHEN type IN ({kept_whole}) THEN 1 ELSE value END"""
+    return (
+        ruled.unionByName(free, allowMissingColumns=True)
+        .join(F.broadcast(shares), "channel", "left")
+        .selectExpr("account_id", *account, "channel", f"{cast(part, SHARE)} AS share")
     )
-    carried = ["account_id", "account_name", "pl_section", "channel", "share"]
-    of_rules = chart.join(ruled, ["account_name", "pl_section"], "inner").select(*carried)
-    free = chart.join(listed.select("account_name", "pl_section").distinct(), ["account_name", "pl_section"], "left_anti")
-    spread = free.selectExpr("*", f"explode({channel_array(SALES_CHANNELS)}) AS channel")
-    general = spread.join(F.broadcast(shares), "channel", "left").select(*carried)
-    return of_rules.unionByName(general)
 
 
 def channel_statement(
@@ -353,9 +358,7 @@ def channel_statement(
     income_and_cost = _with_amount(
         spread.join(F.broadcast(po_shares), "channel", "left"), f"amount * if(shared, share, {cast('1', SHARE)})"
     )
-    account_shares = _account_shares(
-        accounts, rules, revenue_shares(revenue), revenue_shares(revenue, COMMISSION_CHANNELS)
-    )
+    account_shares = _account_shares(accounts, rules, revenue_share_pairs(revenue))
     expense = ledger.join(account_shares, "account_id", "inner")
     return income_and_cost.unionByName(_with_amount(expense, f"{money('debit_minus_credit')} * share"))
 
