@@ -82,7 +82,9 @@ def left_join_spread_nulls(left: DataFrame, right: DataFrame, on: list[str]) ->
     """
     no_key = " OR ".join(f"`{c}` IS NULL" for c in on)
     salted = left.selectExpr("*", f"if({no_key}, {_row_salt(left.columns)}, 0) AS _salt")
-    return salted.join(right.selectExpr("*", "0 AS _salt"), [*on, "_salt"], "left").drop("_salt")
+    # zero, but not a literal: the optimizer would turn a literal into a filter and drop the key
+    zero = f"CAST(pmod(xxhash64({_names(on)}), 1) AS INT) AS _salt"
+    return salted.join(right.selectExpr("*", zero), [*on, "_salt"], "left").drop("_salt")
 
 
 def unfilled_scaffold(scaffold: DataFrame, facts: DataFrame, on: list[str]) -> DataFrame:

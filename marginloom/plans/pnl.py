@@ -119,16 +119,25 @@ def _blank_seller_branches(blank: BlankSellerRules) -> str:
     )
 
 
-def _seller_bridge(bridge: DataFrame, rules: DataFrame) -> DataFrame:
+def _with_seller_rules(rows: DataFrame, rules: DataFrame) -> DataFrame:
     by_seller = rules_of(rules, kinds.SALESPERSON, "key AS sales_person_id", "channel AS seller_channel")
-    return bridge.join(by_seller, "sales_person_id", "left")
+    return rows.join(by_seller, "sales_person_id", "left")
 
 
-def _ruled_accounts(accounts: DataFrame, rules: DataFrame) -> DataFrame:
-    """Accounts with the rules that depend on the account alone, joined before the ledger."""
+def _with_row_rules(rows: DataFrame, rules: DataFrame) -> DataFrame:
+    """Ledger rows with the rules on their account and vendor.
+
+    The rules join after the accounts: joined into the accounts first, they would hide from
+    Spark's estimate how small the chart of accounts is, and the ledger would be shuffled.
+    """
     by_account = rules_of(rules, kinds.CLUB_ACCOUNT, "key AS account_name", "channel AS account_channel")
     kept_out = rules_of(rules, kinds.COGS_UNALLOCATED, "key AS account_name", "TRUE AS keeps_cost")
-    return accounts.join(by_account, "account_name", "left").join(kept_out, "account_name", "left")
+    by_vendor = rules_of(rules, kinds.VENDOR, "key AS vendor_id", "channel AS vendor_channel")
+    return (
+        rows.join(by_account, "account_name", "left")
+        .join(kept_out, "account_name", "left")
+        .join(by_vendor, "vendor_id", "left")
+    )
 
 
 def channel_case(blank: BlankSellerRules = BlankSellerRules()) -> str:
@@ -159,11 +168,9 @@ def channel_revenue(
     blank: BlankSellerRules = BlankSellerRules(),
 ) -> DataFrame:
     """Income and cost-of-goods rows of the ledger with their channel; shared costs are marked."""
-    rows = posted(ledger, _ruled_accounts(accounts, rules), REVENUE_TYPES)
-    by_vendor = rules_of(rules, kinds.VENDOR, "key AS vendor_id", "channel AS vendor_channel")
-    rows = classify(rows).join(by_vendor, "vendor_id", "left")
+    rows = _with_row_rules(classify(posted(ledger, accounts, REVENUE_TYPES)), rules)
     # a large part of the ledger has no entity
-    rows = left_join_spread_nulls(rows, _seller_bridge(bridge, rules), ["entity_id"])
+    rows = left_join_spread_nulls(rows, _with_seller_rules(bridge, rules), ["entity_id"])
     return rows.selectExpr(*PL_COLUMNS[:4], f"{channel_case(blank)} AS channel")
 
 
@@ -180,10 +187,10 @@ def channel_po_cost(lines: DataFrame, invoices: DataFrame, average: DataFrame, r
 
     Quantities are summed per channel and product before the average cost is joined.
     """
-    headers = _seller_bridge(invoices.select("invoice_id", "sales_person_id"), rules)
+    headers = invoices.select("invoice_id", "sales_person_id")
+    invoiced = lines.select("invoice_id", "product_id", "quantity").join(headers, "invoice_id", "inner")
     sold = (
-        lines.select("invoice_id", "product_id", "quantity")
-        .join(headers, "invoice_id", "inner")
+        _with_seller_rules(invoiced, rules)
         .selectExpr(f"coalesce(seller_channel, {text(RETAIL)}) AS channel", "product_id", "quantity")
         .groupBy("channel", "product_id")
         .agg(F.expr(f"CAST(sum({quantity('quantity')}) AS DECIMAL(19,6)) AS _sold"))
@@ -303,35 +310,37 @@ def with_net(pl: DataFrame) -> DataFrame:
     return pl.unionByName(net_profit(pl))
 
 
-def _account_shares(accounts: DataFrame, rules: DataFrame, shares: DataFrame) -> DataFrame:
-    """Expense account x channel -> share: all expense rules in one table of accounts.
+def _expense_parts(ledger: DataFrame, accounts: DataFrame, rules: DataFrame, shares: DataFrame) -> DataFrame:
+    """All expense rows, each once per receiving channel, in one pass over the ledger.
 
-    Listed accounts get the listed value, or the two-way revenue share (commissions), or the
-    whole amount (kept accounts); accounts without a rule get the three-way revenue shares.
+    The rules of an account become one list (rules are few: they are written by hand). Listed
+    accounts get the listed value, or the two-way revenue share (commissions), or the whole
+    amount (kept accounts); accounts without a rule get the three-way revenue shares.
     """
-    chart = accounts.where("account_type IN ('Expense', 'Other Expense')").selectExpr(
-        "account_id",
-        "account_name",
-        f"if(account_type = 'Expense', {text(OPERATING_EXPENSE)}, {text(OTHER_EXPENSE)}) AS pl_section",
+    section = f"if(account_type = 'Expense', {text(OPERATING_EXPENSE)}, {text(OTHER_EXPENSE)})"
+    rows = posted(ledger, accounts, ["Expense", "Other Expense"]).selectExpr(
+        "account_name", f"{section} AS pl_section", "transaction_date", f"{money('debit_minus_credit')} AS amount"
     )
     by_type = f"""CASE WHEN type IN ({texts(RULED_EXPENSES)}) THEN {text(OPERATING_EXPENSE)}
         WHEN type = {text(kinds.OTHER_UNALLOCATED)} THEN {text(OTHER_EXPENSE)} END"""
-    listed = rules.selectExpr("key AS account_name", f"{by_type} AS pl_section", "type", "channel", "value")
-    listed = listed.where("pl_section IS NOT NULL")
-    account = ["account_name", "pl_section"]
-    payable = listed.where(f"type <> {text(kinds.COMMISSION)} OR channel IN ({texts(COMMISSION_CHANNELS)})")
-    ruled = chart.join(payable, account, "inner")
-    free = chart.join(listed.select(*account).distinct(), account, "left_anti").selectExpr(
-        "*", f"explode({channel_array(SALES_CHANNELS)}) AS channel"
+    payable = f"type <> {text(kinds.COMMISSION)} OR channel IN ({texts(COMMISSION_CHANNELS)})"
+    listed = (
+        rules.selectExpr("key AS account_name", f"{by_type} AS pl_section", "type", "channel", "value")
+        .groupBy("account_name", "pl_section")
+        .agg(F.expr(f"collect_list(struct(type, channel, value)) FILTER (WHERE {payable}) AS listed"))
+        .where("pl_section IS NOT NULL")
+    )
+    by_share = ", ".join(
+        f"named_struct('type', CAST(NULL AS STRING), 'channel', {text(c)}, 'value', {cast('NULL', QUANTITY)})"
+        for c in SALES_CHANNELS
     )
     kept_whole = texts([kinds.OPEX_UNALLOCATED, kinds.OTHER_UNALLOCATED])
     part = f"""CASE WHEN type IS NULL THEN share WHEN type = {text(kinds.COMMISSION)} THEN commission_share
         WHEN type IN ({kept_whole}) THEN 1 ELSE value END"""
-    return (
-        ruled.unionByName(free, allowMissingColumns=True)
-        .join(F.broadcast(shares), "channel", "left")
-        .selectExpr("account_id", *account, "channel", f"{cast(part, SHARE)} AS share")
+    spread = rows.join(listed, ["account_name", "pl_section"], "left").selectExpr(
+        *PL_COLUMNS[:4], f"inline(coalesce(listed, array({by_share})))"
     )
+    return _with_amount(spread.join(F.broadcast(shares), "channel", "left"), f"amount * {cast(part, SHARE)}")
 
 
 def channel_statement(
@@ -347,8 +356,7 @@ def channel_statement(
     """``channel_pl`` of all parts with two passes over the ledger instead of one per part.
 
     Income and cost rows pass once: shared costs are repeated per channel, all others stay
-    single. Expense rows pass once: every rule and share is first gathered into one table of
-    accounts, the size of the chart of accounts, which the ledger meets in a single join.
+    single. Expense rows pass once, with all rules of their account in one list.
     """
     revenue = channel_revenue(ledger, accounts, bridge, rules, blank)
     po_shares = po_cost_shares(channel_po_cost(lines, invoices, avg_po_cost(po_items), rules))
@@ -358,9 +366,7 @@ def channel_statement(
     income_and_cost = _with_amount(
         spread.join(F.broadcast(po_shares), "channel", "left"), f"amount * if(shared, share, {cast('1', SHARE)})"
     )
-    account_shares = _account_shares(accounts, rules, revenue_share_pairs(revenue))
-    expense = ledger.join(account_shares, "account_id", "inner")
-    return income_and_cost.unionByName(_with_amount(expense, f"{money('debit_minus_credit')} * share"))
+    return income_and_cost.unionByName(_expense_parts(ledger, accounts, rules, revenue_share_pairs(revenue)))
 
 
 def profitability_pivot(

@@ -156,7 +156,7 @@ def callback_agents(
     )
     contacts = calls.select("customer_number", "_contact").distinct()
     missed = missed_calls(logs).selectExpr("missed_id", "customer_number", "missed_at", "was_returned")
-    hot = hot_keys(missed.select("customer_number").unionByName(calls.select("customer_number")), ["customer_number"], hot_rows)
+    hot = hot_keys(logs, ["customer_number"], hot_rows)
     points = missed.join(contacts, "customer_number", "left").selectExpr(
         *missed.columns, "coalesce(_contact, '') AS _contact", f"{wall_micros('missed_at')} AS _missed"
     )
