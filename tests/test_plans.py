@@ -5,7 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
-from marginloom.operators import tolerance_join
+from marginloom.operators import left_join_hot_right, left_join_spread_nulls, tolerance_join
 from marginloom.plans.bindings import Sources
 
 
@@ -51,3 +51,33 @@ def test_statement_reads_the_ledger_once_per_side(plans):
 
 def test_first_row_flag_needs_no_window_over_rows(plans):
     assert "Window [" not in plans["sales_spend_category"] and "Window [" not in plans["sales_spend_channel"]
+
+
+def shuffled(spark, join, left, right):
+    """The plan of a join too large to broadcast."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return plan(join(left, right, ["k"]))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+@pytest.mark.parametrize("join", [left_join_spread_nulls, left_join_hot_right])
+def test_salt_is_part_of_the_shuffle_key(spark, make, join):
+    text = shuffled(spark, join, make("k STRING, a INT", [("x", 1), (None, 2)]), make("k STRING, b INT", [("x", 1)]))
+    assert len(re.findall(r"hashpartitioning\(k#\d+, _salt#\d+", text)) == 2
+
+
+def test_ledger_is_not_shuffled_for_accounts_or_rules(spark):
+    s = Sources(spark, entry.SMOKE_DIR)
+    text = plan(entry.pnl.channel_revenue(s.ledger, s.accounts, entry._bridge(s), s.rules))
+    assert len(re.findall(r"hashpartitioning\(account", text)) == 0
+    assert len(re.findall(r"hashpartitioning\(vendor", text)) == 0
+
+
+def test_statement_shuffles_only_by_document_and_product(spark):
+    s = Sources(spark, entry.SMOKE_DIR)
+    keys = set(re.findall(r"Exchange hashpartitioning\((\w+)#", plan(entry._statement(s))))
+    # account_name: the rules table grouped into lists, not the ledger
+    assert keys <= {"entity_id", "channel", "product_id", "invoice_id", "account_name"}
