@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DateType, DecimalType, IntegerType, TimestampNTZType, TimestampType
@@ -301,13 +302,38 @@ def entry(spark: SparkSession) -> DataFrame:
     return _bound("spend_by_category")(spark, SMOKE_DIR)
 
 
+def _has(module: str) -> bool:
+    """Whether an optional part of the repository is there; errors inside it are not hidden."""
+    spec = find_spec(module)
+    return spec is not None and spec.origin is not None
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every query by name; each reads the tables of the given folder."""
-    return {name: _bound(name) for name in _QUERIES}
+    found = {name: _bound(name) for name in _QUERIES}
+    if _has("marginloom.llm"):
+        from marginloom.llm.queries import QUERIES
+
+        found |= QUERIES
+        if _has("corpus_pipeline"):
+            import corpus_pipeline
+
+            found["pipeline"] = corpus_pipeline.run
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    """The SQL twin of every query."""
+    """The SQL twin of every query that SQL can express."""
     from oracles import ORACLES
 
-    return dict(ORACLES)
+    found = dict(ORACLES)
+    if _has("marginloom.llm"):
+        from marginloom.llm.queries import ORACLES as llm_oracles
+
+        found |= llm_oracles
+        if _has("corpus_pipeline"):
+            import corpus_pipeline
+
+            if corpus_pipeline.ORACLE_SQL:
+                found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
