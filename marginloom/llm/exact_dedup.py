@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from .rows import keep_rows, row_key
 from .scratch import Scratch
 
 BLOCK_CHARS = 2048
@@ -135,11 +136,8 @@ def drop_exact_copies(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFr
 
     Of repeated rows of the kept doc_id that differ in other columns, the first by the hash of all columns stays.
     """
-    row_id, digest = "_dedup_id", "_dedup_digest"
     kept = exact_dedup(docs, block_chars).where("kept")
-    key = lambda i, d: F.concat_ws("/", F.coalesce(i.cast("string"), F.lit("null")), d)
-    keys = kept.select(key(F.col("doc_id"), F.col("text_sha256")).alias(row_id))
-    keyed = docs.withColumn(row_id, key(F.col("doc_id"), F.sha2(normalised(F.col("text")), 256)))
-    first = F.row_number().over(Window.partitionBy(row_id).orderBy(F.xxhash64(*docs.columns)))
-    staying = keyed.join(keys, row_id, "left_semi").withColumn(digest, first)
-    return staying.where(F.col(digest) == 1).select(*docs.columns)
+    doc_id = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    return keep_rows(
+        docs, kept.select(F.concat_ws("/", doc_id, "text_sha256")), row_key(F.col("doc_id"), normalised(F.col("text")))
+    )

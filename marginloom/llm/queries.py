@@ -4,9 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .exact_dedup import exact_dedup
+from .line_spread import MIN_SITES, drop_boilerplate
+from .main_text import extract_main_text
+from .mil_classifier import classify
+from .packing import pack, token_pieces
+from .piece_codec import decode_pieces, encode_pieces
+from .quality_rules import quality_rules, trusted_ids
+from .simhash import simhash_classes
+from .url_filter import filter_urls
+from .warc import archive_pages
+
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,10 +35,71 @@ def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup(_table(spark, folder, "documents"))
 
 
+def op2_line_spread(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as pages of the site in ``source``: per document the lines, those removed, and the text left."""
+    cleaned = drop_boilerplate(_table(spark, folder, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
+def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules(_table(spark, folder, "documents"), trusted_ids(_table(spark, folder, "labels")))
+
+
+def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash_classes(_table(spark, folder, "documents")).drop("row_key", "class")
+
+
+def op5_mil_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+def op6_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = _table(spark, folder, "documents").select("doc_id", encode_pieces(F.col("text"), model).alias("ids"))
+    decoded = encoded.withColumn("decoded", decode_pieces(F.col("ids"), model))
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_urls(_table(spark, folder, "pages"), spark.createDataFrame(URL_RULES, "host string, path string, verdict string"))
+
+
+def op8_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    texts = _table(spark, folder, "pages").select("page_id", "url", extract_main_text(F.col("html")).alias("text"))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return archive_pages(_table(spark, folder, "pages"))
+
+
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack(token_pieces(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_exact_dedup": op1_exact_dedup,
+    f.__name__: f
+    for f in (
+        op1_exact_dedup,
+        op2_line_spread,
+        op3_quality_rules,
+        op4_simhash,
+        op5_mil_classifier,
+        op6_pieces,
+        op7_url_filter,
+        op8_main_text,
+        op9_warc,
+        op10_packing,
+    )
 }
 
+_BLANKS = r"' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": r"""
         WITH norm AS (
@@ -31,4 +110,27 @@ ORACLES: dict[str, str] = {
             FROM norm WINDOW same AS (PARTITION BY text_sha256)
         )
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM spread""",
+    "op2_line_spread": f"""
+        WITH cut AS (
+            SELECT doc_id, source, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents
+        ), lines AS (
+            SELECT doc_id, source, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos FROM cut
+        ), spread AS (
+            SELECT trim(line, {_BLANKS}) AS line FROM lines WHERE trim(line, {_BLANKS}) <> ''
+            GROUP BY ALL HAVING count(DISTINCT source) >= {MIN_SITES}
+        )
+        SELECT doc_id, count(*) AS n_lines, count(s.line) AS n_removed,
+            sha256(coalesce(string_agg(l.line, chr(10) ORDER BY pos) FILTER (s.line IS NULL), '')) AS text_sha256
+        FROM lines l LEFT JOIN spread s ON trim(l.line, {_BLANKS}) = s.line GROUP BY doc_id""",
+    "op9_warc": """
+        WITH payloads AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                sha1(coalesce(html, '')) AS payload_digest
+            FROM pages
+        ), kept AS (
+            SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS newest FROM payloads
+        ), typed AS (SELECT *, payload_bytes >= 1000 AND page_id <> newest AS again FROM kept)
+        SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN again THEN newest END AS refers_to
+        FROM typed""",
 }
