@@ -16,8 +16,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .scratch import Scratch
 
 FEATURES = 10_000
-#: Least mean log ratio that is kept: zero says "as likely under the trusted documents as under the corpus".
-THRESHOLD = -0.02
+#: Least mean log ratio that is kept: a little under zero, "as likely under the trusted documents as under the corpus".
+THRESHOLD = -0.03
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW = 8
