@@ -1,7 +1,7 @@
 """Quality classifier by attention-based multiple-instance learning.
 
 A document is a bag of passages (windows of its UTF-8 bytes), of which only the whole has a label. Each
-passage's hashed byte trigrams are encoded to a short vector; gated attention, softmax over the document of
+passage's hashed byte trigrams, and how much its words repeat, are encoded to a short vector; gated attention, softmax over the document of
 w . (tanh(V h) * sigmoid(U h)), weights the passages, and the weighted mean of their vectors is scored.
 Encoder, attention and score are learned together from the labels of documents, with Adam, on a bounded
 sample of labelled documents (``SAMPLE_DOCS`` of at most ``SAMPLE_BYTES`` bytes each); every document is
@@ -18,7 +18,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType
 
 PASSAGE_BYTES = 1024
-FEATURES = 1024
+TRIGRAMS = 1024
+#: Besides trigrams: words, words like the one before, words like one of the four before, distinct trigrams.
+FEATURES = TRIGRAMS + 4
 HIDDEN = 32
 ATTENTION = 16
 SAMPLE_DOCS = 3000
@@ -35,27 +37,49 @@ def _bytes(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
+def _word_repeats(data: np.ndarray, text: np.ndarray, passage: np.ndarray, n: int) -> np.ndarray:
+    """Per passage: words, words equal to the one before, words equal to one of the four before."""
+    letter = data > 32
+    begins = np.flatnonzero(letter & np.append(True, ~letter[:-1] | (text[1:] != text[:-1])))
+    if not len(begins):
+        return np.zeros((3, n))
+    # a word's hash: the sum of its bytes, each times an odd number of its place in the word
+    word = np.cumsum(np.bincount(begins, minlength=len(data))) - 1
+    place = np.arange(len(data)) - begins[np.maximum(word, 0)]
+    weight = (np.arange(64, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+    terms = np.where(letter & (word >= 0), data.astype(np.uint64) * weight[place & 63], np.uint64(0))
+    hashes, own = np.add.reduceat(terms, begins), text[begins]
+    like = [np.append(np.zeros(k, bool), (hashes[k:] == hashes[:-k]) & (own[k:] == own[:-k]))[: len(begins)] for k in range(1, 5)]
+    of = passage[begins]
+    return np.stack([np.bincount(of[x], minlength=n) for x in (slice(None), like[0], like[0] | like[1] | like[2] | like[3])])
+
+
 def passage_features(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Unit-length features of every passage of the texts, and the number of passages of each text (1 at least)."""
+    """Features of every passage of the texts, and the number of passages of each text (1 at least)."""
     size = np.array([len(r) for r in raw], np.int64)
     passages = np.maximum(1, -(-size // PASSAGE_BYTES))
     data = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint32)
-    counts = np.zeros((int(passages.sum()), FEATURES), np.float32)
-    if len(data) > 2:
-        # of three bytes in a row, within one text and counted to the passage of the first
-        code = (data[:-2] << 16) | (data[1:-1] << 8) | data[2:]
-        feature = ((code * np.uint32(2654435761)) >> np.uint32(32 - 10)).astype(np.int64)
-        first = np.concatenate(([0], np.cumsum(size)[:-1]))
-        base = np.concatenate(([0], np.cumsum(passages)[:-1]))
-        place = np.arange(len(data)) - np.repeat(first, size)
-        passage = np.repeat(base, size) + place // PASSAGE_BYTES
-        whole = (place < np.repeat(size, size) - 2)[:-2]
-        flat = passage[:-2][whole] * FEATURES + feature[whole]
-        counts += np.bincount(flat, minlength=counts.size).reshape(counts.shape)
-    np.sqrt(counts, out=counts)
-    norm = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
-    counts /= np.maximum(norm, 1e-9)
-    return counts, passages
+    n = int(passages.sum())
+    out = np.zeros((n, FEATURES), np.float32)
+    if not len(data):
+        return out, passages
+    place = np.arange(len(data)) - np.repeat(np.cumsum(size) - size, size)
+    passage = np.repeat(np.cumsum(passages) - passages, size) + place // PASSAGE_BYTES
+    # of three bytes in a row, within one text and counted to the passage of the first
+    code = (data[:-2] << 16) | (data[1:-1] << 8) | data[2:]
+    feature = ((code * np.uint32(2654435761)) >> np.uint32(32 - 10)).astype(np.int64)
+    whole = (place < np.repeat(size, size) - 2)[: len(feature)]
+    flat = passage[: len(feature)][whole] * TRIGRAMS + feature[whole]
+    counts = np.sqrt(np.bincount(flat, minlength=n * TRIGRAMS).reshape(n, TRIGRAMS).astype(np.float32))
+    distinct = (counts > 0).sum(axis=1)
+    squares = (counts * counts).sum(axis=1)
+    out[:, :TRIGRAMS] = counts / np.maximum(np.sqrt(squares), 1e-9)[:, None]
+    words, same, near = _word_repeats(data, np.repeat(np.arange(len(raw)), size), passage, n)
+    out[:, TRIGRAMS] = np.log1p(words) / 4
+    out[:, TRIGRAMS + 1] = same / np.maximum(words, 1)
+    out[:, TRIGRAMS + 2] = near / np.maximum(words, 1)
+    out[:, TRIGRAMS + 3] = distinct / np.maximum(squares, 1)
+    return out, passages
 
 
 def _sigmoid(x):
