@@ -28,8 +28,8 @@ from .scratch import Scratch
 CAPACITY = 1024
 END_ID = 2
 GROUP_PIECES = 8192
-#: Chunks of text a worker remembers; at the limit it forgets them all, which costs time only.
-REMEMBERED = 200_000
+#: Chunks of text a worker remembers; at the limit it forgets those that aren't in use just then, which costs time only.
+REMEMBERED = 400_000
 #: Words of several texts that are looked up together.
 WORDS_AT_ONCE = 100_000
 #: Fixed value: how byte-level BPE with use_regex cuts texts into words.
@@ -124,12 +124,12 @@ class ByteTokenizer:
                 out[-1] += " " + part
         return out
 
-    def _learn(self, known: dict[str, bytes], chunks: dict[str, None], before: str) -> None:
+    def _learn(self, known: dict[str, bytes], chunks: dict[str, None], before: str) -> dict[str, bytes]:
         new = [c for c in chunks if c not in known]
         if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = list(chunks)
+            known = {c: known[c] for c in chunks if c in known}
         known.update(zip(new, self._encode([before + c for c in new]), strict=True))
+        return known
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text; none for a null or empty text."""
@@ -143,8 +143,8 @@ class ByteTokenizer:
         yield from self._encode_group(group)
 
     def _encode_group(self, group: list[list[str] | None]) -> Iterator[bytes]:
-        self._learn(self.known, dict.fromkeys(c for g in group if g for c in g[1:]), " ")
-        self._learn(self.first, dict.fromkeys(g[0] for g in group if g), "")
+        self.known = self._learn(self.known, dict.fromkeys(c for g in group if g for c in g[1:]), " ")
+        self.first = self._learn(self.first, dict.fromkeys(g[0] for g in group if g), "")
         known, first = self.known.__getitem__, self.first
         for g in group:
             yield first[g[0]] + b"".join(map(known, g[1:])) if g else b""

@@ -20,8 +20,8 @@ from pyspark.sql import Column, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
 SPACE = "▁"
-#: Words a worker remembers; at the limit it forgets them all, which costs time only.
-REMEMBERED = 200_000
+#: Words a worker remembers; at the limit it forgets those that aren't in use just then, which costs time only.
+REMEMBERED = 400_000
 #: Words of several texts that are looked up together.
 WORDS_AT_ONCE = 100_000
 #: Symbols of new words that are encoded at once.
@@ -161,7 +161,10 @@ class PieceCodec:
             symbols, word, rank, merged = symbols[keep], word[keep], rank[keep], merged[keep]
             # only the pairs that a merged symbol is part of are new
             made = at - np.arange(len(at))
-            touched = np.union1d(made, made[made > 0] - 1)
+            beside = np.zeros(len(symbols), bool)
+            beside[made] = True
+            beside[made[made > 0] - 1] = True
+            touched = np.flatnonzero(beside)
             inner = touched[touched < len(symbols) - 1]
             new, new_rank = self._lookup(symbols[inner], symbols[inner + 1])
             rank[touched] = _NONE
@@ -198,14 +201,15 @@ class PieceCodec:
             out[start[i] : start[i] + len(got)] = got
         return out, np.repeat(word, count)
 
-    def encode_words(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of words that each begin with their run of SPACE."""
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids (little-endian, 32 bits) of words that each begin with their run of SPACE."""
         text = "".join(words)
         points = np.frombuffer(text.encode("utf-32-le"), "<u4")
         word = np.repeat(np.arange(len(words)), [len(w) for w in words])
         symbols, word = self._merge_words(self.symbol_of[points], word)
         symbols, word = self._fall_back(*self._fill_runs(symbols, word))
-        return np.split(symbols.astype("<i4"), np.searchsorted(word, np.arange(1, len(words))))
+        data, ends = symbols.astype("<i4").tobytes(), (np.cumsum(np.bincount(word, minlength=len(words))) * 4).tolist()
+        return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
     def _words(self, text: str) -> list[str]:
         """Words without their first space."""
@@ -221,8 +225,7 @@ class PieceCodec:
         for k, w in enumerate(full):
             size += len(w)
             if size >= SYMBOLS_AT_ONCE or k == len(full) - 1:
-                got = self.encode_words(full[at : k + 1])
-                self.known.update(zip(words[at : k + 1], map(np.ndarray.tobytes, got), strict=True))
+                self.known.update(zip(words[at : k + 1], self.encode_words(full[at : k + 1]), strict=True))
                 at, size = k + 1, 0
 
     def encode(self, texts: Iterable[str | None]) -> list[np.ndarray]:
@@ -240,8 +243,7 @@ class PieceCodec:
         distinct = dict.fromkeys(w for words in group for w in words)
         new = [w for w in distinct if w not in self.known]
         if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list(distinct)
+            self.known = {w: self.known[w] for w in distinct if w in self.known}
         self._learn(new)
         known = self.known.__getitem__
         return [np.frombuffer(b"".join(map(known, words)), "<i4") for words in group]

@@ -95,7 +95,7 @@ def _forest(left: np.ndarray, right: np.ndarray, max_bits: int) -> pd.DataFrame:
 def _hot_links(hot: DataFrame, max_bits: int, chunk: int) -> DataFrame:
     """Spanning forests of the links between fingerprints of each hot key; columns a, b."""
 
-    def compare(_key, rows: pd.DataFrame) -> pd.DataFrame:
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
         prints, side = rows["fp"].to_numpy().astype("<i8").view("<u8"), rows["side"].to_numpy()
         return _forest(prints[side != 1], prints[side != 0], max_bits)
 

@@ -1,0 +1,318 @@
+"""Quality rules, classifier, codec, packing, lines and pages against brute force and the public libraries."""
+
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pandas as pd
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from marginloom.llm.line_spread import drop_boilerplate
+from marginloom.llm.main_text import extract_main_text, main_text
+from marginloom.llm.mil_classifier import AttentionModel, classify, keep_classified, passage_features, train
+from marginloom.llm.packing import ByteTokenizer, pack, pack_lengths, piece_lengths, token_pieces
+from marginloom.llm.piece_codec import codec, decode_pieces, encode_pieces
+from marginloom.llm.quality_rules import keep_quality, quality_rules
+
+MODEL, BYTES = (public_tokenizers.path(n) for n in ("piece_bpe_32k.model", "byte_bpe_50k.json"))
+DOCS = "doc_id long, text string, kept string, _row long"
+ODD = [
+    "", " ", "  ", "a", "▁", "▁▁a", " a", "a  ", " " * 15, " " * 33 + "x" + " " * 47, "aaaaaaaa", "abababab", "\x00a",
+    "a​b", "<s> </s>", "<0x41>", "�", " ⁇ x", "a\tb\n\nc\r\n", "don't  's", "x <|endoftext|> y", "　a   b", "🙂 é",
+]
+
+
+def docs_of(spark, rows):
+    return spark.createDataFrame([(i, t, "k", 0) for i, t in rows], DOCS)
+
+
+def noise(seed, n, letters="aabcde  thin▁é🙂\t\nㅎ漢¼", size=60):
+    rng = random.Random(seed)
+    return ["".join(rng.choice(letters) for _ in range(rng.randint(0, size))) for _ in range(n)]
+
+
+# --- quality rules ---
+
+
+def base_counts(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
+    inside = {i + k for i in range(len(words) - 7) if windows[tuple(words[i : i + 8])] > 1 for k in range(8)}
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    symbols = sum(c in "#*$%&|<>" for c in text)
+    return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(inside)
+
+
+def quality_texts():
+    rng = random.Random(4)
+    good = lambda n: " ".join(rng.choice(["the", "sea", "of", "wind", "and", "hill", "a", "stone"]) + rng.choice("ab") for _ in range(n))
+    rows = [(i, good(rng.randint(15, 120))) for i in range(60)]
+    rows += [(100 + i, " ".join(f"{w}&&&" for w in good(60).split())) for i in range(15)]
+    p = good(12)
+    rows += [(200, None), (201, ""), (202, p + " " + p), (203, (p + "\n") * 3 + good(80)), (204, "x " * 50), (205, "a\n\n \na\nb\x0bc"), (None, good(40))]
+    return rows + [(0, rows[0][1]), (300, "é#* |\x85 ü" * 30)]
+
+
+def test_quality_rules(spark):
+    rows = quality_texts()
+    trusted = spark.createDataFrame([(i,) for i in range(30)] + [(3,), (None,), (9999,)], "doc_id long")
+    got = quality_rules(docs_of(spark, rows), trusted, features=500).collect()
+    found = Counter((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in got)
+    assert found == Counter((i, *base_counts(t)) for i, t in rows)
+    for r in got:
+        assert r.base_failed == (r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words)
+        assert r.kept == (not r.base_failed and r.log_ratio >= -0.03)
+
+
+def test_log_ratio_is_that_of_the_counts(spark):
+    rows, features = quality_texts(), 64
+    ids = [i for i in range(30)]
+    trusted = spark.createDataFrame([(i,) for i in ids], "doc_id long")
+    got = sorted(quality_rules(docs_of(spark, rows), trusted, features).collect(), key=str)
+    words = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for _, t in rows]
+    asked = [tuple(w) for ws in words for w in [*zip(ws), *zip(ws, ws[1:])]]  # noqa: B905
+    pairs = spark.createDataFrame([(a[0], a[1] if len(a) > 1 else None) for a in set(asked)], "a string, b string")
+    bucket = F.when(F.col("b").isNull(), F.pmod(F.xxhash64("a"), F.lit(features))).otherwise(F.pmod(F.xxhash64("a", "b"), F.lit(features)))
+    of = {(r.a, r.b): r.f for r in pairs.select("a", "b", bucket.alias("f")).collect()}
+    feats = [[of[(*x, None)[:2]] for x in [*zip(ws), *zip(ws, ws[1:])]] for ws in words]  # noqa: B905
+    corpus, target = Counter(f for fs in feats for f in fs), Counter(f for (i, _), fs in zip(rows, feats, strict=True) if i in ids for f in fs)
+    all_c, all_t = sum(corpus.values()) + features, sum(target.values()) + features
+    weight = [math.log(((target[f] + 1) / all_t) / ((corpus[f] + 1) / all_c)) for f in range(features)]
+    want = sorted([round(sum(weight[f] for f in fs) / max(1, len(fs)), 9) for fs in feats])
+    assert sorted(round(r.log_ratio, 9) for r in got) == pytest.approx(want, abs=1e-8)
+
+
+def test_keep_quality_keeps_columns_and_rejects_junk(spark):
+    rows = quality_texts()
+    docs = docs_of(spark, rows)
+    kept = keep_quality(docs, spark.createDataFrame([(i,) for i in range(30)], "doc_id long"), features=500)
+    assert kept.columns == docs.columns
+    ids = {r.doc_id for r in kept.collect()}
+    assert not ids & set(range(100, 115)) and {i for i, t in rows[:60] if len(t.split()) >= 20} <= ids
+    assert quality_rules(docs.limit(0), docs.limit(0)).count() == 0
+    assert quality_rules(docs, docs.limit(0)).count() == len(rows)
+
+
+# --- classifier ---
+
+
+def test_gradients_are_right():
+    rng = np.random.default_rng(0)
+    model = AttentionModel.drawn()
+    model.weights = {k: v.astype(np.float64) for k, v in model.weights.items()}
+    x, passages = passage_features([b"abc def " * 300, b"xyz", b"", b"some more text " * 100])
+    x, y, w = x.astype(np.float64), np.array([1.0, 0, 1, 0]), np.array([1.0, 2, 1, 1])
+
+    def loss():
+        score = model.pooled(*model.encode(x), passages)[1]
+        return -(w * (y * np.log(score) + (1 - y) * np.log(1 - score))).mean()
+
+    for name, g in model.gradients(x, passages, y, w).items():
+        flat = model.weights[name].reshape(-1)
+        for i in rng.choice(np.flatnonzero(np.abs(g.reshape(-1)) >= 0), min(6, flat.size), replace=False):
+            keep = flat[i]
+            flat[i] = keep + 1e-5
+            up = loss()
+            flat[i] = keep - 1e-5
+            assert (up - loss()) / 2e-5 == pytest.approx(g.reshape(-1)[i], rel=2e-2, abs=1e-6)
+            flat[i] = keep
+
+
+def test_scores_do_not_depend_on_blocks_or_company():
+    model = AttentionModel.drawn()
+    texts = ["abc déf " * 400_000, "", None, "short one", "abc def " * 900]
+    alone = [float(model.score([t])[0]) for t in texts]
+    assert model.score(texts) == pytest.approx(alone, abs=1e-5)
+    assert train(["a"], np.array([1])) is None
+
+
+def test_held_out_accuracy(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    got = classify(docs, labels)
+    assert got.count() == docs.count()
+    scored = got.join(labels, "doc_id").toPandas()
+    assert (scored.held_out == [zlib.crc32(str(i).encode()) % 5 == 0 for i in scored.doc_id]).all()
+    assert ((scored.score >= 0.3) == (scored.predicted == 1)).all()
+    held = scored[scored.held_out]
+    assert (held.predicted == held.quality).mean() > 0.9
+
+
+def test_classifier_edges(spark):
+    docs = docs_of(spark, [(1, None), (2, ""), (None, "x"), (2, "")])
+    labels = spark.createDataFrame([(1, 1), (None, 0), (2, None)], "doc_id long, quality int")
+    assert {r.score for r in classify(docs, labels).collect()} == {0.5}
+    assert keep_classified(docs, labels).columns == docs.columns
+    assert classify(docs.limit(0), labels).count() == 0
+
+
+# --- pieces ---
+
+
+def test_codec_equals_library():
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    texts = ODD + noise(1, 1500) + noise(2, 500, "".join(map(chr, range(32, 127)))) + ["word " * 3000, "q" * 5000, " " * 4000]
+    rng = random.Random(3)
+    pieces = [library.id_to_piece(i) for i in range(259, library.get_piece_size())]
+    texts += ["".join(rng.choice(pieces) for _ in range(8)) for _ in range(1500)]
+    got = codec(MODEL).encode(texts)
+    assert [x.tolist() for x in got] == library.encode(texts)
+    assert [codec(MODEL).decode(x.tolist()) for x in got] == [library.decode(x) for x in library.encode(texts)]
+    lists = [[rng.randrange(0, 300) if rng.random() < 0.7 else rng.randrange(32000) for _ in range(rng.randint(0, 9))] for _ in range(5000)]
+    assert [codec(MODEL).decode(x) for x in lists] == [library.decode(x) for x in lists]
+
+
+def test_codec_columns(spark):
+    rows = [(i, t) for i, t in enumerate([*ODD, None, "the quick brown fox"])]
+    docs = docs_of(spark, rows)
+    out = docs.withColumn("ids", encode_pieces(F.col("text"), MODEL)).withColumn("back", decode_pieces(F.col("ids"), MODEL)).collect()
+    library = codec(MODEL)
+    for r in out:
+        assert list(r.ids) == library.encode([r.text])[0].tolist()
+        assert r.back == (r.text or "").replace("▁", " ")
+
+
+# --- packing ---
+
+
+def test_tokenizer_equals_library():
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(BYTES)
+    texts = ODD + noise(5, 3000, "aab  \n\t\r 　é1's.<🙂") + ["a b " * 2000, "<|endoftext|>" * 3, "x\n y \n  z"]
+    got = [np.frombuffer(x, "<u4").tolist() for x in ByteTokenizer(BYTES).encode(texts)]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_piece_lengths():
+    assert [piece_lengths(n, 4) for n in (1, 4, 5, 8, 9)] == [[1], [4], [1, 4], [4, 4], [1, 4, 4]]
+
+
+@pytest.mark.parametrize("group_pieces", [10_000, 20])
+def test_packing(spark, group_pieces):
+    rng = random.Random(7)
+    rows = [(i, " ".join(rng.choice(["one", "two", "threes"]) for _ in range(rng.randint(0, 60)))) for i in range(150)]
+    rows += [(500, None), (501, ""), (None, "null id"), (0, rows[0][1]), (502, "long " * 500)]
+    docs = docs_of(spark, rows)
+    pieces = token_pieces(docs, BYTES, 32)
+    got = pack(pieces, 32, group_pieces).toPandas()
+    whole = token_pieces(docs, BYTES, 32, with_ids=True).toPandas()
+    assert list(got.columns) == [*pieces.columns, "sequence_id", "offset"]
+    assert len(got) == len(whole)
+    tokenizer = ByteTokenizer(BYTES)
+    for i, text in rows:
+        ids = np.frombuffer(next(tokenizer.encode([text])), "<u4").tolist() + [2]
+        own = whole[whole.doc_id == i] if i is not None else whole[whole.doc_id.isna()]
+        own = own.drop_duplicates(["piece"]).sort_values("piece")
+        assert [x for ids in own.ids for x in ids] == ids
+        assert own.start.tolist() == np.cumsum([0, *own.length[:-1]]).tolist()
+        assert own.ids_crc32.tolist() == [zlib.crc32(np.array(x, "<u4").tobytes()) for x in own.ids]
+    for _, one in got.groupby("sequence_id"):
+        one = one.sort_values("offset")
+        assert one.offset.tolist() == [0, *np.cumsum(one.length)[:-1]] and one.length.sum() <= 32
+    least = -(-int(got.length.sum()) // 32)
+    assert got.sequence_id.nunique() <= least * (1.05 if group_pieces > 1000 else 1.35) + 1
+    assert pack(token_pieces(docs.limit(0), BYTES, 32), 32).count() == 0
+
+
+def test_pack_lengths_minimises_squares():
+    rng = random.Random(11)
+    sizes = sorted((rng.randint(1, 12) for _ in range(200)), reverse=True)
+    sequence, offset = pack_lengths(np.array(sizes), 12)
+    fill, order = {}, []
+    for size in sizes:  # the plain definition: try every open sequence
+        def squares(change):
+            gaps = Counter(12 - f for f in change.values() if f < 12)
+            return sum(n * n for n in gaps.values())
+
+        fits = [s for s, f in fill.items() if f + size <= 12]
+        best = min(fits, key=lambda s: squares(fill | {s: fill[s] + size})) if fits else len(fill)
+        cost = squares(fill | {best: fill.get(best, 0) + size})
+        order.append(cost)
+        fill[best] = fill.get(best, 0) + size
+    assert len(set(sequence)) == len(fill)
+    used = Counter()
+    for s, o, size in zip(sequence, offset, sizes, strict=True):
+        assert used[s] == o
+        used[s] += size
+    assert max(used.values()) <= 12
+
+
+# --- lines ---
+
+
+def test_drop_boilerplate(spark):
+    rng = random.Random(12)
+    common = [f"common line {k}" for k in range(6)]
+    rows = []
+    for i in range(300):
+        lines = [f"own {i} {k}" for k in range(3)] + rng.sample(common, 3) + ["", "  same text \t"] + (["nine"] if i < 9 else []) + (["ten"] if i < 10 else [])
+        rng.shuffle(lines)
+        rows.append((i, "\n".join(lines), f"s{i % 40}", "x"))
+    rows += [(900, None, "s1", "x"), (901, "", "s2", "x"), (902, "same text", None, "x"), (None, "ten\nlast", "s3", "x"), (0, rows[0][1], "s0", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_lines string")
+    sites = {}
+    for _, text, site, _x in rows:
+        for line in (text or "").split("\n"):
+            if line.strip(" \t\n\x0b\f\r"):
+                sites.setdefault(line.strip(" \t\n\x0b\f\r"), set()).add(site)
+    gone = {k for k, v in sites.items() if len(v - {None}) >= 10}
+    assert "ten" in gone and "nine" not in gone
+    want = Counter()
+    for i, text, _s, _x in rows:
+        lines = (text or "").split("\n")
+        left = [x for x in lines if x.strip(" \t\n\x0b\f\r") not in gone]
+        want[(i, None if text is None else "\n".join(left), len(lines), len(lines) - len(left))] += 1
+    got = drop_boilerplate(docs)
+    assert Counter((r.doc_id, r.text, r.n_lines, r.n_removed) for r in got.collect()) == want
+    assert drop_boilerplate(docs.limit(0)).count() == 0
+
+
+# --- pages ---
+
+PAGES = {
+    "<html><head><title>T</title><body><nav><a href=/>Home</a></nav><article><h1>Head &amp; line</h1><p>First, para <b>bold<br>x<p>Second\n para.</article><footer>foot</footer>":
+        "Head & line\n\nFirst, para bold x\n\nSecond para.",
+    "<div class='sidebar'><p>Side text, long enough, with commas, many, many.</p></div><div id=main><h2>T</h2><div class=body><p>One, two, three, "
+    "four.</p><p>Five, six, seven.</p></div><div class='comments'><p>Reader, says, so.</p></div></div>": "T\n\nOne, two, three, four.\n\nFive, six, seven.",
+    "<header><p>Page head, with, commas, and, more</p></header><main><article><header><h1>Own</h1></header><p>Text, of, it.</p>"
+    "<article class=comment><p>No</p></article></article></main><form><p>Name, mail</p></form><aside>x</aside>": "Own\n\nText, of, it.",
+    "plain text only": "plain text only",
+    "": "",
+    "<script>var a='<p>no</p>'</script><style>p{}</style><!-- <p>c</p> --><p>yes</p>": "yes",
+    "<div><p>a &lt;b&gt; &#233; &eacute;</p><ul><li>one<li>two</ul></div>": "a <b> é é\n\none\n\ntwo",
+    "<p>open <a href='x>y'>link</a": "open link",
+}
+
+
+def test_main_text(spark):
+    for page, want in PAGES.items():
+        assert main_text(page) == want
+    assert main_text(None) == ""
+    rows = [(i, p) for i, p in enumerate([*PAGES, None])]
+    got = spark.createDataFrame(rows, "page_id long, html string").select("page_id", extract_main_text(F.col("html")).alias("text"))
+    assert {r.page_id: r.text for r in got.collect()} == {i: main_text(p) for i, p in rows}
+
+
+def test_deep_and_broken_pages_end():
+    assert main_text("<div>" * 20_000 + "deep") == "deep"
+    assert main_text("<" * 5000 + "p>x")
+    assert main_text("<p class=\"" + "a'" * 5000) == ""
+    assert main_text("<p>" + "word, " * 50_000).count("word") == 50_000
+
+
+def test_pages_of_the_given_tables():
+    pages = pd.read_parquet("/root/testdata/sf0.01/pages.parquet")
+    for html in pages.html:
+        inner = html.split("<article>")[1].split("</article>")[0].replace("<br>", " ")
+        blocks = [re.sub("<[^>]+>", "", b) for b in re.split(r"</?p>|</?h1>", inner)]
+        from html import unescape
+
+        assert main_text(html).split("\n\n") == [x for x in (" ".join(unescape(b).split()) for b in blocks) if x]
