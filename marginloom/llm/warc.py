@@ -29,6 +29,7 @@ from pyspark.sql.datasource import (
     Filter,
     In,
     InputPartition,
+    IsNotNull,
     WriterCommitMessage,
 )
 from pyspark.sql.types import StructType
@@ -217,15 +218,18 @@ def _filesystem(path: str) -> tuple[fs.FileSystem, str]:
 class WarcReader(DataSourceReader):
     def __init__(self, schema: StructType, path: str):
         self.names, self.path = schema.names, path
-        self.wanted: list[tuple[str, frozenset]] = []
+        #: headers and the values that pass; None: any value, but it must be there
+        self.wanted: list[tuple[str, frozenset | None]] = []
         self.arrow = pa.schema(
             [pa.field(f.name, {"payload": pa.binary(), "payload_length": pa.int64()}.get(f.name, pa.string())) for f in schema]
         )
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
         for f in filters:
-            column = f.attribute[0] if isinstance(f, (EqualTo, In)) and len(f.attribute) == 1 else None
-            if column in _HEADER_OF:
+            column = f.attribute[0] if isinstance(f, (EqualTo, In, IsNotNull)) and len(f.attribute) == 1 else None
+            if column in _HEADER_OF and isinstance(f, IsNotNull):
+                self.wanted.append((_HEADER_OF[column], None))
+            elif column in _HEADER_OF:
                 values = f.value if isinstance(f, In) else [f.value]
                 self.wanted.append((_HEADER_OF[column], frozenset(v for v in values if v is not None)))
             else:
@@ -251,7 +255,7 @@ class WarcReader(DataSourceReader):
         size = count = at = 0
         with system.open_input_file(path) as file:
             while (record := _Record(file, at)).there:
-                if all(record.warc.get(name) in values for name, values in self.wanted):
+                if self._passes(record.warc):
                     size += self._add(record, rows) + 200
                     count += 1
                 at = record.next_at()
@@ -261,6 +265,9 @@ class WarcReader(DataSourceReader):
         if count:
             yield self._batch(rows)
 
+    def _passes(self, header: dict[str, str]) -> bool:
+        return all(name in header if values is None else header.get(name) in values for name, values in self.wanted)
+
     def _add(self, record: _Record, rows: dict[str, list]) -> int:
         http = record.http_head() if {"payload", "payload_length"} & set(self.names) else b""
         payload = None

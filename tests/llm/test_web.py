@@ -141,7 +141,7 @@ def test_archive_pages(spark):
     assert archive_pages(pages_of(spark, [])).count() == 0
 
 
-def test_round_trip_and_pushdown(spark, monkeypatch):
+def test_round_trip_and_pushdown(spark):
     rows = archive_rows()
     scratch = Scratch(spark, "warc-test")
     path = scratch.path("archive")
@@ -156,7 +156,7 @@ def test_round_trip_and_pushdown(spark, monkeypatch):
     revisits = read_warc(spark, path, ["record_id", "record_type"]).where("record_type = 'revisit'")
     assert revisits.count() == records.where("record_type = 'revisit'").count()
     plan = revisits._jdf.queryExecution().executedPlan().toString()
-    assert "Filter" not in plan.split("BatchScan")[0]  # the reader has taken the predicate
+    assert "Filter" not in plan.split("BatchScan")[0]  # the reader has taken the predicates
     one = read_warc(spark, path).where(F.col("payload_digest").isin("sha1:" + hashlib.sha1(b"").hexdigest(), "none"))
     assert {r.record_id for r in one.collect()} >= {"<urn:x-page:6>", "<urn:x-page:7>"}
 
