@@ -24,6 +24,7 @@ from marginloom.functions import (  # noqa: E402
 )
 from marginloom.operators import pivot_report  # noqa: E402
 from marginloom.plans import inventory as inv, marketing as mk, pnl, quality as q, voice as vo  # noqa: E402
+from marginloom.sources.rules import rules_from_rows  # noqa: E402
 from marginloom.plans.bindings import (  # noqa: E402
     AS_OF,
     CALLS_YEAR,
@@ -147,6 +148,15 @@ def _plan_pivot(s: Sources) -> DataFrame:
     return pivot_report(plan, ["sku"], "month", months, "planned_qty", date_range=dates)
 
 
+def _sales_vs_plan_pivot(s: Sources) -> DataFrame:
+    months = [f"{y}-{m:02d}" for y, m in [(1997, 11), (1997, 12), *[(1998, m) for m in range(1, 11)]]]
+    return inv.sales_vs_plan_pivot(inv.sales_vs_plan(s.plan_monthly, _lines(s)), months)
+
+
+def _by_day_ytd(s: Sources) -> DataFrame:
+    return inv.coverage_by_day_ytd(inv.coverage_by_day(_stock(s), _daily(s)), _actuals(s), _ytd_plan(s))
+
+
 # --- calls ---
 
 
@@ -204,10 +214,23 @@ def _opex_static(s: Sources) -> DataFrame:
     return ads.unionByName(pnl.allocate_static(_opex(s), s.rules, "payment_account"))
 
 
+def _books(s: Sources, rules: DataFrame) -> tuple[DataFrame, ...]:
+    return s.ledger, s.accounts, _bridge(s), rules, s.invoice_items, s.invoices, s.po_items
+
+
 def _statement(s: Sources) -> DataFrame:
-    return pnl.channel_statement(
-        s.ledger, s.accounts, _bridge(s), s.rules, s.invoice_items, s.invoices, s.po_items
-    )
+    return pnl.channel_statement(*_books(s, s.rules))
+
+
+def _more_rules(s: Sources) -> DataFrame:
+    """The rules and some vendors of a channel that isn't one of the fixed four."""
+    more = [("vendor", v, "Wholesale", None) for v in ("5", "6")]
+    return s.rules.unionByName(rules_from_rows(s.spark, more))
+
+
+def _pl_pivot(s: Sources, rules: DataFrame) -> DataFrame:
+    statement = pnl.channel_statement(*_books(s, rules))
+    return pnl.profitability_pivot(statement, "1997-01-01", "1997-12-31", pnl.report_channels(rules))
 
 
 def _basic(s: Sources) -> DataFrame:
@@ -235,7 +258,9 @@ _QUERIES: dict[str, Callable[[Sources], DataFrame]] = {
     "sales_spend_category": lambda s: mk.newest_weeks_first(
         mk.sales_and_spend_by_category(_spend(s), **_weekly_tables(s))
     ),
-    "sales_spend_channel": lambda s: mk.sales_and_spend_by_channel(_spend(s), **_weekly_tables(s)),
+    "sales_spend_channel": lambda s: mk.newest_weeks_first(
+        mk.sales_and_spend_by_channel(_spend(s), **_weekly_tables(s))
+    ),
     "order_lines": _lines,
     "stock_on_hand": _stock,
     "sales_vs_plan": lambda s: inv.sales_vs_plan(s.plan_monthly, _lines(s)),
@@ -248,17 +273,21 @@ _QUERIES: dict[str, Callable[[Sources], DataFrame]] = {
     "sku_performance": lambda s: inv.sku_performance(_coverage(s), _actuals(s), _ytd_plan(s)),
     "coverage_by_day": lambda s: inv.coverage_by_day(_stock(s), _daily(s)),
     "coverage_windows": lambda s: inv.coverage_windows(_stock(s), _daily(s), AS_OF),
-    "coverage_by_day_ytd": lambda s: inv.coverage_by_day_ytd(
-        inv.coverage_by_day(_stock(s), _daily(s)), _actuals(s), _ytd_plan(s)
-    ),
+    "coverage_by_day_ytd": _by_day_ytd,
     "plan_pivot": _plan_pivot,
+    "sales_vs_plan_pivot": _sales_vs_plan_pivot,
+    "coverage_range_pivot": lambda s: inv.coverage_range_pivot(_by_day_ytd(s), "1998-06-01", "1998-08-31"),
     "expand_seconds": lambda s: vo.outgoing_agent_map(s.agent_metrics, s.agents),
     "outgoing_calls": _outgoing,
     "answered_incoming": _incoming,
-    "callback_agents": lambda s: vo.callback_agents(s.call_logs, _outgoing(s), _incoming(s)),
+    "callback_agents": lambda s: vo.callback_agents(
+        s.call_logs, _outgoing(s), vo.answered_by_agent(s.call_logs, s.agent_metrics, s.agents)
+    ),
     "callback_summary": _summary,
     "callback_report": lambda s: vo.callback_report(_summary(s), CALLS_YEAR),
-    "callback_rate": lambda s: vo.callback_rate(_summary(s), ["yr", "mth", "was_returned"]),
+    "callback_rate": lambda s: vo.callback_rate(
+        vo.callback_minutes(s.call_logs, _outgoing(s), _incoming(s)), ["yr", "mth", "was_returned"]
+    ),
     "tolerance_join": _matched,
     "pickup_rate": lambda s: vo.pickup_rate(s.agent_metrics, s.agents),
     "entity_bridge": _bridge,
@@ -275,9 +304,13 @@ _QUERIES: dict[str, Callable[[Sources], DataFrame]] = {
     "other_expense": lambda s: pnl.allocate_other_expense(_other(s), s.rules, _shares(s)),
     "channel_pl": lambda s: pnl.with_net(_statement(s)),
     "channel_statement": _statement,
-    "net_profit": lambda s: pnl.net_profit(_statement(s)),
-    "pl_pivot": lambda s: pnl.profitability_pivot(_statement(s), "1997-01-01", "1997-12-31"),
+    "net_profit": lambda s: pnl.net_statement(*_books(s, s.rules)),
+    "pl_pivot": lambda s: _pl_pivot(s, s.rules),
+    "pl_pivot_wide": lambda s: _pl_pivot(s, _more_rules(s)),
     "fixed_split": lambda s: pnl.fixed_split(_opex(s), exclude=["ECONOMY Brand#6"], exclude_prefixes=("PROMO",)),
+    "fixed_commission": lambda s: pnl.fixed_split(
+        _opex(s), pnl.OLD_COMMISSION_SHARES, include=["ECONOMY Brand#3", "ECONOMY Brand#4"]
+    ),
     "fixed_payroll": lambda s: pnl.fixed_split(
         _opex(s), pnl.OLD_PAYROLL_SHARES, include=["ECONOMY Brand#6"], include_prefixes=("PROMO",)
     ),
@@ -285,8 +318,10 @@ _QUERIES: dict[str, Callable[[Sources], DataFrame]] = {
     "pct_sum_check": lambda s: q.share_sums(s.article_rules),
     "key_format_check": lambda s: q.damaged_keys(s.order_rules),
     "dup_config_check": lambda s: q.duplicate_rules(s.order_rules),
-    "config_drift": lambda s: q.rule_drift(s.customer_rules(False), s.customer_rules(True)),
+    "config_drift": lambda s: q.rule_drift(s.customer_rules("F"), s.customer_rules("O")),
     "invoice_crossref": lambda s: q.invoice_crossref(s.portal_invoices, s.invoices),
+    "listed_invoices": lambda s: q.listed_invoices(s.portal_invoices, s.invoices).select("invoice_id", "invoice_number"),
+    "unknown_numbers": lambda s: q.unknown_numbers(s.portal_invoices, s.invoices),
     "conservation_check": _conservation,
 }
 # Ratios are compared with six digits, money with four.

@@ -5,9 +5,7 @@ from marginloom.operators.asof import first_after
 from marginloom.operators.joins import (
     exclude_keep_null,
     expand_seconds,
-    left_join_hot_right,
-    left_join_spread_nulls,
-    scaffold_join,
+    left_join_lines,
     tolerance_join,
     unfilled_scaffold,
 )
@@ -22,11 +20,9 @@ __all__ = [
     "first_after",
     "first_row_flag",
     "joined_distinct",
-    "left_join_hot_right",
-    "left_join_spread_nulls",
+    "left_join_lines",
     "newest_first",
     "pivot_report",
-    "scaffold_join",
     "share_table",
     "tolerance_join",
     "unfilled_scaffold",

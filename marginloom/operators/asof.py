@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from marginloom.operators.joins import tag_hot
-
 BUCKET_SECONDS = 6 * 3600
 
 
@@ -16,24 +14,21 @@ def first_after(
     point_at: str,
     event_at: str,
     out: str,
-    hot: DataFrame,
-    hot_on: list[str],
     bucket_seconds: int = BUCKET_SECONDS,
 ) -> DataFrame:
     """``points`` plus column ``out``: the smallest ``event_at`` above ``point_at``, or NULL.
 
     Times are microseconds; key columns must not be NULL. No pairs are built: points and
-    events share one stream and a running minimum walks it from late to early. The keys listed
-    in ``hot`` (see ``hot_keys``; hashes of the columns ``hot_on``) are cut into time buckets
-    worked on by many tasks; what lies beyond a bucket comes from one row per key and bucket.
+    events share one stream and a running minimum walks it from late to early. Every key is cut
+    into time buckets, so a busy one is worked on by many tasks; what lies beyond a bucket comes
+    from one row per key and bucket.
     """
     keys = ", ".join(on)
     marks = events.select(*on, event_at).distinct().selectExpr(*on, f"{event_at} AS _at", f"{event_at} AS _event")
     stream = points.selectExpr("*", f"{point_at} AS _at", "CAST(NULL AS BIGINT) AS _event").unionByName(
         marks, allowMissingColumns=True
     )
-    bucket = f"if(_hot IS NULL, NULL, _at DIV {bucket_seconds * 1_000_000}) AS _bucket"
-    stream = tag_hot(stream, hot_on, hot).selectExpr(*stream.columns, bucket)
+    stream = stream.selectExpr("*", f"_at DIV {bucket_seconds * 1_000_000} AS _bucket")
     # later rows first; at equal times the point goes first, so an equal event is not "after"
     inside = (
         f"min(_event) OVER (PARTITION BY {keys}, _bucket ORDER BY _at DESC, _event NULLS FIRST "
@@ -43,12 +38,8 @@ def first_after(
         f"min(_first) OVER (PARTITION BY {keys} ORDER BY _bucket DESC "
         "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _beyond"
     )
-    later = (
-        stream.where("_bucket IS NOT NULL")
-        .groupBy(*on, "_bucket")
-        .agg(F.expr("min(_event) AS _first"))
-        .selectExpr(*on, "_bucket", beyond)
-    )
+    # buckets without an event are there too: their points look at the later ones
+    later = stream.groupBy(*on, "_bucket").agg(F.expr("min(_event) AS _first")).selectExpr(*on, "_bucket", beyond)
     return (
         stream.selectExpr("*", inside)
         .where("_event IS NULL")

@@ -1,23 +1,17 @@
-"""Joins that keep their shape when one key holds a large part of the rows."""
+"""Joins that keep their shape when one key holds a large part of the rows.
+
+Rows without a key, and hot keys on the left of a left join, need nothing special: adaptive execution splits them.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from marginloom.functions.calendar import wall_micros
 from marginloom.types import texts
 
-# A key is hot when it holds this part of the rows, and at least this many of them.
-HOT_SHARE = 0.005
-HOT_ROWS = 1_000_000
-# Keys the counting sketch reports, so the broadcast list of hot keys never exceeds this.
-HOT_KEYS = 128
-# Keys the sketch follows: enough to keep every key above HOT_SHARE.
-TRACKED_KEYS = 2048
-SALTS = 64
-
 
 def exclude_keep_null(col: str, values: Iterable[str]) -> str:
     """``NOT IN`` that keeps rows whose value is NULL."""
@@ -28,63 +22,15 @@ def _names(columns: Iterable[str]) -> str:
     return ", ".join(f"`{c}`" for c in columns)
 
 
-def hot_keys(df: DataFrame, on: list[str], hot_rows: int = HOT_ROWS, hot_share: float = HOT_SHARE) -> DataFrame:
-    """At most HOT_KEYS key hashes that hold many rows.
-
-    One pass over the key columns with a counting sketch that merges on the map side, so
-    nothing is shuffled per key. A key the sketch misjudges costs speed, never rows.
-    """
-    present = " AND ".join(f"`{c}` IS NOT NULL" for c in on)
-    counted = df.where(present).selectExpr(
-        f"approx_top_k(xxhash64({_names(on)}), {HOT_KEYS}, {TRACKED_KEYS}) AS top", "count(*) AS n"
-    )
-    return (
-        counted.selectExpr("inline(top)", "n")
-        .where(f"count >= greatest({hot_rows}, n * {hot_share})")
-        .selectExpr("item AS _hot")
-    )
-
-
-def tag_hot(df: DataFrame, on: list[str], hot: DataFrame) -> DataFrame:
-    """Adds ``_hot``, NULL for ordinary keys; ``hot`` comes from ``hot_keys`` and is bounded."""
-    return df.join(F.broadcast(hot), F.expr(f"xxhash64({_names(on)}) = _hot"), "left")
-
-
-def _row_salt(columns: list[str]) -> str:
-    # the partition id spreads exact copies of a row as well; both parts repeat on a task retry
-    return f"CAST(pmod(xxhash64({_names(columns)}, spark_partition_id()), {SALTS}) AS INT)"
-
-
-def left_join_hot_right(
-    left: DataFrame, right: DataFrame, on: list[str], hot_rows: int = HOT_ROWS, hot_share: float = HOT_SHARE
-) -> DataFrame:
+def left_join_lines(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     """Left join whose right side may hold many rows of one key (header to lines).
 
-    Adaptive execution cannot split the right side of a left join, so rows of hot keys are
-    spread over salts and their left rows repeated per salt. A hot key has matches by
-    definition, so the salts that found none are dropped and the result is the plain join.
-    """
-    hot = hot_keys(right, on, hot_rows, hot_share)
-    every_salt = f"explode(if(_hot IS NULL, array(0), sequence(0, {SALTS - 1}))) AS _salt"
-    salted_left = tag_hot(left, on, hot).selectExpr(*[f"`{c}`" for c in left.columns], "_hot", every_salt)
-    own_salt = f"if(_hot IS NULL, 0, {_row_salt(right.columns)}) AS _salt"
-    salted_right = tag_hot(right, on, hot).selectExpr(*[f"`{c}`" for c in right.columns], "TRUE AS _found", own_salt)
-    joined = salted_left.join(salted_right, [*on, "_salt"], "left")
-    return joined.where("_hot IS NULL OR _found").drop("_salt", "_hot", "_found")
-
-
-def left_join_spread_nulls(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """Left join whose left side may hold many rows without a key.
-
-    Such rows match nothing, yet a plain join sends them all to one task. They are spread over
-    salts instead. Hot keys on the left are split by adaptive execution, which a left join
-    allows for its left side.
+    Adaptive execution splits a hot key on both sides of an inner join, but not on the right of a
+    left join. So the matches come from an inner join, and the left rows without any from an anti
+    join with the distinct keys, which are combined before they are shuffled.
     """
-    no_key = " OR ".join(f"`{c}` IS NULL" for c in on)
-    salted = left.selectExpr("*", f"if({no_key}, {_row_salt(left.columns)}, 0) AS _salt")
-    # zero, but not a literal: the optimizer would turn a literal into a filter and drop the key
-    zero = f"CAST(pmod(xxhash64({_names(on)}), 1) AS INT) AS _salt"
-    return salted.join(right.selectExpr("*", zero), [*on, "_salt"], "left").drop("_salt")
+    unmatched = left.join(right.select(*on).distinct(), on, "left_anti")
+    return left.join(right, on, "inner").unionByName(unmatched, allowMissingColumns=True)
 
 
 def unfilled_scaffold(scaffold: DataFrame, facts: DataFrame, on: list[str]) -> DataFrame:
@@ -92,17 +38,6 @@ def unfilled_scaffold(scaffold: DataFrame, facts: DataFrame, on: list[str]) -> D
     return scaffold.join(facts.select(*on).distinct(), on, "left_anti")
 
 
-def scaffold_join(scaffold: DataFrame, facts: DataFrame, on: list[str]) -> DataFrame:
-    """Left join from a small calendar scaffold to a large fact table.
-
-    A left join would shuffle every fact by the few scaffold keys. Here the facts meet the
-    scaffold in an inner join, where the small side can be broadcast by its measured size,
-    and the scaffold rows without facts are added.
-    """
-    matched = scaffold.join(facts, on, "inner")
-    return matched.unionByName(unfilled_scaffold(scaffold, facts, on), allowMissingColumns=True)
-
-
 def expand_seconds(df: DataFrame, ts: str, seconds: int = 10) -> DataFrame:
     """One copy of each row per second offset 0..seconds added to ``ts``."""
     spread = df.selectExpr("*", f"explode(sequence(0, {seconds})) AS _offset")

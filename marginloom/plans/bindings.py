@@ -406,12 +406,10 @@ class Sources:
             f"{quantity('if(l_linenumber = 2, 2, NULL)')} AS value",
         )
 
-    def customer_rules(self, buyers_only: bool) -> DataFrame:
-        """Customer to segment; the second version knows customers by their orders."""
-        people = self.table("customer")
-        if buyers_only:
-            buyers = self.table("orders").where("o_orderstatus = 'P'").selectExpr("o_custkey AS c_custkey")
-            people = people.join(buyers, "c_custkey", "left_semi")
+    def customer_rules(self, status: str) -> DataFrame:
+        """Customer to segment, as one version of the rules knows it: by the orders of one status."""
+        buyers = self.table("orders").where(f"o_orderstatus = '{status}'").selectExpr("o_custkey AS c_custkey")
+        people = self.table("customer").join(buyers, "c_custkey", "left_semi")
         return people.selectExpr(
             "'salesperson' AS type",
             f"{_digits('c_custkey')} AS key",

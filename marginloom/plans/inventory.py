@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from marginloom.functions.calendar import as_date
+from marginloom.operators.report import pivot_report
 from marginloom.types import QUANTITY, TOTAL_QUANTITY, cast, quantity, texts
 
 # Order states that do not count as sales.
@@ -160,3 +161,22 @@ def coverage_windows(
 def coverage_by_day_ytd(by_day: DataFrame, actuals: DataFrame, plan: DataFrame) -> DataFrame:
     """Coverage by day with year-to-date sales and plan, NULL where there is none."""
     return by_day.join(actuals, "sku", "left").join(plan, "sku", "left")
+
+
+def sales_vs_plan_pivot(compared: DataFrame, months: list[str]) -> DataFrame:
+    """SKU by month of ``sales_vs_plan``: planned and sold quantity of each month (``yyyy-MM``) side by side."""
+    rows = compared.selectExpr("sku", "date_format(month, 'yyyy-MM') AS month", "plan_qty", "actual_qty")
+    return pivot_report(rows, ["sku"], "month", months, {"plan": "plan_qty", "actual": "actual_qty"})
+
+
+def coverage_range_pivot(by_day: DataFrame, first: dt.date | str, last: dt.date | str) -> DataFrame:
+    """Per SKU and item name the demand of the chosen days beside stock and year-to-date figures, and what is left.
+
+    Stock and year-to-date figures repeat on every day of ``coverage_by_day_ytd``, so they are taken once.
+    """
+    chosen = by_day.where(f"plan_date BETWEEN {as_date(first)} AND {as_date(last)}")
+    once = [*STOCK, "ytd_actual_qty", "ytd_plan_qty"]
+    summed = chosen.groupBy("sku", "item_name").agg(
+        *[F.expr(f"max({c}) AS {c}") for c in once], F.expr("sum(daily_plan_qty) AS range_plan_qty")
+    )
+    return summed.selectExpr("*", "on_hand + in_transit - range_plan_qty AS left_after_range")

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from marginloom.functions.calendar import as_date, slash_date, week_end, week_key, week_number, week_start, week_text
 from marginloom.functions.channels import OrderRules, order_channel, order_channel_legacy, paid_status
 from marginloom.functions.text import name_segment
-from marginloom.operators.joins import exclude_keep_null, left_join_hot_right, unfilled_scaffold
-from marginloom.operators.report import first_row_flag, newest_first
+from marginloom.operators.joins import exclude_keep_null, left_join_lines, unfilled_scaffold
+from marginloom.operators.report import is_first, newest_first, same_group, smallest_ids
 from marginloom.types import TOTAL_MONEY, cast, money, text, texts
 
 # Fixed value: exchange rate of platform spend.
@@ -20,6 +20,8 @@ USD_TO_CAD = "1.35"
 # Dealer account types, left out of the KPIs.
 DEALER_TYPES = ["Dealer - Bronze", "Dealer - Gold", "Dealer - Silver", "Dealer - Standard"]
 CLOSED = "Closed"
+# Categories from which on their weekly table is not broadcast.
+MANY_CATEGORIES = 500
 
 SPEND = ["fb_usd", "fb_cad", "google_usd", "google_cad", "other_cad"]
 CAD = ["fb_cad", "google_cad", "other_cad"]
@@ -131,7 +133,7 @@ def _order_links(junction: DataFrame, orders: DataFrame) -> DataFrame:
 def closed_invoices(invoices: DataFrame, junction: DataFrame, orders: DataFrame, rules: OrderRules) -> DataFrame:
     """Closed invoices with week and channel; an invoice with several orders repeats per order."""
     closed = invoices.where(f"status = {text(CLOSED)}")
-    return left_join_hot_right(closed, _order_links(junction, orders), ["invoice_id"]).selectExpr(
+    return left_join_lines(closed, _order_links(junction, orders), ["invoice_id"]).selectExpr(
         "invoice_id",
         "customer_id",
         "invoice_date",
@@ -195,6 +197,24 @@ def weekly_payments(
     )
 
 
+def _named_lines(headers: DataFrame, lines: DataFrame, items: DataFrame, categories: DataFrame, line: list[str]) -> DataFrame:
+    """Headers with their lines, and the item and category of each."""
+    return (
+        left_join_lines(headers, lines.selectExpr("invoice_id", "product_id", *line), ["invoice_id"])
+        .join(items.selectExpr("item_id AS product_id", "sku", "category_id"), "product_id", "left")
+        .join(categories.select("category_id", "category_name"), "category_id", "left")
+    )
+
+
+def _per_week(df: DataFrame, categories: DataFrame) -> DataFrame:
+    """``df``, one row per week and category or less, with a broadcast hint if there are few categories.
+
+    The count of the dimension bounds the table: a century of weeks has 5,218 rows per category.
+    Beyond, Spark chooses by size and splits what is skewed.
+    """
+    return F.broadcast(df) if categories.limit(MANY_CATEGORIES).count() < MANY_CATEGORIES else df
+
+
 def sales_and_spend(
     scaffold: DataFrame,
     closed: DataFrame,
@@ -219,36 +239,52 @@ def sales_and_spend(
     columns to spend columns). Weeks without invoices stay; a week and channel with dealer
     invoices only is dropped, unless ``exclude_before_join`` removes the dealers first. The
     flag is set after all filters, so the flagged rows of a group carry the repeated amounts.
+
+    Invoice lines are shuffled by invoice only. What there is per week and channel is put on the
+    scaffold first, whose rows the calendar bounds, and meets the headers in a broadcast; what
+    there is per group of the flag is one row per group, with the minimum from a pass over the
+    three line columns that it needs.
     """
     week_and_channel = ["year_week", "channel"]
-    weeks = scaffold.where(f"year_week <= {week_key(as_date(as_of))}").select(*week_and_channel, "week_start", "week_end")
+    per_cell = set(spend_on) == set(week_and_channel)
+    spent = spend.selectExpr(*[f"{c} AS _{c}" for c in spend_on.values()], *CAD)
+    on_spend = reduce(and_, [F.col(c) == F.col(f"_{s}") for c, s in spend_on.items()])
+    cells = (
+        scaffold.where(f"year_week <= {week_key(as_date(as_of))}")
+        .select(*week_and_channel, "week_start", "week_end")
+        .join(payments, week_and_channel, "left")
+        .join(deals, week_and_channel, "left")
+    )
+    if per_cell:
+        cells = cells.join(spent, on_spend, "left")
     buyers = customers.select("customer_id", "contact_type", "account_type")
     keyed = closed.withColumnRenamed("invoice_week", "year_week")
     retail = keyed.join(buyers, "customer_id", "left").where(exclude_keep_null("account_type", dealers))
-    headers = weeks.join(retail, week_and_channel, "inner").selectExpr("*", "year_week AS invoice_week")
-    empty_weeks = unfilled_scaffold(weeks, retail if exclude_before_join else keyed, week_and_channel)
+    # at most one row per week of the calendar and listed channel
+    headers = retail.join(F.broadcast(cells), week_and_channel, "inner").selectExpr("*", "year_week AS invoice_week")
+    empty_cells = unfilled_scaffold(cells, retail if exclude_before_join else keyed, week_and_channel)
 
-    line = lines.selectExpr(
-        "invoice_id", "item_id", "product_id", "item_name", "quantity", "total AS item_total", "warehouse_id"
+    unique_by = ["invoice_id", "sales_order_id", "product_id"] if unique_flag else None
+    weeks = F.broadcast(cells.select(*week_and_channel))
+    slim = retail.select("invoice_id", "sales_order_id", *week_and_channel).join(weeks, week_and_channel, "left_semi")
+    groups = smallest_ids(_named_lines(slim, lines, items, categories, ["item_id"]), flag_group, "item_id", unique_by)
+    if not per_cell:
+        of_group = {c: f"_g{flag_group.index(c)}" for c in spend_on}
+        on_group = reduce(and_, [F.col(of_group[c]) == F.col(f"_{s}") for c, s in spend_on.items()])
+        groups = groups.join(spent, on_group, "left")
+
+    line = ["item_id", "item_name", "quantity", "total AS item_total", "warehouse_id"]
+    rows = _named_lines(headers, lines, items, categories, line).join(
+        sales_persons.selectExpr("sales_person_id", "name AS sales_person"), "sales_person_id", "left"
     )
-    rows = (
-        left_join_hot_right(headers, line, ["invoice_id"])
-        .join(items.selectExpr("item_id AS product_id", "sku", "category_id"), "product_id", "left")
-        .join(categories.select("category_id", "category_name"), "category_id", "left")
-        .join(sales_persons.selectExpr("sales_person_id", "name AS sales_person"), "sales_person_id", "left")
+    flagged = (
+        rows.join(_per_week(groups, categories), same_group(flag_group), "left")
+        .selectExpr("*", f"{is_first('item_id', unique_by)} AS is_first_row")
+        # weeks without invoices hold no item and need no group
+        .unionByName(empty_cells.selectExpr("*", "0 AS is_first_row"), allowMissingColumns=True)
     )
-    unique_by = ["invoice_id", "sales_order_id", "product_id"] if unique_flag else None
-    flagged = first_row_flag(rows, flag_group, "item_id", "is_first_row", unique_by)
-    # weeks without invoices join after the flag: they hold no item, and need no second pass
-    flagged = flagged.unionByName(empty_weeks.selectExpr("*", "0 AS is_first_row"), allowMissingColumns=True)
-
-    spent = spend.selectExpr(*[f"{c} AS _{c}" for c in spend_on.values()], *CAD)
-    on_spend = reduce(and_, [F.col(c) == F.col(f"_{s}") for c, s in spend_on.items()])
     return (
-        flagged.join(spent, on_spend, "left")
-        .join(payments, week_and_channel, "left")
-        .join(deals, week_and_channel, "left")
-        .selectExpr(
+        flagged.selectExpr(
             "year_week",
             "invoice_week",
             f"coalesce(invoice_date_start, {slash_date('week_start')}) AS invoice_date_start",

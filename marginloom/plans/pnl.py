@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from marginloom.functions.channels import prefix_branches
 from marginloom.operators.allocate import allocate_by_share, allocate_fixed, channel_array, share_table
-from marginloom.operators.joins import left_join_spread_nulls
 from marginloom.operators.report import pivot_report
 from marginloom.sources import rules as kinds
 from marginloom.sources.rules import rules_of
+from marginloom.staging import staged
 from marginloom.types import ALLOCATED, QUANTITY, SHARE, cast, money, quantity, text, texts
 
 # Channels, the marker of shared costs, report sections, account types.
@@ -31,7 +31,6 @@ NET = "6. Net Profit/Loss"
 NET_ACCOUNT = "Net Profit/Loss"
 INCOME_TYPES = ["Income", "Other Income"]
 REVENUE_TYPES = ["Income", "Cost Of Goods Sold", "Other Income"]
-STOCK_ADJUSTMENT = "inventory_adjustment_by_quantity"
 INVOICE, CREDIT_NOTE = "invoice", "creditnote"
 # Rule types that take an account out of the general expense split.
 RULED_EXPENSES = ["payroll_pct", "ad_pct", "payment_account", "commission_fee", "unalloc_opex"]
@@ -40,8 +39,12 @@ OLD_SHARES = {B2B: "0.372511", RETAIL: "0.499460", CLUB: "0.128029"}
 OLD_PAYROLL_SHARES = {B2B: "0.390278", RETAIL: "0.448611", CLUB: "0.161111"}
 OLD_COMMISSION_SHARES = {RETAIL: "1"}
 
+NO_SELLER = "coalesce(sales_person_id, '') = ''"
 PL_COLUMNS = ["pl_section", "account_name", "transaction_date", "amount", "channel"]
-MAX_STRUCTURAL_RULES = 1000
+# A day's sum times a share, exact to the last of its 16 decimals: sums below 10**20, shares below 10.
+DAY_SUM, DAY_SHARE = "DECIMAL(24,4)", "DECIMAL(13,12)"
+# Quantities of a channel and product, and prices, whose product is exact: below 10**16 and 10**9.
+SOLD, PRICE = "DECIMAL(22,6)", "DECIMAL(15,6)"
 
 
 @dataclass(frozen=True)
@@ -56,23 +59,55 @@ class BlankSellerRules:
     credit_note: str = RETAIL
     other_seller: str = RETAIL
 
+    def attach(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with whatever ``branches`` refers to."""
+        return rows
+
+    def branches(self) -> str:
+        """CASE branches for a known document that no salesperson rule covers."""
+        return (
+            f"WHEN {NO_SELLER} AND document = {text(CREDIT_NOTE)} THEN {text(self.credit_note)} "
+            f"{prefix_branches('so_number', self.prefixes, NO_SELLER + ' AND ')} "
+            f"WHEN {NO_SELLER} THEN {text(self.invoice)} ELSE {text(self.other_seller)}"
+        )
+
     @staticmethod
-    def from_rules(rules: DataFrame) -> "BlankSellerRules":
+    def from_rules(rules: DataFrame) -> "TableSellerRules":
         """The same rules read from the ``so_prefix`` and ``default_channel`` rows."""
-        wanted = rules.where(f"type IN ({texts([kinds.SO_PREFIX, kinds.DEFAULT_CHANNEL])})")
-        rows = wanted.select("type", "key", "channel").limit(MAX_STRUCTURAL_RULES + 1).collect()
-        if len(rows) > MAX_STRUCTURAL_RULES:
-            raise kinds.RuleError("too many structural rules")
-        prefixes = sorted(
-            ((r["key"], r["channel"]) for r in rows if r["type"] == kinds.SO_PREFIX), key=lambda r: (-len(r[0]), r[0])
-        )
-        defaults = {r["key"]: r["channel"] for r in rows if r["type"] == kinds.DEFAULT_CHANNEL}
         base = BlankSellerRules()
-        return BlankSellerRules(
-            prefixes=tuple(prefixes) or base.prefixes,
-            invoice=defaults.get("blank_sp_invoice", base.invoice),
-            credit_note=defaults.get("blank_sp_creditnote", base.credit_note),
-            other_seller=defaults.get("other_sp", base.other_seller),
+        fixed = ", ".join(f"named_struct('n', -{len(p)}, 'key', {text(p)}, 'channel', {text(c)})" for p, c in base.prefixes)
+        listed = f"collect_list(struct(-length(key) AS n, key, channel)) FILTER (WHERE type = {text(kinds.SO_PREFIX)})"
+        one = rules.agg(
+            F.expr(f"if(count_if(type = {text(kinds.SO_PREFIX)}) > 0, array_sort({listed}), array({fixed})) AS prefixes"),
+            *[
+                F.expr(
+                    f"coalesce(max(channel) FILTER (WHERE type = {text(kinds.DEFAULT_CHANNEL)} AND key = {text(key)}), "
+                    f"{text(default)}) AS {name}"
+                )
+                for name, key, default in (
+                    ("invoice", "blank_sp_invoice", base.invoice),
+                    ("credit_note", "blank_sp_creditnote", base.credit_note),
+                    ("other_seller", "other_sp", base.other_seller),
+                )
+            ],
+        )
+        return TableSellerRules(one.selectExpr("struct(prefixes, invoice, credit_note, other_seller) AS blank"))
+
+
+@dataclass(frozen=True)
+class TableSellerRules:
+    """The rules of ``BlankSellerRules`` as one row, longest prefix first; any number of them."""
+
+    table: DataFrame
+
+    def attach(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_blank", self.table.scalar())
+
+    def branches(self) -> str:
+        fitting = "get(filter(_blank.prefixes, p -> startswith(so_number, p.key)), 0)"
+        return (
+            f"WHEN {NO_SELLER} AND document = {text(CREDIT_NOTE)} THEN _blank.credit_note "
+            f"WHEN {NO_SELLER} THEN coalesce({fitting}.channel, _blank.invoice) ELSE _blank.other_seller"
         )
 
 
@@ -109,46 +144,39 @@ def classify(rows: DataFrame) -> DataFrame:
     return rows.selectExpr("*", f"{section} AS pl_section", f"{money(signed)} AS amount")
 
 
-def _blank_seller_branches(blank: BlankSellerRules) -> str:
-    """CASE branches for a known document that no salesperson rule covers."""
-    no_seller = "coalesce(sales_person_id, '') = ''"
-    return (
-        f"WHEN {no_seller} AND document = {text(CREDIT_NOTE)} THEN {text(blank.credit_note)} "
-        f"{prefix_branches('so_number', blank.prefixes, no_seller + ' AND ')} "
-        f"WHEN {no_seller} THEN {text(blank.invoice)} ELSE {text(blank.other_seller)}"
-    )
-
-
 def _with_seller_rules(rows: DataFrame, rules: DataFrame) -> DataFrame:
     by_seller = rules_of(rules, kinds.SALESPERSON, "key AS sales_person_id", "channel AS seller_channel")
     return rows.join(by_seller, "sales_person_id", "left")
 
 
 def _with_row_rules(rows: DataFrame, rules: DataFrame) -> DataFrame:
-    """Ledger rows with the rules on their account and vendor.
+    """Ledger rows with the rules on their account, vendor and entity type.
 
     The rules join after the accounts: joined into the accounts first, they would hide from
     Spark's estimate how small the chart of accounts is, and the ledger would be shuffled.
     """
     by_account = rules_of(rules, kinds.CLUB_ACCOUNT, "key AS account_name", "channel AS account_channel")
     kept_out = rules_of(rules, kinds.COGS_UNALLOCATED, "key AS account_name", "TRUE AS keeps_cost")
+    kept_kinds = rules_of(rules, kinds.COGS_UNALLOCATED, "key AS entity_type", "TRUE AS keeps_kind")
     by_vendor = rules_of(rules, kinds.VENDOR, "key AS vendor_id", "channel AS vendor_channel")
     return (
         rows.join(by_account, "account_name", "left")
         .join(kept_out, "account_name", "left")
+        .join(kept_kinds, "entity_type", "left")
         .join(by_vendor, "vendor_id", "left")
     )
 
 
-def channel_case(blank: BlankSellerRules = BlankSellerRules()) -> str:
+def channel_case(blank: BlankSellerRules | TableSellerRules = BlankSellerRules()) -> str:
     """The channel of an income or cost row, by priority.
 
     Without a known document: account rule, vendor rule, shared cost of goods, unallocated.
-    With one: salesperson rule, then the rules for a blank salesperson. A cost row whose
-    entity type is NULL is not shared; it stays unallocated.
+    With one: salesperson rule, then the rules for a blank salesperson. A rule can keep a cost
+    row from being shared by its account or its entity type; a row whose entity type is NULL is
+    not shared either and stays unallocated.
     """
     shared_cost = (
-        f"account_type = 'Cost Of Goods Sold' AND keeps_cost IS NULL AND entity_type <> {text(STOCK_ADJUSTMENT)}"
+        "account_type = 'Cost Of Goods Sold' AND keeps_cost IS NULL AND keeps_kind IS NULL AND entity_type IS NOT NULL"
     )
     return (
         "CASE WHEN document IS NULL AND account_channel IS NOT NULL THEN account_channel "
@@ -156,7 +184,7 @@ def channel_case(blank: BlankSellerRules = BlankSellerRules()) -> str:
         f"WHEN document IS NULL AND {shared_cost} THEN {text(PRO_RATA)} "
         f"WHEN document IS NULL THEN {text(UNALLOCATED)} "
         "WHEN seller_channel IS NOT NULL THEN seller_channel "
-        f"{_blank_seller_branches(blank)} END"
+        f"{blank.branches()} END"
     )
 
 
@@ -165,12 +193,12 @@ def channel_revenue(
     accounts: DataFrame,
     bridge: DataFrame,
     rules: DataFrame,
-    blank: BlankSellerRules = BlankSellerRules(),
+    blank: BlankSellerRules | TableSellerRules = BlankSellerRules(),
 ) -> DataFrame:
     """Income and cost-of-goods rows of the ledger with their channel; shared costs are marked."""
     rows = _with_row_rules(classify(posted(ledger, accounts, REVENUE_TYPES)), rules)
-    # a large part of the ledger has no entity
-    rows = left_join_spread_nulls(rows, _with_seller_rules(bridge, rules), ["entity_id"])
+    # a large part of the ledger has no entity: adaptive execution splits the left side
+    rows = blank.attach(rows.join(_with_seller_rules(bridge, rules), "entity_id", "left"))
     return rows.selectExpr(*PL_COLUMNS[:4], f"{channel_case(blank)} AS channel")
 
 
@@ -193,9 +221,9 @@ def channel_po_cost(lines: DataFrame, invoices: DataFrame, average: DataFrame, r
         _with_seller_rules(invoiced, rules)
         .selectExpr(f"coalesce(seller_channel, {text(RETAIL)}) AS channel", "product_id", "quantity")
         .groupBy("channel", "product_id")
-        .agg(F.expr(f"CAST(sum({quantity('quantity')}) AS DECIMAL(19,6)) AS _sold"))
+        .agg(F.expr(f"{cast(f'sum({quantity("quantity")})', SOLD)} AS _sold"))
     )
-    cost = F.expr("sum(_sold * avg_cost) AS total_cost")
+    cost = F.expr(f"sum(_sold * {cast('avg_cost', PRICE)}) AS total_cost")
     return sold.join(average, "product_id", "inner").groupBy("channel").agg(cost)
 
 
@@ -306,41 +334,48 @@ def net_profit(pl: DataFrame) -> DataFrame:
 
 
 def with_net(pl: DataFrame) -> DataFrame:
-    """The statement followed by its net rows."""
+    """The statement followed by its net rows; it is computed once, staged and read for both."""
+    pl = staged(pl, "statement")
     return pl.unionByName(net_profit(pl))
 
 
-def _expense_parts(ledger: DataFrame, accounts: DataFrame, rules: DataFrame, shares: DataFrame) -> DataFrame:
-    """All expense rows, each once per receiving channel, in one pass over the ledger.
+def _spread_costs(revenue: DataFrame, po_shares: DataFrame, share: str = SHARE) -> DataFrame:
+    """Income and cost rows, once per receiving channel; only shared costs have more than one."""
+    receivers = f"if(channel = {text(PRO_RATA)}, {channel_array(SALES_CHANNELS)}, array(channel))"
+    spread = revenue.selectExpr(*PL_COLUMNS[:4], f"channel = {text(PRO_RATA)} AS shared", f"explode({receivers}) AS channel")
+    part = f"CAST(if(shared, share, 1) AS {share})"
+    return _with_amount(spread.join(F.broadcast(po_shares), "channel", "left"), f"amount * {part}")
 
-    The rules of an account become one list (rules are few: they are written by hand). Listed
-    accounts get the listed value, or the two-way revenue share (commissions), or the whole
-    amount (kept accounts); accounts without a rule get the three-way revenue shares.
-    """
+
+def _expense_rows(ledger: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Expense rows of both kinds in one pass over the ledger."""
     section = f"if(account_type = 'Expense', {text(OPERATING_EXPENSE)}, {text(OTHER_EXPENSE)})"
-    rows = posted(ledger, accounts, ["Expense", "Other Expense"]).selectExpr(
+    return posted(ledger, accounts, ["Expense", "Other Expense"]).selectExpr(
         "account_name", f"{section} AS pl_section", "transaction_date", f"{money('debit_minus_credit')} AS amount"
     )
+
+
+def _spread_expenses(rows: DataFrame, rules: DataFrame, shares: DataFrame, share: str = SHARE) -> DataFrame:
+    """Expense rows, each once per receiving channel.
+
+    Listed accounts get the listed value, or the two-way revenue share (commissions), or the whole
+    amount (kept accounts), once per rule; accounts without a rule get the three-way revenue shares.
+    """
     by_type = f"""CASE WHEN type IN ({texts(RULED_EXPENSES)}) THEN {text(OPERATING_EXPENSE)}
         WHEN type = {text(kinds.OTHER_UNALLOCATED)} THEN {text(OTHER_EXPENSE)} END"""
-    payable = f"type <> {text(kinds.COMMISSION)} OR channel IN ({texts(COMMISSION_CHANNELS)})"
-    listed = (
-        rules.selectExpr("key AS account_name", f"{by_type} AS pl_section", "type", "channel", "value")
-        .groupBy("account_name", "pl_section")
-        .agg(F.expr(f"collect_list(struct(type, channel, value)) FILTER (WHERE {payable}) AS listed"))
-        .where("pl_section IS NOT NULL")
-    )
-    by_share = ", ".join(
-        f"named_struct('type', CAST(NULL AS STRING), 'channel', {text(c)}, 'value', {cast('NULL', QUANTITY)})"
-        for c in SALES_CHANNELS
-    )
+    ruled = rules.selectExpr("key AS account_name", f"{by_type} AS pl_section", "type", "channel AS listed", "value")
+    ruled = ruled.where("pl_section IS NOT NULL")
     kept_whole = texts([kinds.OPEX_UNALLOCATED, kinds.OTHER_UNALLOCATED])
     part = f"""CASE WHEN type IS NULL THEN share WHEN type = {text(kinds.COMMISSION)} THEN commission_share
         WHEN type IN ({kept_whole}) THEN 1 ELSE value END"""
-    spread = rows.join(listed, ["account_name", "pl_section"], "left").selectExpr(
-        *PL_COLUMNS[:4], f"inline(coalesce(listed, array({by_share})))"
+    payable = f"type IS NULL OR type <> {text(kinds.COMMISSION)} OR listed IN ({texts(COMMISSION_CHANNELS)})"
+    receivers = f"if(type IS NULL, {channel_array(SALES_CHANNELS)}, array(listed))"
+    spread = (
+        rows.join(ruled, ["account_name", "pl_section"], "left")
+        .where(payable)
+        .selectExpr(*PL_COLUMNS[:4], "type", "value", f"explode({receivers}) AS channel")
     )
-    return _with_amount(spread.join(F.broadcast(shares), "channel", "left"), f"amount * {cast(part, SHARE)}")
+    return _with_amount(spread.join(F.broadcast(shares), "channel", "left"), f"amount * {cast(part, share)}")
 
 
 def channel_statement(
@@ -351,30 +386,68 @@ def channel_statement(
     lines: DataFrame,
     invoices: DataFrame,
     po_items: DataFrame,
-    blank: BlankSellerRules = BlankSellerRules(),
+    blank: BlankSellerRules | TableSellerRules = BlankSellerRules(),
 ) -> DataFrame:
-    """``channel_pl`` of all parts with two passes over the ledger instead of one per part.
+    """``channel_pl`` of all parts with three passes over the ledger instead of one per part.
 
-    Income and cost rows pass once: shared costs are repeated per channel, all others stay
-    single. Expense rows pass once, with all rules of their account in one list.
+    Income and cost rows pass once for the rows and once for the revenue shares of all dates,
+    expense rows once, with the rules of their account joined to them.
     """
     revenue = channel_revenue(ledger, accounts, bridge, rules, blank)
     po_shares = po_cost_shares(channel_po_cost(lines, invoices, avg_po_cost(po_items), rules))
-    # every row becomes one row per receiving channel; only shared costs have more than one
-    receivers = f"if(channel = {text(PRO_RATA)}, {channel_array(SALES_CHANNELS)}, array(channel))"
-    spread = revenue.selectExpr(*PL_COLUMNS[:4], f"channel = {text(PRO_RATA)} AS shared", f"explode({receivers}) AS channel")
-    income_and_cost = _with_amount(
-        spread.join(F.broadcast(po_shares), "channel", "left"), f"amount * if(shared, share, {cast('1', SHARE)})"
-    )
-    return income_and_cost.unionByName(_expense_parts(ledger, accounts, rules, revenue_share_pairs(revenue)))
+    expense = _spread_expenses(_expense_rows(ledger, accounts), rules, revenue_share_pairs(revenue))
+    return _spread_costs(revenue, po_shares).unionByName(expense)
+
+
+def net_statement(
+    ledger: DataFrame,
+    accounts: DataFrame,
+    bridge: DataFrame,
+    rules: DataFrame,
+    lines: DataFrame,
+    invoices: DataFrame,
+    po_items: DataFrame,
+    blank: BlankSellerRules | TableSellerRules = BlankSellerRules(),
+) -> DataFrame:
+    """``net_profit`` of ``channel_statement`` without spreading a single ledger row.
+
+    A share is the same for all rows of a channel, so rows are summed to days first (income and
+    cost per section and channel, expenses per section and account) and the sums are spread.
+    """
+
+    def by_day(rows: DataFrame, *keys: str) -> DataFrame:
+        return rows.groupBy(*keys, "transaction_date").agg(F.expr(f"{cast('sum(amount)', DAY_SUM)} AS amount"))
+
+    revenue = channel_revenue(ledger, accounts, bridge, rules, blank)
+    po_shares = po_cost_shares(channel_po_cost(lines, invoices, avg_po_cost(po_items), rules))
+    days = by_day(revenue, "pl_section", "channel").selectExpr("*", f"{text(NET_ACCOUNT)} AS account_name")
+    spent = by_day(_expense_rows(ledger, accounts), "pl_section", "account_name")
+    expense = _spread_expenses(spent, rules, revenue_share_pairs(revenue), DAY_SHARE)
+    return net_profit(_spread_costs(days, po_shares, DAY_SHARE).unionByName(expense))
+
+
+def report_channels(rules: DataFrame) -> list[str]:
+    """The channels a statement can have: the fixed ones, then those that only rules name, in order.
+
+    One name per column of the pivot comes to the driver.
+    """
+    named = rules.where(f"channel IS NOT NULL AND channel NOT IN ({texts(REPORT_CHANNELS)})").select("channel").distinct()
+    return REPORT_CHANNELS + sorted(r["channel"] for r in named.collect())
 
 
 def profitability_pivot(
-    pl: DataFrame, first: dt.date | str | None = None, last: dt.date | str | None = None
+    pl: DataFrame,
+    first: dt.date | str | None = None,
+    last: dt.date | str | None = None,
+    channels: list[str] | None = None,
 ) -> DataFrame:
-    """Section x account by channel, sums of the chosen dates."""
+    """Section x account by channel, sums of the chosen dates.
+
+    ``channels`` come from ``report_channels``; a channel of the statement that isn't listed stops the job.
+    """
     dates = ("transaction_date", first, last) if first is not None and last is not None else None
-    return pivot_report(pl, ["pl_section", "account_name"], "channel", REPORT_CHANNELS, "amount", "sum", date_range=dates)
+    columns = channels or REPORT_CHANNELS
+    return pivot_report(pl, ["pl_section", "account_name"], "channel", columns, "amount", "sum", date_range=dates)
 
 
 # --- older rules, kept for statements of earlier periods ---
@@ -392,12 +465,12 @@ def assign_channel_basic(
     bridge = invoice_bridge(invoices).selectExpr(
         "invoice_id AS entity_id", "sales_person_id", "so_number", f"{text(INVOICE)} AS document"
     )
-    rows = left_join_spread_nulls(classify(posted(ledger, accounts, REVENUE_TYPES)), bridge, ["entity_id"])
+    rows = classify(posted(ledger, accounts, REVENUE_TYPES)).join(bridge, "entity_id", "left")
     channel = (
         f"CASE WHEN document IS NULL THEN {text(UNALLOCATED)} "
         f"WHEN sales_person_id IN ({texts(b2b_sellers)}) THEN {text(B2B)} "
         f"WHEN sales_person_id IN ({texts(club_sellers)}) THEN {text(CLUB)} "
-        f"{_blank_seller_branches(blank)} END"
+        f"{blank.branches()} END"
     )
     return rows.selectExpr(*PL_COLUMNS[:4], f"{channel} AS channel")
 

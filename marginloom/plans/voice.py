@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from marginloom.functions.calendar import minutes_between, wall_micros
 from marginloom.operators.asof import first_after
-from marginloom.operators.joins import HOT_ROWS, expand_seconds, hot_keys, tolerance_join
+from marginloom.operators.joins import expand_seconds, tolerance_join
 from marginloom.operators.textagg import joined_distinct
 from marginloom.types import ratio, text
 
@@ -80,8 +80,8 @@ def outgoing_calls(metrics: DataFrame, agents: DataFrame, logs: DataFrame) -> Da
     )
 
 
-def answered_incoming(logs: DataFrame, metrics: DataFrame, agents: DataFrame) -> DataFrame:
-    """One row per answered incoming call; several agents are listed by name."""
+def _answered_legs(logs: DataFrame, metrics: DataFrame, agents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Incoming calls, one row each, and who answered them, one row per call and agent."""
     calls = (
         logs.where(f"call_type = {text(INCOMING)} AND {_filled('customer_number')}")
         .groupBy("log_id")
@@ -89,12 +89,23 @@ def answered_incoming(logs: DataFrame, metrics: DataFrame, agents: DataFrame) ->
     )
     answered = metrics.where(f"hangup_cause = {text(ANSWERED)}")
     legs = answered.selectExpr("calllog_id AS log_id", "agent").distinct()
-    listed = legs.join(_agent_names(agents), "agent", "left").groupBy("log_id").agg(
-        F.expr(f"{joined_distinct('agent_name')} AS agent_name")
-    )
+    return calls, legs.join(_agent_names(agents), "agent", "left")
+
+
+def answered_incoming(logs: DataFrame, metrics: DataFrame, agents: DataFrame) -> DataFrame:
+    """One row per answered incoming call; several agents are listed by name."""
+    calls, legs = _answered_legs(logs, metrics, agents)
+    listed = legs.groupBy("log_id").agg(F.expr(f"{joined_distinct('agent_name')} AS agent_name"))
     return calls.join(listed, "log_id", "inner").select("log_id", "customer_number", "in_time", "agent_name")
 
 
+def answered_by_agent(logs: DataFrame, metrics: DataFrame, agents: DataFrame) -> DataFrame:
+    """One row per answered incoming call and agent name (NULL for unknown agents)."""
+    calls, legs = _answered_legs(logs, metrics, agents)
+    named = legs.select("log_id", "agent_name").distinct()
+    return calls.join(named, "log_id", "inner").select("log_id", "customer_number", "in_time", "agent_name")
+
+
 def missed_calls(logs: DataFrame) -> DataFrame:
     """Missed calls with a known customer number."""
     return logs.where(f"call_type = {text(MISSED)} AND {_filled('customer_number')}").selectExpr(
@@ -137,32 +148,40 @@ def callback_candidates(logs: DataFrame, outgoing: DataFrame, incoming: DataFram
     )
 
 
-def callback_agents(
-    logs: DataFrame, outgoing: DataFrame, incoming: DataFrame, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def _timed_calls(outgoing: DataFrame, incoming: DataFrame, *columns: str) -> DataFrame:
+    calls = returning_calls(outgoing, incoming).where(_filled("customer_number"))
+    return calls.selectExpr("customer_number", *columns, f"{wall_micros('out_time')} AS _at")
+
+
+def callback_minutes(logs: DataFrame, outgoing: DataFrame, incoming: DataFrame) -> DataFrame:
+    """One row per missed call: minutes to the customer's first later call, whoever took it.
+
+    Only the customer's calls are looked at, not who made them.
+    """
+    points = missed_calls(logs).selectExpr("*", f"{wall_micros('missed_at')} AS _missed")
+    timed = first_after(points, _timed_calls(outgoing, incoming), ["customer_number"], "_missed", "_at", "_first")
+    minutes = f"min({minutes_between('_missed', '_first')}) AS mins_to_callback"
+    return timed.groupBy("missed_id").agg(*[_max(c, c) for c in MISSED_COLUMNS[1:]], F.expr(minutes))
+
+
+def callback_agents(logs: DataFrame, outgoing: DataFrame, incoming: DataFrame) -> DataFrame:
     """Missed call x agent in contact with the customer: minutes to that agent's first later call.
 
     One row per missed call, direction and agent, however many calls there were; the minutes
     are NULL for an agent who called only before the miss. A missed call whose customer had
-    no other contact gives one row without agent and direction. Customers with at least
-    ``hot_rows`` calls, and a large part of all, are cut by time.
+    no other contact gives one row without agent and direction. With ``incoming`` from
+    ``answered_by_agent`` there are at most two rows per agent; with lists of agents from
+    ``answered_incoming``, as the list of ``callback_summary`` needs them, one per list.
     """
     # one text per direction and agent that keeps an unknown agent apart from every name
     contact = "concat(call_direction, coalesce(concat(' by ', callback_agent), '')) AS _contact"
-    calls = (
-        returning_calls(outgoing, incoming)
-        .where(_filled("customer_number"))
-        .selectExpr("customer_number", contact, f"{wall_micros('out_time')} AS _at")
-    )
+    calls = _timed_calls(outgoing, incoming, contact)
     contacts = calls.select("customer_number", "_contact").distinct()
     missed = missed_calls(logs).selectExpr("missed_id", "customer_number", "missed_at", "was_returned")
-    hot = hot_keys(logs, ["customer_number"], hot_rows)
     points = missed.join(contacts, "customer_number", "left").selectExpr(
         *missed.columns, "coalesce(_contact, '') AS _contact", f"{wall_micros('missed_at')} AS _missed"
     )
-    timed = first_after(
-        points, calls, ["customer_number", "_contact"], "_missed", "_at", "_first", hot, ["customer_number"]
-    )
+    timed = first_after(points, calls, ["customer_number", "_contact"], "_missed", "_at", "_first")
     return timed.selectExpr(
         "missed_id",
         "customer_number",
@@ -222,7 +241,7 @@ def callback_report(summary: DataFrame, year: int | None = None, service_minutes
 
 
 def callback_rate(summary: DataFrame, by: list[str], service_minutes: int = SERVICE_MINUTES) -> DataFrame:
-    """Share of missed calls that were returned, and returned in time."""
+    """Share of missed calls that were returned, and returned in time; ``callback_minutes`` is all it needs."""
     counts = {
         "missed": "count(*)",
         "returned": "count(mins_to_callback)",

@@ -1,6 +1,7 @@
 """Reading source tables, importing CSV and text lists, loading rules, publishing results."""
 
 from marginloom.sources.rules import (
+    HeaderError,
     RuleError,
     append_rules,
     load_rules,
@@ -12,6 +13,7 @@ from marginloom.sources.schemas import SCHEMAS
 from marginloom.sources.tables import publish_table, publish_view, read_csv, read_invoice_list, read_table
 
 __all__ = [
+    "HeaderError",
     "RuleError",
     "SCHEMAS",
     "append_rules",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from marginloom.types import quantity, text
 
 RULE_COLUMNS = ["type", "key", "channel", "value", "description"]
-RULES_TEXT = ", ".join(f"{c} STRING" for c in RULE_COLUMNS)
 
 # The rule types the P&L reads.
 SALESPERSON = "salesperson"
@@ -26,6 +26,24 @@ SO_PREFIX = "so_prefix"
 DEFAULT_CHANNEL = "default_channel"
 
 
+class HeaderError(ValueError):
+    """A file lacks a column or has one twice."""
+
+
+def read_by_header(spark: SparkSession, path: str, columns: Iterable[str]) -> DataFrame:
+    """A CSV file's columns as texts, found by their names in the header, in whatever order they stand.
+
+    Case, blanks and signs in a name don't matter (``Plan Month`` is plan_month); other columns are left out.
+    """
+    raw = spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
+    plain = [re.sub(r"[^a-z0-9]+", "_", c.strip().lower()).strip("_") for c in raw.columns]
+    wrong = [c for c in columns if plain.count(c) != 1]
+    if wrong:
+        raise HeaderError(f"{path}: columns {wrong} are not there once each; the header has {raw.columns}")
+    named = raw.toDF(*[f"c{i}" for i in range(len(plain))])
+    return named.selectExpr(*[f"c{plain.index(c)} AS {c}" for c in columns])
+
+
 class RuleError(ValueError):
     """The rules table would give wrong amounts."""
 
@@ -50,7 +68,7 @@ def load_rules(spark: SparkSession, path: str) -> DataFrame:
     """
     from marginloom.plans.quality import damaged_keys, duplicate_rules
 
-    raw = spark.read.schema(RULES_TEXT).option("header", True).option("mode", "FAILFAST").csv(path)
+    raw = read_by_header(spark, path, RULE_COLUMNS)
     value = quantity("nullif(trim(value), '')")
     rules = raw.selectExpr("type", "key", "channel", f"{value} AS value", "description")
     doubled = duplicate_rules(rules).limit(5).collect()

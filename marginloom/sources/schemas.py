@@ -96,6 +96,3 @@ SCHEMAS: dict[str, str] = {
     "credit_notes": _table(creditnote_id="text", sales_person_id="text"),
     "po_items": _table(product_id="text", item_price="money", quantity="qty"),
 }
-
-# Header of the monthly plan file, in file order.
-PLAN_CSV_HEADER = ["SKU", "Plan Month", "Planned Qty"]

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
+from marginloom.sources.rules import read_by_header
 from marginloom.sources.schemas import SCHEMAS
 
 
@@ -13,17 +16,13 @@ def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """A hand-imported table (plan, manual spend ...); columns by position, types declared.
+    """A hand-imported table (plan, manual spend ...); columns by the names in the header, types declared.
 
     A value that does not fit its type stops the job instead of turning into NULL.
     """
-    return (
-        spark.read.schema(SCHEMAS[name])
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("mode", "FAILFAST")
-        .csv(path)
-    )
+    fields = [part.strip().split(" ", 1) for part in re.split(r",\s*(?![^(]*\))", SCHEMAS[name])]
+    texts = read_by_header(spark, path, [column for column, _ in fields])
+    return texts.selectExpr(*[f"CAST({column} AS {kind}) AS {column}" for column, kind in fields])
 
 
 def read_invoice_list(spark: SparkSession, path: str) -> DataFrame:

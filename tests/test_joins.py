@@ -8,14 +8,11 @@ from marginloom.operators import (
     first_after,
     first_row_flag,
     joined_distinct,
-    left_join_hot_right,
-    left_join_spread_nulls,
+    left_join_lines,
     newest_first,
     pivot_report,
-    scaffold_join,
     tolerance_join,
 )
-from marginloom.operators.joins import hot_keys
 
 
 def test_exclusion_keeps_null(make, got):
@@ -24,34 +21,10 @@ def test_exclusion_keeps_null(make, got):
     assert got(kinds.where(exclude_keep_null("k", ["it's"]))) == [(None,), ("dealer",), ("retail",)]
 
 
-def test_hot_keys_are_found(make):
-    rows = [("hot",)] * 60 + [(f"k{i}",) for i in range(40)] + [(None,)] * 30
-    table = make("k STRING", rows)
-    found = {r["_hot"] for r in hot_keys(table, ["k"], hot_rows=5).collect()}
-    assert found == {r[0] for r in table.where("k = 'hot'").selectExpr("xxhash64(k)").distinct().collect()}
-    assert hot_keys(table, ["k"]).count() == 0
-
-
-@pytest.mark.parametrize("hot_rows", [3, 1_000_000])
-def test_hot_right_join_equals_plain_join(make, got, hot_rows):
+def test_join_with_lines_equals_plain_left_join(make, got):
     left = make("k STRING, h STRING", [("hot", "h1"), ("hot", "h2"), ("a", "h3"), ("b", "h4"), ("none", "h5"), (None, "h6")])
     right = make("k STRING, v INT", [("hot", i % 7) for i in range(200)] + [("a", 1), ("a", 1), ("b", 2), (None, 9)])
-    spread = left_join_hot_right(left, right, ["k"], hot_rows=hot_rows)
-    assert got(spread, "k", "h", "v") == got(left.join(right, "k", "left"), "k", "h", "v")
-
-
-def test_null_keys_are_spread_and_kept(make, got):
-    left = make("k STRING, h INT", [(None, i) for i in range(50)] + [("a", 1), ("b", 2)])
-    right = make("k STRING, v STRING", [("a", "x"), ("a", "y"), (None, "z")])
-    joined = left_join_spread_nulls(left, right, ["k"])
-    assert got(joined, "k", "h", "v") == got(left.join(right, "k", "left"), "k", "h", "v")
-
-
-def test_scaffold_join_keeps_empty_cells(make, got):
-    scaffold = make("w STRING, c STRING", [("1", "x"), ("1", "y"), ("2", "x")])
-    facts = make("w STRING, c STRING, v INT", [("1", "x", 5), ("1", "x", 6), ("9", "x", 7)])
-    joined = scaffold_join(scaffold, facts, ["w", "c"])
-    assert got(joined, "w", "c", "v") == [("1", "x", 5), ("1", "x", 6), ("1", "y", None), ("2", "x", None)]
+    assert got(left_join_lines(left, right, ["k"]), "k", "h", "v") == got(left.join(right, "k", "left"), "k", "h", "v")
 
 
 def test_expand_seconds(make, got):
@@ -81,19 +54,16 @@ def test_tolerance_join_equals_nested_loops(make, got):
     assert sorted((str(r["i"]), str(r["j"])) for r in joined.collect()) == expected
 
 
-@pytest.mark.parametrize("hot_rows", [10, 1_000_000])
-def test_first_after_equals_brute_force(make, hot_rows):
+@pytest.mark.parametrize("bucket_seconds", [3600 * 2, 10**9])
+def test_first_after_equals_brute_force(make, bucket_seconds):
     rng = random.Random(11)
     hour = 3600 * 1_000_000
     at = lambda: rng.randrange(0, 72) * hour // 3
     points = [("hot", at(), f"p{i}") for i in range(120)] + [(rng.choice("abc"), at(), f"q{i}") for i in range(12)]
     events = [("hot", at()) for _ in range(40)] + [(rng.choice("ab"), at()) for _ in range(6)]
     expected = {i: min((e for q, e in events if q == k and e > p), default=None) for k, p, i in points}
-    table = make("k STRING, p BIGINT, id STRING", points)
-    hot = hot_keys(table, ["k"], hot_rows=hot_rows)
-    found = first_after(
-        table, make("k STRING, e BIGINT", events), ["k"], "p", "e", "n", hot, ["k"], bucket_seconds=3600 * 2
-    )
+    table, happened = make("k STRING, p BIGINT, id STRING", points), make("k STRING, e BIGINT", events)
+    found = first_after(table, happened, ["k"], "p", "e", "n", bucket_seconds)
     assert found.columns == ["k", "p", "id", "n"]
     assert {r["id"]: r["n"] for r in found.collect()} == expected
 
@@ -118,9 +88,18 @@ def test_pivot_report_filters_before_it_pivots(make, got):
         "a STRING, c STRING, v DECIMAL(18,4), d DATE",
         [("x", "L", 1, "2024-01-01"), ("x", "R", 2, "2024-01-02"), ("x", "L", 4, "2024-02-01"), ("y", "M", 8, "2024-01-03")],
     )
-    pivot = pivot_report(rows, ["a"], "c", ["L", "R"], "v", date_range=("d", "2024-01-01", "2024-01-31"))
-    assert got(pivot) == [("x", 1.0, 2.0), ("y", None, None)]
-    assert got(pivot_report(rows, ["a"], "c", ["L"], "v", "min", where="a = 'x'")) == [("x", 1.0)]
+    dates = ("d", "2024-01-01", "2024-01-31")
+    pivot = pivot_report(rows, ["a"], "c", ["L", "R", "M"], "v", date_range=dates)
+    assert got(pivot) == [("x", 1.0, 2.0, None), ("y", None, None, 8.0)]
+    assert got(pivot_report(rows, ["a"], "c", ["L", "R"], "v", "min", where="a = 'x'")) == [("x", 1.0, 2.0)]
+    two = pivot_report(rows, ["a"], "c", ["L", "R"], {"sum": "v", "twice": "v * 2"}, where="a = 'x'")
+    assert two.columns == ["a", "L_sum", "L_twice", "R_sum", "R_twice"] and got(two) == [("x", 5.0, 10.0, 2.0, 4.0)]
+
+
+def test_pivot_report_stops_at_a_value_without_column(make):
+    rows = make("a STRING, c STRING, v INT", [("x", "L", 1), ("x", "M", 2)])
+    with pytest.raises(Exception, match="no pivot column for c M"):
+        pivot_report(rows, ["a"], "c", ["L"], "v").collect()
 
 
 def test_newest_first(make):

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from marginloom.plans import pnl, quality
 from marginloom.sources import rules_from_rows
@@ -118,8 +119,9 @@ def test_every_branch_of_the_channel_priority(revenue, got):
 
 def test_blank_seller_rules_can_be_read_from_the_rules_table(books):
     blank = pnl.BlankSellerRules.from_rules(books["rules"])
-    assert blank.prefixes == (("0089400", "Costco"), ("SO-EB-", "Retail"))
-    assert (blank.invoice, blank.credit_note, blank.other_seller) == ("B2B", "Retail", "Retail")
+    one = blank.table.first()["blank"]
+    assert [(p["key"], p["channel"]) for p in one["prefixes"]] == [("0089400", "Costco"), ("SO-EB-", "Retail")]
+    assert (one["invoice"], one["credit_note"], one["other_seller"]) == ("B2B", "Retail", "Retail")
     table = pnl.channel_revenue(books["ledger"], books["accounts"], books["bridge"], books["rules"], blank)
     # without its prefix rule the order falls to the default
     assert {float(r["amount"]): r["channel"] for r in table.collect()}[13.0] == "B2B"
@@ -221,6 +223,39 @@ def test_pivot_with_dates(books, got):
     assert pivot.where("account_name = 'Fines'").count() == 0
 
 
+def test_pivot_holds_every_channel_that_occurs(spark, books):
+    more = rules_from_rows(spark, [("vendor", "v9", "Wholesale", None), ("unalloc_opex", "Rent", "Head office", None)])
+    wide = dict(books, rules=books["rules"].unionByName(more))
+    statement = pnl.channel_statement(**wide)
+    channels = pnl.report_channels(wide["rules"])
+    assert channels == ["B2B", "Retail", "Costco", "Unallocated", "Head office", "Wholesale"]
+    assert statement.where("channel = 'Head office'").count() > 0
+    pivot = pnl.profitability_pivot(statement, channels=channels)
+    total = sum(v or 0 for r in pivot.select(*channels).collect() for v in r)
+    assert total == statement.agg(F.sum("amount")).first()[0]
+    with pytest.raises(Exception, match="no pivot column"):
+        pnl.profitability_pivot(statement).collect()
+
+
+def test_net_statement_equals_net_of_the_statement(books, got):
+    columns = ["pl_section", "account_name", "transaction_date", "amount", "channel"]
+    assert got(pnl.net_statement(**books), *columns) == got(pnl.net_profit(pnl.channel_statement(**books)), *columns)
+
+
+def test_entity_types_that_stay_unallocated_come_from_the_rules(books):
+    shared = lambda rules: pnl.channel_revenue(
+        books["ledger"], books["accounts"], books["bridge"], rules
+    ).where("channel = 'ProRataAlloc'").count()
+    all_rules = books["rules"]
+    assert shared(all_rules.where("key <> 'inventory_adjustment_by_quantity'")) == shared(all_rules) + 1
+
+
+def test_any_number_of_prefix_rules(spark, books):
+    many = rules_from_rows(spark, [("so_prefix", f"X{i:05d}", "Retail", None) for i in range(3000)])
+    blank = pnl.BlankSellerRules.from_rules(books["rules"].unionByName(many))
+    assert len(blank.table.first()["blank"]["prefixes"]) == 3002
+
+
 def test_older_rules(books, opex, got):
     split = pnl.fixed_split(opex, include=["Rent"])
     assert got(split, "channel", "amount") == [("B2B", 37.2511), ("Costco", 12.8029), ("Retail", 49.946)]

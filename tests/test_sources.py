@@ -2,6 +2,7 @@ import pytest
 
 from marginloom.plans import quality as q
 from marginloom.sources import (
+    HeaderError,
     RuleError,
     append_rules,
     load_rules,
@@ -26,6 +27,18 @@ def test_plan_csv(spark, tmp_path, got):
     assert got(plan, "sku", "planned_qty") == [("A-1", 6.1), ("B-1", 5.0)]
 
 
+def test_columns_are_found_by_name(spark, tmp_path, got):
+    plan = tmp_path / "plan.csv"
+    plan.write_text("Planned Qty,Note,sku,PLAN MONTH\n6.1,x,A-1,2025-11-01\n")
+    assert got(read_csv(spark, str(plan), "plan_monthly"), "sku", "planned_qty") == [("A-1", 6.1)]
+    rules = tmp_path / "rules.csv"
+    rules.write_text("Type,Channel,Key,Description,Value\nvendor,Retail,123,d,\n")
+    assert got(load_rules(spark, str(rules)), "type", "key", "channel") == [("vendor", "123", "Retail")]
+    rules.write_text("Type,Channel,Name,Description,Value\nvendor,Retail,123,d,\n")
+    with pytest.raises(HeaderError, match="key"):
+        load_rules(spark, str(rules))
+
+
 def test_bad_csv_value_stops_the_job(spark, tmp_path):
     path = tmp_path / "plan.csv"
     path.write_text("SKU,Plan Month,Planned Qty\nA-1,soon,6.1\n")
