@@ -34,17 +34,32 @@ def _words(text: Column) -> Column:
     return F.array_remove(F.split(text, f"{_SPACE}+"), "")
 
 
-def _hashed(words: Column, features: int) -> Column:
-    """Features of the words and of the pairs of adjacent words."""
-    bucket = lambda *parts: F.pmod(F.xxhash64(*parts), F.lit(features)).cast("int")
-    pairs = F.zip_with(words, F.slice(words, 2, F.greatest(F.size(words), F.lit(1))), lambda a, b: F.when(b.isNotNull(), bucket(a, b)))
-    return F.concat(F.transform(words, lambda w: bucket(w)), F.array_compact(pairs))
+def _joined(hashes: Column, n: Column, step: int) -> Column:
+    """Hashes of stretches twice as long: each with the one ``step`` further; ``n`` come out, none if n < 1."""
+    count = F.greatest(n, F.lit(0))
+    return F.zip_with(F.slice(hashes, 1, count), F.slice(hashes, step + 1, count), lambda a, b: F.xxhash64(a, b))
 
 
-def feature_counts(docs: DataFrame, features: int = FEATURES) -> DataFrame:
-    """feature, n over all texts of ``docs``."""
-    words = docs.select(_words(F.coalesce(F.col("text"), F.lit(""))).alias("words"))
-    return words.select(F.explode(_hashed(F.col("words"), features)).alias("feature")).groupBy("feature").agg(F.count("*").alias("n"))
+def _grams(words: Column) -> tuple[Column, Column]:
+    """Hashes of the words, and of the pairs of adjacent words."""
+    single = F.transform(words, lambda w: F.xxhash64(w))
+    return single, _joined(single, F.size(single) - 1, 1)
+
+
+def _feature(gram: Column, features: int) -> Column:
+    return F.pmod(gram, F.lit(features)).cast("int")
+
+
+def feature_counts(docs: DataFrame, trusted: DataFrame, scratch: Scratch, features: int = FEATURES) -> DataFrame:
+    """feature, c (count over all texts), t (count over the trusted ones), in one pass over the words."""
+    ids = trusted.select("doc_id").where("doc_id IS NOT NULL").distinct()
+    marked = scratch.table(ids, "trusted").withColumn("trusted", F.lit(1))
+    # labels grow with the documents: never broadcast, at any size
+    known = docs.select("doc_id", "text").join(marked.hint("merge"), "doc_id", "left")
+    texts = known.select("trusted", _words(F.coalesce(F.col("text"), F.lit(""))).alias("words"))
+    grams = texts.select("trusted", F.explode(F.concat(*_grams(F.col("words")))).alias("gram"))
+    counts = grams.groupBy(_feature(F.col("gram"), features).alias("feature"))
+    return counts.agg(F.count("*").alias("c"), F.count("trusted").alias("t"))
 
 
 def feature_weights(docs: DataFrame, trusted: DataFrame, scratch: Scratch, features: int = FEATURES) -> DataFrame:
@@ -53,13 +68,9 @@ def feature_weights(docs: DataFrame, trusted: DataFrame, scratch: Scratch, featu
     ``trusted`` has the doc_ids of the trusted documents; null ids match nothing. With no trusted document
     all weights are what the added counts give.
     """
-    target = docs.join(trusted.select("doc_id").distinct(), "doc_id", "left_semi")
-    corpus = scratch.table(feature_counts(docs, features), "corpus-counts")
-    target = scratch.table(feature_counts(target, features), "target-counts")
+    counted = scratch.table(feature_counts(docs, trusted, scratch, features), "counts")
     every = docs.sparkSession.range(features).select(F.col("id").cast("int").alias("feature"))
-    counts = every.join(corpus.withColumnRenamed("n", "c"), "feature", "left").join(
-        target.withColumnRenamed("n", "t"), "feature", "left"
-    )
+    counts = every.join(counted, "feature", "left")
     rows = F.sort_array(
         F.collect_list(F.struct("feature", (F.coalesce("t", F.lit(0)) + 1).alias("t"), (F.coalesce("c", F.lit(0)) + 1).alias("c")))
     )
@@ -69,13 +80,15 @@ def feature_weights(docs: DataFrame, trusted: DataFrame, scratch: Scratch, featu
     return scratch.table(one.select(weight.alias("weights")), "weights")
 
 
-def _repeat_words(words: Column, hashes: Column) -> Column:
+def _repeat_words(words: Column, pairs: Column) -> Column:
     """Words inside windows of WINDOW words that occur twice or more.
 
-    Texts whose windows all have different hashes, nearly all, have none; in others the windows themselves
-    are sorted, equal neighbours give the places of repeated windows, and their lengths without overlap are added.
+    Where all stretches of half a window, or all windows, have different hashes, as in nearly all
+    texts, there are none. In others the windows themselves are sorted, equal neighbours give the
+    places of repeated windows, and their lengths without overlap are added.
     """
-    starts = F.sequence(F.lit(1), F.size(words) - (WINDOW - 1))
+    n = F.size(words)
+    starts = F.sequence(F.lit(1), n - (WINDOW - 1))
     windows = F.transform(starts, lambda i: F.struct(F.array_join(F.slice(words, i, WINDOW), " ").alias("w"), i.alias("i")))
     following = lambda s: F.slice(s, 2, F.size(s))
     none = F.array().cast("array<int>")
@@ -87,29 +100,31 @@ def _repeat_words(words: Column, hashes: Column) -> Column:
         F.lit(0),
         lambda s, x: s + x,
     )
-    some = F.size(F.array_distinct(hashes)) < F.size(hashes)
     exact = _let(F.sort_array(windows), lambda s: _let(F.sort_array(F.array_distinct(twice(s))), lambda p: F.when(F.size(p) > 0, covered(p)).otherwise(0)))
-    return F.when(some, exact).otherwise(0)
+    alike = lambda hashes: F.size(F.array_distinct(hashes)) < F.size(hashes)
+    whole = lambda half: F.when(alike(_joined(half, n - (WINDOW - 1), WINDOW // 2)), exact).otherwise(0)
+    return F.when(
+        n > WINDOW, _let(_joined(pairs, n - (WINDOW // 2 - 1), 2), lambda half: F.when(alike(half), whole(half)).otherwise(0))
+    ).otherwise(0)
 
 
 def _judged(docs: DataFrame, weights: DataFrame, features: int, threshold: float) -> tuple[DataFrame, list[str]]:
     """``docs`` with the columns of the verdict, under names that don't clash; and those names, in order."""
     name = lambda c: f"_quality_{c}"
-    text, words, hashes, found, ratios = (F.col(name(c)) for c in ("text", "words", "hashes", "features", "weights"))
+    text, words, single, pairs, ratios = (F.col(name(c)) for c in ("text", "words", "single", "pairs", "weights"))
     split = docs.withColumn(name("text"), F.coalesce(F.col("text"), F.lit(""))).withColumn(name("words"), _words(text))
-    windows = F.transform(F.sequence(F.lit(1), F.size(words) - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(words, i, WINDOW)))
-    hashed = split.withColumn(name("features"), _hashed(words, features)).withColumn(
-        name("hashes"), F.when(F.size(words) > WINDOW, windows).otherwise(F.array().cast("array<bigint>"))
-    )
+    hashed = split.withColumn(name("single"), _grams(words)[0])
+    hashed = hashed.withColumn(name("pairs"), _joined(single, F.size(single) - 1, 1))
     hashed = hashed.withColumn(name("weights"), weights.scalar())
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(f"[^{_SPACE[1:]}"))
-    ratio = F.aggregate(found, F.lit(0.0), lambda s, f: s + F.get(ratios, f)) / F.greatest(F.size(found), F.lit(1))
+    added = lambda grams: F.aggregate(grams, F.lit(0.0), lambda s, g: s + F.get(ratios, _feature(g, features)))
+    ratio = (added(single) + added(pairs)) / F.greatest(F.size(single) + F.size(pairs), F.lit(1))
     counts = {
         "n_words": F.size(words),
-        "word_chars": F.length(text) - F.regexp_count(text, F.lit(_SPACE)),
+        "word_chars": F.length(F.array_join(words, "")),
         "n_symbols": F.length(text) - F.length(F.translate(text, SYMBOLS, "")),
         "n_dup_lines": _let(lines, lambda ls: F.size(ls) - F.size(F.array_distinct(ls))),
-        "n_repeat_words": _repeat_words(words, hashes),
+        "n_repeat_words": _repeat_words(words, pairs),
     }
     judged = hashed.select(
         *[F.col(f"`{c}`") for c in docs.columns],

@@ -78,7 +78,9 @@ def test_log_ratio_is_that_of_the_counts(spark):
     words = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for _, t in rows]
     asked = [tuple(w) for ws in words for w in [*zip(ws), *zip(ws, ws[1:])]]  # noqa: B905
     pairs = spark.createDataFrame([(a[0], a[1] if len(a) > 1 else None) for a in set(asked)], "a string, b string")
-    bucket = F.when(F.col("b").isNull(), F.pmod(F.xxhash64("a"), F.lit(features))).otherwise(F.pmod(F.xxhash64("a", "b"), F.lit(features)))
+    bucket = F.when(F.col("b").isNull(), F.pmod(F.xxhash64("a"), F.lit(features))).otherwise(
+        F.pmod(F.xxhash64(F.xxhash64("a"), F.xxhash64("b")), F.lit(features))
+    )
     of = {(r.a, r.b): r.f for r in pairs.select("a", "b", bucket.alias("f")).collect()}
     feats = [[of[(*x, None)[:2]] for x in [*zip(ws), *zip(ws, ws[1:])]] for ws in words]  # noqa: B905
     corpus, target = Counter(f for fs in feats for f in fs), Counter(f for (i, _), fs in zip(rows, feats, strict=True) if i in ids for f in fs)
