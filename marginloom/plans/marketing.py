@@ -13,6 +13,7 @@ from marginloom.functions.channels import OrderRules, order_channel, order_chann
 from marginloom.functions.text import name_segment
 from marginloom.operators.joins import exclude_keep_null, left_join_lines, unfilled_scaffold
 from marginloom.operators.report import is_first, newest_first, same_group, smallest_ids
+from marginloom.staging import staged
 from marginloom.types import TOTAL_MONEY, cast, money, text, texts
 
 # Fixed value: exchange rate of platform spend.
@@ -197,12 +198,10 @@ def weekly_payments(
     )
 
 
-def _named_lines(headers: DataFrame, lines: DataFrame, items: DataFrame, categories: DataFrame, line: list[str]) -> DataFrame:
-    """Headers with their lines, and the item and category of each."""
-    return (
-        left_join_lines(headers, lines.selectExpr("invoice_id", "product_id", *line), ["invoice_id"])
-        .join(items.selectExpr("item_id AS product_id", "sku", "category_id"), "product_id", "left")
-        .join(categories.select("category_id", "category_name"), "category_id", "left")
+def _with_categories(lines: DataFrame, items: DataFrame, categories: DataFrame) -> DataFrame:
+    """Invoice lines with the item and category of each."""
+    return lines.join(items.selectExpr("item_id AS product_id", "sku", "category_id"), "product_id", "left").join(
+        categories.select("category_id", "category_name"), "category_id", "left"
     )
 
 
@@ -243,7 +242,8 @@ def sales_and_spend(
     Invoice lines are shuffled by invoice only. What there is per week and channel is put on the
     scaffold first, whose rows the calendar bounds, and meets the headers in a broadcast; what
     there is per group of the flag is one row per group, with the minimum from a pass over the
-    three line columns that it needs.
+    three line columns that it needs. The headers are needed for the lines, the minimum and the
+    empty weeks: they are staged, so their joins run once, when this function is called.
     """
     week_and_channel = ["year_week", "channel"]
     per_cell = set(spend_on) == set(week_and_channel)
@@ -258,8 +258,9 @@ def sales_and_spend(
     if per_cell:
         cells = cells.join(spent, on_spend, "left")
     buyers = customers.select("customer_id", "contact_type", "account_type")
-    keyed = closed.withColumnRenamed("invoice_week", "year_week")
-    retail = keyed.join(buyers, "customer_id", "left").where(exclude_keep_null("account_type", dealers))
+    keyed = closed.withColumnRenamed("invoice_week", "year_week").join(buyers, "customer_id", "left")
+    keyed = staged(keyed.where(f"year_week <= {week_key(as_date(as_of))}"), "closed-invoices")
+    retail = keyed.where(exclude_keep_null("account_type", dealers))
     # at most one row per week of the calendar and listed channel
     headers = retail.join(F.broadcast(cells), week_and_channel, "inner").selectExpr("*", "year_week AS invoice_week")
     empty_cells = unfilled_scaffold(cells, retail if exclude_before_join else keyed, week_and_channel)
@@ -267,14 +268,18 @@ def sales_and_spend(
     unique_by = ["invoice_id", "sales_order_id", "product_id"] if unique_flag else None
     weeks = F.broadcast(cells.select(*week_and_channel))
     slim = retail.select("invoice_id", "sales_order_id", *week_and_channel).join(weeks, week_and_channel, "left_semi")
-    groups = smallest_ids(_named_lines(slim, lines, items, categories, ["item_id"]), flag_group, "item_id", unique_by)
+    slim = slim.join(lines.select("invoice_id", "product_id", "item_id"), "invoice_id", "inner")
+    slim = slim if per_cell else _with_categories(slim, items, categories)
+    groups = smallest_ids(slim, flag_group, "item_id", unique_by)
     if not per_cell:
         of_group = {c: f"_g{flag_group.index(c)}" for c in spend_on}
         on_group = reduce(and_, [F.col(of_group[c]) == F.col(f"_{s}") for c, s in spend_on.items()])
         groups = groups.join(spent, on_group, "left")
 
-    line = ["item_id", "item_name", "quantity", "total AS item_total", "warehouse_id"]
-    rows = _named_lines(headers, lines, items, categories, line).join(
+    line = lines.selectExpr(
+        "invoice_id", "product_id", "item_id", "item_name", "quantity", "total AS item_total", "warehouse_id"
+    )
+    rows = _with_categories(left_join_lines(headers, line, ["invoice_id"]), items, categories).join(
         sales_persons.selectExpr("sales_person_id", "name AS sales_person"), "sales_person_id", "left"
     )
     flagged = (
