@@ -21,7 +21,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType
 
 SPACE = "▁"
 #: Words a worker remembers; at the limit it forgets those that aren't in use just then, which costs time only.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 #: Words of several texts that are looked up together.
 WORDS_AT_ONCE = 100_000
 #: Symbols of new words that are encoded at once.
@@ -53,7 +53,7 @@ class PieceCodec:
         self.surface = [p.replace(SPACE, " ").encode() for p in pieces]
         for b, i in enumerate(self.byte_ids):
             self.surface[i] = bytes([b])
-        self.control = frozenset(i for i in range(n) if model.is_control(i))
+        self.is_control = np.array([model.is_control(i) for i in range(n)])
         self.surface[model.unk_id()] = " ⁇ ".encode()
         #: ids whose text may begin with a space that is their own
         self.unspaced = frozenset([*self.byte_ids, model.unk_id()])
@@ -252,17 +252,15 @@ class PieceCodec:
 
     def decode(self, ids: Iterable[int]) -> str:
         """Text of ids: surfaces joined, the space before the first word left out, broken bytes as U+FFFD."""
-        parts: list[list[int]] = [[]]
-        for i in ids:
-            if i in self.control:
-                parts.append([])  # bytes on both sides of a control id don't form a character
-            else:
-                parts[-1].append(i)
-        first = next((p[0] for p in parts if p), None)
+        ids = np.asarray(ids if isinstance(ids, np.ndarray) else list(ids), np.int64)
+        parts = [ids]
+        if self.is_control[ids].any():  # bytes on both sides of a control id don't form a character
+            parts = [p[~self.is_control[p]] for p in np.split(ids, np.flatnonzero(self.is_control[ids]))]
+        first = next((int(p[0]) for p in parts if len(p)), None)
         skip = first is not None and first not in self.unspaced and self.surface[first].startswith(b" ")
-        surface = self.surface
-        texts = [b"".join(map(surface.__getitem__, p)).decode("utf-8", "one-by-one") for p in parts]
-        return "".join(texts)[skip:]
+        surface = self.surface.__getitem__
+        texts = [b"".join(map(surface, p.tolist())).decode("utf-8", "one-by-one") for p in parts]
+        return "".join(texts)[skip:] if len(texts) > 1 else texts[0][skip:]
 
 
 _codecs: dict[str, PieceCodec] = {}
@@ -291,6 +289,18 @@ def decode_pieces(ids: Column, model_file: str) -> Column:
     @F.pandas_udf(StringType())
     def decode(column: pd.Series) -> pd.Series:
         to_text = codec(model_file).decode
-        return pd.Series(["" if x is None else to_text(x.tolist()) for x in column], dtype=object)
+        return pd.Series(["" if x is None else to_text(x) for x in column], dtype=object)
 
     return decode(ids)
+
+
+def round_trip(text: Column, model_file: str) -> Column:
+    """Struct of the ids of a text column and the text they decode to, both made in one Python worker."""
+
+    @F.pandas_udf("ids array<int>, decoded string")
+    def both(texts: pd.Series) -> pd.DataFrame:
+        own = codec(model_file)
+        ids = own.encode(texts)
+        return pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": [own.decode(x) for x in ids]})
+
+    return both(text)

@@ -12,8 +12,9 @@ from .line_spread import MIN_SITES, drop_boilerplate
 from .main_text import extract_main_text
 from .mil_classifier import classify
 from .packing import pack, token_pieces
-from .piece_codec import decode_pieces, encode_pieces
+from .piece_codec import round_trip
 from .quality_rules import quality_rules, trusted_ids
+from .scratch import send_few_texts
 from .simhash import simhash_classes
 from .url_filter import filter_urls
 from .warc import archive_pages
@@ -54,10 +55,10 @@ def op5_mil_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_pieces(spark: SparkSession, folder: str) -> DataFrame:
-    model = public_tokenizers.path("piece_bpe_32k.model")
-    encoded = _table(spark, folder, "documents").select("doc_id", encode_pieces(F.col("text"), model).alias("ids"))
-    decoded = encoded.withColumn("decoded", decode_pieces(F.col("ids"), model))
-    return decoded.select(
+    send_few_texts(spark)
+    both = round_trip(F.col("text"), public_tokenizers.path("piece_bpe_32k.model")).alias("both")
+    coded = _table(spark, folder, "documents").select("doc_id", both).select("doc_id", "both.*")
+    return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),

@@ -1,23 +1,20 @@
-"""Intermediate tables in the folder that all executors share.
-
-A table is written as Parquet and read back, so later steps neither recompute it nor lose it with an
-executor. The folder is ``spark.checkpoint.dir``; only where that is unset (tests) a temporary one is made.
-"""
+"""One run's intermediate tables, in the folder that all executors share."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from marginloom.staging import shared_folder
+
+#: Rows that Spark sends to a Python worker at once. Texts have no bound, and Spark counts rows.
+TEXTS_AT_ONCE = 1000
+
 
-def shared_folder(spark: SparkSession) -> str:
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="marginloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+def send_few_texts(spark: SparkSession) -> None:
+    """Keeps the batches of Python functions on texts small; for queries that run such functions."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXTS_AT_ONCE))
 
 
 class Scratch:

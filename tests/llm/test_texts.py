@@ -16,7 +16,7 @@ from marginloom.llm.line_spread import drop_boilerplate
 from marginloom.llm.main_text import extract_main_text, main_text
 from marginloom.llm.mil_classifier import AttentionModel, classify, keep_classified, passage_features, train
 from marginloom.llm.packing import ByteTokenizer, pack, pack_lengths, piece_lengths, token_pieces
-from marginloom.llm.piece_codec import codec, decode_pieces, encode_pieces
+from marginloom.llm.piece_codec import codec, decode_pieces, encode_pieces, round_trip
 from marginloom.llm.quality_rules import keep_quality, quality_rules
 
 MODEL, BYTES = (public_tokenizers.path(n) for n in ("piece_bpe_32k.model", "byte_bpe_50k.json"))
@@ -175,6 +175,8 @@ def test_codec_columns(spark):
     rows = [(i, t) for i, t in enumerate([*ODD, None, "the quick brown fox"])]
     docs = docs_of(spark, rows)
     out = docs.withColumn("ids", encode_pieces(F.col("text"), MODEL)).withColumn("back", decode_pieces(F.col("ids"), MODEL)).collect()
+    once = docs.select("doc_id", round_trip(F.col("text"), MODEL).alias("both")).select("doc_id", "both.*").collect()
+    assert sorted((r.doc_id, r.ids, r.decoded) for r in once) == sorted((r.doc_id, r.ids, r.back) for r in out)
     library = codec(MODEL)
     for r in out:
         assert list(r.ids) == library.encode([r.text])[0].tolist()
