@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType
 
+from .scratch import send_few_texts
+
 PASSAGE_BYTES = 1024
 TRIGRAMS = 1024
 #: Besides trigrams: words, words like the one before, words like one of the four before, distinct trigrams.
@@ -211,6 +213,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
     The sample: the first ``sample_docs`` labelled ids in the order of their hash, of those in ``docs`` the
     texts of at most ``SAMPLE_BYTES`` bytes.
     """
+    send_few_texts(docs.sparkSession)
     known = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").where(fold(F.col("doc_id")) != 0)
     known = known.groupBy("doc_id").agg(F.max("quality").alias("quality"))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)

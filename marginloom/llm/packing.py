@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from .scratch import Scratch
+from .scratch import Scratch, send_few_texts
 
 CAPACITY = 1024
 END_ID = 2
@@ -174,6 +174,7 @@ def token_pieces(
 
     A document's ids are those of its whole text (none if it is null or empty) and ``end_id``.
     """
+    send_few_texts(docs.sparkSession)
     fields = [
         StructField("doc_id", docs.schema["doc_id"].dataType),
         StructField("piece", IntegerType()),

@@ -23,7 +23,7 @@ from pyspark.sql.types import LongType
 
 from .components import components
 from .rows import keep_rows, row_key
-from .scratch import Scratch
+from .scratch import Scratch, send_few_texts
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
@@ -144,6 +144,7 @@ def simhash_classes(
     the smallest doc_id reachable over links of at most ``max_bits`` differing bits; null ids are passed over,
     and it is null only if all of the class are. An empty table gives an empty result.
     """
+    send_few_texts(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "simhash")
     key = row_key(F.col("doc_id"), F.col("text"))
     printed = docs.select(F.col("doc_id").alias("doc_id"), key.alias("row_key"), fingerprints(F.col("text"), width).alias("fp"))
