@@ -70,18 +70,17 @@ def feature_weights(docs: DataFrame, trusted: DataFrame, scratch: Scratch, featu
     """
     counted = scratch.table(feature_counts(docs, trusted, scratch, features), "counts")
     every = docs.sparkSession.range(features).select(F.col("id").cast("int").alias("feature"))
-    counts = every.join(counted, "feature", "left")
-    rows = F.sort_array(
-        F.collect_list(F.struct("feature", (F.coalesce("t", F.lit(0)) + 1).alias("t"), (F.coalesce("c", F.lit(0)) + 1).alias("c")))
-    )
-    total = lambda field: F.aggregate(rows, F.lit(0).cast("long"), lambda s, r: s + r[field])
-    one = counts.agg(rows.alias("rows"), total("t").alias("all_t"), total("c").alias("all_c"))
-    weight = F.transform("rows", lambda r: F.log((r["t"] / F.col("all_t")) / (r["c"] / F.col("all_c"))))
-    return scratch.table(one.select(weight.alias("weights")), "weights")
+    one_more = lambda c: (F.coalesce(c, F.lit(0)) + 1).alias(c)
+    counts = every.join(counted, "feature", "left").select("feature", one_more("t"), one_more("c"))
+    # the totals are sums of their own: inside the function they would be added up again for every feature
+    totals = counts.agg(F.sum("t").alias("all_t"), F.sum("c").alias("all_c")).first()
+    ratio = F.log((F.col("t") / F.lit(totals.all_t)) / (F.col("c") / F.lit(totals.all_c)))
+    rows = F.sort_array(F.collect_list(F.struct("feature", ratio.alias("ratio"))))
+    return scratch.table(counts.agg(rows.alias("rows")).select(F.col("rows.ratio").alias("weights")), "weights")
 
 
-def _repeat_words(words: Column, pairs: Column) -> Column:
-    """Words inside windows of WINDOW words that occur twice or more.
+def _repeat_words(words: Column, half: Column) -> Column:
+    """Words inside windows of WINDOW words that occur twice or more; ``half`` has the hashes of half windows.
 
     Where all stretches of half a window, or all windows, have different hashes, as in nearly all
     texts, there are none. In others the windows themselves are sorted, equal neighbours give the
@@ -102,19 +101,21 @@ def _repeat_words(words: Column, pairs: Column) -> Column:
     )
     exact = _let(F.sort_array(windows), lambda s: _let(F.sort_array(F.array_distinct(twice(s))), lambda p: F.when(F.size(p) > 0, covered(p)).otherwise(0)))
     alike = lambda hashes: F.size(F.array_distinct(hashes)) < F.size(hashes)
-    whole = lambda half: F.when(alike(_joined(half, n - (WINDOW - 1), WINDOW // 2)), exact).otherwise(0)
-    return F.when(
-        n > WINDOW, _let(_joined(pairs, n - (WINDOW // 2 - 1), 2), lambda half: F.when(alike(half), whole(half)).otherwise(0))
-    ).otherwise(0)
+    whole = _let(_joined(half, n - (WINDOW - 1), WINDOW // 2), lambda hashes: F.when(alike(hashes), exact).otherwise(0))
+    return F.when(alike(half), whole).otherwise(0)
 
 
 def _judged(docs: DataFrame, weights: DataFrame, features: int, threshold: float) -> tuple[DataFrame, list[str]]:
     """``docs`` with the columns of the verdict, under names that don't clash; and those names, in order."""
     name = lambda c: f"_quality_{c}"
-    text, words, single, pairs, ratios = (F.col(name(c)) for c in ("text", "words", "single", "pairs", "weights"))
+    text, words, single, pairs, half, ratios = (
+        F.col(name(c)) for c in ("text", "words", "single", "pairs", "half", "weights")
+    )
     split = docs.withColumn(name("text"), F.coalesce(F.col("text"), F.lit(""))).withColumn(name("words"), _words(text))
     hashed = split.withColumn(name("single"), _grams(words)[0])
     hashed = hashed.withColumn(name("pairs"), _joined(single, F.size(single) - 1, 1))
+    halves = F.when(F.size(words) > WINDOW, _joined(pairs, F.size(words) - (WINDOW // 2 - 1), 2))
+    hashed = hashed.withColumn(name("half"), F.coalesce(halves, F.array().cast("array<bigint>")))
     hashed = hashed.withColumn(name("weights"), weights.scalar())
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(f"[^{_SPACE[1:]}"))
     added = lambda grams: F.aggregate(grams, F.lit(0.0), lambda s, g: s + F.get(ratios, _feature(g, features)))
@@ -124,7 +125,7 @@ def _judged(docs: DataFrame, weights: DataFrame, features: int, threshold: float
         "word_chars": F.length(F.array_join(words, "")),
         "n_symbols": F.length(text) - F.length(F.translate(text, SYMBOLS, "")),
         "n_dup_lines": _let(lines, lambda ls: F.size(ls) - F.size(F.array_distinct(ls))),
-        "n_repeat_words": _repeat_words(words, pairs),
+        "n_repeat_words": _repeat_words(words, half),
     }
     judged = hashed.select(
         *[F.col(f"`{c}`") for c in docs.columns],
