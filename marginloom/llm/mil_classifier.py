@@ -26,7 +26,7 @@ FEATURES = TRIGRAMS + 4
 HIDDEN = 32
 ATTENTION = 16
 SAMPLE_DOCS = 3000
-SAMPLE_BYTES = 32 * 1024
+SAMPLE_BYTES = 16 * 1024
 EPOCHS = 25
 BATCH = 64
 LEARNING_RATE = 3e-3
@@ -176,12 +176,21 @@ class AttentionModel:
         return self.pooled(h, s, np.array([len(s)]))[1]
 
 
+def _sample_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Features of the sample, some texts at a time and kept in half precision: the driver is small."""
+    half = []
+    for at in range(0, len(texts), 100):
+        x, passages = passage_features(list(map(_bytes, texts[at : at + 100])))
+        half.append((x.astype(np.float16), passages))
+    return np.concatenate([x for x, _ in half]), np.concatenate([n for _, n in half])
+
+
 def train(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, seed: int = 7) -> AttentionModel | None:
     """A model of the labelled texts, the rarer class weighted up; None if they have one class only."""
     y = labels.astype(np.float32)
     if len(y) == 0 or y.min() == y.max():
         return None
-    x, passages = passage_features(list(map(_bytes, texts)))
+    x, passages = _sample_features(texts)
     first = np.concatenate(([0], np.cumsum(passages)))
     weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean())).astype(np.float32)
     model, rng, step = AttentionModel.drawn(seed), np.random.default_rng(seed), 0
@@ -193,7 +202,7 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, seed: int
             docs = order[at : at + BATCH]
             rows = np.concatenate([np.arange(first[i], first[i + 1]) for i in docs])
             step += 1
-            for k, g in model.gradients(x[rows], passages[docs], y[docs], weight[docs]).items():
+            for k, g in model.gradients(x[rows].astype(np.float32), passages[docs], y[docs], weight[docs]).items():
                 mean[k] = 0.9 * mean[k] + 0.1 * g
                 square[k] = 0.999 * square[k] + 0.001 * g * g
                 change = (mean[k] / (1 - 0.9**step)) / (np.sqrt(square[k] / (1 - 0.999**step)) + 1e-8)
