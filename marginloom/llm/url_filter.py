@@ -69,7 +69,7 @@ def rule_verdicts(urls: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def judge_urls(urls: DataFrame, rules: DataFrame, edges: DataFrame) -> DataFrame:
-    """url, rule, verdict for each distinct url that is not allowed merely for want of a rule.
+    """url, rule, verdict for each distinct url that a rule or an alias decides.
 
     ``edges``: from_url, to_url. Urls that only occur as the end of an edge count too: a page that redirects to
     a blocked url is blocked. Self-loops, repeated edges and null ends don't matter.
