@@ -1,6 +1,6 @@
 """Exact dedup by deterministic block naming.
 
-Each text, white space normalised, is cut into blocks of a fixed number of characters. The distinct blocks
+Each text, white space normalised, is cut into blocks of a fixed number of UTF-8 bytes. The distinct blocks
 are sorted into integer names; then adjacent names are paired and the distinct pairs sorted into integer
 names again, until a document has one. Two documents of equal length in blocks have equal final names
 exactly if their texts are equal, so (number of rounds, name) is an identity without collisions.
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .rows import keep_rows, row_key
 from .scratch import Scratch
 
-BLOCK_CHARS = 2048
+BLOCK_BYTES = 2048
 #: The sort runs in so many independent ranges; a name is its range and its rank there.
 NAME_RANGES = 4096
 _RANK_BITS = 40
@@ -34,9 +34,10 @@ def normalised(text) -> F.Column:
 def _blocks(docs: DataFrame, size: int, seed: int) -> DataFrame:
     """One row per block: id, digest, pos, n (blocks of the document), k1, k2, block."""
     texts = docs.select(F.col("doc_id").alias("id"), normalised(F.col("text")).alias("norm"))
-    cut = F.when(F.col("norm") == "", F.array(F.lit(""))).otherwise(
-        F.regexp_extract_all("norm", F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
-    )
+    # bytes: a block is found at once, wherever it lies; the empty text is one empty block
+    starts = F.sequence(F.lit(0), F.greatest(F.octet_length("norm") - 1, F.lit(0)), F.lit(size))
+    cut = F.transform(starts, lambda at: F.substr(F.col("norm"), at + 1, F.lit(size)))
+    texts = texts.select("id", F.col("norm").cast("binary").alias("norm"))
     cut_up = texts.select("id", F.unhex(F.sha2("norm", 256)).alias("digest"), cut.alias("blocks"))
     rows = cut_up.select(
         "id", "digest", F.size("blocks").cast("long").alias("n"), F.posexplode("blocks").alias("pos", "block")
@@ -103,7 +104,7 @@ def _identities(docs: DataFrame, scratch: Scratch, size: int) -> tuple[DataFrame
     return rows, identities
 
 
-def exact_dedup(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def exact_dedup(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per row of ``docs`` (columns doc_id, text; others are ignored, whatever their names):
     doc_id, keep_id, group_size, kept, text_sha256.
 
@@ -113,7 +114,7 @@ def exact_dedup(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     doc_id with different texts are different documents. An empty table gives an empty result.
     """
     scratch = Scratch(docs.sparkSession, "exact-dedup")
-    rows, identities = _identities(docs, scratch, block_chars)
+    rows, identities = _identities(docs, scratch, block_bytes)
     rows, other = rows.alias("r"), identities.alias("i")
     same = F.col("r.id").eqNullSafe(F.col("i.id")) & (F.col("r.digest") == F.col("i.digest"))
     repeat = F.row_number().over(Window.partitionBy("id", "digest").orderBy("level"))
@@ -131,12 +132,12 @@ def exact_dedup(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     )
 
 
-def drop_exact_copies(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def drop_exact_copies(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs`` that ``exact_dedup`` keeps, with all their columns.
 
     Of repeated rows of the kept doc_id that differ in other columns, the first by the hash of all columns stays.
     """
-    kept = exact_dedup(docs, block_chars).where("kept")
+    kept = exact_dedup(docs, block_bytes).where("kept")
     doc_id = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     return keep_rows(
         docs, kept.select(F.concat_ws("/", doc_id, "text_sha256")), row_key(F.col("doc_id"), normalised(F.col("text")))
