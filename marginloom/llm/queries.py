@@ -102,6 +102,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _BLANKS = r"' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
+
+
+def _attribute(name: str) -> str:
+    return f"""replace(regexp_extract(tag, '(?is)\\b{name}\\s*=\\s*["'']?([^"''\\s>]+)', 1), '&amp;', '&')"""
+
+
+def _url_part(group: int) -> str:
+    return f"regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', {group})"
+
+
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": r"""
         WITH norm AS (
@@ -124,6 +134,44 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, count(*) AS n_lines, count(s.line) AS n_removed,
             sha256(coalesce(string_agg(l.line, chr(10) ORDER BY pos) FILTER (s.line IS NULL), '')) AS text_sha256
         FROM lines l LEFT JOIN spread s ON trim(l.line, {_BLANKS}) = s.line GROUP BY doc_id""",
+    "op7_url_filter": rf"""
+        WITH RECURSIVE rules AS (
+            SELECT * FROM (VALUES {", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)}) v(rule_host, rule_path, verdict)
+        ), tags AS (
+            SELECT url, unnest(regexp_extract_all(coalesce(html, ''), '(?is)<(?:link|meta)\b[^>]*>')) AS tag
+            FROM pages WHERE url IS NOT NULL
+        ), links AS (
+            SELECT url, {_attribute("href")} AS link FROM tags
+            WHERE regexp_matches(tag, '(?is)^<link') AND regexp_matches(tag, '(?is)\brel\s*=\s*["'']?canonical\b')
+            UNION ALL
+            SELECT url, {_attribute("url")} FROM tags
+            WHERE regexp_matches(tag, '(?is)^<meta') AND regexp_matches(tag, '(?is)\bhttp-equiv\s*=\s*["'']?refresh\b')
+        ), edges AS (
+            SELECT url AS a, CASE WHEN link LIKE '//%' THEN split_part(url, '://', 1) || ':' || link
+                WHEN link LIKE '/%' THEN regexp_extract(url, '^.*?://[^/?#]*') || link
+                WHEN contains(link, '://') THEN link END AS b
+            FROM links WHERE link <> ''
+        ), both_ways AS (
+            SELECT a, b FROM edges WHERE a <> b UNION SELECT b, a FROM edges WHERE a <> b
+        ), reach(a, b) AS (
+            SELECT a, b FROM both_ways UNION SELECT r.a, e.b FROM reach r JOIN both_ways e ON r.b = e.a
+        ), urls AS (
+            SELECT url FROM pages UNION SELECT a FROM both_ways
+        ), parts AS (
+            SELECT url, {_url_part(1)} AS own_host, {_url_part(2)} AS path FROM urls
+        ), hosts AS (
+            SELECT url, translate(own_host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path FROM parts
+        ), ruled AS (
+            SELECT url, any_value(host) AS host, any_value(path) AS path,
+                arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+                arg_max(verdict, length(rule_host || rule_path)) AS verdict
+            FROM hosts LEFT JOIN rules ON starts_with(path, rule_path) AND (host = rule_host OR ends_with(host, '.' || rule_host))
+            GROUP BY url
+        ), aliases AS (
+            SELECT DISTINCT r.a AS url, 'block' AS alias FROM reach r JOIN ruled b ON b.url = r.b WHERE b.verdict = 'block'
+        )
+        SELECT page_id, host, path, rule, coalesce(verdict, alias, 'allow') AS verdict
+        FROM pages p JOIN ruled r ON r.url IS NOT DISTINCT FROM p.url LEFT JOIN aliases a ON a.url = p.url""",
     "op9_warc": """
         WITH payloads AS (
             SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,

@@ -104,6 +104,24 @@ def test_link_edges(spark):
     assert verdicts == {1: "allow", 2: "allow", 3: "block", 4: "allow", 5: "allow", 6: "allow", 7: "allow"}
 
 
+def test_sql_twin_follows_links_too(spark, tmp_path):
+    import duckdb
+
+    from marginloom.llm.queries import ORACLES, QUERIES
+
+    link = lambda to: f'<html><link rel="canonical" href="{to}"></html>'
+    rows = [(i, u, None) for i, u in enumerate(URLS)]
+    rows += [(50, "http://p.org/1", link("http://p.org/2")), (51, "http://p.org/2", link("/3")), (52, "http://p.org/3", link("//b.net/fr/x"))]
+    rows += [(53, "http://www.example.com/en/9", link("http://p.org/1")), (54, "http://q.org/", link("http://a.com/"))]
+    pages_of(spark, rows).select("page_id", "url", "html").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    want = con.execute("SELECT page_id, host, path, rule, verdict FROM (" + ORACLES["op7_url_filter"] + ")").fetchall()
+    got = [tuple(r) for r in QUERIES["op7_url_filter"](spark, str(tmp_path)).select("page_id", "host", "path", "rule", "verdict").collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert {r[0]: r[4] for r in got}[50] == "block" and {r[0]: r[4] for r in got}[53] == "allow"
+
+
 def test_no_pages_and_no_rules(spark):
     none = pages_of(spark, [])
     assert filter_urls(none, spark.createDataFrame(URL_RULES, RULES)).count() == 0
