@@ -144,7 +144,10 @@ def _judged(docs: DataFrame, weights: DataFrame, features: int, threshold: float
     n_words, repeated = F.col(name("n_words")), F.col(name("n_repeat_words"))
     failed = (n_words < MIN_WORDS) | (100 * repeated > MAX_REPEAT_PERCENT * n_words)
     judged = judged.withColumn(name("base_failed"), failed)
-    judged = judged.withColumn(name("kept"), ~failed & (F.col(name("log_ratio")) >= threshold))
+    # a partition's number is never negative, but where it stands the optimizer leaves a filter: below it,
+    # the words would be split anew in every function that looks at them
+    settled = F.spark_partition_id() >= 0
+    judged = judged.withColumn(name("kept"), ~failed & (F.col(name("log_ratio")) >= threshold) & settled)
     return judged, [name(c) for c in (*counts, "base_failed", "kept", "log_ratio")]
 
 
