@@ -26,7 +26,7 @@ THRESHOLD = -0.25
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW = 8
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
 _SPACE = r"[\x20\x09-\x0D]"
 
 
@@ -45,10 +45,9 @@ def _joined(hashes: Column, n: Column, step: int) -> Column:
     return F.zip_with(F.slice(hashes, 1, count), F.slice(hashes, step + 1, count), lambda a, b: F.xxhash64(a, b))
 
 
-def _grams(words: Column) -> tuple[Column, Column]:
-    """Hashes of the words' endings, and of the pairs of adjacent endings."""
-    ends = F.transform(words, lambda w: F.xxhash64(F.substring(w, -ENDING, ENDING)))
-    return ends, _joined(ends, F.size(words) - 1, 1)
+def _endings(words: Column) -> Column:
+    """Hashes of the words' endings."""
+    return F.transform(words, lambda w: F.xxhash64(F.substring(w, -ENDING, ENDING)))
 
 
 def _feature(gram: Column, features: int) -> Column:
@@ -62,7 +61,10 @@ def feature_counts(docs: DataFrame, trusted: DataFrame, scratch: Scratch, featur
     # labels grow with the documents: never broadcast, at any size
     known = docs.select("doc_id", "text").join(marked.hint("merge"), "doc_id", "left")
     texts = known.select("trusted", _words(F.coalesce(F.col("text"), F.lit(""))).alias("words"))
-    grams = texts.select("trusted", F.explode(F.concat(*_grams(F.col("words")))).alias("gram"))
+    # a column of its own: written into the function, the endings would be computed anew for each use
+    ends = texts.select("trusted", _endings(F.col("words")).alias("ends"))
+    pairs = _joined(F.col("ends"), F.size("ends") - 1, 1)
+    grams = ends.select("trusted", F.explode(F.concat("ends", pairs)).alias("gram"))
     counts = grams.groupBy(_feature(F.col("gram"), features).alias("feature"))
     return counts.agg(F.count("*").alias("c"), F.count("trusted").alias("t"))
 
@@ -118,7 +120,7 @@ def _judged(docs: DataFrame, weights: DataFrame, features: int, threshold: float
         F.col(name(c)) for c in ("text", "words", "ends", "end_pairs", "half", "weights")
     )
     split = docs.withColumn(name("text"), F.coalesce(F.col("text"), F.lit(""))).withColumn(name("words"), _words(text))
-    hashed = split.withColumn(name("ends"), _grams(words)[0])
+    hashed = split.withColumn(name("ends"), _endings(words))
     hashed = hashed.withColumn(name("end_pairs"), _joined(ends, F.size(words) - 1, 1))
     # of a half window: the hashes of its words joined to pairs, the pairs to fours
     hashed = hashed.withColumn(name("pairs"), F.transform(words, lambda w: F.xxhash64(w)))
@@ -132,7 +134,7 @@ def _judged(docs: DataFrame, weights: DataFrame, features: int, threshold: float
     counts = {
         "n_words": F.size(words),
         "word_chars": F.length(F.array_join(words, "")),
-        "n_symbols": F.length(text) - F.length(F.translate(text, SYMBOLS, "")),
+        "n_symbols": F.regexp_count(text, F.lit(SYMBOLS)),
         "n_dup_lines": _let(lines, lambda ls: F.size(ls) - F.size(F.array_distinct(ls))),
         "n_repeat_words": _repeat_words(words, half),
     }
