@@ -27,8 +27,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the attention model, learned from the labelled ones among them, doesn't reject."""
-    return keep_classified(docs, _labels(spark, sf_dir))
+    """Documents that the attention model doesn't reject. It learns from the labelled ones of the whole input: the
+    rules before this stage leave hardly any negative example."""
+    every = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return keep_classified(docs, _labels(spark, sf_dir), learn_from=every)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -219,15 +219,17 @@ def learn(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
     """A model of labelled rows of ``docs`` outside fold 0.
 
     ``labels``: doc_id, quality (0 or 1; rows with nulls are passed over, of repeated ids the highest counts).
-    The sample: the first ``sample_docs`` labelled ids in the order of their hash, of those in ``docs`` the
-    texts of at most ``SAMPLE_BYTES`` bytes.
+    The sample: of the labelled ids with a text of at most ``SAMPLE_BYTES`` bytes in ``docs``, the first
+    ``sample_docs`` in the order of their hash.
     """
     send_few_texts(docs.sparkSession)
     known = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").where(fold(F.col("doc_id")) != 0)
     known = known.groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
-    texts = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    rows = texts.where(F.octet_length("text") <= SAMPLE_BYTES).join(F.broadcast(sample), "doc_id")  # at most sample_docs
+    texts = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")).where(F.octet_length("text") <= SAMPLE_BYTES)
+    # ids first, so that no text is shuffled; labels grow with the documents, so neither side is broadcast
+    there = known.join(texts.select("doc_id").hint("merge"), "doc_id", "left_semi")
+    sample = there.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
+    rows = texts.join(F.broadcast(sample), "doc_id")  # at most sample_docs
     found = rows.orderBy("doc_id", F.xxhash64("text")).limit(2 * sample_docs).toPandas()
     return train(found["text"].tolist(), found["quality"].to_numpy())
 
@@ -256,8 +258,14 @@ def classify(docs: DataFrame, labels: DataFrame, keep_score: float = KEEP_SCORE,
     return scored.withColumn("predicted", F.when(F.col("score") >= keep_score, 1).otherwise(0))
 
 
-def keep_classified(docs: DataFrame, labels: DataFrame, keep_score: float = KEEP_SCORE) -> DataFrame:
-    """The rows of ``docs`` that score ``keep_score`` or more, with all their columns."""
-    model = learn(docs, labels)
+def keep_classified(
+    docs: DataFrame, labels: DataFrame, keep_score: float = KEEP_SCORE, learn_from: DataFrame | None = None
+) -> DataFrame:
+    """The rows of ``docs`` that score ``keep_score`` or more, with all their columns.
+
+    The model learns from labelled rows of ``learn_from`` (doc_id, text), by default of ``docs``. Where an earlier
+    filter has made ``docs``, give the table before it: the filter leaves hardly any negative example.
+    """
+    model = learn(docs if learn_from is None else learn_from, labels)
     name = "_mil_score"
     return docs.withColumn(name, quality_scores(F.col("text"), model)).where(F.col(name) >= keep_score).drop(name)

@@ -5,8 +5,9 @@ import re
 import corpus_pipeline
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
-from marginloom.llm.mil_classifier import classify
+from marginloom.llm.mil_classifier import classify, fold
 from marginloom.llm.quality_rules import quality_rules, trusted_ids
 from marginloom.llm.scratch import Scratch
 from marginloom.llm.simhash import fingerprint, shingle_hashes
@@ -33,6 +34,19 @@ def test_filters_take_effect(spark, stages):
     assert {r.doc_id for r in classified.collect()} == kept
 
 
+def test_classifier_rejects_junk_when_the_rules_leave_no_negative(spark):
+    folder = FOLDER.replace("0.001", "0.01")
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    negative = labels.where("quality = 0")
+    held = negative.where(fold(F.col("doc_id")) == 0)
+    left = docs.join(negative.where(fold(F.col("doc_id")) != 0), "doc_id", "left_anti")
+    kept = corpus_pipeline.quality_classifier(spark, left, folder)
+    assert kept.columns == docs.columns
+    junk, good = left.join(held, "doc_id", "left_semi"), left.join(labels.where("quality = 1"), "doc_id", "left_semi")
+    assert junk.count() > 5 and kept.join(held, "doc_id", "left_semi").count() < 0.2 * junk.count()
+    assert kept.join(good, "doc_id", "left_semi").count() > 0.9 * good.count()
+
+
 def test_dedup_stages_against_brute_force(stages):
     _, _, classified, exact, near, _ = (s.toPandas() for s in stages)
     squashed = classified.assign(key=[re.sub(r"[\x20\x09-\x0D]+", " ", t or "") for t in classified.text])

@@ -145,6 +145,13 @@ def test_held_out_accuracy(spark):
     assert (held.predicted == held.quality).mean() > 0.9
 
 
+def test_sample_is_drawn_from_labelled_rows_that_exist(spark):
+    docs = docs_of(spark, [(i, "sea wind hill stone " * 20 if i % 2 else "&&& " * 80) for i in range(40)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(i, 1) for i in range(1000, 6000)], "doc_id long, quality int")
+    score = {r.doc_id: r.score for r in classify(docs, labels, sample_docs=40).collect()}
+    assert min(score[i] for i in range(1, 40, 2)) > max(score[i] for i in range(0, 40, 2))
+
+
 def test_classifier_edges(spark):
     docs = docs_of(spark, [(1, None), (2, ""), (None, "x"), (2, "")])
     labels = spark.createDataFrame([(1, 1), (None, 0), (2, None)], "doc_id long, quality int")
