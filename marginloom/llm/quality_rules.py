@@ -4,8 +4,9 @@ The n-grams are the last two characters of each word, and those of two adjacent
 of features. Whole words are too rare for it: most occur in a few documents only, and then the ratio says no
 more than whether one of these happens to be trusted. Counts over the trusted documents and over the whole
 corpus give two multinomials; a document's score is the mean, over its features, of the logarithm of their
-ratio, so that it doesn't depend on the length. Documents below a fixed threshold are rejected; nothing is drawn
-at random.
+ratio, so that it doesn't depend on the length. Documents below a threshold are rejected; nothing is drawn at
+random. The threshold comes from the trusted documents' own scores, which spread more the fewer words were counted:
+it lies below their low quantile by the quantile's distance from the median, and by more the fewer they are.
 
 Everything is DataFrame expressions. The counts are combined before the shuffle into one row per feature;
 the weights (one number per feature, a fixed number of them) reach the scoring pass as a scalar subquery.
@@ -13,6 +14,8 @@ the weights (one number per feature, a fixed number of them) reach the scoring p
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .scratch import Scratch
@@ -21,8 +24,10 @@ FEATURES = 10_000
 #: Added to each count and to what is expected of it, against chance in features that are rare.
 ADDED = 10
 ENDING = 2
-#: Least mean log ratio that is kept. Clean documents lie above -0.13 on 200 documents, above -0.01 on 10,000.
-THRESHOLD = -0.25
+#: Of the trusted documents' scores; the threshold lies below it by a margin, see ``score_threshold``.
+LOW_QUANTILE = 0.005
+#: Digits of the scores that the quantiles are exact for: so many distinct values, however many documents.
+SCORE_DIGITS = 4
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW = 8
@@ -30,6 +35,11 @@ SYMBOLS = "[#*$%&|<>]"
 _SPACE = r"[\x20\x09-\x0D]"
 
 
+def _name(column: str) -> str:
+    """A name that doesn't clash with the documents' columns."""
+    return f"_quality_{column}"
+
+
 def _let(value: Column, body) -> Column:
     """``body`` of a value that is computed once."""
     return F.transform(F.array(value), body)[0]
@@ -113,9 +123,12 @@ def _repeat_words(words: Column, half: Column) -> Column:
     return F.when(alike(half), whole).otherwise(0)
 
 
-def _judged(docs: DataFrame, weights: DataFrame, features: int, threshold: float) -> tuple[DataFrame, list[str]]:
-    """``docs`` with the columns of the verdict, under names that don't clash; and those names, in order."""
-    name = lambda c: f"_quality_{c}"
+def _judged(docs: DataFrame, weights: DataFrame, features: int) -> tuple[DataFrame, list[str]]:
+    """``docs`` with the columns of the verdict, under names that don't clash; and those names, in order.
+
+    Its last column, passed, is that of the base rules alone.
+    """
+    name = _name
     text, words, ends, end_pairs, half, ratios = (
         F.col(name(c)) for c in ("text", "words", "ends", "end_pairs", "half", "weights")
     )
@@ -149,32 +162,65 @@ def _judged(docs: DataFrame, weights: DataFrame, features: int, threshold: float
     # a partition's number is never negative, but where it stands the optimizer leaves a filter: below it,
     # the words would be split anew in every function that looks at them
     settled = F.spark_partition_id() >= 0
-    judged = judged.withColumn(name("kept"), ~failed & (F.col(name("log_ratio")) >= threshold) & settled)
-    return judged, [name(c) for c in (*counts, "base_failed", "kept", "log_ratio")]
+    judged = judged.withColumn(name("passed"), ~failed & settled)
+    return judged, [name(c) for c in (*counts, "base_failed", "log_ratio", "passed")]
+
+
+def score_threshold(scores: DataFrame, trusted: DataFrame) -> float:
+    """Least score to keep, from ``scores`` (doc_id, score; of documents that pass the base rules).
+
+    The low quantile of the n trusted ones, less its distance from the median times 1 + 1 / sqrt(n * LOW_QUANTILE):
+    the root is the relative chance error of how many lie below the quantile. Without any trusted one there is
+    nothing to judge by: -inf.
+    """
+    # labels grow with the documents: never broadcast, at any size
+    ids = trusted.select("doc_id").where("doc_id IS NOT NULL").distinct().hint("merge")
+    own = scores.select("doc_id", F.round("score", SCORE_DIGITS).alias("score")).join(ids, "doc_id", "left_semi")
+    counted = own.groupBy("score").agg(F.count("*").alias("n"))
+    quantiles = F.percentile("score", F.array(F.lit(LOW_QUANTILE), F.lit(0.5)), F.col("n"))
+    found = counted.agg(quantiles.alias("q"), F.sum("n").alias("n")).first()
+    if found.q is None:
+        return float("-inf")
+    low, middle = found.q
+    return low - (middle - low) * (1 + 1 / math.sqrt(found.n * LOW_QUANTILE))
 
 
 def quality_rules(
-    docs: DataFrame, trusted: DataFrame, features: int = FEATURES, threshold: float = THRESHOLD
+    docs: DataFrame, trusted: DataFrame, features: int = FEATURES, threshold: float | None = None
 ) -> DataFrame:
     """One row per row of ``docs`` (columns doc_id, text; others are ignored): doc_id, n_words, word_chars,
     n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, log_ratio.
 
     ``trusted``: doc_ids of trusted documents; unknown, null and repeated ids don't matter. Null text counts
     as empty; a text without words has log_ratio 0 and fails the base rules. Every row, repeated ones too, is
-    counted in the corpus and judged by itself. An empty table gives an empty result.
+    counted in the corpus and judged by itself. An empty table gives an empty result. ``threshold``: least
+    log_ratio to keep, in place of ``score_threshold``.
     """
-    weights = feature_weights(docs, trusted, Scratch(docs.sparkSession, "quality-rules"), features)
-    judged, names = _judged(docs.select("doc_id", "text"), weights, features, threshold)
-    return judged.select("doc_id", *[F.col(n).alias(n.removeprefix("_quality_")) for n in names])
+    scratch = Scratch(docs.sparkSession, "quality-rules")
+    weights = feature_weights(docs, trusted, scratch, features)
+    judged, names = _judged(docs.select("doc_id", "text"), weights, features)
+    scored = scratch.table(judged.select("doc_id", *names), "scores")
+    if threshold is None:
+        threshold = score_threshold(scored.where(F.col(_name("passed"))).select("doc_id", F.col(_name("log_ratio")).alias("score")), trusted)
+    kept = F.col(_name("passed")) & (F.col(_name("log_ratio")) >= threshold)
+    plain = lambda c: F.col(_name(c)).alias(c)
+    counts = [plain(n.removeprefix("_quality_")) for n in names[:-2]]
+    return scored.select("doc_id", *counts, kept.alias("kept"), plain("log_ratio"))
 
 
 def keep_quality(
-    docs: DataFrame, trusted: DataFrame, features: int = FEATURES, threshold: float = THRESHOLD
+    docs: DataFrame, trusted: DataFrame, features: int = FEATURES, threshold: float | None = None
 ) -> DataFrame:
     """The rows of ``docs`` that ``quality_rules`` keeps, with all their columns."""
-    weights = feature_weights(docs, trusted, Scratch(docs.sparkSession, "quality-rules"), features)
-    judged, names = _judged(docs, weights, features, threshold)
-    return judged.where("_quality_kept").drop(*names)
+    scratch = Scratch(docs.sparkSession, "quality-rules")
+    weights = feature_weights(docs, trusted, scratch, features)
+    judged, names = _judged(docs, weights, features)
+    score = _name("log_ratio")
+    # written once, so that the scores are there for the threshold and for the rows
+    passed = scratch.table(judged.where(_name("passed")).drop(*[n for n in names if n != score]), "passed")
+    if threshold is None:
+        threshold = score_threshold(passed.select("doc_id", F.col(score).alias("score")), trusted)
+    return passed.where(F.col(score) >= threshold).drop(score)
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from marginloom.llm.main_text import extract_main_text, main_text
 from marginloom.llm.mil_classifier import AttentionModel, classify, keep_classified, passage_features, train
 from marginloom.llm.packing import ByteTokenizer, pack, pack_lengths, piece_lengths, token_pieces
 from marginloom.llm.piece_codec import codec, decode_pieces, encode_pieces, round_trip
-from marginloom.llm.quality_rules import keep_quality, quality_rules
+from marginloom.llm.quality_rules import keep_quality, quality_rules, score_threshold
 
 MODEL, BYTES = (public_tokenizers.path(n) for n in ("piece_bpe_32k.model", "byte_bpe_50k.json"))
 DOCS = "doc_id long, text string, kept string, _row long"
@@ -101,6 +101,40 @@ def test_keep_quality_keeps_columns_and_rejects_junk(spark):
     assert quality_rules(docs, docs.limit(0)).count() == len(rows)
 
 
+def test_threshold_follows_the_trusted_scores(spark):
+    for middle, step in ((0.0, 0.02), (0.0, 0.002), (0.5, 0.01)):
+        scores = spark.createDataFrame([(i, middle + step * (i - 100)) for i in range(201)] + [(900, -9.0), (None, -9.0)], "doc_id long, score double")
+        trusted = spark.createDataFrame([(i,) for i in range(201)] + [(5,), (None,), (9999,)], "doc_id long")
+        assert score_threshold(scores, trusted) == pytest.approx(middle - step * 99 * (2 + 1 / math.sqrt(201 * 0.005)), abs=1e-3)
+    assert score_threshold(scores, trusted.limit(0)) == float("-inf")
+
+
+def test_quality_rules_reject_planted_junk_at_every_size(spark):
+    for size in ("0.001", "0.01"):
+        docs, labels = (spark.read.parquet(f"/root/testdata/sf{size}/{t}.parquet") for t in ("documents", "labels"))
+        docs, good = docs.select("doc_id", "text"), labels.where("quality = 1").select("doc_id")
+        # clean documents that no label names, and the same with words of one ending stuttered in
+        unnamed = good.where(F.crc32(F.col("doc_id").cast("string")) % 5 == 0)
+        source = docs.join(unnamed, "doc_id").where(F.size(F.split("text", " ")) > 40)
+        stutter = F.array_join(F.transform(F.split("text", " "), lambda w, i: F.when(i % 3 == 0, w).otherwise(F.concat(w, F.lit("qxzv")))), " ")
+        planted = source.select((F.col("doc_id") + 10**9).alias("doc_id"), stutter.alias("text")).limit(5)
+        trusted = good.join(unnamed, "doc_id", "left_anti")
+        kept = {r.doc_id for r in quality_rules(docs.unionByName(planted), trusted).where("kept").collect()}
+        clean, junk = ({r.doc_id for r in t.select("doc_id").collect()} for t in (source, planted))
+        assert len(junk) == 5 and not junk & kept and len(clean & kept) >= 0.95 * len(clean)
+
+
+def test_slight_junk_goes_when_clean_scores_lie_close(spark):
+    rng = random.Random(3)
+    words = "the sea of wind and hill a stone under bright water near old trees".split()
+    text = lambda n, more: " ".join(rng.choice(words) + ("zq" if rng.random() < more else "") for _ in range(n))
+    rows = [(i, text(400, 0.02)) for i in range(300)] + [(1000 + i, text(400, 0.12)) for i in range(10)]
+    got = quality_rules(docs_of(spark, rows), spark.createDataFrame([(i,) for i in range(250)], "doc_id long")).where("doc_id >= 0").collect()
+    junk, clean = [r for r in got if r.doc_id >= 1000], [r for r in got if r.doc_id < 1000]
+    assert all(not r.base_failed for r in got) and min(r.log_ratio for r in junk) > -0.25
+    assert not any(r.kept for r in junk) and sum(r.kept for r in clean) >= 295
+
+
 # --- classifier ---
 
 
