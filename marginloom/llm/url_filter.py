@@ -30,12 +30,12 @@ def path_of(url: Column) -> Column:
 
 
 def link_edges(pages: DataFrame) -> DataFrame:
-    """Edges from_url, to_url of ``pages`` (url, html): canonical links and refresh redirects.
+    """Edges from_url, to_url of ``pages`` (url, html): all canonical links and refresh redirects.
 
     Links that begin with / are completed by the page's scheme and host; other relative ones are passed over.
     """
     url = F.col("url")
-    links = F.array(*[F.regexp_extract("html", p, 1) for p in (_CANONICAL, _REFRESH)])
+    links = F.concat(*[F.regexp_extract_all("html", F.lit(p), F.lit(1)) for p in (_CANONICAL, _REFRESH)])
     # most pages have neither word, which a plain search finds sooner than a pattern
     marked = pages.where("url IS NOT NULL").where(r"html RLIKE '(?i)canonical|http-equiv'")
     found = marked.select(url.alias("from_url"), F.explode(links).alias("link")).where("link != ''")

@@ -122,6 +122,29 @@ def test_sql_twin_follows_links_too(spark, tmp_path):
     assert {r[0]: r[4] for r in got}[50] == "block" and {r[0]: r[4] for r in got}[53] == "allow"
 
 
+def test_every_link_of_a_page_counts(spark, tmp_path):
+    import duckdb
+
+    from marginloom.llm.queries import ORACLES, QUERIES
+
+    canonical, refresh = '<link rel="canonical" href="{}">', '<meta http-equiv="refresh" content="0; url={}">'
+    rows = [
+        (1, "http://p.org/1", canonical.format("http://p.org/ok") + "<p>" + canonical.format("http://b.net/es/1")),
+        (2, "http://p.org/2", refresh.format("/ok") + refresh.format("//b.net/fr/x")),
+        (3, "http://p.org/3", canonical.format("http://q.org/a") + canonical.format("http://q.org/b")),
+        (4, "http://p.org/4", "canonical"),
+    ]
+    pages = pages_of(spark, rows)
+    assert link_edges(pages).count() == 6
+    pages.select("page_id", "url", "html").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    want = con.execute("SELECT page_id, host, path, rule, verdict FROM (" + ORACLES["op7_url_filter"] + ")").fetchall()
+    got = [tuple(r) for r in QUERIES["op7_url_filter"](spark, str(tmp_path)).select("page_id", "host", "path", "rule", "verdict").collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert {r[0]: r[4] for r in got} == {1: "block", 2: "block", 3: "allow", 4: "allow"}
+
+
 def test_no_pages_and_no_rules(spark):
     none = pages_of(spark, [])
     assert filter_urls(none, spark.createDataFrame(URL_RULES, RULES)).count() == 0
