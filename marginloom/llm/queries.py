@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from hashlib import sha256
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .conversation_repair import damage_and_repair
+from .decontaminate import WIDTH, find_passages
 from .exact_dedup import exact_dedup
 from .line_spread import MIN_SITES, drop_boilerplate
 from .main_text import extract_main_text
@@ -15,6 +18,7 @@ from .packing import pack, token_pieces
 from .piece_codec import round_trip
 from .quality_rules import quality_rules, trusted_ids
 from .scratch import send_few_texts
+from .sharded_lloyd import K, ROUNDS, lloyd
 from .simhash import simhash_classes
 from .url_filter import filter_urls
 from .warc import archive_pages
@@ -84,6 +88,34 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(token_pieces(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return damage_and_repair(_table(spark, folder, "conversations"))
+
+
+def op12_sharded_lloyd(spark: SparkSession, folder: str) -> DataFrame:
+    assigned, centroids = lloyd(_table(spark, folder, "embeddings"))
+    # one row per centroid
+    sums = {r.cluster: r.inertia for r in assigned.groupBy("cluster").agg(F.sum("distance").alias("inertia")).collect()}
+    rows = [
+        (c, sums.get(c, 0), sum(sums.values()), sha256(",".join(map(str, numbers)).encode()).hexdigest())
+        for c, numbers in enumerate(centroids.tolist())
+    ]
+    clusters = spark.createDataFrame(rows, "cluster int, cluster_inertia long, inertia long, centroid_sha256 string")
+    return assigned.join(F.broadcast(clusters), "cluster").select("vec_id", "cluster", "distance", *clusters.columns[1:])
+
+
+def op13_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    found = find_passages(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return found.select(
+        "row.doc_id",
+        "found.n_words",
+        "found.n_hit",
+        F.size("found.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("found.items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("found.n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -97,6 +129,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_main_text,
         op9_warc,
         op10_packing,
+        op11_conversation_repair,
+        op12_sharded_lloyd,
+        op13_decontaminate,
     )
 }
 
@@ -108,6 +143,25 @@ def _attribute(name: str) -> str:
     return f"""replace(regexp_extract(tag, '(?is)\\b{name}\\s*=\\s*["'']?([^"''\\s>]+)', 1), '&amp;', '&')"""
 
 
+def _lloyd_rounds(rounds: int) -> str:
+    """Rounds of assignments a0, a1, ... and centroids c0, c1, ... as common table expressions."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (
+            SELECT k.vec_id, k.v, c.c, list_sum(list_transform(list_zip(k.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+            FROM kept k CROSS JOIN c{i} c QUALIFY row_number() OVER (PARTITION BY k.vec_id ORDER BY d, c.c) = 1)""")
+        if i < rounds:
+            steps.append(f"""u{i} AS (SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS p FROM a{i}),
+        m{i} AS (SELECT c, p, floor(sum(x) / count(*))::BIGINT AS x FROM u{i} GROUP BY c, p),
+        n{i} AS (SELECT c, list(x ORDER BY p) AS v FROM m{i} GROUP BY c),
+        c{i + 1} AS MATERIALIZED (SELECT o.c, coalesce(n.v, o.v) AS v FROM c{i} o LEFT JOIN n{i} n ON n.c = o.c)""")
+    return ",\n        ".join(steps)
+
+
+_WORDS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+
 def _url_part(group: int) -> str:
     return f"regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', {group})"
 
@@ -183,4 +237,41 @@ ORACLES: dict[str, str] = {
         SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
             CASE WHEN again THEN newest END AS refers_to
         FROM typed""",
+    "op12_sharded_lloyd": f"""
+        WITH kept AS MATERIALIZED (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+        ), c0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS c, v FROM kept QUALIFY c < {K}
+        ), {_lloyd_rounds(ROUNDS)}
+        SELECT vec_id, c::INTEGER AS cluster, d AS distance, sum(d) OVER (PARTITION BY c)::BIGINT AS cluster_inertia,
+            sum(d) OVER ()::BIGINT AS inertia, sha256(array_to_string(k.v, ',')) AS centroid_sha256
+        FROM a{ROUNDS} a JOIN c{ROUNDS} k USING (c)""",
+    "op13_decontaminate": f"""
+        WITH items AS (
+            SELECT item_id::VARCHAR AS item_id, {_WORDS} AS words FROM benchmark WHERE text IS NOT NULL
+        ), sized AS (
+            SELECT item_id, words, least(len(words), {WIDTH}) AS size FROM items WHERE len(words) > 0
+        ), starts AS (
+            SELECT item_id, words, size, unnest(generate_series(1, len(words) - size + 1)) AS i FROM sized
+        ), patterns AS (
+            SELECT DISTINCT item_id, size, array_to_string(words[i:i + size - 1], ' ') AS w FROM starts
+        ), docs AS MATERIALIZED (
+            SELECT doc_id, CASE WHEN text IS NULL THEN [] ELSE {_WORDS} END AS words FROM documents
+        ), places AS (
+            SELECT doc_id, words, size, unnest(generate_series(1, len(words) - size + 1)) AS i
+            FROM docs, (SELECT DISTINCT size FROM patterns) WHERE len(words) >= size
+        ), hits AS MATERIALIZED (
+            SELECT doc_id, i, size, item_id
+            FROM (SELECT doc_id, i, size, array_to_string(words[i:i + size - 1], ' ') AS w FROM places) JOIN patterns USING (size, w)
+        ), covered AS (
+            SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + size - 1)) AS p FROM hits)
+            GROUP BY doc_id
+        ), listed AS (
+            SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS items
+            FROM hits GROUP BY doc_id
+        )
+        SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+            sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)""",
 }
