@@ -23,7 +23,7 @@ from marginloom.functions import (  # noqa: E402
     week_start,
 )
 from marginloom.operators import pivot_report  # noqa: E402
-from marginloom.plans import inventory as inv, marketing as mk, pnl, quality as q, voice as vo  # noqa: E402
+from marginloom.plans import demand as dm, inventory as inv, marketing as mk, pnl, quality as q, voice as vo  # noqa: E402
 from marginloom.sources.rules import rules_from_rows  # noqa: E402
 from marginloom.plans.bindings import (  # noqa: E402
     AS_OF,
@@ -133,8 +133,12 @@ def _actuals(s: Sources) -> DataFrame:
     return inv.ytd_actuals(_lines(s), FY_START, AS_OF)
 
 
+def _curve(s: Sources) -> DataFrame:
+    return dm.plan_curve(s.plan_monthly)
+
+
 def _ytd_plan(s: Sources) -> DataFrame:
-    return inv.ytd_plan(_daily(s), FY_START, AS_OF)
+    return dm.ytd_plan_of(_curve(s), FY_START, AS_OF)
 
 
 def _coverage(s: Sources) -> DataFrame:
@@ -272,11 +276,14 @@ _QUERIES: dict[str, Callable[[Sources], DataFrame]] = {
     "coverage_status": lambda s: inv.with_coverage_status(_coverage(s)),
     "sku_performance": lambda s: inv.sku_performance(_coverage(s), _actuals(s), _ytd_plan(s)),
     "coverage_by_day": lambda s: inv.coverage_by_day(_stock(s), _daily(s)),
-    "coverage_windows": lambda s: inv.coverage_windows(_stock(s), _daily(s), AS_OF),
+    "coverage_windows": lambda s: dm.coverage_windows_of(_stock(s), _curve(s), AS_OF),
     "coverage_by_day_ytd": _by_day_ytd,
     "plan_pivot": _plan_pivot,
     "sales_vs_plan_pivot": _sales_vs_plan_pivot,
-    "coverage_range_pivot": lambda s: inv.coverage_range_pivot(_by_day_ytd(s), "1998-06-01", "1998-08-31"),
+    "coverage_range_pivot": lambda s: dm.coverage_range_of(
+        _stock(s), _curve(s), _actuals(s), _ytd_plan(s), "1998-06-01", "1998-08-31"
+    ),
+    "lead_time_demand": lambda s: dm.with_planned_demand(s.supply_lines, _curve(s), "first_day", "last_day"),
     "expand_seconds": lambda s: vo.outgoing_agent_map(s.agent_metrics, s.agents),
     "outgoing_calls": _outgoing,
     "answered_incoming": _incoming,

@@ -310,6 +310,22 @@ class Sources:
             .selectExpr("sku", "plan_month", f"{quantity('size + month(plan_month)')} AS planned_qty")
         )
 
+    @cached_property
+    def supply_lines(self) -> DataFrame:
+        """Each line as a delivery, with the days until the next one: the time its stock must last."""
+        parts = self.table("part").selectExpr("p_partkey AS l_partkey", f"{SKU} AS sku")
+        return (
+            self.table("lineitem")
+            .join(parts, "l_partkey", "inner")
+            .selectExpr(
+                "l_orderkey AS order_key",
+                "l_linenumber AS line_number",
+                "sku",
+                "CAST(l_shipdate AS DATE) AS first_day",
+                "date_add(CAST(l_shipdate AS DATE), 7 * l_linenumber - 1) AS last_day",
+            )
+        )
+
     # --- calls ---
 
     @cached_property

@@ -109,11 +109,15 @@ def next_months_plan(plan: DataFrame, as_of: Day = None, months: tuple[int, ...]
     return _sum_by_sku(plan.where(f"trunc(plan_month, 'month') IN ({coming})"), "planned_qty", "next_plan_qty")
 
 
+def rate_per_day() -> str:
+    """A monthly plan row's quantity for each day of its month."""
+    return cast(f"round({cast(quantity('planned_qty'), 'DOUBLE')} / day(last_day(plan_month)), 6)", QUANTITY)
+
+
 def daily_plan(plan: DataFrame) -> DataFrame:
     """The monthly plan spread evenly over the days of its month."""
-    per_day = f"round({cast(quantity('planned_qty'), 'DOUBLE')} / day(last_day(plan_month)), 6)"
     days = "sequence(trunc(plan_month, 'month'), last_day(plan_month))"
-    return plan.selectExpr("sku", f"explode({days}) AS plan_date", f"{cast(per_day, QUANTITY)} AS daily_plan_qty")
+    return plan.selectExpr("sku", f"explode({days}) AS plan_date", f"{rate_per_day()} AS daily_plan_qty")
 
 
 def inventory_coverage(stock: DataFrame, next_plan: DataFrame) -> DataFrame:

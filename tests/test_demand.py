@@ -1,0 +1,103 @@
+"""Planned demand by interval arithmetic, against the plan spread over days."""
+
+import datetime as dt
+import random
+
+import pytest
+
+import __spark_entry__ as entry
+from marginloom.plans import demand as dm, inventory as inv
+
+START = dt.date(2025, 1, 1)
+
+
+@pytest.fixture(scope="module")
+def plan(source):
+    """Months with gaps, doubled months, month ends as plan dates, empty quantities, leap years."""
+    rng = random.Random(8)
+    rows = [
+        {"sku": sku, "plan_month": f"{year}-{month:02d}-{rng.choice((1, 1, 15, 28))}", "planned_qty": rng.choice(["0", "7", "100.123456", "-31"])}
+        for sku in "ABCDE"
+        for year in (2024, 2025)
+        for month in rng.sample(range(1, 13), 7)
+    ]
+    rows += rows[:6] + [{"sku": "F", "plan_month": "2025-03-01", "planned_qty": None}, {"sku": None, "plan_month": "2025-03-01", "planned_qty": "5"}]
+    return source("plan_monthly", rows)
+
+
+@pytest.fixture(scope="module")
+def stock(make):
+    rows = [(sku, f"{sku}{n}", n, 1, 2) for sku in "ABFZ" for n in (1, 2)]
+    return make("sku STRING, item_name STRING, on_hand DECIMAL(18,6), in_transit DECIMAL(18,6), external_inv DECIMAL(18,6)", rows)
+
+
+def days_of(plan):
+    """The same plan as rows per day, without the rows that plan nothing."""
+    return inv.daily_plan(plan.where("planned_qty IS NOT NULL"))
+
+
+def test_any_range_equals_the_sum_of_its_days(plan, make, got):
+    rng = random.Random(3)
+    rows = []
+    for n in range(200):
+        first = START + dt.timedelta(rng.randint(-500, 500))
+        rows.append((n, rng.choice("ABCDEFZ"), first, first + dt.timedelta(rng.choice([-3, -1, 0, 1, 27, 28, 31, 90, 800]))))
+    rows += [(900, None, START, START), (901, "A", None, START), (902, "A", START, None)]
+    ranges = make("n INT, sku STRING, first DATE, last DATE", rows)
+    found = got(dm.with_planned_demand(ranges, dm.plan_curve(plan), "first", "last"), "n", "planned_qty")
+    per_day = {}
+    for r in days_of(plan).collect():
+        if r.sku is not None:
+            per_day[(r.sku, r.plan_date)] = per_day.get((r.sku, r.plan_date), 0) + r.daily_plan_qty
+    want = []
+    for n, sku, first, last in rows:
+        known = first is not None and last is not None
+        span = [first + dt.timedelta(d) for d in range((last - first).days + 1)] if known else []
+        want.append((n, float(sum(per_day.get((sku, d), 0) for d in span))))
+    assert sorted(found) == sorted(want)
+
+
+@pytest.mark.parametrize("fy_start,as_of", [("2024-11-01", "2025-06-15"), ("2025-02-28", "2025-03-01"), ("2030-01-01", "2030-02-01")])
+def test_year_to_date(plan, got, fy_start, as_of):
+    found, want = dm.ytd_plan_of(dm.plan_curve(plan), fy_start, as_of), inv.ytd_plan(days_of(plan), fy_start, as_of)
+    assert found.schema == want.schema and got(found) == got(want)
+
+
+@pytest.mark.parametrize("as_of", ["2024-02-10", "2025-06-15", "2025-12-20"])
+def test_windows(plan, stock, got, as_of):
+    want = inv.coverage_windows(stock, days_of(plan), as_of, (1, 28, 200))
+    assert got(dm.coverage_windows_of(stock, dm.plan_curve(plan), as_of, (1, 28, 200))) == got(want)
+
+
+def test_chosen_range(plan, stock, make, got):
+    actuals = make("sku STRING, ytd_actual_qty DECIMAL(18,6)", [("A", 5), ("Z", 6)])
+    ytd = inv.ytd_plan(days_of(plan), "2025-01-01", "2025-06-30")
+    by_day = inv.coverage_by_day_ytd(inv.coverage_by_day(stock, days_of(plan)), actuals, ytd)
+    want = inv.coverage_range_pivot(by_day, "2025-02-10", "2025-05-03")
+    found = dm.coverage_range_of(stock, dm.plan_curve(plan), actuals, ytd, "2025-02-10", "2025-05-03")
+    assert found.columns == want.columns and got(found) == got(want)
+
+
+def test_empty_plan(source, stock):
+    curve = dm.plan_curve(source("plan_monthly", []))
+    assert curve.count() == 0 and dm.coverage_windows_of(stock, curve, "2025-01-01").count() == 0
+    assert [r.planned_qty for r in dm.with_planned_demand(stock, curve, "DATE'2025-01-01'", "DATE'2025-01-02'").collect()] == [0] * 8
+
+
+def test_no_row_per_day(plan, stock, make):
+    curve, days = dm.plan_curve(plan), ("2025-01-01", "2025-06-30")
+    ytd, actuals = dm.ytd_plan_of(curve, *days), make("sku STRING, ytd_actual_qty DECIMAL(18,6)", [])
+    for df in (
+        ytd,
+        dm.coverage_windows_of(stock, curve, days[0]),
+        dm.coverage_range_of(stock, curve, actuals, ytd, *days),
+        dm.with_planned_demand(stock, curve, "DATE'2025-01-01'", "DATE'2025-01-02'"),
+    ):
+        text = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "Generate" not in text and "NestedLoop" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_queries_use_the_curve(spark):
+    for name in ("ytd_plan", "coverage_windows", "coverage_range_pivot", "lead_time_demand"):
+        text = entry.queries()[name](spark, entry.SMOKE_DIR)._jdf.queryExecution().optimizedPlan().toString()
+        assert "plan_date" not in text and "curve" in text
