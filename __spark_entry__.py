@@ -226,6 +226,10 @@ def _statement(s: Sources) -> DataFrame:
     return pnl.channel_statement(*_books(s, s.rules))
 
 
+def _in_cents(s: Sources) -> DataFrame:
+    return pnl.statement_in_cents(*_books(s, s.rules))
+
+
 def _more_rules(s: Sources) -> DataFrame:
     """The rules and some vendors of a channel that isn't one of the fixed four."""
     more = [("vendor", v, "Wholesale", None) for v in ("5", "6")]
@@ -330,6 +334,10 @@ _QUERIES: dict[str, Callable[[Sources], DataFrame]] = {
     "listed_invoices": lambda s: q.listed_invoices(s.portal_invoices, s.invoices).select("invoice_id", "invoice_number"),
     "unknown_numbers": lambda s: q.unknown_numbers(s.portal_invoices, s.invoices),
     "conservation_check": _conservation,
+    "statement_in_cents": _in_cents,
+    "cents_conservation": lambda s: q.conservation(
+        pnl.rounded_sources(s.ledger, s.accounts), _in_cents(s), ["pl_section", "account_name"]
+    ),
 }
 # Ratios are compared with six digits, money with four.
 _DIGITS = {"callback_rate": 6, "pickup_rate": 6, "revenue_shares": 6}

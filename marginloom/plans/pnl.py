@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from marginloom.functions.channels import prefix_branches
 from marginloom.operators.allocate import allocate_by_share, allocate_fixed, channel_array, share_table
+from marginloom.operators.cents import receiver, receivers_of, spread_in_cents
 from marginloom.operators.report import pivot_report
 from marginloom.sources import rules as kinds
 from marginloom.sources.rules import rules_of
@@ -426,6 +427,64 @@ def net_statement(
     return net_profit(_spread_costs(days, po_shares, DAY_SHARE).unionByName(expense))
 
 
+def _listed_receivers(rules: DataFrame) -> DataFrame:
+    """Expense rules as one row per account, section and type, with the channels and values listed for it."""
+    section = f"""CASE WHEN type IN ({texts(RULED_EXPENSES)}) THEN {text(OPERATING_EXPENSE)}
+        WHEN type = {text(kinds.OTHER_UNALLOCATED)} THEN {text(OTHER_EXPENSE)} END"""
+    whole = f"type IN ({texts([kinds.OPEX_UNALLOCATED, kinds.OTHER_UNALLOCATED])})"
+    listed = rules.selectExpr("key AS account_name", f"{section} AS pl_section", "type", receiver("channel", f"if({whole}, 1, value)") + " AS r")
+    return listed.where("pl_section IS NOT NULL").groupBy("account_name", "pl_section", "type").agg(F.expr("collect_list(r) AS listed"))
+
+
+def expense_cents(ledger: DataFrame, accounts: DataFrame, rules: DataFrame, revenue: DataFrame) -> DataFrame:
+    """Expense rows in whole cents, once per receiving channel; the parts of each row sum to its rounded amount.
+
+    An account with rules of several types is spread once for each type.
+    """
+    pairs = revenue_share_pairs(revenue)
+    rows = _expense_rows(ledger, accounts).join(_listed_receivers(rules), ["account_name", "pl_section"], "left")
+    rows = rows.withColumn("three", receivers_of(pairs).scalar()).withColumn("two", receivers_of(pairs, "commission_share").scalar())
+    receivers = f"""CASE WHEN type IS NULL THEN three
+        WHEN type = {text(kinds.COMMISSION)} THEN filter(two, s -> exists(listed, l -> l.channel = s.channel))
+        ELSE filter(listed, l -> l.share IS NOT NULL) END"""
+    chosen = rows.selectExpr(*PL_COLUMNS[:4], f"{receivers} AS receivers")
+    return spread_in_cents(chosen, "receivers", UNALLOCATED).select(*PL_COLUMNS)
+
+
+def revenue_cents(revenue: DataFrame, po_shares: DataFrame) -> DataFrame:
+    """Income and cost rows in whole cents; shared costs once per channel, by purchase cost."""
+    rows = revenue.withColumn("shared", receivers_of(po_shares).scalar())
+    receivers = f"if(channel = {text(PRO_RATA)}, shared, array({receiver('channel', '1')}))"
+    chosen = rows.selectExpr(*PL_COLUMNS[:4], f"{receivers} AS receivers")
+    return spread_in_cents(chosen, "receivers", UNALLOCATED).select(*PL_COLUMNS)
+
+
+def statement_in_cents(
+    ledger: DataFrame,
+    accounts: DataFrame,
+    bridge: DataFrame,
+    rules: DataFrame,
+    lines: DataFrame,
+    invoices: DataFrame,
+    po_items: DataFrame,
+    blank: BlankSellerRules | TableSellerRules = BlankSellerRules(),
+) -> DataFrame:
+    """``channel_statement`` in whole cents: the parts of every ledger row sum to its rounded amount.
+
+    Where no channel has a share (no income, no purchase cost), the row stays whole and unallocated.
+    """
+    revenue = channel_revenue(ledger, accounts, bridge, rules, blank)
+    po_shares = po_cost_shares(channel_po_cost(lines, invoices, avg_po_cost(po_items), rules))
+    return revenue_cents(revenue, po_shares).unionByName(expense_cents(ledger, accounts, rules, revenue))
+
+
+def rounded_sources(ledger: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Section, account and amount of every posted ledger row, each rounded to cents: what a statement must sum to."""
+    income = classify(posted(ledger, accounts, REVENUE_TYPES)).select("pl_section", "account_name", "amount")
+    spent = _expense_rows(ledger, accounts).select("pl_section", "account_name", "amount")
+    return income.unionByName(spent).selectExpr("pl_section", "account_name", "round(amount, 2) AS amount")
+
+
 def report_channels(rules: DataFrame) -> list[str]:
     """The channels a statement can have: the fixed ones, then those that only rules name, in order.
 
