@@ -23,6 +23,7 @@ from marginloom.functions import (  # noqa: E402
     week_start,
 )
 from marginloom.operators import pivot_report  # noqa: E402
+from marginloom.operators.validity import join_valid, overlapping_versions, share_sums_over_time  # noqa: E402
 from marginloom.plans import demand as dm, inventory as inv, marketing as mk, pnl, quality as q, voice as vo  # noqa: E402
 from marginloom.sources.rules import rules_from_rows  # noqa: E402
 from marginloom.plans.bindings import (  # noqa: E402
@@ -326,6 +327,13 @@ _QUERIES: dict[str, Callable[[Sources], DataFrame]] = {
         _opex(s), pnl.OLD_PAYROLL_SHARES, include=["ECONOMY Brand#6"], include_prefixes=("PROMO",)
     ),
     "channel_basic": _basic,
+    "dated_payroll": lambda s: pnl.allocate_static(_opex(s), s.dated_rules, "payroll_pct"),
+    "dated_revenue": lambda s: pnl.channel_revenue(s.ledger, s.accounts, _bridge(s), s.dated_rules),
+    "dated_statement": lambda s: pnl.channel_statement(*_books(s, s.dated_rules)),
+    "dated_cents": lambda s: pnl.statement_in_cents(*_books(s, s.dated_rules)),
+    "versions_in_force": lambda s: join_valid(s.shipped_lines, s.customer_versions.drop("type"), ["key"], "day"),
+    "overlapping_versions": lambda s: overlapping_versions(s.customer_versions, ("type", "key")),
+    "share_sums_over_time": lambda s: share_sums_over_time(s.customer_versions, ["payroll_pct"]),
     "pct_sum_check": lambda s: q.share_sums(s.article_rules),
     "key_format_check": lambda s: q.damaged_keys(s.order_rules),
     "dup_config_check": lambda s: q.duplicate_rules(s.order_rules),

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marginloom.functions.calendar import week_key
 from marginloom.functions.channels import OrderRules
-from marginloom.sources.rules import rules_from_rows
+from marginloom.sources.rules import dated_rules_from_rows, rules_from_rows
 from marginloom.types import money, quantity, text
 
 AS_OF = "1998-06-15"
@@ -50,6 +50,24 @@ RULE_ROWS: list[tuple] = [
 ]
 
 
+#: From this day on some rules differ.
+CHANGED = "1997-07-01"
+_NEW_PAYROLL = [("B2B", "0.2"), ("Retail", "0.45"), ("Costco", "0.1"), ("Unallocated", "0.25")]
+_ENDING = [
+    ("salesperson", "3"), ("vendor", "4"), ("payroll_pct", "PROMO Brand#1"), ("payroll_pct", "PROMO Brand#2"), ("ad_pct", "PROMO Brand#5")
+]
+#: (type, key, channel, value, valid_from, valid_to): versions that end, versions that begin, a gap of four months.
+DATED_RULE_ROWS: list[tuple] = [
+    *[(*row, None, ("1997-03-01" if row[0] == "ad_pct" else CHANGED) if row[:2] in _ENDING else None) for row in RULE_ROWS],
+    ("salesperson", "3", "Retail", None, CHANGED, None),
+    ("vendor", "4", "Costco", None, CHANGED, "1998-01-01"),
+    *[("payroll_pct", "PROMO Brand#1", c, v, CHANGED, None) for c, v in _NEW_PAYROLL],
+    *[("payroll_pct", "PROMO Brand#2", c, v, CHANGED, None) for c, v in _NEW_PAYROLL],
+    *[("ad_pct", "PROMO Brand#5", c, v, CHANGED, None) for c, v in (("B2B", "0.3"), ("Retail", "0.7"))],
+    ("unalloc_opex", "ECONOMY Brand#5", "Unallocated", None, CHANGED, None),
+]
+
+
 # Schemas of the test tables.
 TABLES = {
     "nation": "n_nationkey int, n_name string, n_regionkey int",
@@ -97,6 +115,10 @@ class Sources:
     def rules(self) -> DataFrame:
         return rules_from_rows(self.spark, RULE_ROWS)
 
+    @cached_property
+    def dated_rules(self) -> DataFrame:
+        return dated_rules_from_rows(self.spark, DATED_RULE_ROWS)
+
     # --- sales ---
 
     @cached_property
@@ -422,6 +444,29 @@ class Sources:
             f"{quantity('if(l_linenumber = 2, 2, NULL)')} AS value",
         )
 
+    @cached_property
+    def customer_versions(self) -> DataFrame:
+        """A rule per order: the customer's terms from its date for one to three months; some overlap, some leave gaps."""
+        days = "30 + CAST(pmod(o_orderkey, 60) AS INT)"
+        return self.table("orders").selectExpr(
+            "'payroll_pct' AS type",
+            f"{_digits('o_custkey')} AS key",
+            "o_orderpriority AS channel",
+            f"{quantity('if(o_orderstatus = \'F\', 1, 0.5)')} AS value",
+            "CAST(o_orderdate AS DATE) AS valid_from",
+            f"date_add(CAST(o_orderdate AS DATE), {days}) AS valid_to",
+        )
+
+    @cached_property
+    def shipped_lines(self) -> DataFrame:
+        """Lines with their customer and day."""
+        buyers = self.table("orders").selectExpr("o_orderkey AS l_orderkey", f"{_digits('o_custkey')} AS key")
+        return (
+            self.table("lineitem")
+            .join(buyers, "l_orderkey", "inner")
+            .selectExpr("l_orderkey AS order_key", "l_linenumber AS line_number", "key", "CAST(l_shipdate AS DATE) AS day")
+        )
+
     def customer_rules(self, status: str) -> DataFrame:
         """Customer to segment, as one version of the rules knows it: by the orders of one status."""
         buyers = self.table("orders").where(f"o_orderstatus = '{status}'").selectExpr("o_custkey AS c_custkey")

@@ -1,4 +1,8 @@
-"""Channel profit and loss: ledger rows to channels, shared costs to channels by rules and shares."""
+"""Channel profit and loss: ledger rows to channels, shared costs to channels by rules and shares.
+
+Rules may be dated (columns valid_from and valid_to, see ``operators.validity``): then a ledger row follows the
+rules of its own date, and an invoice line those of the invoice date. Prefix rules and defaults are not dated.
+"""
 
 from __future__ import annotations
 
@@ -12,8 +16,9 @@ from marginloom.functions.channels import prefix_branches
 from marginloom.operators.allocate import allocate_by_share, allocate_fixed, channel_array, share_table
 from marginloom.operators.cents import receiver, receivers_of, spread_in_cents
 from marginloom.operators.report import pivot_report
+from marginloom.operators.validity import holds_on, in_force, is_dated, join_rules
 from marginloom.sources import rules as kinds
-from marginloom.sources.rules import rules_of
+from marginloom.sources.rules import dates_of, rules_of
 from marginloom.staging import staged
 from marginloom.types import ALLOCATED, QUANTITY, SHARE, cast, money, quantity, text, texts
 
@@ -41,7 +46,8 @@ OLD_PAYROLL_SHARES = {B2B: "0.390278", RETAIL: "0.448611", CLUB: "0.161111"}
 OLD_COMMISSION_SHARES = {RETAIL: "1"}
 
 NO_SELLER = "coalesce(sales_person_id, '') = ''"
-PL_COLUMNS = ["pl_section", "account_name", "transaction_date", "amount", "channel"]
+DATE = "transaction_date"
+PL_COLUMNS = ["pl_section", "account_name", DATE, "amount", "channel"]
 # A day's sum times a share, exact to the last of its 16 decimals: sums below 10**20, shares below 10.
 DAY_SUM, DAY_SHARE = "DECIMAL(24,4)", "DECIMAL(13,12)"
 # Quantities of a channel and product, and prices, whose product is exact: below 10**16 and 10**9.
@@ -145,9 +151,14 @@ def classify(rows: DataFrame) -> DataFrame:
     return rows.selectExpr("*", f"{section} AS pl_section", f"{money(signed)} AS amount")
 
 
-def _with_seller_rules(rows: DataFrame, rules: DataFrame) -> DataFrame:
+def _dated_for(rules: DataFrame, rows: DataFrame, day: str = DATE) -> DataFrame:
+    """Dated rules cut to the days of ``rows``; others as they are."""
+    return in_force(rules, rows, day) if is_dated(rules) else rules
+
+
+def _with_seller_rules(rows: DataFrame, rules: DataFrame, day: str = DATE) -> DataFrame:
     by_seller = rules_of(rules, kinds.SALESPERSON, "key AS sales_person_id", "channel AS seller_channel")
-    return rows.join(by_seller, "sales_person_id", "left")
+    return join_rules(rows, by_seller, ["sales_person_id"], "left", day)
 
 
 def _with_row_rules(rows: DataFrame, rules: DataFrame) -> DataFrame:
@@ -160,12 +171,9 @@ def _with_row_rules(rows: DataFrame, rules: DataFrame) -> DataFrame:
     kept_out = rules_of(rules, kinds.COGS_UNALLOCATED, "key AS account_name", "TRUE AS keeps_cost")
     kept_kinds = rules_of(rules, kinds.COGS_UNALLOCATED, "key AS entity_type", "TRUE AS keeps_kind")
     by_vendor = rules_of(rules, kinds.VENDOR, "key AS vendor_id", "channel AS vendor_channel")
-    return (
-        rows.join(by_account, "account_name", "left")
-        .join(kept_out, "account_name", "left")
-        .join(kept_kinds, "entity_type", "left")
-        .join(by_vendor, "vendor_id", "left")
-    )
+    for table, key in ((by_account, "account_name"), (kept_out, "account_name"), (kept_kinds, "entity_type"), (by_vendor, "vendor_id")):
+        rows = join_rules(rows, table, [key], "left", DATE)
+    return rows
 
 
 def channel_case(blank: BlankSellerRules | TableSellerRules = BlankSellerRules()) -> str:
@@ -197,9 +205,14 @@ def channel_revenue(
     blank: BlankSellerRules | TableSellerRules = BlankSellerRules(),
 ) -> DataFrame:
     """Income and cost-of-goods rows of the ledger with their channel; shared costs are marked."""
+    rules = _dated_for(rules, ledger)
     rows = _with_row_rules(classify(posted(ledger, accounts, REVENUE_TYPES)), rules)
     # a large part of the ledger has no entity: adaptive execution splits the left side
-    rows = blank.attach(rows.join(_with_seller_rules(bridge, rules), "entity_id", "left"))
+    if is_dated(rules):
+        rows = _with_seller_rules(rows.join(bridge, "entity_id", "left"), rules)
+    else:
+        rows = rows.join(_with_seller_rules(bridge, rules), "entity_id", "left")
+    rows = blank.attach(rows)
     return rows.selectExpr(*PL_COLUMNS[:4], f"{channel_case(blank)} AS channel")
 
 
@@ -216,10 +229,10 @@ def channel_po_cost(lines: DataFrame, invoices: DataFrame, average: DataFrame, r
 
     Quantities are summed per channel and product before the average cost is joined.
     """
-    headers = invoices.select("invoice_id", "sales_person_id")
+    headers = invoices.select("invoice_id", "sales_person_id", *["invoice_date"] * is_dated(rules))
     invoiced = lines.select("invoice_id", "product_id", "quantity").join(headers, "invoice_id", "inner")
     sold = (
-        _with_seller_rules(invoiced, rules)
+        _with_seller_rules(invoiced, _dated_for(rules, invoices, "invoice_date"), "invoice_date")
         .selectExpr(f"coalesce(seller_channel, {text(RETAIL)}) AS channel", "product_id", "quantity")
         .groupBy("channel", "product_id")
         .agg(F.expr(f"{cast(f'sum({quantity("quantity")})', SOLD)} AS _sold"))
@@ -266,12 +279,14 @@ def other_expenses(ledger: DataFrame, accounts: DataFrame) -> DataFrame:
 
 
 def _with_rules(rows: DataFrame, rules: DataFrame, rule_type: str) -> DataFrame:
-    return rows.join(rules_of(rules, rule_type, "key AS account_name", "channel", "value"), "account_name", "inner")
+    listed = rules_of(_dated_for(rules, rows), rule_type, "key AS account_name", "channel", "value")
+    return join_rules(rows, listed, ["account_name"], "inner", DATE)
 
 
 def _without_rules(rows: DataFrame, rules: DataFrame, rule_types: list[str]) -> DataFrame:
-    ruled = rules.where(f"type IN ({texts(rule_types)})").selectExpr("key AS account_name").distinct()
-    return rows.join(ruled, "account_name", "left_anti")
+    rules = _dated_for(rules, rows)
+    ruled = rules.where(f"type IN ({texts(rule_types)})").selectExpr("key AS account_name", *dates_of(rules)).distinct()
+    return join_rules(rows, ruled, ["account_name"], "left_anti", DATE)
 
 
 def _with_amount(rows: DataFrame, amount: str) -> DataFrame:
@@ -364,7 +379,9 @@ def _spread_expenses(rows: DataFrame, rules: DataFrame, shares: DataFrame, share
     """
     by_type = f"""CASE WHEN type IN ({texts(RULED_EXPENSES)}) THEN {text(OPERATING_EXPENSE)}
         WHEN type = {text(kinds.OTHER_UNALLOCATED)} THEN {text(OTHER_EXPENSE)} END"""
-    ruled = rules.selectExpr("key AS account_name", f"{by_type} AS pl_section", "type", "channel AS listed", "value")
+    ruled = rules.selectExpr(
+        "key AS account_name", f"{by_type} AS pl_section", "type", "channel AS listed", "value", *dates_of(rules)
+    )
     ruled = ruled.where("pl_section IS NOT NULL")
     kept_whole = texts([kinds.OPEX_UNALLOCATED, kinds.OTHER_UNALLOCATED])
     part = f"""CASE WHEN type IS NULL THEN share WHEN type = {text(kinds.COMMISSION)} THEN commission_share
@@ -372,7 +389,7 @@ def _spread_expenses(rows: DataFrame, rules: DataFrame, shares: DataFrame, share
     payable = f"type IS NULL OR type <> {text(kinds.COMMISSION)} OR listed IN ({texts(COMMISSION_CHANNELS)})"
     receivers = f"if(type IS NULL, {channel_array(SALES_CHANNELS)}, array(listed))"
     spread = (
-        rows.join(ruled, ["account_name", "pl_section"], "left")
+        join_rules(rows, ruled, ["account_name", "pl_section"], "left", DATE)
         .where(payable)
         .selectExpr(*PL_COLUMNS[:4], "type", "value", f"explode({receivers}) AS channel")
     )
@@ -396,7 +413,9 @@ def channel_statement(
     """
     revenue = channel_revenue(ledger, accounts, bridge, rules, blank)
     po_shares = po_cost_shares(channel_po_cost(lines, invoices, avg_po_cost(po_items), rules))
-    expense = _spread_expenses(_expense_rows(ledger, accounts), rules, revenue_share_pairs(revenue))
+    expense = _spread_expenses(
+        _expense_rows(ledger, accounts), _dated_for(rules, ledger), revenue_share_pairs(revenue)
+    )
     return _spread_costs(revenue, po_shares).unionByName(expense)
 
 
@@ -423,17 +442,18 @@ def net_statement(
     po_shares = po_cost_shares(channel_po_cost(lines, invoices, avg_po_cost(po_items), rules))
     days = by_day(revenue, "pl_section", "channel").selectExpr("*", f"{text(NET_ACCOUNT)} AS account_name")
     spent = by_day(_expense_rows(ledger, accounts), "pl_section", "account_name")
-    expense = _spread_expenses(spent, rules, revenue_share_pairs(revenue), DAY_SHARE)
+    expense = _spread_expenses(spent, _dated_for(rules, ledger), revenue_share_pairs(revenue), DAY_SHARE)
     return net_profit(_spread_costs(days, po_shares, DAY_SHARE).unionByName(expense))
 
 
 def _listed_receivers(rules: DataFrame) -> DataFrame:
-    """Expense rules as one row per account, section and type, with the channels and values listed for it."""
+    """Expense rules as one row per account and section, with all that is listed for it."""
     section = f"""CASE WHEN type IN ({texts(RULED_EXPENSES)}) THEN {text(OPERATING_EXPENSE)}
         WHEN type = {text(kinds.OTHER_UNALLOCATED)} THEN {text(OTHER_EXPENSE)} END"""
     whole = f"type IN ({texts([kinds.OPEX_UNALLOCATED, kinds.OTHER_UNALLOCATED])})"
-    listed = rules.selectExpr("key AS account_name", f"{section} AS pl_section", "type", receiver("channel", f"if({whole}, 1, value)") + " AS r")
-    return listed.where("pl_section IS NOT NULL").groupBy("account_name", "pl_section", "type").agg(F.expr("collect_list(r) AS listed"))
+    one = f"struct(type, {receiver('channel', f'if({whole}, 1, value)')} AS r{''.join(f', {c}' for c in dates_of(rules))}) AS l"
+    listed = rules.selectExpr("key AS account_name", f"{section} AS pl_section", one).where("pl_section IS NOT NULL")
+    return listed.groupBy("account_name", "pl_section").agg(F.expr("collect_list(l) AS listed"))
 
 
 def expense_cents(ledger: DataFrame, accounts: DataFrame, rules: DataFrame, revenue: DataFrame) -> DataFrame:
@@ -444,9 +464,13 @@ def expense_cents(ledger: DataFrame, accounts: DataFrame, rules: DataFrame, reve
     pairs = revenue_share_pairs(revenue)
     rows = _expense_rows(ledger, accounts).join(_listed_receivers(rules), ["account_name", "pl_section"], "left")
     rows = rows.withColumn("three", receivers_of(pairs).scalar()).withColumn("two", receivers_of(pairs, "commission_share").scalar())
+    holding = f"filter(listed, l -> {holds_on(DATE, 'l.valid_from', 'l.valid_to')})" if is_dated(rules) else "listed"
+    rows = rows.selectExpr(*PL_COLUMNS[:4], "three", "two", f"coalesce({holding}, array()) AS listed")
+    types = "explode(if(size(listed) = 0, array(CAST(NULL AS STRING)), array_distinct(transform(listed, l -> l.type)))) AS type"
+    rows = rows.selectExpr("*", types)
     receivers = f"""CASE WHEN type IS NULL THEN three
-        WHEN type = {text(kinds.COMMISSION)} THEN filter(two, s -> exists(listed, l -> l.channel = s.channel))
-        ELSE filter(listed, l -> l.share IS NOT NULL) END"""
+        WHEN type = {text(kinds.COMMISSION)} THEN filter(two, s -> exists(listed, l -> l.type = type AND l.r.channel = s.channel))
+        ELSE transform(filter(listed, l -> l.type = type AND l.r.share IS NOT NULL), l -> l.r) END"""
     chosen = rows.selectExpr(*PL_COLUMNS[:4], f"{receivers} AS receivers")
     return spread_in_cents(chosen, "receivers", UNALLOCATED).select(*PL_COLUMNS)
 

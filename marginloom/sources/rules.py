@@ -48,9 +48,14 @@ class RuleError(ValueError):
     """The rules table would give wrong amounts."""
 
 
+def dates_of(rules: DataFrame) -> list[str]:
+    """The columns that say when a rule holds, if the rules have them."""
+    return [c for c in ("valid_from", "valid_to") if c in rules.columns]
+
+
 def rules_of(rules: DataFrame, rule_type: str, *columns: str) -> DataFrame:
-    """Rules of one type; ``columns`` are the expressions wanted from key, channel and value."""
-    return rules.where(f"type = {text(rule_type)}").selectExpr(*(columns or ("key", "channel", "value")))
+    """Rules of one type; ``columns`` are the expressions wanted from key, channel and value. Dates come along."""
+    return rules.where(f"type = {text(rule_type)}").selectExpr(*(columns or ("key", "channel", "value")), *dates_of(rules))
 
 
 def rules_from_rows(spark: SparkSession, rows: Iterable[tuple]) -> DataFrame:
@@ -60,6 +65,35 @@ def rules_from_rows(spark: SparkSession, rows: Iterable[tuple]) -> DataFrame:
     return raw.selectExpr("type", "key", "channel", f"{quantity('value')} AS value")
 
 
+def dated_rules_from_rows(spark: SparkSession, rows: Iterable[tuple]) -> DataFrame:
+    """Rules given in code as ``(type, key, channel, value, valid_from, valid_to)``; None for an open end."""
+    listed = ", ".join(f"({', '.join(text(v) for v in row)})" for row in rows)
+    raw = spark.sql(f"SELECT * FROM VALUES {listed} AS t(type, `key`, channel, value, valid_from, valid_to)")
+    dates = [f"CAST({c} AS DATE) AS {c}" for c in ("valid_from", "valid_to")]
+    return raw.selectExpr("type", "key", "channel", f"{quantity('value')} AS value", *dates)
+
+
+def load_dated_rules(spark: SparkSession, path: str) -> DataFrame:
+    """A rules file with the columns valid from and valid to (not included; blank for open ends).
+
+    Stops on versions of one rule that overlap, which would double amounts, and on damaged keys.
+    """
+    from marginloom.operators.validity import overlapping_versions
+    from marginloom.plans.quality import damaged_keys
+
+    raw = read_by_header(spark, path, [*RULE_COLUMNS, "valid_from", "valid_to"])
+    blank = lambda c: f"nullif(trim({c}), '')"
+    dates = [f"CAST({blank(c)} AS DATE) AS {c}" for c in ("valid_from", "valid_to")]
+    rules = raw.selectExpr("type", "key", "channel", f"{quantity(blank('value'))} AS value", "description", *dates)
+    doubled = overlapping_versions(rules).limit(5).collect()
+    if doubled:
+        raise RuleError(f"overlapping versions: {[(r['type'], r['key'], r['channel'], str(r['overlaps_from'])) for r in doubled]}")
+    damaged = damaged_keys(rules).limit(5).collect()
+    if damaged:
+        raise RuleError(f"damaged keys: {[(r['type'], r['key']) for r in damaged]}")
+    return rules
+
+
 def load_rules(spark: SparkSession, path: str) -> DataFrame:
     """Read and check a rules file; every key is read as text.
 
