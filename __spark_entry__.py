@@ -23,6 +23,7 @@ from marginloom.functions import (  # noqa: E402
     week_start,
 )
 from marginloom.operators import pivot_report  # noqa: E402
+from marginloom.operators.key_repair import key_candidates, repair_keys  # noqa: E402
 from marginloom.operators.validity import join_valid, overlapping_versions, share_sums_over_time  # noqa: E402
 from marginloom.plans import demand as dm, inventory as inv, marketing as mk, pnl, quality as q, voice as vo  # noqa: E402
 from marginloom.sources.rules import rules_from_rows  # noqa: E402
@@ -336,6 +337,8 @@ _QUERIES: dict[str, Callable[[Sources], DataFrame]] = {
     "share_sums_over_time": lambda s: share_sums_over_time(s.customer_versions, ["payroll_pct"]),
     "pct_sum_check": lambda s: q.share_sums(s.article_rules),
     "key_format_check": lambda s: q.damaged_keys(s.order_rules),
+    "key_candidates": lambda s: key_candidates(s.order_rules, s.posting_ids),
+    "key_repair": lambda s: repair_keys(s.vendor_rules, s.posting_ids),
     "dup_config_check": lambda s: q.duplicate_rules(s.order_rules),
     "config_drift": lambda s: q.rule_drift(s.customer_rules("F"), s.customer_rules("O")),
     "invoice_crossref": lambda s: q.invoice_crossref(s.portal_invoices, s.invoices),

@@ -444,6 +444,23 @@ class Sources:
             f"{quantity('if(l_linenumber = 2, 2, NULL)')} AS value",
         )
 
+    @cached_property
+    def vendor_rules(self) -> DataFrame:
+        """One channel for most vendors, two for some; the first id of every fifth vendor is named by an intact rule."""
+        channel = "if(l_suppkey % 7 = 0, l_returnflag, 'Retail')"
+        number = "CAST(NULL AS DECIMAL(18,6)) AS value"
+        damaged = self.table("lineitem").selectExpr("'vendor' AS type", "concat(l_suppkey, '.97995E+18') AS key", f"{channel} AS channel", number)
+        intact = self.table("lineitem").where("l_suppkey % 5 = 0").selectExpr(
+            "'vendor' AS type", "concat(l_suppkey, '97995', repeat('0', 13)) AS key", "'B2B' AS channel", number
+        )
+        return damaged.unionByName(intact)
+
+    @cached_property
+    def posting_ids(self) -> DataFrame:
+        """Long ids of the ledger's vendors; one vendor has one to three, of which some round to the same six digits."""
+        tail = "pmod(l_orderkey, l_suppkey % 3 + 1) * 3000000000000"
+        return self.table("lineitem").selectExpr(f"concat(l_suppkey, '97995', lpad(CAST({tail} AS STRING), 13, '0')) AS id")
+
     @cached_property
     def customer_versions(self) -> DataFrame:
         """A rule per order: the customer's terms from its date for one to three months; some overlap, some leave gaps."""
