@@ -7,6 +7,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from marginloom.sources.versions import Versions
 from marginloom.types import quantity, text
 
 RULE_COLUMNS = ["type", "key", "channel", "value", "description"]
@@ -33,9 +34,11 @@ class HeaderError(ValueError):
 def read_by_header(spark: SparkSession, path: str, columns: Iterable[str]) -> DataFrame:
     """A CSV file's columns as texts, found by their names in the header, in whatever order they stand.
 
-    Case, blanks and signs in a name don't matter (``Plan Month`` is plan_month); other columns are left out.
+    Case, blanks and signs in a name don't matter (``Plan Month`` is plan_month); other columns are left out. Of a
+    table with versions the latest is read.
     """
-    raw = spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
+    folders = Versions(spark, path).folders() or [path]
+    raw = spark.read.option("header", True).option("mode", "FAILFAST").csv(folders)
     plain = [re.sub(r"[^a-z0-9]+", "_", c.strip().lower()).strip("_") for c in raw.columns]
     wrong = [c for c in columns if plain.count(c) != 1]
     if wrong:
@@ -114,11 +117,28 @@ def load_rules(spark: SparkSession, path: str) -> DataFrame:
     return rules
 
 
+def _write_csv(rules: DataFrame):
+    return lambda folder: rules.write.option("header", True).csv(folder)
+
+
 def replace_rules(rules: DataFrame, path: str) -> None:
-    """Import that empties the table first."""
-    rules.write.mode("overwrite").option("header", True).csv(path)
+    """Import that replaces the table: readers see the old rules until the new ones are complete.
+
+    ``rules`` may be read from the same path. If the job fails, the old rules stay.
+    """
+    Versions(rules.sparkSession, path).replace(_write_csv(rules))
 
 
 def append_rules(rules: DataFrame, path: str) -> None:
-    """Import that adds to the table; repeated imports leave duplicates that ``load_rules`` reports."""
-    rules.write.mode("append").option("header", True).csv(path)
+    """Import that adds to the table, all rows at once; repeated imports leave duplicates that ``load_rules`` reports.
+
+    The rules need the columns of the table, in any order.
+    """
+    spark = rules.sparkSession
+    folders = Versions(spark, path).folders()
+    if folders:
+        known = spark.read.option("header", True).csv(folders).columns
+        if sorted(known) != sorted(rules.columns):
+            raise HeaderError(f"{path} has the columns {known}, the new rules {rules.columns}")
+        rules = rules.select(*[f"`{c}`" for c in known])
+    Versions(spark, path).append(_write_csv(rules))

@@ -1,7 +1,9 @@
 """Intermediate tables in the folder that all executors share.
 
 A table is written as Parquet and read back, so later steps neither recompute it nor lose it with an
-executor. The folder is ``spark.checkpoint.dir``; only where that is unset (tests) a temporary one is made.
+executor. The folder is ``spark.checkpoint.dir``. Only a local session, whose executors are the driver itself, may
+go without: it gets a temporary folder. On a cluster a folder of the driver's own machine would be one that no other
+machine can see, and a table read back from it would be empty.
 """
 
 from __future__ import annotations
@@ -12,9 +14,16 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+class NoSharedFolder(RuntimeError):
+    """``spark.checkpoint.dir`` isn't set on a cluster."""
+
+
 def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise NoSharedFolder(f"set spark.checkpoint.dir to a folder that all machines of {master} can read and write")
         folder = "file://" + tempfile.mkdtemp(prefix="marginloom-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
