@@ -27,6 +27,7 @@ from marginloom.operators.key_repair import key_candidates, repair_keys  # noqa:
 from marginloom.operators.validity import join_valid, overlapping_versions, share_sums_over_time  # noqa: E402
 from marginloom.plans import demand as dm, inventory as inv, marketing as mk, pnl, quality as q, voice as vo  # noqa: E402
 from marginloom.sources.rules import rules_from_rows  # noqa: E402
+from marginloom.plans import delivered  # noqa: E402
 from marginloom.plans.bindings import (  # noqa: E402
     AS_OF,
     CALLS_YEAR,
@@ -232,6 +233,16 @@ def _in_cents(s: Sources) -> DataFrame:
     return pnl.statement_in_cents(*_books(s, s.rules))
 
 
+def _delivered(stack, names: list[str], table: str) -> Callable[[Sources], DataFrame]:
+    """One table of a stack of which all named tables are built."""
+    return lambda s: stack.build({n: getattr(s, n) for n in _sources(stack)}, names)[table]
+
+
+def _sources(stack) -> list[str]:
+    read = {needed for t in stack.tables.values() for needed in t.inputs}
+    return sorted(read - set(stack.tables))
+
+
 def _more_rules(s: Sources) -> DataFrame:
     """The rules and some vendors of a channel that isn't one of the fixed four."""
     more = [("vendor", v, "Wholesale", None) for v in ("5", "6")]
@@ -345,6 +356,10 @@ _QUERIES: dict[str, Callable[[Sources], DataFrame]] = {
     "listed_invoices": lambda s: q.listed_invoices(s.portal_invoices, s.invoices).select("invoice_id", "invoice_number"),
     "unknown_numbers": lambda s: q.unknown_numbers(s.portal_invoices, s.invoices),
     "conservation_check": _conservation,
+    "stacked_pl": _delivered(delivered.profit_and_loss(), delivered.PL_TABLES, "channel_pl"),
+    "stacked_inventory": _delivered(
+        delivered.inventory(FY_START, AS_OF, MIN_YEAR), delivered.INVENTORY_TABLES, "sku_performance"
+    ),
     "statement_in_cents": _in_cents,
     "cents_conservation": lambda s: q.conservation(
         pnl.rounded_sources(s.ledger, s.accounts), _in_cents(s), ["pl_section", "account_name"]

@@ -371,6 +371,11 @@ def _expense_rows(ledger: DataFrame, accounts: DataFrame) -> DataFrame:
     )
 
 
+def all_expenses(ledger: DataFrame, accounts: DataFrame) -> DataFrame:
+    """``operating_expenses`` and ``other_expenses`` in one pass over the ledger."""
+    return _expense_rows(ledger, accounts).select(*PL_COLUMNS[:4])
+
+
 def _spread_expenses(rows: DataFrame, rules: DataFrame, shares: DataFrame, share: str = SHARE) -> DataFrame:
     """Expense rows, each once per receiving channel.
 
