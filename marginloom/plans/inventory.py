@@ -97,6 +97,11 @@ def ytd_actuals(lines: DataFrame, fy_start: dt.date | str, as_of: Day = None) ->
     return _sum_by_sku(in_year, "quantity", "ytd_actual_qty")
 
 
+def sold_by_day(lines: DataFrame) -> DataFrame:
+    """Sold quantity per SKU and day; days can be summed by themselves, and ``ytd_actuals`` reads them like lines."""
+    return lines.groupBy("sku", "order_date").agg(F.expr(f"{cast('sum(quantity)', TOTAL_QUANTITY)} AS quantity"))
+
+
 def ytd_plan(daily: DataFrame, fy_start: dt.date | str, as_of: Day = None) -> DataFrame:
     """Planned quantity per SKU from the start of the fiscal year to the reporting date."""
     in_year = daily.where(f"plan_date BETWEEN {as_date(fy_start)} AND {as_date(as_of)}")

@@ -424,6 +424,28 @@ def channel_statement(
     return _spread_costs(revenue, po_shares).unionByName(expense)
 
 
+def _by_day(rows: DataFrame, *keys: str) -> DataFrame:
+    return rows.groupBy(*keys, DATE).agg(F.expr(f"{cast('sum(amount)', DAY_SUM)} AS amount"))
+
+
+def revenue_by_day(revenue: DataFrame) -> DataFrame:
+    """Income and cost per section, channel and day; days can be summed by themselves."""
+    return _by_day(revenue, "pl_section", "channel")
+
+
+def expenses_by_day(expense: DataFrame) -> DataFrame:
+    """Expenses of ``all_expenses`` per section, account and day; days can be summed by themselves."""
+    return _by_day(expense, "pl_section", "account_name")
+
+
+def net_from_days(revenue_days: DataFrame, expense_days: DataFrame, rules: DataFrame, po_shares: DataFrame) -> DataFrame:
+    """``net_profit`` from the day sums alone; no ledger row is read. Dated rules are cut to the expense days."""
+    days = revenue_days.selectExpr("*", f"{text(NET_ACCOUNT)} AS account_name")
+    shares = revenue_share_pairs(revenue_days)
+    expense = _spread_expenses(expense_days, _dated_for(rules, expense_days), shares, DAY_SHARE)
+    return net_profit(_spread_costs(days, po_shares, DAY_SHARE).unionByName(expense))
+
+
 def net_statement(
     ledger: DataFrame,
     accounts: DataFrame,
@@ -439,14 +461,10 @@ def net_statement(
     A share is the same for all rows of a channel, so rows are summed to days first (income and
     cost per section and channel, expenses per section and account) and the sums are spread.
     """
-
-    def by_day(rows: DataFrame, *keys: str) -> DataFrame:
-        return rows.groupBy(*keys, "transaction_date").agg(F.expr(f"{cast('sum(amount)', DAY_SUM)} AS amount"))
-
     revenue = channel_revenue(ledger, accounts, bridge, rules, blank)
     po_shares = po_cost_shares(channel_po_cost(lines, invoices, avg_po_cost(po_items), rules))
-    days = by_day(revenue, "pl_section", "channel").selectExpr("*", f"{text(NET_ACCOUNT)} AS account_name")
-    spent = by_day(_expense_rows(ledger, accounts), "pl_section", "account_name")
+    days = revenue_by_day(revenue).selectExpr("*", f"{text(NET_ACCOUNT)} AS account_name")
+    spent = expenses_by_day(_expense_rows(ledger, accounts))
     expense = _spread_expenses(spent, _dated_for(rules, ledger), revenue_share_pairs(revenue), DAY_SHARE)
     return net_profit(_spread_costs(days, po_shares, DAY_SHARE).unionByName(expense))
 
