@@ -13,7 +13,7 @@ from marginloom.functions.channels import OrderRules, order_channel, order_chann
 from marginloom.functions.text import name_segment
 from marginloom.operators.joins import exclude_keep_null, left_join_lines, unfilled_scaffold
 from marginloom.operators.report import is_first, newest_first, same_group, smallest_ids
-from marginloom.staging import staged
+from marginloom.staging import staged, staged_together
 from marginloom.types import TOTAL_MONEY, cast, money, text, texts
 
 # Fixed value: exchange rate of platform spend.
@@ -21,8 +21,8 @@ USD_TO_CAD = "1.35"
 # Dealer account types, left out of the KPIs.
 DEALER_TYPES = ["Dealer - Bronze", "Dealer - Gold", "Dealer - Silver", "Dealer - Standard"]
 CLOSED = "Closed"
-# Categories from which on their weekly table is not broadcast.
-MANY_CATEGORIES = 500
+# Rows up to which a weekly table, whose rows are counted, is broadcast: some ten megabytes.
+FEW_WEEKLY_ROWS = 100_000
 
 SPEND = ["fb_usd", "fb_cad", "google_usd", "google_cad", "other_cad"]
 CAD = ["fb_cad", "google_cad", "other_cad"]
@@ -205,13 +205,12 @@ def _with_categories(lines: DataFrame, items: DataFrame, categories: DataFrame)
     )
 
 
-def _per_week(df: DataFrame, categories: DataFrame) -> DataFrame:
-    """``df``, one row per week and category or less, with a broadcast hint if there are few categories.
+def _broadcast_if_few(kept: DataFrame) -> DataFrame:
+    """A staged weekly table, broadcast only if its rows, which are counted, are few.
 
-    The count of the dimension bounds the table: a century of weeks has 5,218 rows per category.
     Beyond, Spark chooses by size and splits what is skewed.
     """
-    return F.broadcast(df) if categories.limit(MANY_CATEGORIES).count() < MANY_CATEGORIES else df
+    return F.broadcast(kept) if kept.count() <= FEW_WEEKLY_ROWS else kept
 
 
 def sales_and_spend(
@@ -239,11 +238,11 @@ def sales_and_spend(
     invoices only is dropped, unless ``exclude_before_join`` removes the dealers first. The
     flag is set after all filters, so the flagged rows of a group carry the repeated amounts.
 
-    Invoice lines are shuffled by invoice only. What there is per week and channel is put on the
-    scaffold first, whose rows the calendar bounds, and meets the headers in a broadcast; what
-    there is per group of the flag is one row per group, with the minimum from a pass over the
-    three line columns that it needs. The headers are needed for the lines, the minimum and the
-    empty weeks: they are staged, so their joins run once, when this function is called.
+    Invoice lines are read once and shuffled by invoice only: they meet the headers, and what comes out is staged.
+    The headers without lines, the minimum of each group and the rows themselves are read from there, the first two
+    from a few of its columns. What there is per week and channel is put on the scaffold first, and what there is per
+    group of the flag on the minimum; both are small tables that then meet the rows. Everything that is staged is
+    computed when this function is called.
     """
     week_and_channel = ["year_week", "channel"]
     per_cell = set(spend_on) == set(week_and_channel)
@@ -259,31 +258,34 @@ def sales_and_spend(
         cells = cells.join(spent, on_spend, "left")
     buyers = customers.select("customer_id", "contact_type", "account_type")
     keyed = closed.withColumnRenamed("invoice_week", "year_week").join(buyers, "customer_id", "left")
-    keyed = staged(keyed.where(f"year_week <= {week_key(as_date(as_of))}"), "closed-invoices")
+    keyed = keyed.where(f"year_week <= {week_key(as_date(as_of))}")
+    cells, keyed = staged_together({"weekly-cells": cells, "closed-invoices": keyed})
+    cells = _broadcast_if_few(cells)
     retail = keyed.where(exclude_keep_null("account_type", dealers))
     # at most one row per week of the calendar and listed channel
-    headers = retail.join(F.broadcast(cells), week_and_channel, "inner").selectExpr("*", "year_week AS invoice_week")
+    headers = retail.join(cells, week_and_channel, "inner").selectExpr("*", "year_week AS invoice_week")
     empty_cells = unfilled_scaffold(cells, retail if exclude_before_join else keyed, week_and_channel)
 
+    line = lines.selectExpr(
+        "invoice_id", "product_id", "item_id", "item_name", "quantity", "total AS item_total", "warehouse_id"
+    )
+    # an inner join, of which adaptive execution splits a hot invoice
+    sold = staged(_with_categories(headers.join(line, "invoice_id", "inner"), items, categories), "sold-lines")
+    unsold = headers.join(sold.select("invoice_id").distinct(), "invoice_id", "left_anti")
+
     unique_by = ["invoice_id", "sales_order_id", "product_id"] if unique_flag else None
-    weeks = F.broadcast(cells.select(*week_and_channel))
-    slim = retail.select("invoice_id", "sales_order_id", *week_and_channel).join(weeks, week_and_channel, "left_semi")
-    slim = slim.join(lines.select("invoice_id", "product_id", "item_id"), "invoice_id", "inner")
-    slim = slim if per_cell else _with_categories(slim, items, categories)
-    groups = smallest_ids(slim, flag_group, "item_id", unique_by)
+    groups = smallest_ids(sold, flag_group, "item_id", unique_by)
     if not per_cell:
         of_group = {c: f"_g{flag_group.index(c)}" for c in spend_on}
         on_group = reduce(and_, [F.col(of_group[c]) == F.col(f"_{s}") for c, s in spend_on.items()])
         groups = groups.join(spent, on_group, "left")
+    groups = _broadcast_if_few(staged(groups, "weekly-groups"))
 
-    line = lines.selectExpr(
-        "invoice_id", "product_id", "item_id", "item_name", "quantity", "total AS item_total", "warehouse_id"
-    )
-    rows = _with_categories(left_join_lines(headers, line, ["invoice_id"]), items, categories).join(
+    rows = sold.unionByName(unsold, allowMissingColumns=True).join(
         sales_persons.selectExpr("sales_person_id", "name AS sales_person"), "sales_person_id", "left"
     )
     flagged = (
-        rows.join(_per_week(groups, categories), same_group(flag_group), "left")
+        rows.join(groups, same_group(flag_group), "left")
         .selectExpr("*", f"{is_first('item_id', unique_by)} AS is_first_row")
         # weeks without invoices hold no item and need no group
         .unionByName(empty_cells.selectExpr("*", "0 AS is_first_row"), allowMissingColumns=True)

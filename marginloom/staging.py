@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -34,3 +36,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path, schema = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}", df.schema
     df.write.parquet(path)
     return df.sparkSession.read.schema(schema).parquet(path)
+
+
+def staged_together(tables: dict[str, DataFrame]) -> list[DataFrame]:
+    """Several tables staged at once: their jobs share the executors instead of waiting for each other."""
+    inherit = inheritable_thread_target(next(iter(tables.values())).sparkSession)
+    with ThreadPoolExecutor(len(tables)) as pool:
+        jobs = [pool.submit(inherit(staged), df, name) for name, df in tables.items()]
+        return [job.result() for job in jobs]

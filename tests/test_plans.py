@@ -79,6 +79,31 @@ def test_invoice_lines_are_never_shuffled_by_week(far, name):
             assert "item_name" not in below and "item_total" not in below, below
 
 
+@pytest.mark.parametrize("name", ["sales_spend_category", "sales_spend_channel"])
+def test_invoice_lines_are_read_once(spark, name, monkeypatch):
+    """Lines meet the headers in one staged join; the flag, the empty headers and the rows read that."""
+    staged, together, seen = entry.mk.staged, entry.mk.staged_together, []
+
+    def noted(df):
+        seen.append(plan(df))
+        return df
+
+    monkeypatch.setattr(entry.mk, "staged", lambda df, table: staged(noted(df), table))
+    monkeypatch.setattr(entry.mk, "staged_together", lambda tables: together({n: noted(df) for n, df in tables.items()}))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100k")
+    try:
+        seen.append(plan(entry.queries()[name](spark, entry.SMOKE_DIR)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    lines = [s for text in seen for s in scans(text, "lineitem") if "l_linenumber" in s]
+    assert len(lines) == 1
+    # the others are those of payments (one) and spend
+    payments = sum(len(scans(text, "lineitem")) for text in [plan(entry._payments(Sources(spark, entry.SMOKE_DIR)))])
+    spend = len(scans(plan(entry._spend(Sources(spark, entry.SMOKE_DIR))), "lineitem"))
+    assert sum(len(scans(text, "lineitem")) for text in seen) <= payments + spend + 3
+
+
 def test_date_filter_of_the_pivot_reaches_the_ledger_scans(far):
     dated = [s for s in scans(far["pl_pivot"], "lineitem") if "GreaterThanOrEqual(l_shipdate" in s]
     assert len(dated) == 2  # income and cost, and expenses; not the base of the shares, which needs all dates

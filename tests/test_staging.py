@@ -4,7 +4,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from marginloom.staging import NoSharedFolder, shared_folder, staged
+from marginloom.staging import NoSharedFolder, shared_folder, staged, staged_together
 
 
 class Conf(dict):
@@ -34,3 +34,10 @@ def test_staged_tables_keep_rows_and_types(spark):
     df = spark.sql("SELECT 1 AS a, CAST(2 AS DECIMAL(18,4)) AS b, CAST(NULL AS DATE) AS c")
     kept = staged(df, "few")
     assert kept.dtypes == df.dtypes and kept.collect() == df.collect()
+
+
+def test_tables_staged_together(spark):
+    a, b = staged_together({"a": spark.range(3), "b": spark.range(5).selectExpr("id * 2 AS twice")})
+    assert (a.columns, a.count(), b.columns, b.count()) == (["id"], 3, ["twice"], 5)
+    with pytest.raises(Exception, match="lost"):
+        staged_together({"a": spark.range(3), "b": spark.range(5).selectExpr("raise_error('lost') AS x")})
