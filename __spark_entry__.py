@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Callable
 from importlib.util import find_spec
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, DecimalType, IntegerType, TimestampNTZType, TimestampType
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -28,6 +28,7 @@ from marginloom.operators.key_repair import key_candidates, repair_keys  # noqa:
 from marginloom.operators.validity import join_valid, overlapping_versions, share_sums_over_time  # noqa: E402
 from marginloom.plans import demand as dm, inventory as inv, marketing as mk, pnl, quality as q, voice as vo  # noqa: E402
 from marginloom.refresh import DaySums  # noqa: E402
+from marginloom.sources.by_document import over_documents, store_by_document  # noqa: E402
 from marginloom.sources.rules import rules_from_rows  # noqa: E402
 from marginloom.staging import shared_folder  # noqa: E402
 from marginloom.plans import delivered  # noqa: E402
@@ -178,8 +179,12 @@ def _incoming(s: Sources) -> DataFrame:
     return vo.answered_incoming(s.call_logs, s.agent_metrics, s.agents)
 
 
+def _contacts(s: Sources, by_agent: bool = False) -> DataFrame:
+    return vo.returning_contacts(s.call_logs, s.agent_metrics, s.agents, by_agent)
+
+
 def _summary(s: Sources) -> DataFrame:
-    return vo.callback_summary(s.call_logs, _outgoing(s), _incoming(s))
+    return vo.callback_summary_of(s.call_logs, _contacts(s))
 
 
 def _matched(s: Sources) -> DataFrame:
@@ -253,6 +258,25 @@ def _refreshed_sales(s: Sources) -> DataFrame:
     return inv.ytd_actuals(sums.read(), FY_START, AS_OF)
 
 
+def _revenue_by_document(s: Sources, buckets: int = 16) -> DataFrame:
+    ledger = store_by_document(s.ledger, "entity_id", buckets)
+    bridge = store_by_document(_bridge(s), "entity_id", buckets, ledger.large)
+    revenue = lambda rows, known, few: pnl.channel_revenue(rows, s.accounts, known, s.rules, few_documents=few)
+    return over_documents(ledger, bridge, revenue)
+
+
+def _invoiced_by_document(s: Sources, buckets: int = 16) -> DataFrame:
+    """Per invoice with its lines: total of the header and of the lines, number of lines."""
+    lines = store_by_document(s.invoice_items.selectExpr("invoice_id", "total AS line_total"), "invoice_id", buckets)
+    headers = store_by_document(s.invoices.select("invoice_id", "total"), "invoice_id", buckets, lines.large)
+
+    def totals(line: DataFrame, header: DataFrame, few: bool) -> DataFrame:
+        sums = line.groupBy("invoice_id").agg(F.expr("sum(line_total) AS line_total"), F.expr("count(*) AS line_count"))
+        return sums.join(F.broadcast(header) if few else header, "invoice_id", "inner")
+
+    return over_documents(lines, headers, totals)
+
+
 def _sources(stack) -> list[str]:
     read = {needed for t in stack.tables.values() for needed in t.inputs}
     return sorted(read - set(stack.tables))
@@ -320,9 +344,7 @@ _QUERIES: dict[str, Callable[[Sources], DataFrame]] = {
     "expand_seconds": lambda s: vo.outgoing_agent_map(s.agent_metrics, s.agents),
     "outgoing_calls": _outgoing,
     "answered_incoming": _incoming,
-    "callback_agents": lambda s: vo.callback_agents(
-        s.call_logs, _outgoing(s), vo.answered_by_agent(s.call_logs, s.agent_metrics, s.agents)
-    ),
+    "callback_agents": lambda s: vo.callback_agents_of(s.call_logs, _contacts(s, by_agent=True)),
     "callback_summary": _summary,
     "callback_report": lambda s: vo.callback_report(_summary(s), CALLS_YEAR),
     "callback_rate": lambda s: vo.callback_rate(
@@ -332,6 +354,8 @@ _QUERIES: dict[str, Callable[[Sources], DataFrame]] = {
     "pickup_rate": lambda s: vo.pickup_rate(s.agent_metrics, s.agents),
     "entity_bridge": _bridge,
     "channel_revenue": _revenue,
+    "revenue_by_document": _revenue_by_document,
+    "invoiced_by_document": _invoiced_by_document,
     "avg_po_cost": lambda s: pnl.avg_po_cost(s.po_items),
     "channel_po_cost": _po_cost,
     "revenue_shares": _shares,

@@ -203,15 +203,20 @@ def channel_revenue(
     bridge: DataFrame,
     rules: DataFrame,
     blank: BlankSellerRules | TableSellerRules = BlankSellerRules(),
+    few_documents: bool = False,
 ) -> DataFrame:
-    """Income and cost-of-goods rows of the ledger with their channel; shared costs are marked."""
+    """Income and cost-of-goods rows of the ledger with their channel; shared costs are marked.
+
+    ``few_documents``: the rows of ``bridge`` are counted and so few that they may be broadcast.
+    """
     rules = _dated_for(rules, ledger)
     rows = _with_row_rules(classify(posted(ledger, accounts, REVENUE_TYPES)), rules)
     # a large part of the ledger has no entity: adaptive execution splits the left side
+    sized = F.broadcast if few_documents else lambda df: df
     if is_dated(rules):
-        rows = _with_seller_rules(rows.join(bridge, "entity_id", "left"), rules)
+        rows = _with_seller_rules(rows.join(sized(bridge), "entity_id", "left"), rules)
     else:
-        rows = rows.join(_with_seller_rules(bridge, rules), "entity_id", "left")
+        rows = rows.join(sized(_with_seller_rules(bridge, rules)), "entity_id", "left")
     rows = blank.attach(rows)
     return rows.selectExpr(*PL_COLUMNS[:4], f"{channel_case(blank)} AS channel")
 

@@ -8,6 +8,7 @@ from marginloom.functions.calendar import minutes_between, wall_micros
 from marginloom.operators.asof import first_after
 from marginloom.operators.joins import expand_seconds, tolerance_join
 from marginloom.operators.textagg import joined_distinct
+from marginloom.staging import staged
 from marginloom.types import ratio, text
 
 # Call types, the outcome that counts as answered, the label of answered calls.
@@ -132,6 +133,47 @@ def returning_calls(outgoing: DataFrame, incoming: DataFrame) -> DataFrame:
     return side(outgoing, "out_time", OUTGOING).unionByName(side(incoming, "in_time", INCOMING))
 
 
+def returning_contacts(logs: DataFrame, metrics: DataFrame, agents: DataFrame, by_agent: bool = False) -> DataFrame:
+    """``returning_calls`` from one pass over the logs and one over the call legs, joined once by call.
+
+    An answered incoming call is one row with the list of its agents, or with ``by_agent`` one row per agent. What is
+    collected per call are its agents, one entry each however many legs they had.
+    """
+    placed = f"call_type = {text(OUTGOING)} AND {_filled('agent')}"
+    legs = metrics.groupBy("calllog_id", "agent").agg(
+        F.expr(f"max(agent_called_time) FILTER (WHERE {placed}) AS out_time"),
+        F.expr(f"count_if({placed}) > 0 AS placed"),
+        F.expr(f"count_if(hangup_cause = {text(ANSWERED)}) > 0 AS answered"),
+    )
+    legs = legs.where("placed OR answered").withColumnRenamed("calllog_id", "log_id").join(_agent_names(agents), "agent", "left")
+    taken = f"call_type = {text(INCOMING)} AND {_filled('customer_number')}"
+    calls = logs.groupBy("log_id").agg(
+        _max("customer_number", "number"),
+        F.expr(f"max(customer_number) FILTER (WHERE {taken}) AS number_in"),
+        F.expr(f"max(start_time) FILTER (WHERE {taken}) AS in_time"),
+    )
+    made = "struct(out_time, agent_name)"
+    per_call = legs.join(calls, "log_id", "left").groupBy("log_id").agg(
+        *[_max(c, c) for c in ("number", "number_in", "in_time")],
+        F.expr(f"collect_set(CASE WHEN placed THEN {made} END) AS made"),
+        # an unknown agent is one entry too
+        F.expr("collect_set(CASE WHEN answered THEN struct(agent_name) END) AS answerers"),
+    )
+
+    def entry(number: str, time: str, agent: str, direction: str) -> str:
+        return f"struct({number} AS customer_number, {time} AS out_time, {agent} AS callback_agent, {text(direction)} AS call_direction)"
+
+    out = f"transform(made, m -> {entry('number', 'm.out_time', 'm.agent_name', OUTGOING)})"
+    if by_agent:
+        back = f"transform(answerers, a -> {entry('number_in', 'in_time', 'a.agent_name', INCOMING)})"
+    else:
+        known = "array_sort(filter(transform(answerers, a -> a.agent_name), n -> n IS NOT NULL))"
+        listed = f"if(size({known}) > 0, array_join({known}, ', '), NULL)"
+        back = f"if(size(answerers) > 0, array({entry('number_in', 'in_time', listed, INCOMING)}), array())"
+    answered = f"if(number_in IS NULL, array(), {back})"
+    return per_call.selectExpr(f"inline(concat({out}, {answered}))")
+
+
 def callback_candidates(logs: DataFrame, outgoing: DataFrame, incoming: DataFrame) -> DataFrame:
     """Every missed call beside every call with the same number, per direction.
 
@@ -148,9 +190,9 @@ def callback_candidates(logs: DataFrame, outgoing: DataFrame, incoming: DataFram
     )
 
 
-def _timed_calls(outgoing: DataFrame, incoming: DataFrame, *columns: str) -> DataFrame:
-    calls = returning_calls(outgoing, incoming).where(_filled("customer_number"))
-    return calls.selectExpr("customer_number", *columns, f"{wall_micros('out_time')} AS _at")
+def _timed_calls(calls: DataFrame, *columns: str) -> DataFrame:
+    known = calls.where(_filled("customer_number"))
+    return known.selectExpr("customer_number", *columns, f"{wall_micros('out_time')} AS _at")
 
 
 def callback_minutes(logs: DataFrame, outgoing: DataFrame, incoming: DataFrame) -> DataFrame:
@@ -158,8 +200,13 @@ def callback_minutes(logs: DataFrame, outgoing: DataFrame, incoming: DataFrame)
 
     Only the customer's calls are looked at, not who made them.
     """
+    return callback_minutes_of(logs, returning_calls(outgoing, incoming))
+
+
+def callback_minutes_of(logs: DataFrame, calls: DataFrame) -> DataFrame:
+    """``callback_minutes`` for a table of ``returning_calls`` or ``returning_contacts``."""
     points = missed_calls(logs).selectExpr("*", f"{wall_micros('missed_at')} AS _missed")
-    timed = first_after(points, _timed_calls(outgoing, incoming), ["customer_number"], "_missed", "_at", "_first")
+    timed = first_after(points, _timed_calls(calls), ["customer_number"], "_missed", "_at", "_first")
     minutes = f"min({minutes_between('_missed', '_first')}) AS mins_to_callback"
     return timed.groupBy("missed_id").agg(*[_max(c, c) for c in MISSED_COLUMNS[1:]], F.expr(minutes))
 
@@ -173,9 +220,18 @@ def callback_agents(logs: DataFrame, outgoing: DataFrame, incoming: DataFrame) -
     ``answered_by_agent`` there are at most two rows per agent; with lists of agents from
     ``answered_incoming``, as the list of ``callback_summary`` needs them, one per list.
     """
+    return callback_agents_of(logs, returning_calls(outgoing, incoming))
+
+
+def callback_agents_of(logs: DataFrame, calls: DataFrame) -> DataFrame:
+    """``callback_agents`` for a table of ``returning_calls`` or ``returning_contacts``.
+
+    The calls are looked at twice, for who was in contact at all and for the first call after each miss, so they are
+    staged when this function is called. A row per miss and agent is what the result consists of.
+    """
     # one text per direction and agent that keeps an unknown agent apart from every name
     contact = "concat(call_direction, coalesce(concat(' by ', callback_agent), '')) AS _contact"
-    calls = _timed_calls(outgoing, incoming, contact)
+    calls = staged(_timed_calls(calls, contact), "contacts")
     contacts = calls.select("customer_number", "_contact").distinct()
     missed = missed_calls(logs).selectExpr("missed_id", "customer_number", "missed_at", "was_returned")
     points = missed.join(contacts, "customer_number", "left").selectExpr(
@@ -204,6 +260,11 @@ def callback_summary(
     first, ``only_after`` leaves them out), then by label; answerers of the customer's own
     calls are prefixed.
     """
+    return callback_summary_of(logs, returning_calls(outgoing, incoming), only_after)
+
+
+def callback_summary_of(logs: DataFrame, calls: DataFrame, only_after: bool = False) -> DataFrame:
+    """``callback_summary`` for a table of ``returning_calls`` or ``returning_contacts``."""
     listed = "AND mins_to_callback IS NOT NULL" if only_after else ""
     label = f"if(call_direction = {text(INCOMING)}, concat({text(INCOMING_PREFIX)}, callback_agent), callback_agent)"
     # one entry per missed call and agent: the list is as long as the text it becomes
@@ -211,7 +272,7 @@ def callback_summary(
         THEN named_struct('mins', mins_to_callback, 'label', {label}) END)"""
     names = f"array_distinct(transform(array_sort({entries}), e -> e.label))"
     return (
-        callback_agents(logs, outgoing, incoming)
+        callback_agents_of(logs, calls)
         .groupBy("missed_id")
         .agg(
             *[_max(c, c) for c in MISSED_COLUMNS[1:]],

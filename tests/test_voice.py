@@ -2,6 +2,8 @@ import random
 
 import pytest
 
+import __spark_entry__ as entry
+
 from marginloom.plans import voice as vo
 
 
@@ -156,3 +158,49 @@ def test_agents_equal_the_pair_table_when_one_customer_dominates(source):
     single = vo.callback_agents(logs, outgoing, vo.answered_by_agent(logs, metrics, agents))
     assert single.where("callback_agent LIKE '%,%'").count() == 0
     assert single.groupBy("missed_id", "call_direction", "callback_agent").count().where("count > 1").count() == 0
+
+
+@pytest.mark.parametrize("by_agent", [False, True])
+def test_contacts_from_one_pass_equal_both_directions(spark, source, got, by_agent):
+    """Random legs: unknown agents, agents of one name, calls without a log, without a number, of both directions."""
+    rng = random.Random(by_agent)
+    logs = source(
+        "call_logs",
+        [
+            {
+                "log_id": str(rng.randint(1, 25)),
+                "call_type": rng.choice(["missed", "outgoing", "incoming"]),
+                "customer_number": rng.choice(["1", "2", "3", "", None]),
+                "start_time": f"2024-01-0{rng.randint(1, 9)} 10:00:00",
+            }
+            for _ in range(60)
+        ],
+    )
+    metrics = source(
+        "agent_metrics",
+        [
+            {
+                "calllog_id": str(rng.randint(1, 30)),
+                "agent": rng.choice(["a", "b", "c", "x", "", None]),
+                "call_type": rng.choice(["outgoing", "incoming"]),
+                "hangup_cause": rng.choice(["answered", "no answer"]),
+                "agent_called_time": f"2024-01-0{rng.randint(1, 9)} 11:00:00",
+            }
+            for _ in range(90)
+        ],
+    )
+    agents = source("agents", [{"agent_id": "a", "name": "Ann"}, {"agent_id": "b", "name": "Bo"}, {"agent_id": "c", "name": "Ann"}])
+    answered = (vo.answered_by_agent if by_agent else vo.answered_incoming)(logs, metrics, agents)
+    want = vo.returning_calls(vo.outgoing_calls(metrics, agents, logs), answered).distinct()
+    found = vo.returning_contacts(logs, metrics, agents, by_agent)
+    assert found.columns == want.columns and got(found.distinct()) == got(want) and want.count() > 30
+
+
+def test_call_backs_read_the_events_four_times_at_most(spark, monkeypatch):
+    seen, staged = [], vo.staged
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(vo, "staged", lambda df, name: (seen.append(plan(df)), staged(df, name))[1])
+    for name in ("callback_summary", "callback_agents", "callback_report"):
+        seen.clear()
+        seen.append(plan(entry.queries()[name](spark, entry.SMOKE_DIR)))
+        assert sum(text.count("events.parquet") for text in seen) <= 4
