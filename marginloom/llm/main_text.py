@@ -5,12 +5,19 @@ elements. Each block passes points for its length and commas to its element's an
 nearest, half to the next, ever less further up. A container's sum is discounted by its link density. The best
 container and those of its siblings that look like part of the article are kept, and all their blocks come out
 in page order; menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments
-are left out wherever they stand.
+are left out.
+
+Elements that look like such a part by their tag or by a word of their class, id or role are marked, not thrown away:
+they stay in the tree, get points, and the marks are then judged by these. A mark falls where the element is what
+holds the article: it has an article or main element while there is none outside of marked elements; or, on a page
+without one, it is a form, or has the word only as part of a longer name (``with-sidebar``, ``has-comments``), and
+holds most of the page's points. The largest are judged first, so that a wrapper is freed before what lies in it.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from html import unescape
 
@@ -29,6 +36,8 @@ BLOCK = {
 }
 #: Elements that are never part of an article.
 LEFT_OUT = {"nav", "footer", "aside", "form", "button", "select", "dialog", "menu", "head", "label", "fieldset", "search"}
+#: Of these, the ones that some pages wrap around everything.
+WRAPPERS = {"form", "fieldset"}
 #: Words of class, id or role that mark such parts in other elements.
 LEFT_OUT_WORDS = set(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent notice "
@@ -43,6 +52,10 @@ CLOSED_BY = {
 }
 #: Ancestors that get points of a block.
 LEVELS = 8
+#: A marked element that may wrap an article is freed from this part of the page's points on, and these points at least.
+MOST, LEAST_POINTS = 2 / 3, 3.0
+#: Marks: by a word within a longer name, by a wrapping element, by a whole word or another element.
+_WEAK, _WRAPPER, _STRONG = 1, 2, 3
 _LIST_BORDER = {"ul", "ol", "dl", "table", "menu", "dir"}
 _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _TAG = re.compile(
@@ -51,13 +64,14 @@ _TAG = re.compile(
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 _HIDDEN = re.compile(r"""\s(?:hidden(?=[\s/>=])|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none)""", re.I)
 _WORD = re.compile(r"[a-z0-9]+")
+_NAME = re.compile(r"[^\s\"']+")
 
 
 class _Page:
     """The tree of one page: elements by number, and the blocks of text."""
 
     def __init__(self, html: str):
-        self.tag, self.parent, self.out = ["#"], [-1], [False]
+        self.tag, self.parent, self.out, self.mark = ["#"], [-1], [False], [0]
         self.blocks: list[tuple[int, str, int]] = []  # element, text, characters inside links
         self._open, self._text, self._links, self._in_link = [0], [], 0, 0
         self._opened: Counter[str] = Counter()
@@ -107,23 +121,37 @@ class _Page:
             self._text.append(" ")
         if tag in VOID:
             return
-        out = tag in LEFT_OUT or self.out[self._open[-1]]
-        if not out and tag not in ("html", "body", "article", "main") and "=" in rest:
-            words = {w for m in _ATTRIBUTE.finditer(rest) for w in _WORD.findall((m[2] or m[3] or m[4] or "").lower())}
-            out = not words.isdisjoint(LEFT_OUT_WORDS)
-        if not out and tag == "article" and self._find_open({"article"}, set()) is not None:
-            words = {w for m in _ATTRIBUTE.finditer(rest) for w in _WORD.findall((m[2] or m[3] or m[4] or "").lower())}
-            out = not words.isdisjoint(LEFT_OUT_WORDS)  # comments are often articles inside the article
-        # a header of the page, not that of an article
-        out = out or (tag == "header" and self._find_open({"article", "main"}, set()) is None)
-        out = out or bool(rest and _HIDDEN.search(" " + rest))
+        mark = self._mark_of(tag, rest)
+        # inside of a line of text a mark can't be the article's wrapper
+        out = self.out[self._open[-1]] or (mark > 0 and tag not in BLOCK) or bool(rest and _HIDDEN.search(" " + rest))
         self.tag.append(tag)
         self.parent.append(self._open[-1])
         self.out.append(out)
+        self.mark.append(mark)
         self._open.append(len(self.tag) - 1)
         self._opened[tag] += 1
         self._in_link += tag == "a"
 
+    def _mark_of(self, tag: str, rest: str) -> int:
+        """How an element looks like a part that is left out; 0 if it doesn't."""
+        if tag in LEFT_OUT:
+            return _WRAPPER if tag in WRAPPERS else _STRONG
+        # a header of the page, not that of an article
+        if tag == "header" and self._find_open({"article", "main"}, set()) is None:
+            return _STRONG
+        # comments are often articles inside the article
+        named = tag not in ("html", "body", "article", "main") or (tag == "article" and self._find_open({"article"}, set()) is not None)
+        if not named or "=" not in rest:
+            return 0
+        mark = 0
+        for m in _ATTRIBUTE.finditer(rest):
+            for name in _NAME.findall((m[2] or m[3] or m[4] or "").lower()):
+                if name in LEFT_OUT_WORDS:
+                    return _STRONG
+                if not mark and not LEFT_OUT_WORDS.isdisjoint(_WORD.findall(name)):
+                    mark = _WEAK
+        return mark
+
     def _add(self, text: str) -> None:
         if text and not self.out[self._open[-1]]:
             self._text.append(text)
@@ -154,11 +182,11 @@ class _Page:
 
     # --- scoring ---
 
-    def _scores(self) -> tuple[list[float], list[int], list[int]]:
+    def _scores(self, blocks: list[tuple[int, str, int]]) -> tuple[list[float], list[int], list[int]]:
         """Points, characters and characters inside links by element, with all below it."""
         n = len(self.tag)
         points, chars, links = [0.0] * n, [0] * n, [0] * n
-        for at, text, linked in self.blocks:
+        for at, text, linked in blocks:
             own = 1 + text.count(",") + min(len(text) / 100, 30)
             # text straight in a container counts there, that of a paragraph in what holds it
             up = at if self.tag[at] not in ("p", "pre", "blockquote", "li", "td", *_HEADINGS) else self.parent[at]
@@ -175,10 +203,45 @@ class _Page:
             links[self.parent[at]] += links[at]
         return points, chars, links
 
+    def _left_out(self) -> list[bool]:
+        """Elements that lie in a marked one whose mark stands."""
+        n = len(self.tag)
+        if not any(self.mark):
+            return [False] * n
+        held = [0.0] * n  # points of all blocks in an element, not discounted by distance
+        for at, text, linked in self.blocks:
+            held[at] += (1 + text.count(",") + min(len(text) / 100, 30)) * (1 - linked / len(text))
+        for at in range(n - 1, 0, -1):
+            held[self.parent[at]] += held[at]
+        marks, above = list(self.mark), [0] * n  # marks on the way to the top, own one included
+        # an element's subtree is the numbers from it to its end, as elements are numbered in page order
+        end = list(range(1, n + 1))
+        for at in range(n - 1, 0, -1):
+            end[self.parent[at]] = max(end[self.parent[at]], end[at])
+        for at in range(1, n):
+            above[at] = above[self.parent[at]] + (marks[at] > 0)
+        articles = [at for at in range(1, n) if self.tag[at] in ("article", "main") and not marks[at]]
+        over = {at: above[at] for at in articles}
+        for at in sorted((at for at in range(1, n) if marks[at]), key=lambda at: (-held[at], at)):
+            if 0 in over.values():
+                break
+            inner = articles[bisect_right(articles, at) : bisect_left(articles, end[at])]
+            most = marks[at] != _STRONG and held[at] >= max(LEAST_POINTS, MOST * held[0])
+            if most or any(held[a] > 0 for a in inner):
+                marks[at] = 0
+                for a in inner:
+                    over[a] -= 1
+        left_out = [False] * n
+        for at in range(1, n):
+            left_out[at] = marks[at] > 0 or left_out[self.parent[at]]
+        return left_out
+
     def main_text(self) -> str:
-        if not self.blocks:
+        out = self._left_out()
+        blocks = [block for block in self.blocks if not out[block[0]]]
+        if not blocks:
             return ""
-        points, chars, links = self._scores()
+        points, chars, links = self._scores(blocks)
         density = lambda at: links[at] / chars[at] if chars[at] else 0.0
         score = [p * (1 - density(at)) for at, p in enumerate(points)]
         best = max(range(1, len(score)), key=lambda at: (score[at], -at), default=0)
@@ -194,14 +257,15 @@ class _Page:
                 alike = score[at] >= max(3.0, 0.2 * score[best])
                 paragraph = self.tag[at] in ("p", "pre", "blockquote") and density(at) < 0.25
                 title = self.tag[at] in _HEADINGS and at < best and density(at) < 0.5
-                if self.tag[best] != "article" and (alike or paragraph or title):
+                # what stands beside an article is part of it only if it is one too
+                if alike if self.tag[best] == self.tag[at] == "article" else self.tag[best] != "article" and (alike or paragraph or title):
                     kept.add(at)
         inside = [False] * len(score)
         for at in range(len(score)):
             inside[at] = at in kept or (at > 0 and inside[self.parent[at]])
         if best <= 0:
             inside = [True] * len(score)
-        return "\n\n".join(text for at, text, _ in self.blocks if inside[at])
+        return "\n\n".join(text for at, text, _ in blocks if inside[at])
 
 
 def main_text(html: str | None) -> str:
@@ -211,7 +275,7 @@ def main_text(html: str | None) -> str:
 
 def extract_main_text(html: Column) -> Column:
     """Main text of an html column, blocks joined by an empty line. Every page is read whole; a page that isn't
-    HTML at all is one block. Null and empty pages give the empty text."""
+    HTML at all is one block. Null and empty pages give the empty text, repeated pages equal texts."""
 
     @F.pandas_udf(StringType())
     def extract(pages: pd.Series) -> pd.Series:

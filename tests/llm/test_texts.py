@@ -353,6 +353,119 @@ def test_deep_and_broken_pages_end():
     assert main_text("<p>" + "word, " * 50_000).count("word") == 50_000
 
 
+ARTICLE = "<h1>Title</h1><p>One, two, three, four, a sentence that is long enough to count.</p><p>Five, six, and more words.</p>"
+ARTICLE_TEXT = "Title\n\nOne, two, three, four, a sentence that is long enough to count.\n\nFive, six, and more words."
+
+
+@pytest.mark.parametrize(
+    "around",
+    [
+        "<form>%s</form>",
+        "<fieldset>%s</fieldset>",
+        "<form><article>%s</article></form>",
+        "<div class='content with-sidebar'>%s</div>",
+        "<div class='post has-comments'>%s</div>",
+        "<div id=related-work>%s</div>",
+        "<div class='content with-sidebar'><article>%s</article><div class=sidebar><p>Side, text, here, and, more, of, it.</p></div></div>",
+        "<div class='post has-comments'><article>%s</article><div class=comments><article><p>Reader, says, a, lot, of, it.</p></article></div></div>",
+        "<section class=social-share-enabled>%s<div class=share>Share, it</div></section>",
+    ],
+)
+def test_marks_fall_where_they_hold_the_article(around):
+    page = "<body><nav><a href=x>Home</a></nav>" + around % ARTICLE + "<footer>All rights, reserved, now.</footer></body>"
+    assert main_text(page) == ARTICLE_TEXT
+
+
+def test_marks_stand_elsewhere():
+    ad = "<div class=ad>Buy, buy, this, now, please, and, more, of, it</div><div class=cookie-note>We, use, cookies, and, more, of, them.</div>"
+    assert main_text(f"<body><article></article>{ad}</body>") == ""
+    assert main_text(f"<body><article><p>Sh is.</p></article>{ad}</body>") == "Sh is."
+    assert main_text(f"<div>{ARTICLE}</div>{ad}<form>Name, mail</form>") == ARTICLE_TEXT
+    assert main_text("<form>Name, mail</form>") == ""
+    assert main_text("<form>" * 3000 + "<p>deep, deep, deep text" + "</form>" * 3000) == "deep, deep, deep text"
+
+
+def test_sibling_articles_are_judged_by_their_points():
+    long = "<p>" + "many, more, words, and, commas, " * 5 + "end.</p>"
+    articles = [f"<article>{ARTICLE}{long}</article>", f"<article>{ARTICLE}</article>", "<article><p>x</p></article>"]
+    first = f"{ARTICLE_TEXT}\n\n{long[3:-4]}"
+    assert main_text(f"<body>{''.join(articles[:2])}</body>") == f"{first}\n\n{ARTICLE_TEXT}"
+    assert main_text(f"<body>{''.join(articles)}</body>") == f"{first}\n\n{ARTICLE_TEXT}"
+
+
+def scored_text(tree):
+    """Kept blocks of a plain tree (tag, children: trees and texts), by the definition, every sum taken anew."""
+    blocks = []  # path of elements, text, characters in links
+
+    def walk(node, path):
+        for child in node[1]:
+            if isinstance(child, tuple) and child[0] == "a":
+                blocks.append((path, child[1][0], len(child[1][0])))
+            elif isinstance(child, tuple):
+                walk(child, (*path, (id(child), child[0])))
+            else:
+                blocks.append((path, child, 0))
+
+    walk(tree, ((id(tree), tree[0]),))
+    nodes = list(dict.fromkeys(p[: i + 1] for p, _, _ in blocks for i in range(len(p))))
+
+    def points(node):
+        total = chars = links = 0
+        for path, text, linked in blocks:
+            if path[: len(node)] != node:
+                continue
+            chars, links = chars + len(text), links + linked
+            holders = path if path[-1][1] not in ("p", "h1", "li") else path[:-1]
+            if len(node) <= len(holders):
+                level = len(holders) - len(node) + 1
+                share = 1 if level == 1 else 0.5 if level == 2 else 1 / (3 * level) if level <= 8 else 0
+                total += (1 + text.count(",") + min(len(text) / 100, 30)) * share * (1 - linked / len(text))
+        return total * (1 - links / chars), links / chars
+
+    def page_order(node):
+        return next(i for i, (path, _, _) in enumerate(blocks) if path[: len(node)] == node)
+
+    best = max(nodes, key=lambda node: (points(node)[0], -page_order(node), -len(node)))
+    best = next((best[: i + 1] for i in range(len(best)) if best[i][1] == "article"), best)
+    kept = [best]
+    for node in nodes:
+        if node != best and node[:-1] == best[:-1]:
+            score, density = points(node)
+            alike, tag = score >= max(3, 0.2 * points(best)[0]), node[-1][1]
+            before = page_order(node) < page_order(best)
+            beside = alike or (tag == "p" and density < 0.25) or (tag == "h1" and before and density < 0.5)
+            if alike if best[-1][1] == tag == "article" else best[-1][1] != "article" and beside:
+                kept.append(node)
+    return "\n\n".join(text for path, text, _ in blocks if any(path[: len(k)] == k for k in kept))
+
+
+def drawn_tree(rng, tag, depth):
+    """No text beside a link or text, so that each is a block; a paragraph holds one text."""
+    children = []
+    for _ in range(rng.randint(1, 4)):
+        kind = rng.choice(["p", "p", "p", "h1", "li", "div", "section", "article", "div"])
+        words = " ".join(rng.choice(["one,", "two", "three,", "four"]) + rng.choice("abcdef") for _ in range(rng.randint(1, 40)))
+        if kind in ("p", "h1", "li"):
+            children.append((kind, [("a", [words]) if rng.random() < 0.2 else words]))
+        elif depth:
+            children.append(drawn_tree(rng, kind, depth - 1))
+    return tag, children or [("p", ["some, text, of, its, own"])]
+
+
+def as_html(node):
+    if isinstance(node, str):
+        return node
+    tag, children = node
+    return f"<{tag}>{''.join(map(as_html, children))}</{tag}>"
+
+
+def test_scoring_against_a_plain_tree():
+    rng = random.Random(17)
+    for _ in range(150):
+        tree = drawn_tree(rng, "body", 4)
+        assert main_text(as_html(tree)) == scored_text(tree)
+
+
 def test_pages_of_the_given_tables():
     pages = pd.read_parquet("/root/testdata/sf0.01/pages.parquet")
     for html in pages.html:
