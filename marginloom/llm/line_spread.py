@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .rows import row_key
+from .rows import packed, row_key
 from .scratch import Scratch
 
 MIN_SITES = 10
@@ -57,21 +57,20 @@ def drop_boilerplate(docs: DataFrame, site: str = "source", min_sites: int = MIN
 
     Lines are compared without white space at their ends; null text counts as empty and stays null. A null
     site is no site. Repeated rows are all cleaned alike. If ``docs`` has columns named n_lines or n_removed,
-    they are replaced. An empty table gives an empty result.
+    they are replaced; all other names are free. An empty table gives an empty result.
     """
     scratch = Scratch(docs.sparkSession, "line-spread")
     found = _lines(docs, site).join(boilerplate_lines(docs, site, min_sites, scratch), ["k1", "k2"])
     # a set of line numbers of one text, so never larger than the text
-    removed = found.groupBy("row").agg(F.collect_set("pos").alias("_removed")).withColumnRenamed("row", "_row")
-    joined = docs.withColumn("_row", row_key(F.col("doc_id"), F.col("text"))).join(removed, "_row", "left")
-    lines = _split(F.col("text"))
-    places = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_removed")
-    cleaned = F.array_join(F.transform(places, lambda i: F.col("_lines")[i]), "\n")
-    counted = joined.withColumn("_lines", lines).withColumns(
-        {
-            "n_lines": F.size("_lines").cast("long"),
-            "n_removed": F.coalesce(F.size("_removed"), F.lit(0)).cast("long"),
-            "text": F.when(F.col("_removed").isNull(), F.col("text")).otherwise(cleaned),
-        }
-    )
-    return counted.drop("_row", "_lines", "_removed")
+    removed = found.groupBy("row").agg(F.collect_set("pos").alias("removed")).withColumnRenamed("row", "key")
+    keyed = packed(docs, key=row_key(F.col("doc_id"), F.col("text"))).join(removed, "key", "left")
+    joined = keyed.withColumn("lines", _split(F.col("row.text")))
+    places = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "removed")
+    cleaned = F.array_join(F.transform(places, lambda i: F.col("lines")[i]), "\n")
+    counts = {
+        "n_lines": F.size("lines").cast("long").alias("n_lines"),
+        "n_removed": F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
+    }
+    made = counts | {"text": F.when(F.col("removed").isNull(), F.col("row.text")).otherwise(cleaned).alias("text")}
+    own = [made.get(c, F.col(f"row.`{c}`").alias(c)) for c in docs.columns]
+    return joined.select(*own, *[value for name, value in counts.items() if name not in docs.columns])

@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType
 
+from .rows import packed
 from .scratch import send_few_texts
 
 PASSAGE_BYTES = 1024
@@ -261,11 +262,10 @@ def classify(docs: DataFrame, labels: DataFrame, keep_score: float = KEEP_SCORE,
 def keep_classified(
     docs: DataFrame, labels: DataFrame, keep_score: float = KEEP_SCORE, learn_from: DataFrame | None = None
 ) -> DataFrame:
-    """The rows of ``docs`` that score ``keep_score`` or more, with all their columns.
+    """The rows of ``docs`` that score ``keep_score`` or more, with all their columns, whatever their names.
 
     The model learns from labelled rows of ``learn_from`` (doc_id, text), by default of ``docs``. Where an earlier
     filter has made ``docs``, give the table before it: the filter leaves hardly any negative example.
     """
     model = learn(docs if learn_from is None else learn_from, labels)
-    name = "_mil_score"
-    return docs.withColumn(name, quality_scores(F.col("text"), model)).where(F.col(name) >= keep_score).drop(name)
+    return packed(docs, score=quality_scores(F.col("text"), model)).where(F.col("score") >= keep_score).select("row.*")

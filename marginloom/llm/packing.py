@@ -23,15 +23,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
+from .rows import packed
 from .scratch import Scratch, send_few_texts
 
 CAPACITY = 1024
 END_ID = 2
 GROUP_PIECES = 8192
-#: Chunks of text a worker remembers; at the limit it forgets those that aren't in use just then, which costs time only.
-REMEMBERED = 400_000
-#: Words of several texts that are looked up together.
-WORDS_AT_ONCE = 100_000
+#: Chunks of text a worker remembers, none longer than ``LONG_CHUNK`` characters, so that the limit is one of bytes too;
+#: at the limit it forgets those that aren't in use just then, which costs time only.
+REMEMBERED, LONG_CHUNK = 400_000, 64
+#: Words, and characters, of several texts that are looked up together.
+WORDS_AT_ONCE, CHARS_AT_ONCE = 100_000, 4_000_000
 #: Fixed value: how byte-level BPE with use_regex cuts texts into words.
 WORD_PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # a space that the next word does not take along, or a run of them
@@ -133,13 +135,14 @@ class ByteTokenizer:
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text; none for a null or empty text."""
-        group, size = [], 0
+        group, size, chars = [], 0, 0
         for text in texts:
             group.append(self.chunks(text) if text else None)
             size += len(group[-1] or ())
-            if size >= WORDS_AT_ONCE:
+            chars += len(text or "")
+            if size >= WORDS_AT_ONCE or chars >= CHARS_AT_ONCE:
                 yield from self._encode_group(group)
-                group, size = [], 0
+                group, size, chars = [], 0, 0
         yield from self._encode_group(group)
 
     def _encode_group(self, group: list[list[str] | None]) -> Iterator[bytes]:
@@ -148,6 +151,10 @@ class ByteTokenizer:
         known, first = self.known.__getitem__, self.first
         for g in group:
             yield first[g[0]] + b"".join(map(known, g[1:])) if g else b""
+        # long chunks, a text without spaces for one, hardly come again
+        for table in (self.known, self.first):
+            for chunk in {c for g in group if g for c in g if len(c) > LONG_CHUNK}:
+                table.pop(chunk, None)
 
 
 _tokenizers: dict[str, ByteTokenizer] = {}
@@ -240,24 +247,26 @@ def pack_lengths(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndar
 def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES) -> DataFrame:
     """``pieces`` with sequence_id and offset: gapless sequences of at most ``capacity`` tokens.
 
-    Needs a column length (1 to ``capacity``); other columns are passed on. Rows that repeat, and ids that are
-    null, are packed like any other. An empty table gives an empty result.
+    Needs a column length (1 to ``capacity``); other columns are passed on, whatever their names, but for
+    sequence_id and offset, which are replaced. Rows that repeat, and ids that are null, are packed like any other.
+    An empty table gives an empty result.
     """
     scratch = Scratch(pieces.sparkSession, "packing")
+    pieces = pieces.drop("sequence_id", "offset")
     # the number is written with the row, so that it stays whatever is computed again
-    rows = scratch.table(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces")
+    rows = scratch.table(packed(pieces, number=F.monotonically_increasing_id()), "pieces")
     groups = max(1, -(-rows.count() // group_pieces))
     schema = StructType(
         [*pieces.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())]
     )
 
     def place(key: tuple, table: pa.Table) -> pa.Table:
-        length, row = (table.column(c).to_numpy() for c in ("length", "_row"))
-        order = np.lexsort((row, -length))
+        whole = pa.Table.from_batches([pa.RecordBatch.from_struct_array(c) for c in table.column("row").chunks])
+        length, number = whole.column("length").to_numpy(), table.column("number").to_numpy()
+        order = np.lexsort((number, -length))
         sequence, offset = pack_lengths(length[order], capacity)
-        packed = table.take(pa.array(order)).drop_columns(["_row", "_group"])
         ids = pa.array(sequence + (int(key[0].as_py()) << 32))
-        return packed.append_column("sequence_id", ids).append_column("offset", pa.array(offset))
+        return whole.take(pa.array(order)).append_column("sequence_id", ids).append_column("offset", pa.array(offset))
 
-    group = F.pmod(F.xxhash64("_row"), F.lit(groups))
-    return rows.withColumn("_group", group).groupBy("_group").applyInArrow(place, schema)
+    group = F.pmod(F.xxhash64("number"), F.lit(groups))
+    return rows.withColumn("part", group).groupBy("part").applyInArrow(place, schema)

@@ -20,10 +20,11 @@ from pyspark.sql import Column, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
 SPACE = "▁"
-#: Words a worker remembers; at the limit it forgets those that aren't in use just then, which costs time only.
-REMEMBERED = 250_000
-#: Words of several texts that are looked up together.
-WORDS_AT_ONCE = 100_000
+#: Words a worker remembers, none longer than ``LONG_WORD`` characters, so that the limit is one of bytes too; at the
+#: limit it forgets those that aren't in use just then, which costs time only.
+REMEMBERED, LONG_WORD = 250_000, 64
+#: Words, and characters, of several texts that are looked up together.
+WORDS_AT_ONCE, CHARS_AT_ONCE = 100_000, 4_000_000
 #: Symbols of new words that are encoded at once.
 SYMBOLS_AT_ONCE = 1 << 20
 _CODE_POINTS = 0x110000
@@ -230,13 +231,14 @@ class PieceCodec:
 
     def encode(self, texts: Iterable[str | None]) -> list[np.ndarray]:
         """Ids of each text; a null text counts as empty. New words of some texts are learned together."""
-        out, group, size = [], [], 0
+        out, group, size, chars = [], [], 0, 0
         for text in texts:
             group.append(self._words(text or ""))
             size += len(group[-1])
-            if size >= WORDS_AT_ONCE:
+            chars += len(text or "")
+            if size >= WORDS_AT_ONCE or chars >= CHARS_AT_ONCE:
                 out += self._encode_group(group)
-                group, size = [], 0
+                group, size, chars = [], 0, 0
         return out + self._encode_group(group)
 
     def _encode_group(self, group: list[list[str]]) -> list[np.ndarray]:
@@ -246,7 +248,11 @@ class PieceCodec:
             self.known = {w: self.known[w] for w in distinct if w in self.known}
         self._learn(new)
         known = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(known, words)), "<i4") for words in group]
+        out = [np.frombuffer(b"".join(map(known, words)), "<i4") for words in group]
+        for word in distinct:  # long words, a text without spaces for one, hardly come again
+            if len(word) > LONG_WORD:
+                del self.known[word]
+        return out
 
     # --- decoding ---
 

@@ -18,6 +18,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .rows import packed
 from .scratch import Scratch
 
 FEATURES = 10_000
@@ -211,16 +212,16 @@ def quality_rules(
 def keep_quality(
     docs: DataFrame, trusted: DataFrame, features: int = FEATURES, threshold: float | None = None
 ) -> DataFrame:
-    """The rows of ``docs`` that ``quality_rules`` keeps, with all their columns."""
+    """The rows of ``docs`` that ``quality_rules`` keeps, with all their columns, whatever their names."""
     scratch = Scratch(docs.sparkSession, "quality-rules")
     weights = feature_weights(docs, trusted, scratch, features)
-    judged, names = _judged(docs, weights, features)
+    judged, names = _judged(packed(docs, text=F.col("text"), doc_id=F.col("doc_id")), weights, features)
     score = _name("log_ratio")
     # written once, so that the scores are there for the threshold and for the rows
-    passed = scratch.table(judged.where(_name("passed")).drop(*[n for n in names if n != score]), "passed")
+    passed = scratch.table(judged.where(_name("passed")).select("row", "doc_id", score), "passed")
     if threshold is None:
         threshold = score_threshold(passed.select("doc_id", F.col(score).alias("score")), trusted)
-    return passed.where(F.col(score) >= threshold).drop(score)
+    return passed.where(F.col(score) >= threshold).select("row.*")
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:

@@ -11,13 +11,21 @@ def row_key(doc_id: Column, text: Column) -> Column:
     return F.concat_ws("/", F.coalesce(doc_id.cast("string"), F.lit("null")), digest)
 
 
+def packed(rows: DataFrame, **beside: Column) -> DataFrame:
+    """All columns of ``rows`` in one struct column, row, and ``beside`` it columns made from them.
+
+    Whatever is added beside the row can't clash with the user's names; ``row.*`` gives the rows back.
+    """
+    whole = F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row")
+    return rows.select(whole, *[value.alias(name) for name, value in beside.items()])
+
+
 def keep_rows(docs: DataFrame, keys: DataFrame, key: Column) -> DataFrame:
     """Rows of ``docs`` whose ``key`` is in the one column of ``keys``, with the columns of ``docs``.
 
     Of rows with the same key, which differ in other columns at most, the first by the hash of all columns stays.
     The text is shuffled once: the join and the choice of a row share the exchange.
     """
-    name, place = "_row_key", "_row_place"
-    first = F.row_number().over(Window.partitionBy(name).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])))
-    staying = docs.withColumn(name, key).join(keys.toDF(name), name, "left_semi").withColumn(place, first)
-    return staying.where(F.col(place) == 1).drop(name, place)
+    place = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("row")))
+    staying = packed(docs, key=key).join(keys.toDF("key"), "key", "left_semi").withColumn("place", place)
+    return staying.where("place = 1").select("row.*")

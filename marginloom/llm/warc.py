@@ -12,7 +12,9 @@ repeated and lost tasks leave nothing that is read.
 
 from __future__ import annotations
 
+import re
 import struct
+import time
 import uuid
 import zlib
 from collections.abc import Iterator, Sequence
@@ -41,7 +43,9 @@ SCHEMA = (
     "payload_digest string, payload_length long, payload binary"
 )
 MIN_REVISIT_BYTES = 1000
-MANIFEST = "_MANIFEST"
+#: Each commit leaves a file of this name and its time, which names the commit's files; the first line says whether
+#: they come beside those of earlier commits or in their place.
+MANIFEST, BESIDE, INSTEAD = "_MANIFEST", "append", "overwrite"
 FILE_BYTES = 256 << 20
 _HEADER_OF = {
     "record_id": "warc-record-id",
@@ -53,6 +57,7 @@ _HEADER_OF = {
 }
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _DATE = "2024-01-01T00:00:00Z"
+_OWN_FILE = re.compile(r"[0-9a-f]{32}\.warc\.gz")
 _CHUNK = 1 << 16
 _BATCH_BYTES = 8 << 20
 _BATCH_RECORDS = 4096
@@ -239,12 +244,14 @@ class WarcReader(DataSourceReader):
         system, root = _filesystem(self.path)
         if system.get_file_info(root).is_file:
             return [WarcFile(self.path)]
-        if system.get_file_info(f"{root}/{MANIFEST}").is_file:
-            with system.open_input_file(f"{root}/{MANIFEST}") as f:
-                names = f.read().decode().split("\n")
-        else:
-            found = system.get_file_info(fs.FileSelector(root))
-            names = sorted(i.base_name for i in found if i.base_name.endswith((".warc", ".warc.gz")))
+        found = sorted(i.base_name for i in system.get_file_info(fs.FileSelector(root)))
+        names = [n for n in found if n.endswith((".warc", ".warc.gz"))]
+        if manifests := [n for n in found if n.startswith(MANIFEST)]:
+            names = []
+            for name in manifests:
+                with system.open_input_file(f"{root}/{name}") as f:
+                    first, *own = f.read().decode().split("\n")
+                names = own if first == INSTEAD else names + own
         return [WarcFile(f"{self.path}/{n}") for n in names if n]
 
     def read(self, partition: WarcFile | None) -> Iterator[pa.RecordBatch]:
@@ -288,8 +295,8 @@ class WarcReader(DataSourceReader):
 
 
 class WarcWriter(DataSourceArrowWriter):
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, path: str, overwrite: bool):
+        self.path, self.overwrite = path, overwrite
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         system, root = _filesystem(self.path)
@@ -313,8 +320,14 @@ class WarcWriter(DataSourceArrowWriter):
         system, root = _filesystem(self.path)
         system.create_dir(root, recursive=True)
         names = sorted(n for m in messages if m for n in m.files)
-        with system.open_output_stream(f"{root}/{MANIFEST}") as f:
-            f.write("\n".join(names).encode())
+        there = [i.base_name for i in system.get_file_info(fs.FileSelector(root))]
+        if not self.overwrite and not any(n.startswith(MANIFEST) for n in there):
+            # an archive from elsewhere stays part of it; files named like these are left over from failed jobs
+            names += sorted(n for n in there if n.endswith((".warc", ".warc.gz")) and not _OWN_FILE.fullmatch(n))
+        # of times that are equal the random part decides; what was there before always sorts first
+        name = f"{MANIFEST}-{time.time_ns():020d}-{uuid.uuid4().hex}"
+        with system.open_output_stream(f"{root}/{name}") as f:
+            f.write("\n".join([INSTEAD if self.overwrite else BESIDE, *names]).encode())
 
     def abort(self, messages: list[Written | None]) -> None:
         system, root = _filesystem(self.path)
@@ -334,7 +347,7 @@ class WarcDataSource(DataSource):
         return WarcReader(schema, self.options["path"].rstrip("/"))
 
     def writer(self, schema: StructType, overwrite: bool) -> WarcWriter:
-        return WarcWriter(self.options["path"].rstrip("/"))
+        return WarcWriter(self.options["path"].rstrip("/"), overwrite)
 
 
 def read_warc(spark: SparkSession, path: str, columns: Sequence[str] = ()) -> DataFrame:
@@ -345,10 +358,14 @@ def read_warc(spark: SparkSession, path: str, columns: Sequence[str] = ()) -> Da
     return spark.read.format("warc").schema(schema).load(path)
 
 
-def write_warc(records: DataFrame, path: str) -> None:
-    """Writes ``records`` (the columns of SCHEMA but for date) as an archive folder, one file or more per task."""
+def write_warc(records: DataFrame, path: str, mode: str = "append") -> None:
+    """Writes ``records`` (the columns of SCHEMA but for date) as an archive folder, one file or more per task.
+
+    ``mode``: append, or overwrite, after which the folder holds these records only; the files of earlier commits
+    stay, unread, so that a reader that has begun keeps them. A job that fails leaves the archive as it was.
+    """
     records.sparkSession.dataSource.register(WarcDataSource)
-    records.write.format("warc").mode("append").save(path)
+    records.write.format("warc").mode(mode).save(path)
 
 
 # --- pages ---

@@ -218,3 +218,38 @@ def test_archives_of_others(spark, tmp_path, kind):
     assert [bytes(r.payload) for r in got[1:]] == [x["payload"] for x in rows]
     assert gzip.decompress(gzip_member(info)) == info
     assert [r.payload_length for r in read_warc(spark, str(tmp_path), ["payload_length"]).collect()] == [5, 0, 10, 200_000, 70_000]
+
+
+def records(spark, *ids):
+    rows = [(f"<urn:x-page:{i}>", "response", f"http://a.org/{i}", None, "sha1:x", 3, bytearray(b"abc")) for i in ids]
+    kind = "record_id string, record_type string, target_uri string, refers_to string, payload_digest string, payload_length long, payload binary"
+    return spark.createDataFrame(rows, kind)
+
+
+def read_ids(spark, path):
+    return sorted(int(r.record_id[12:-1]) for r in read_warc(spark, path, ["record_id"]).collect())
+
+
+def test_commits_of_an_archive(spark, tmp_path):
+    path = f"file://{tmp_path}/archive"
+    write_warc(records(spark, 1, 2), path)
+    write_warc(records(spark, 3).limit(0), path)
+    write_warc(records(spark, 4), path)
+    assert read_ids(spark, path) == [1, 2, 4]
+    write_warc(records(spark, 5), path, "overwrite")
+    write_warc(records(spark, 6), path)
+    assert read_ids(spark, path) == [5, 6]
+    with pytest.raises(Exception, match="lost"):
+        write_warc(records(spark, 7, 8, 9).selectExpr("if(record_id LIKE '%9>', raise_error('lost'), record_id) AS record_id", "* EXCEPT (record_id)"), path)
+    assert read_ids(spark, path) == [5, 6]
+
+
+def test_appending_to_an_archive_from_elsewhere(spark, tmp_path):
+    path = tmp_path / "archive"
+    path.mkdir()
+    row = {"record_type": "response", "record_id": "<urn:x-page:1>", "target_uri": "u", "payload_digest": "sha1:x", "refers_to": None}
+    (path / "crawl-0.warc.gz").write_bytes(gzip_member(record_bytes({**row, "payload": b"abc", "payload_length": 3})))
+    (path / ("0" * 32 + ".warc.gz")).write_bytes(b"left over")
+    write_warc(records(spark, 2), f"file://{path}")
+    write_warc(records(spark, 3), f"file://{path}")
+    assert read_ids(spark, f"file://{path}") == [1, 2, 3]
