@@ -140,7 +140,7 @@ _BLANKS = r"' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 
 def _attribute(name: str) -> str:
-    return f"""replace(regexp_extract(tag, '(?is)\\b{name}\\s*=\\s*["'']?([^"''\\s>]+)', 1), '&amp;', '&')"""
+    return f"""replace(regexp_extract(tag, '(?is)(?:^|[^-\\w]){name}\\s*=\\s*["'']?([^"''\\s>]+)', 1), '&amp;', '&')"""
 
 
 def _lloyd_rounds(rounds: int) -> str:
@@ -196,15 +196,29 @@ ORACLES: dict[str, str] = {
             FROM pages WHERE url IS NOT NULL
         ), links AS (
             SELECT url, {_attribute("href")} AS link FROM tags
-            WHERE regexp_matches(tag, '(?is)^<link') AND regexp_matches(tag, '(?is)\brel\s*=\s*["'']?canonical\b')
+            WHERE regexp_matches(tag, '(?is)^<link') AND regexp_matches(tag, '(?is)[^-\w]rel\s*=\s*["'']?canonical\b')
             UNION ALL
             SELECT url, {_attribute("url")} FROM tags
-            WHERE regexp_matches(tag, '(?is)^<meta') AND regexp_matches(tag, '(?is)\bhttp-equiv\s*=\s*["'']?refresh\b')
+            WHERE regexp_matches(tag, '(?is)^<meta') AND regexp_matches(tag, '(?is)[^-\w]http-equiv\s*=\s*["'']?refresh\b')
+        ), aims AS (
+            SELECT url, split_part(link, '#', 1) AS aim, regexp_extract(url, '(?s)^(.*?://[^/?#]*)([^?#]*)', ['origin', 'path']) AS own
+            FROM links WHERE split_part(link, '#', 1) <> '' AND contains(url, '://')
+        ), told AS (
+            SELECT url, CASE WHEN aim LIKE '//%' THEN split_part(url, '://', 1) || ':' || aim ELSE aim END AS b
+            FROM aims WHERE aim LIKE '//%' OR regexp_matches(aim, '^[A-Za-z][A-Za-z0-9+.-]*://')
+            UNION ALL SELECT url, own.origin || own.path || aim FROM aims WHERE aim LIKE '?%'
+        ), walked(url, origin, p, q) AS (
+            SELECT url, own.origin, (CASE WHEN aim LIKE '/%' THEN '' WHEN own.path = '' THEN '/' ELSE regexp_extract(own.path, '(?s)^.*/') END)
+                || split_part(aim, '?', 1), regexp_extract(aim, '\?.*$')
+            FROM aims WHERE aim NOT LIKE '//%' AND aim NOT LIKE '?%' AND NOT regexp_matches(aim, '^[A-Za-z][A-Za-z0-9+.-]*:')
+            UNION SELECT url, origin, CASE
+                WHEN regexp_matches(p, '/\.(/|$)') THEN regexp_replace(p, '/\.(/|$)', '/')
+                WHEN regexp_matches(p, '^/\.\.(/|$)') THEN regexp_replace(p, '^/\.\.(/|$)', '/')
+                ELSE regexp_replace(p, '/[^/]*/\.\.(/|$)', '/') END, q
+            FROM walked WHERE regexp_matches(p, '/\.\.?(/|$)')
         ), edges AS (
-            SELECT url AS a, CASE WHEN link LIKE '//%' THEN split_part(url, '://', 1) || ':' || link
-                WHEN link LIKE '/%' THEN regexp_extract(url, '^.*?://[^/?#]*') || link
-                WHEN contains(link, '://') THEN link END AS b
-            FROM links WHERE link <> ''
+            SELECT url AS a, b FROM told
+            UNION ALL SELECT url, origin || p || q FROM walked WHERE NOT regexp_matches(p, '/\.\.?(/|$)')
         ), both_ways AS (
             SELECT a, b FROM edges WHERE a <> b UNION SELECT b, a FROM edges WHERE a <> b
         ), reach(a, b) AS (

@@ -15,8 +15,8 @@ from .scratch import Scratch
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PARTS = r"^[\s\S]*?://([^/?#]*)([^?#]*)"
-_CANONICAL = r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*?\bhref\s*=\s*[\"']?([^\"'\s>]+)"
-_REFRESH = r"(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b)[^>]*?\burl\s*=\s*[\"']?([^\"'\s>]+)"
+_CANONICAL = r"(?is)<link\b(?=[^>]*(?<![-\w])rel\s*=\s*[\"']?canonical\b)[^>]*?(?<![-\w])href\s*=\s*[\"']?([^\"'\s>]+)"
+_REFRESH = r"(?is)<meta\b(?=[^>]*(?<![-\w])http-equiv\s*=\s*[\"']?refresh\b)[^>]*?\burl\s*=\s*[\"']?([^\"'\s>]+)"
 
 
 def host_of(url: Column) -> Column:
@@ -29,24 +29,55 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), _PARTS, 2)
 
 
+def without_dots(path: Column) -> Column:
+    """A path that begins with /, less its segments . and .. and what these take back."""
+    segments = F.split(F.substr(path, F.lit(2)), "/")
+    none = F.array().cast("array<string>")
+
+    def step(kept: Column, segment: Column) -> Column:
+        back = F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0)))
+        return F.when(segment == ".", kept).when(segment == "..", back).otherwise(F.concat(kept, F.array(segment)))
+
+    kept = F.aggregate(segments, none, step)
+    # a path that ends in dots names the folder
+    folder = F.element_at(segments, -1).isin(".", "..") & (F.size(kept) > 0)
+    plain = F.concat(F.lit("/"), F.array_join(kept, "/"), F.when(folder, "/").otherwise(""))
+    return F.when(path.rlike(r"/\.{1,2}(/|$)"), plain).otherwise(path)
+
+
+def resolved(url: Column, link: Column) -> Column:
+    """The url that a link on the page ``url`` leads to, without fragment; null for links within the page, to another
+    kind of address (``mailto:``) and on a page whose url has no ://."""
+    scheme, origin = F.regexp_extract(url, r"^[\s\S]*?(?=://)", 0), F.regexp_extract(url, r"^[\s\S]*?://[^/?#]*", 0)
+    base = F.regexp_extract(url, _PARTS, 2)
+    target = F.regexp_extract(link, r"^[^#]*", 0)
+    path, query = F.regexp_extract(target, r"^[^?]*", 0), F.regexp_extract(target, r"\?.*$", 0)
+    # what stands beside the page: its path up to the last /
+    beside = F.concat(F.regexp_extract(F.when(base == "", "/").otherwise(base), r"^.*/", 0), path)
+    return (
+        F.when((target == "") | (origin == ""), None)
+        .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
+        .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), None)
+        .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
+        .when(target.startswith("/"), F.concat(origin, without_dots(path), query))
+        .when(target.startswith("?"), F.concat(origin, base, query))
+        .otherwise(F.concat(origin, without_dots(beside), query))
+    )
+
+
 def link_edges(pages: DataFrame) -> DataFrame:
     """Edges from_url, to_url of ``pages`` (url, html): all canonical links and refresh redirects.
 
-    Links that begin with / are completed by the page's scheme and host; other relative ones are passed over.
+    Relative links are resolved against the page's url: its scheme, host, folder or path, dot segments taken back.
+    Fragments are left out, since they name a place within a page.
     """
     url = F.col("url")
     links = F.concat(*[F.regexp_extract_all("html", F.lit(p), F.lit(1)) for p in (_CANONICAL, _REFRESH)])
     # most pages have neither word, which a plain search finds sooner than a pattern
     marked = pages.where("url IS NOT NULL").where(r"html RLIKE '(?i)canonical|http-equiv'")
     found = marked.select(url.alias("from_url"), F.explode(links).alias("link")).where("link != ''")
-    link, scheme = F.replace("link", F.lit("&amp;"), F.lit("&")), F.regexp_extract("from_url", r"^[\s\S]*?(?=://)", 0)
-    origin = F.regexp_extract("from_url", r"^[\s\S]*?://[^/?#]*", 0)
-    target = (
-        F.when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
-        .when(link.startswith("/"), F.concat(origin, link))
-        .when(link.contains("://"), link)
-    )
-    return found.select("from_url", target.alias("to_url")).where("to_url IS NOT NULL")
+    to_url = resolved(F.col("from_url"), F.replace("link", F.lit("&amp;"), F.lit("&")))
+    return found.select("from_url", to_url.alias("to_url")).where("to_url IS NOT NULL")
 
 
 def rule_verdicts(urls: DataFrame, rules: DataFrame) -> DataFrame:
