@@ -17,7 +17,7 @@ from marginloom.llm.main_text import extract_main_text, main_text
 from marginloom.llm.mil_classifier import AttentionModel, classify, keep_classified, passage_features, train
 from marginloom.llm.packing import ByteTokenizer, pack, pack_lengths, piece_lengths, token_pieces
 from marginloom.llm.piece_codec import codec, decode_pieces, encode_pieces, round_trip
-from marginloom.llm.quality_rules import keep_quality, quality_rules, score_threshold
+from marginloom.llm.quality_rules import INSIDES, keep_quality, quality_rules, score_threshold
 
 MODEL, BYTES = (public_tokenizers.path(n) for n in ("piece_bpe_32k.model", "byte_bpe_50k.json"))
 DOCS = "doc_id long, text string, kept string, _row long"
@@ -65,9 +65,12 @@ def test_quality_rules(spark):
     got = quality_rules(docs_of(spark, rows), trusted, features=500).collect()
     found = Counter((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in got)
     assert found == Counter((i, *base_counts(t)) for i, t in rows)
+    scores = spark.createDataFrame([(r.doc_id, r.log_ratio) for r in got if not r.base_failed], "doc_id long, score double")
+    threshold = score_threshold(scores, trusted)
     for r in got:
         assert r.base_failed == (r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words)
-        assert r.kept == (not r.base_failed and r.log_ratio >= -0.25)
+        assert r.kept == (not r.base_failed and r.log_ratio >= threshold)
+    assert {r.kept for r in got if not r.base_failed} == {True, False}
 
 
 def test_log_ratio_is_that_of_the_counts(spark):
@@ -83,9 +86,16 @@ def test_log_ratio_is_that_of_the_counts(spark):
     )
     of = {(r.a, r.b): r.f for r in pairs.select("a", "b", bucket.alias("f")).collect()}
     feats = [[of[(*x, None)[:2]] for x in [*zip(ws), *zip(ws, ws[1:])]] for ws in words]  # noqa: B905
+    # of each word two adjacent characters at the place that its hash draws, in a range of features of their own
+    whole = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for _, t in rows]
+    hashes = spark.createDataFrame([(w,) for w in {w for ws in whole for w in ws}], "w string").select("w", F.xxhash64("w").alias("h")).collect()
+    inside = {r.w: r.w[r.h % max(1, len(r.w) - 1) :][:2] for r in hashes}
+    twos = spark.createDataFrame([(g,) for g in set(inside.values())], "g string")
+    place = {r.g: features + r.f for r in twos.select("g", F.pmod(F.xxhash64(F.lit(1), "g"), F.lit(INSIDES)).alias("f")).collect()}
+    feats = [fs + [place[inside[w]] for w in ws] for fs, ws in zip(feats, whole, strict=True)]
     corpus, target = Counter(f for fs in feats for f in fs), Counter(f for (i, _), fs in zip(rows, feats, strict=True) if i in ids for f in fs)
     share = sum(target.values()) / sum(corpus.values())
-    weight = [math.log((target[f] + 10) / (corpus[f] * share + 10)) for f in range(features)]
+    weight = [math.log((target[f] + 10) / (corpus[f] * share + 10)) for f in range(features + INSIDES)]
     want = sorted([round(sum(weight[f] for f in fs) / max(1, len(fs)), 9) for fs in feats])
     assert sorted(round(r.log_ratio, 9) for r in got) == pytest.approx(want, abs=1e-8)
 
@@ -124,6 +134,21 @@ def test_quality_rules_reject_planted_junk_at_every_size(spark):
         assert len(junk) == 5 and not junk & kept and len(clean & kept) >= 0.95 * len(clean)
 
 
+def test_words_with_true_endings_and_other_letters_inside_go(spark):
+    """Clean documents of which every letter but a word's last two is another one; no label names them."""
+    folder, rng = "/root/testdata/sf0.1", random.Random(1)
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    good = labels.where("quality = 1").select("doc_id")
+    source = docs.join(good.orderBy(F.xxhash64("doc_id")).limit(40), "doc_id").select("doc_id", "text").collect()
+    salad = lambda t: re.sub(r"[^\W\d_]{3,}", lambda m: "".join(rng.choice("bcdfgqxz") for _ in m[0][:-2]) + m[0][-2:], t)
+    planted = spark.createDataFrame([(r.doc_id + 10**9, salad(r.text)) for r in source], "doc_id long, text string")
+    trusted = good.join(spark.createDataFrame([(r.doc_id,) for r in source], "doc_id long"), "doc_id", "left_anti")
+    got = quality_rules(docs.select("doc_id", "text").unionByName(planted), trusted).where("NOT base_failed")
+    kept = {r.doc_id for r in got.where("kept").collect()}
+    named = {r.doc_id for r in got.join(good, "doc_id").collect()}
+    assert not any(i >= 10**9 for i in kept) and len(named & kept) >= 0.99 * len(named)
+
+
 def test_slight_junk_goes_when_clean_scores_lie_close(spark):
     rng = random.Random(3)
     words = "the sea of wind and hill a stone under bright water near old trees".split()
