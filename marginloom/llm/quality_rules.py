@@ -1,8 +1,8 @@
 """Quality rules: base counts of a text, and a log-likelihood ratio of hashed n-grams.
 
 The n-grams are the last two characters of each word, those of two adjacent words, and two adjacent characters from
-inside of each word, hashed to a fixed number of features. Where these stand in a word its hash decides, so a
-word always gives the same ones and a text is read at every place of its words. Whole words are too rare for a
+inside of each word, hashed to a fixed number of features. Where these stand in a word is drawn by its ending and
+length, so a word always gives the same ones and a text is read at every place of its words. Whole words are too rare for a
 ratio: most occur in a few documents only, and then it says no more than whether one of these happens to be trusted.
 Counts over the trusted documents and over the whole
 corpus give two multinomials; a document's score is the mean, over its features, of the logarithm of their
@@ -26,6 +26,7 @@ from .scratch import Scratch
 FEATURES = 10_000
 #: Features of their own for what stands inside of words, since pairs of endings are so many that they fill all others.
 INSIDES = 4096
+_LEAST = -(1 << 63)
 #: Added to each count and to what is expected of it, against chance in features that are rare.
 ADDED = 10
 ENDING = 2
@@ -65,14 +66,18 @@ def _endings(words: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(F.substring(w, -ENDING, ENDING)))
 
 
-def _insides(words: Column, hashes: Column) -> Column:
-    """Hashes of two adjacent characters of each word, at a place that the word's own hash draws."""
+def _insides(words: Column, ends: Column) -> Column:
+    """Two adjacent characters of each word, at a place that the hash of its ending draws, as one of ``INSIDES`` marks:
+    the least of all long numbers, which hashes of other n-grams may be, but are then taken alike everywhere."""
     place = lambda w, h: (F.pmod(h, F.greatest(F.length(w) - 1, F.lit(1))) + 1).cast("int")
-    return F.zip_with(words, hashes, lambda w, h: F.xxhash64(F.lit(1), F.substr(w, place(w, h), F.lit(2))))
+    two = lambda w, h: F.xxhash64(F.lit(1), F.substr(w, place(w, h), F.lit(2)))
+    return F.zip_with(words, ends, lambda w, h: F.pmod(two(w, h), F.lit(INSIDES)) + _LEAST)
 
 
 def _feature(gram: Column, features: int) -> Column:
-    return F.pmod(gram, F.lit(features)).cast("int")
+    """Number of an n-gram's feature; those of marks follow the others."""
+    inside = (gram - _LEAST).cast("int") + features
+    return F.when(gram < _LEAST + INSIDES, inside).otherwise(F.pmod(gram, F.lit(features)).cast("int"))
 
 
 def feature_counts(docs: DataFrame, trusted: DataFrame, scratch: Scratch, features: int = FEATURES) -> DataFrame:
@@ -83,14 +88,10 @@ def feature_counts(docs: DataFrame, trusted: DataFrame, scratch: Scratch, featur
     known = docs.select("doc_id", "text").join(marked.hint("merge"), "doc_id", "left")
     texts = known.select("trusted", _words(F.coalesce(F.col("text"), F.lit(""))).alias("words"))
     # a column of its own: written into the function, the endings would be computed anew for each use
-    hashed = texts.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
-    ends = hashed.select(
-        "trusted", _endings(F.col("words")).alias("ends"), _insides(F.col("words"), F.col("hashes")).alias("insides")
-    )
-    pairs = _joined(F.col("ends"), F.size("ends") - 1, 1)
-    feature = lambda grams, n, first=0: F.transform(grams, lambda g: _feature(g, n) + first)
-    numbers = F.concat(feature(F.concat("ends", pairs), features), feature("insides", INSIDES, features))
-    counts = ends.select("trusted", F.explode(numbers).alias("feature")).groupBy("feature")
+    ends = texts.withColumn("ends", _endings(F.col("words")))
+    pairs, insides = _joined(F.col("ends"), F.size("ends") - 1, 1), _insides(F.col("words"), F.col("ends"))
+    grams = ends.select("trusted", F.explode(F.concat("ends", pairs, insides)).alias("gram"))
+    counts = grams.groupBy(_feature(F.col("gram"), features).alias("feature"))
     return counts.agg(F.count("*").alias("c"), F.count("trusted").alias("t"))
 
 
@@ -151,17 +152,16 @@ def _judged(docs: DataFrame, weights: DataFrame, features: int) -> tuple[DataFra
     hashed = split.withColumn(name("ends"), _endings(words))
     hashed = hashed.withColumn(name("end_pairs"), _joined(ends, F.size(words) - 1, 1))
     # of a half window: the hashes of its words joined to pairs, the pairs to fours
-    hashed = hashed.withColumn(name("hashes"), F.transform(words, lambda w: F.xxhash64(w)))
-    hashed = hashed.withColumn(name("insides"), _insides(words, F.col(name("hashes"))))
-    hashed = hashed.withColumn(name("pairs"), _joined(F.col(name("hashes")), F.size(words) - 1, 1))
+    hashed = hashed.withColumn(name("insides"), _insides(words, ends))
+    hashed = hashed.withColumn(name("pairs"), F.transform(words, lambda w: F.xxhash64(w)))
+    hashed = hashed.withColumn(name("pairs"), _joined(F.col(name("pairs")), F.size(words) - 1, 1))
     halves = F.when(F.size(words) > WINDOW, _joined(F.col(name("pairs")), F.size(words) - (WINDOW // 2 - 1), 2))
     hashed = hashed.withColumn(name("half"), F.coalesce(halves, F.array().cast("array<bigint>")))
     hashed = hashed.withColumn(name("weights"), weights.scalar())
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(f"[^{_SPACE[1:]}"))
-    at = lambda grams, n, first=0: F.aggregate(grams, F.lit(0.0), lambda s, g: s + F.get(ratios, _feature(g, n) + first))
+    added = lambda grams: F.aggregate(grams, F.lit(0.0), lambda s, g: s + F.get(ratios, _feature(g, features)))
     grams = F.size(ends) + F.size(end_pairs) + F.size(insides)
-    added = at(ends, features) + at(end_pairs, features) + at(insides, INSIDES, features)
-    ratio = added / F.greatest(grams, F.lit(1))
+    ratio = (added(ends) + added(end_pairs) + added(insides)) / F.greatest(grams, F.lit(1))
     counts = {
         "n_words": F.size(words),
         "word_chars": F.length(F.array_join(words, "")),

@@ -86,9 +86,9 @@ def test_log_ratio_is_that_of_the_counts(spark):
     )
     of = {(r.a, r.b): r.f for r in pairs.select("a", "b", bucket.alias("f")).collect()}
     feats = [[of[(*x, None)[:2]] for x in [*zip(ws), *zip(ws, ws[1:])]] for ws in words]  # noqa: B905
-    # of each word two adjacent characters at the place that its hash draws, in a range of features of their own
+    # of each word two adjacent characters at the place that its ending's hash draws, in a range of features of their own
     whole = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for _, t in rows]
-    hashes = spark.createDataFrame([(w,) for w in {w for ws in whole for w in ws}], "w string").select("w", F.xxhash64("w").alias("h")).collect()
+    hashes = spark.createDataFrame([(w,) for w in {w for ws in whole for w in ws}], "w string").select("w", F.xxhash64(F.substring("w", -2, 2)).alias("h")).collect()
     inside = {r.w: r.w[r.h % max(1, len(r.w) - 1) :][:2] for r in hashes}
     twos = spark.createDataFrame([(g,) for g in set(inside.values())], "g string")
     place = {r.g: features + r.f for r in twos.select("g", F.pmod(F.xxhash64(F.lit(1), "g"), F.lit(INSIDES)).alias("f")).collect()}
