@@ -247,14 +247,15 @@ def _delivered(stack, names: list[str], table: str) -> Callable[[Sources], DataF
 
 
 def _refreshed_sales(s: Sources) -> DataFrame:
-    """Year-to-date sales from day sums that a first import filled and a refresh brought up to date.
+    """Year-to-date sales from the year's day sums, which a first import filled and a refresh brought up to date.
 
     The first import lacks the orders of one status, and so some days; the refresh finds and sums them.
     """
+    year = _lines(s).where(f"order_date BETWEEN '{FY_START}' AND '{AS_OF}'")
     folder = f"{shared_folder(s.spark)}/sales-by-day-{uuid.uuid4().hex}"
     sums = DaySums(s.spark, folder, "order_date", inv.sold_by_day)
-    sums.refresh(_lines(s).where("so_status <> 'confirmed' OR order_date >= '1998-01-01'"))
-    sums.refresh(_lines(s))
+    sums.refresh(year.where("so_status <> 'confirmed' OR order_date >= '1998-01-01'"))
+    sums.refresh(year)
     return inv.ytd_actuals(sums.read(), FY_START, AS_OF)
 
 
