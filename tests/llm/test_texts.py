@@ -296,18 +296,16 @@ def test_pack_lengths_minimises_squares():
     rng = random.Random(11)
     sizes = sorted((rng.randint(1, 12) for _ in range(200)), reverse=True)
     sequence, offset = pack_lengths(np.array(sizes), 12)
-    fill, order = {}, []
-    for size in sizes:  # the plain definition: try every open sequence
-        def squares(change):
-            gaps = Counter(12 - f for f in change.values() if f < 12)
-            return sum(n * n for n in gaps.values())
-
-        fits = [s for s, f in fill.items() if f + size <= 12]
-        best = min(fits, key=lambda s: squares(fill | {s: fill[s] + size})) if fits else len(fill)
-        cost = squares(fill | {best: fill.get(best, 0) + size})
-        order.append(cost)
-        fill[best] = fill.get(best, 0) + size
-    assert len(set(sequence)) == len(fill)
+
+    def squares(fill):
+        gaps = Counter(12 - f for f in fill.values() if f < 12)
+        return sum(n * n for n in gaps.values())
+
+    fill = {}
+    for size, own in zip(sizes, sequence.tolist(), strict=True):  # the plain definition: try every open sequence
+        costs = {s: squares(fill | {s: f + size}) for s, f in fill.items() if f + size <= 12}
+        assert costs[own] == min(costs.values()) if costs else own not in fill
+        fill[own] = fill.get(own, 0) + size
     used = Counter()
     for s, o, size in zip(sequence, offset, sizes, strict=True):
         assert used[s] == o
