@@ -5,14 +5,19 @@ blocks are equal, so both meet in one of the twenty tables keyed by three blocks
 four blocks and one table each, keys of 16 bits would hold ever more fingerprints as the input grows). The
 tables are joined on the key and the Hamming distance of each candidate is verified.
 
-Only distinct fingerprints are joined, so exact copies cost nothing. A key shared by more than
-``JOIN_LIMIT`` distinct fingerprints (a large group of near copies) would pair all of them: its fingerprints
-are dealt into chunks instead, each pair of chunks is compared in one bounded task, and only a spanning
-forest of the links found goes on. Classes are the connected components of the links.
+Only distinct fingerprints are joined, so exact copies cost nothing. A key shared by more than ``JOIN_LIMIT``
+distinct fingerprints (a large group of near copies) would pair all of them: they are compared in one task,
+which passes on a spanning forest of their links. Beyond ``GROUP_LIMIT`` the bits outside of the key are cut into
+blocks and the key is lengthened by each choice of these, in the same way. About 16 bits are then free, 18 at most
+for three differing bits, so that a group can't exceed their 2^18 values, however many documents there are; large
+groups look up the values at each pattern of flipped bits instead of comparing pairs. A fingerprint is copied 20
+times, and 20 times again for each hot key, at any size of the input. Classes are the connected components of the
+links.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import combinations
 
 import numpy as np
@@ -28,9 +33,10 @@ from .scratch import Scratch, send_few_texts
 SHINGLE_WORDS = 3
 MAX_BITS = 3
 HASH_SEED = 42
-#: Distinct fingerprints of one key that are joined pair by pair; beyond, they are compared in chunks.
+#: Distinct fingerprints of one key that are joined pair by pair; beyond, they are compared in one task.
 JOIN_LIMIT = 64
-CHUNK = 256
+#: Distinct fingerprints of one key that are compared in one task; beyond, the key is lengthened.
+GROUP_LIMIT = 2048
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _AT_ONCE = 1 << 15
 
@@ -67,66 +73,96 @@ def fingerprints(texts, width: int = SHINGLE_WORDS):
     return prints(texts)
 
 
-def _block_masks(max_bits: int) -> list[int]:
-    """Masks that keep all but ``max_bits`` of 2 * ``max_bits`` blocks (signed)."""
-    edges = np.linspace(0, 64, 2 * max_bits + 1).round().astype(int)
-    blocks = [((1 << int(b)) - 1) ^ ((1 << int(a)) - 1) for a, b in zip(edges, edges[1:], strict=False)]
-    masks = [sum(kept) for kept in combinations(blocks, max_bits)]
+def _masks(places: list[int], max_bits: int, kept: int = 0) -> list[int]:
+    """``kept`` and all but ``max_bits`` of 2 * ``max_bits`` blocks of the places (signed)."""
+    edges = np.linspace(0, len(places), max(1, 2 * max_bits) + 1).round().astype(int)
+    blocks = [sum(1 << p for p in places[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
+    masks = [kept | sum(chosen) for chosen in combinations(blocks, max(1, max_bits))]
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
-def _forest(left: np.ndarray, right: np.ndarray, max_bits: int) -> pd.DataFrame:
-    """Edges from each fingerprint to the first of its class, for the links between left and right."""
-    both = np.concatenate([left, right])
-    near = np.bitwise_count(left[:, None] ^ right[None, :]) <= max_bits
-    label, n = np.arange(len(both)), len(left)
+def _longer_masks(mask: int, max_bits: int) -> list[int]:
+    mask %= 1 << 64
+    return _masks([p for p in range(64) if not mask >> p & 1], max_bits, mask)
+
+
+def _settle(step: Callable[[np.ndarray], np.ndarray], n: int) -> np.ndarray:
+    """The least member of each one's class; ``step`` gives the least label among a member's neighbours."""
+    label = np.arange(n)
     while True:
-        low_left = np.where(near, label[None, n:], len(both)).min(axis=1, initial=len(both))
-        low_right = np.where(near, label[:n, None], len(both)).min(axis=0, initial=len(both))
-        lower = np.minimum(label, np.concatenate([low_left, low_right]))
+        lower = np.minimum(label, step(label))
         lower = lower[lower]
         if (lower == label).all():
-            break
+            return label
         label = lower
-    moved = both != both[label]
-    return pd.DataFrame({"a": both[label][moved].astype("<i8"), "b": both[moved].astype("<i8")})
 
 
-def _hot_links(hot: DataFrame, max_bits: int, chunk: int) -> DataFrame:
-    """Spanning forests of the links between fingerprints of each hot key; columns a, b."""
+def _classes_by_pairs(prints: np.ndarray, max_bits: int) -> np.ndarray:
+    n = len(prints)
+    near = np.bitwise_count(prints[:, None] ^ prints[None, :]) <= max_bits
+    return _settle(lambda label: np.where(near, label[None, :].astype(np.int32), np.int32(n)).min(axis=1), n)
 
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        prints, side = rows["fp"].to_numpy().astype("<i8").view("<u8"), rows["side"].to_numpy()
-        return _forest(prints[side != 1], prints[side != 0], max_bits)
 
-    dealt = hot.withColumn("chunks", F.expr(f"(n + {chunk - 1}) div {chunk}")).withColumn(
-        "chunk", F.pmod(F.xxhash64("fp"), F.col("chunks"))
-    )
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
-    tiles = dealt.select("t", "k", "fp", "chunk", other.alias("other")).select(
-        "t",
-        "k",
-        "fp",
-        F.least("chunk", "other").alias("i"),
-        F.greatest("chunk", "other").alias("j"),
-        # 0 and 1: the lower and higher chunk of a tile; 2: both sides of a chunk against itself
-        F.expr("CASE WHEN chunk < other THEN 0 WHEN chunk > other THEN 1 ELSE 2 END").alias("side"),
-    )
-    return tiles.groupBy("t", "k", "i", "j").applyInPandas(compare, "a long, b long")
+def _classes_by_flips(prints: np.ndarray, max_bits: int) -> np.ndarray:
+    """As by pairs, for distinct fingerprints that differ in few places only."""
+    free = int(np.bitwise_or.reduce(prints ^ prints[0]))
+    places = [p for p in range(64) if free >> p & 1]
+    value, n = np.zeros(len(prints), np.int64), len(prints)
+    for i, p in enumerate(places):
+        value |= ((prints >> np.uint64(p)) & np.uint64(1)).astype(np.int64) << i
+    who = np.full(1 << len(places), n)
+    who[value] = np.arange(n)
+    flips = [sum(1 << i for i in chosen) for k in range(1, max_bits + 1) for chosen in combinations(range(len(places)), k)]
 
+    def step(label: np.ndarray) -> np.ndarray:
+        least, known = np.full(n, n), np.append(label, n)
+        for flip in flips:
+            np.minimum(least, known[who[value ^ flip]], out=least)
+        return least
+
+    return _settle(step, n)
+
+
+def _forest(prints: np.ndarray, max_bits: int, group_limit: int) -> pd.DataFrame:
+    """Edges from each fingerprint to the first of its class among these."""
+    label = (_classes_by_pairs if len(prints) <= group_limit else _classes_by_flips)(prints, max_bits)
+    moved = label != np.arange(len(label))
+    return pd.DataFrame({"a": prints[label][moved].view("<i8"), "b": prints[moved].view("<i8")})
+
+
+def _met(tables: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """Rows (t, k, fp) of keys that at least two fingerprints share, with their number n."""
+    shared = scratch.table(tables.groupBy("t", "k").agg(F.count("*").alias("n")).where("n > 1"), f"shared-{name}")
+    return scratch.table(tables.join(shared, ["t", "k"]), name)
+
+
+def _links(met: DataFrame, max_bits: int, join_limit: int, group_limit: int) -> DataFrame:
+    """Links between the fingerprints of each key, or a spanning forest of them; columns a, b."""
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        return _forest(np.sort(rows["fp"].to_numpy().astype("<i8").view("<u8")), max_bits, group_limit)
 
-def fingerprint_links(prints: DataFrame, scratch: Scratch, max_bits: int, join_limit: int, chunk: int) -> DataFrame:
-    """Edges a, b between distinct fingerprints (column fp), with the components of all links."""
-    masks = _block_masks(max_bits)
-    tables = F.array(*[F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("k")) for t, m in enumerate(masks)])
-    keyed = prints.select("fp", F.explode(tables).alias("key")).select("fp", "key.t", "key.k")
-    shared = scratch.table(keyed.groupBy("t", "k").agg(F.count("*").alias("n")).where("n > 1"), "shared-keys")
-    met = scratch.table(keyed.join(shared, ["t", "k"]), "keyed")
     few = met.where(F.col("n") <= join_limit)
     left, right = few.select("t", "k", F.col("fp").alias("a")), few.select("t", "k", F.col("fp").alias("b"))
     near = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
     joined = left.join(right, ["t", "k"]).where(near).select("a", "b")
-    return joined.unionAll(_hot_links(met.where(F.col("n") > join_limit), max_bits, chunk))
+    many = met.where(F.col("n") > join_limit).select("t", "k", "fp")
+    return joined.unionAll(many.groupBy("t", "k").applyInPandas(compare, "a long, b long"))
+
+
+def fingerprint_links(prints: DataFrame, scratch: Scratch, max_bits: int, join_limit: int, group_limit: int) -> DataFrame:
+    """Edges a, b between distinct fingerprints (column fp), with the components of all links."""
+    masks = _masks(list(range(64)), max_bits)
+    longer = [_longer_masks(m, max_bits) for m in masks]
+    place = F.posexplode(F.array(*map(F.lit, masks))).alias("t", "mask")
+    key = F.col("fp").bitwiseAND(F.col("mask")).alias("k")
+    met = _met(prints.select("fp", place).select("t", key, "fp"), scratch, "keyed")
+    hot = met.where(F.col("n") > group_limit)
+    wider = F.array(*[F.array(*map(F.lit, ms)) for ms in longer])
+    place = F.posexplode(wider[F.col("t")]).alias("u", "mask")
+    again = hot.select("fp", "t", place).select((F.col("t") * len(longer[0]) + F.col("u")).alias("t"), key, "fp")
+    links = _links(met.where(F.col("n") <= group_limit), max_bits, join_limit, group_limit)
+    return links.unionAll(_links(_met(again, scratch, "keyed-again"), max_bits, join_limit, group_limit))
 
 
 def simhash_classes(
@@ -134,7 +170,7 @@ def simhash_classes(
     width: int = SHINGLE_WORDS,
     max_bits: int = MAX_BITS,
     join_limit: int = JOIN_LIMIT,
-    chunk: int = CHUNK,
+    group_limit: int = GROUP_LIMIT,
 ) -> DataFrame:
     """One row per row of ``docs`` (columns doc_id, text; others are ignored): doc_id, fingerprint,
     component_id, row_key, class (a fingerprint that stands for the whole class).
@@ -149,7 +185,7 @@ def simhash_classes(
     key = row_key(F.col("doc_id"), F.col("text"))
     printed = docs.select(F.col("doc_id").alias("doc_id"), key.alias("row_key"), fingerprints(F.col("text"), width).alias("fp"))
     printed = scratch.table(printed, "prints")
-    links = fingerprint_links(printed.select("fp").distinct(), scratch, max_bits, join_limit, chunk)
+    links = fingerprint_links(printed.select("fp").distinct(), scratch, max_bits, join_limit, group_limit)
     roots = components(links, scratch).toDF("fp", "root")
     rooted = scratch.table(
         printed.join(roots, "fp", "left").select("doc_id", "row_key", "fp", F.coalesce("root", "fp").alias("root")),

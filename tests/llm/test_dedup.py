@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -10,7 +11,17 @@ from pyspark.sql import functions as F
 from marginloom.llm.components import components
 from marginloom.llm.exact_dedup import drop_exact_copies, exact_dedup
 from marginloom.llm.scratch import Scratch
-from marginloom.llm.simhash import drop_near_copies, fingerprint, shingle_hashes, simhash_classes
+from marginloom.llm.simhash import (
+    _classes_by_flips,
+    _classes_by_pairs,
+    _longer_masks,
+    _masks,
+    drop_near_copies,
+    fingerprint,
+    fingerprint_links,
+    shingle_hashes,
+    simhash_classes,
+)
 
 DOCS = "doc_id long, text string, name string, n long, pos int"
 
@@ -144,13 +155,61 @@ def near_texts(seed, n):
     return rows
 
 
-@pytest.mark.parametrize("limits", [{}, {"join_limit": 1, "chunk": 2}, {"join_limit": 2, "chunk": 3}])
+@pytest.mark.parametrize("limits", [{}, {"join_limit": 1}, {"join_limit": 1, "group_limit": 2}, {"join_limit": 2, "group_limit": 3}])
 def test_simhash_classes(spark, limits):
     rows = near_texts(5, 12)
     got = simhash_classes(docs_of(spark, rows), **limits)
     assert sorted([(r.doc_id, r.fingerprint, r.component_id) for r in got.collect()], key=str) == expected_classes(rows)
 
 
+@pytest.mark.parametrize("max_bits", [1, 2, 3])
+def test_classes_of_a_hot_key(max_bits):
+    rng = random.Random(max_bits)
+    for n in (1, 2, 40, 300):
+        # all alike in most places; sparse enough for several classes, dense enough for links by way of others
+        places = rng.sample(range(64), 11 if n > 40 else 16)
+        base = rng.getrandbits(64)
+        values = {base ^ sum(1 << p for p in places if rng.random() < 0.4) for _ in range(n)}
+        prints = np.sort(np.array(sorted(values), np.uint64))
+        links = [(a, b) for a in range(len(prints)) for b in range(a) if int(prints[a] ^ prints[b]).bit_count() <= max_bits]
+        want = roots(len(prints), links)
+        assert _classes_by_pairs(prints, max_bits).tolist() == want
+        assert _classes_by_flips(prints, max_bits).tolist() == want
+
+
+@pytest.mark.parametrize("max_bits", [1, 2, 3])
+def test_longer_keys_lose_no_pair(max_bits):
+    """Any two fingerprints within the distance share a key in both cuts, and few values fit one."""
+    rng = random.Random(max_bits)
+    masks = _masks(list(range(64)), max_bits)
+    for _ in range(300):
+        differ = sum(1 << p for p in rng.sample(range(64), max_bits))
+        shared = [m for m in masks if not m % (1 << 64) & differ]
+        assert shared
+        for m in shared:
+            assert any(not k % (1 << 64) & differ and k & m == m for k in _longer_masks(m, max_bits))
+    assert max(64 - (k % (1 << 64)).bit_count() for m in masks for k in _longer_masks(m, max_bits)) <= 18
+
+
+def test_large_group_of_near_copies(spark):
+    """Thousands of fingerprints under one key, in classes that only the longer keys and flips compare."""
+    rng = random.Random(4)
+    base = [rng.getrandbits(64) for _ in range(3)]
+    values = {b ^ sum(1 << p for p in rng.sample(range(20, 46), rng.randint(0, 4))) for b in base for _ in range(900)}
+    signed = [(v - (1 << 64) if v >> 63 else v,) for v in sorted(values)]
+    prints = spark.createDataFrame(signed, "fp long")
+    links = fingerprint_links(prints, Scratch(spark, "t"), 3, 8, 100)
+    found = {r.node: r.root for r in components(links, Scratch(spark, "t")).collect()}
+    own = np.array([v for (v,) in signed], np.int64).view(np.uint64)
+    near = np.bitwise_count(own[:, None] ^ own[None, :]) <= 3
+    want = roots(len(own), zip(*np.nonzero(np.triu(near, 1)), strict=True))
+    group = {}
+    for (v,), w in zip(signed, want, strict=True):
+        group.setdefault(w, set()).add(found.get(v, v))
+    assert all(len(g) == 1 for g in group.values())
+    assert len(set().union(*group.values())) == len(group)
+
+
 def test_spark_hash_is_the_same(spark):
     text = "Some wörds hereé and more"
     spark_hash = spark.range(1).select(F.xxhash64(F.lit("some wörds hereé"))).first()[0]
