@@ -34,6 +34,8 @@ LEARNING_RATE = 3e-3
 KEEP_SCORE = 0.3
 FOLDS = 5
 _BLOCK = 1024
+#: Numbers without a pattern: multiples of one number would give words alike whose bytes are shuffled evenly.
+_PLACES = np.random.default_rng(64).integers(1 << 63, 1 << 64, 64, np.uint64) | np.uint64(1)
 
 
 def _bytes(text: str | None) -> bytes:
@@ -46,11 +48,10 @@ def _word_repeats(data: np.ndarray, text: np.ndarray, passage: np.ndarray, n: in
     begins = np.flatnonzero(letter & np.append(True, ~letter[:-1] | (text[1:] != text[:-1])))
     if not len(begins):
         return np.zeros((3, n))
-    # a word's hash: the sum of its bytes, each times an odd number of its place in the word
+    # a word's hash: the sum of its bytes, each times the number drawn for its place in the word
     word = np.cumsum(np.bincount(begins, minlength=len(data))) - 1
     place = np.arange(len(data)) - begins[np.maximum(word, 0)]
-    weight = (np.arange(64, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
-    terms = np.where(letter & (word >= 0), data.astype(np.uint64) * weight[place & 63], np.uint64(0))
+    terms = np.where(letter & (word >= 0), data.astype(np.uint64) * _PLACES[place & 63], np.uint64(0))
     hashes, own = np.add.reduceat(terms, begins), text[begins]
     like = [np.append(np.zeros(k, bool), (hashes[k:] == hashes[:-k]) & (own[k:] == own[:-k]))[: len(begins)] for k in range(1, 5)]
     of = passage[begins]

@@ -14,7 +14,15 @@ from pyspark.sql import functions as F
 
 from marginloom.llm.line_spread import drop_boilerplate
 from marginloom.llm.main_text import extract_main_text, main_text
-from marginloom.llm.mil_classifier import AttentionModel, classify, keep_classified, passage_features, train
+from marginloom.llm.mil_classifier import (
+    AttentionModel,
+    classify,
+    keep_classified,
+    learn,
+    passage_features,
+    quality_scores,
+    train,
+)
 from marginloom.llm.packing import ByteTokenizer, pack, pack_lengths, piece_lengths, token_pieces
 from marginloom.llm.piece_codec import codec, decode_pieces, encode_pieces, round_trip
 from marginloom.llm.quality_rules import INSIDES, keep_quality, quality_rules, score_threshold
@@ -193,6 +201,70 @@ def test_scores_do_not_depend_on_blocks_or_company():
     assert train(["a"], np.array([1])) is None
 
 
+def plain_features(text):
+    """Features of a text's passages, byte by byte and word by word."""
+    data = (text or "").encode()
+    rows = []
+    words = [(m.start(), m[0]) for m in re.finditer(rb"[^\x00-\x20]+", data)]
+    for at in range(0, max(1, len(data)), 1024):
+        counts = {}
+        for i in range(at, min(at + 1024, len(data) - 2)):
+            code = data[i] << 16 | data[i + 1] << 8 | data[i + 2]
+            place = (code * 2654435761 % 2**32) >> 22
+            counts[place] = counts.get(place, 0) + 1
+        row = np.zeros(1028)
+        for place, n in counts.items():
+            row[place] = (n / sum(counts.values())) ** 0.5
+        own = [k for k, (begin, _) in enumerate(words) if at <= begin < at + 1024]
+        before = [[words[k - back][1] for back in range(1, 5) if k >= back] for k in own]
+        row[1024] = np.log1p(len(own)) / 4
+        row[1025] = sum(words[k][1] in b[:1] for k, b in zip(own, before, strict=True)) / max(1, len(own))
+        row[1026] = sum(words[k][1] in b for k, b in zip(own, before, strict=True)) / max(1, len(own))
+        row[1027] = len(counts) / max(1, sum(counts.values()))
+        rows.append(row)
+    return rows
+
+
+def plain_score(model, text):
+    p = {k: w.astype(np.float64) for k, w in model.weights.items()}
+    vectors = [np.tanh(x @ p["E"] + p["e"]) for x in plain_features(text)]
+    votes = [p["w"] @ (np.tanh(h @ p["V"]) / (1 + np.exp(-(h @ p["U"])))) for h in vectors]
+    shares = [math.exp(v - max(votes)) for v in votes]
+    mean = sum(h * a for h, a in zip(vectors, shares, strict=True)) / sum(shares)
+    return 1 / (1 + math.exp(-(mean @ p["c"] + p["d"][0])))
+
+
+def test_features_against_plain_ones():
+    rng = np.random.default_rng(3)
+    drawn = ["".join(rng.choice(list("ab é\n\t\x00中"), n)) for n in (1, 2, 3, 1023, 1024, 1025, 1026, 5000)]
+    texts = ["", None, " ", "word", "one one one", "a b a c a", "same " * 700, "x" * 2049, *drawn]
+    x, passages = passage_features([(t or "").encode() for t in texts])
+    plain = [plain_features(t) for t in texts]
+    assert passages.tolist() == [len(rows) for rows in plain]
+    assert np.allclose(x, np.concatenate(plain), atol=1e-5)
+
+
+def test_classify_against_plain_scores(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    model = learn(docs, labels)
+    extra = spark.createDataFrame([(-1, None), (-2, ""), (-3, "one two two"), (-3, "one two two"), (None, "x")], "doc_id long, text string")
+    few = docs.where("doc_id % 10 = 0").select("doc_id", "text").unionAll(extra)
+    texts = sorted(((r.doc_id, r.text) for r in few.collect()), key=str)
+    scored = few.select("doc_id", "text", quality_scores(F.col("text"), model).alias("score")).collect()
+    got = sorted(((r.doc_id, r.text, r.score) for r in scored), key=lambda r: str(r[:2]))
+    want = [plain_score(model, t) for _, t in texts]
+    assert [r[:2] for r in got] == texts
+    assert [r[2] for r in got] == pytest.approx(want, abs=2e-4)
+    assert min(want) < 0.2 and max(want) > 0.8  # the model tells apart
+    rows = {r.doc_id: r for r in classify(docs, labels).collect()}
+    for doc_id, _, score in got:
+        if doc_id is not None and doc_id >= 0:
+            r = rows[doc_id]
+            assert r.score == pytest.approx(score, abs=1e-4)
+            assert r.held_out == (zlib.crc32(str(doc_id).encode()) % 5 == 0)
+            assert r.predicted == (r.score >= 0.3)
+
+
 def test_held_out_accuracy(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     got = classify(docs, labels)
