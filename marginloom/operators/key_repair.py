@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from marginloom.staging import staged
+
 WIDE = "DECIMAL(38,0)"
 SCIENTIFIC = r"^[0-9]+([.][0-9]+)?[eE][+]?[0-9]{1,2}$"
 # digits before and after the point, and the exponent
@@ -22,10 +24,11 @@ def key_intervals(damaged: DataFrame) -> DataFrame:
     """Distinct ``key`` of ``damaged`` in scientific notation with low, high (both included) and width of its ids.
 
     Keys without an exponent that is larger than their digits behind the point have lost nothing: their interval
-    is one id. Keys of more than 37 digits are left out.
+    is one id. Keys of more than 37 digits are left out. The distinct keys are computed when this function is called:
+    from a plan the optimizer moves what follows below the distinct, to every row of ``damaged``.
     """
     part = lambda n: f"regexp_extract(key, '{_PARTS}', {n})"
-    keys = damaged.where(f"key RLIKE '{SCIENTIFIC}'").select("key").distinct()
+    keys = staged(damaged.where(f"key RLIKE '{SCIENTIFIC}'").select("key").distinct(), "damaged-keys")
     read = keys.selectExpr("key", f"{part(1)} AS whole", f"rtrim('0', {part(2)}) AS broken", f"CAST({part(3)} AS INT) AS exponent")
     lost = read.selectExpr("key", "concat(whole, broken) AS digits", "exponent - length(broken) AS zeros")
     lost = lost.where("zeros >= 0 AND length(ltrim('0', digits)) + zeros <= 37")
@@ -61,10 +64,13 @@ def repair_keys(rules: DataFrame, ids: DataFrame) -> DataFrame:
     Candidates are ids in use that no undamaged rule of the same type names already. A key is resolved if there is
     one candidate and one distinct rule (channel, value) for it; more of either are ambiguous; without a candidate it
     is neither.
+
+    ``rules`` is read once: equal rules are counted first, and what is staged of them serves all that follows.
     """
+    rules = staged(rules.groupBy("type", "key", "channel", "value").agg(F.count("*").alias("copies")), "counted-rules")
     damaged = rules.where(f"key RLIKE '{SCIENTIFIC}'")
     groups = damaged.groupBy("type", "key").agg(
-        F.count("*").alias("rules"), F.expr("count(DISTINCT struct(channel, value)) AS versions"), F.expr("count(DISTINCT channel) AS channels")
+        F.sum("copies").alias("rules"), F.count("*").alias("versions"), F.expr("count(DISTINCT channel) AS channels")
     )
     named = rules.where(f"key RLIKE '{_PLAIN}'").selectExpr("type AS named_type", "key AS named").distinct()
     kinds = damaged.select("type", "key").distinct()

@@ -84,6 +84,16 @@ def test_join_is_one_on_equality(spark, name):
     assert "NestedLoop" not in text and "Cartesian" not in text
 
 
+def test_rules_are_read_once(spark, tmp_path):
+    spark.createDataFrame([("vendor", "1.2E+3", "Retail", None), ("vendor", "1234", "B2B", None)], RULES).write.parquet(f"{tmp_path}/rules")
+    rules = spark.read.schema(RULES).parquet(f"{tmp_path}/rules")
+    ids = spark.createDataFrame([("1200",)], "id STRING")
+    plans = [repair_keys(rules, ids), key_intervals(rules)]
+    texts = [p._jdf.queryExecution().executedPlan().toString() for p in plans]
+    # both go on from staged tables: no expression on keys is evaluated on the rules' rows
+    assert not any(f"{tmp_path}/rules" in t for t in texts) and "counted-rules" in texts[0] and "damaged-keys" in texts[1]
+
+
 def test_query_has_every_outcome(spark):
     rows = entry.queries()["key_repair"](spark, "/root/testdata/sf0.01").collect()
     assert {(r.resolved is not None, r.ambiguous) for r in rows} == {(True, False), (False, True), (False, False)}
