@@ -5,6 +5,7 @@ from marginloom.operators.asof import first_after
 from marginloom.operators.joins import (
     exclude_keep_null,
     expand_seconds,
+    left_join_keyed,
     left_join_lines,
     tolerance_join,
     unfilled_scaffold,
@@ -20,6 +21,7 @@ __all__ = [
     "first_after",
     "first_row_flag",
     "joined_distinct",
+    "left_join_keyed",
     "left_join_lines",
     "newest_first",
     "pivot_report",

@@ -1,6 +1,7 @@
 """Joins that keep their shape when one key holds a large part of the rows.
 
-Rows without a key, and hot keys on the left of a left join, need nothing special: adaptive execution splits them.
+Hot keys on the left of a left join need nothing special: adaptive execution splits them. Rows without a key meet
+nothing, so ``left_join_keyed`` takes them past the join.
 """
 
 from __future__ import annotations
@@ -33,6 +34,15 @@ def left_join_lines(left: DataFrame, right: DataFrame, on: list[str]) -> DataFra
     return left.join(right, on, "inner").unionByName(unmatched, allowMissingColumns=True)
 
 
+def left_join_keyed(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
+    """Left join on one column that many rows of ``left`` may lack.
+
+    Without a key they would all be shuffled to one partition, there to be sorted; they meet nothing anyway.
+    """
+    keyed = left.where(f"{on} IS NOT NULL").join(right, on, "left")
+    return keyed.unionByName(left.where(f"{on} IS NULL"), allowMissingColumns=True)
+
+
 def unfilled_scaffold(scaffold: DataFrame, facts: DataFrame, on: list[str]) -> DataFrame:
     """Scaffold rows that no fact falls on, found from the distinct fact keys."""
     return scaffold.join(facts.select(*on).distinct(), on, "left_anti")

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 from marginloom.functions.channels import prefix_branches
 from marginloom.operators.allocate import allocate_by_share, allocate_fixed, channel_array, share_table
 from marginloom.operators.cents import receiver, receivers_of, spread_in_cents
+from marginloom.operators.joins import left_join_keyed
 from marginloom.operators.report import pivot_report
 from marginloom.operators.validity import holds_on, in_force, is_dated, join_rules
 from marginloom.sources import rules as kinds
@@ -211,12 +212,12 @@ def channel_revenue(
     """
     rules = _dated_for(rules, ledger)
     rows = _with_row_rules(classify(posted(ledger, accounts, REVENUE_TYPES)), rules)
-    # a large part of the ledger has no entity: adaptive execution splits the left side
+    # a large part of the ledger has no entity
     sized = F.broadcast if few_documents else lambda df: df
     if is_dated(rules):
-        rows = _with_seller_rules(rows.join(sized(bridge), "entity_id", "left"), rules)
+        rows = _with_seller_rules(left_join_keyed(rows, sized(bridge), "entity_id"), rules)
     else:
-        rows = rows.join(sized(_with_seller_rules(bridge, rules)), "entity_id", "left")
+        rows = left_join_keyed(rows, sized(_with_seller_rules(bridge, rules)), "entity_id")
     rows = blank.attach(rows)
     return rows.selectExpr(*PL_COLUMNS[:4], f"{channel_case(blank)} AS channel")
 
@@ -576,7 +577,7 @@ def assign_channel_basic(
     bridge = invoice_bridge(invoices).selectExpr(
         "invoice_id AS entity_id", "sales_person_id", "so_number", f"{text(INVOICE)} AS document"
     )
-    rows = classify(posted(ledger, accounts, REVENUE_TYPES)).join(bridge, "entity_id", "left")
+    rows = left_join_keyed(classify(posted(ledger, accounts, REVENUE_TYPES)), bridge, "entity_id")
     channel = (
         f"CASE WHEN document IS NULL THEN {text(UNALLOCATED)} "
         f"WHEN sales_person_id IN ({texts(b2b_sellers)}) THEN {text(B2B)} "

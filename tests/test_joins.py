@@ -1,13 +1,16 @@
 import random
+import re
 
 import pytest
 
+import __spark_entry__ as entry
 from marginloom.operators import (
     exclude_keep_null,
     expand_seconds,
     first_after,
     first_row_flag,
     joined_distinct,
+    left_join_keyed,
     left_join_lines,
     newest_first,
     pivot_report,
@@ -27,6 +30,20 @@ def test_join_with_lines_equals_plain_left_join(make, got):
     assert got(left_join_lines(left, right, ["k"]), "k", "h", "v") == got(left.join(right, "k", "left"), "k", "h", "v")
 
 
+def test_join_past_rows_without_key_equals_plain_left_join(make, got):
+    left = make("h STRING, k STRING", [("h1", "a"), ("h2", "a"), ("h3", None), ("h3", None), ("h4", "none"), ("h5", "")])
+    right = make("k STRING, v INT", [("a", 1), ("a", 1), ("b", 2), (None, 9), ("", 3)])
+    joined = left_join_keyed(left, right, "k")
+    assert got(joined, "k", "h", "v") == got(left.join(right, "k", "left"), "k", "h", "v")
+
+
+@pytest.mark.parametrize("name", ["channel_basic", "channel_revenue", "dated_revenue"])
+def test_ledger_rows_without_entity_are_not_shuffled_by_it(spark, name):
+    text = entry.queries()[name](spark, entry.SMOKE_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"isnotnull\(cast\(l_orderkey#\w+ as string\)\) else false", text)  # joined: those with one
+    assert re.search(r"isnull\(cast\(l_orderkey#\w+ as string\)\) else true", text) and "Union" in text
+
+
 def test_expand_seconds(make, got):
     calls = make("t TIMESTAMP_NTZ, a STRING", [("2024-01-01 23:59:55", "x")])
     seconds = [str(r[0]) for r in got(expand_seconds(calls, "t", 10), "t")]
