@@ -492,7 +492,8 @@ def expense_cents(ledger: DataFrame, accounts: DataFrame, rules: DataFrame, reve
     """
     pairs = revenue_share_pairs(revenue)
     rows = _expense_rows(ledger, accounts).join(_listed_receivers(rules), ["account_name", "pl_section"], "left")
-    rows = rows.withColumn("three", receivers_of(pairs).scalar()).withColumn("two", receivers_of(pairs, "commission_share").scalar())
+    both = receivers_of(pairs, three="share", two="commission_share").selectExpr("struct(three, two) AS shares")
+    rows = rows.withColumn("shares", both.scalar()).selectExpr("*", "shares.three AS three", "shares.two AS two")
     holding = f"filter(listed, l -> {holds_on(DATE, 'l.valid_from', 'l.valid_to')})" if is_dated(rules) else "listed"
     rows = rows.selectExpr(*PL_COLUMNS[:4], "three", "two", f"coalesce({holding}, array()) AS listed")
     types = "explode(if(size(listed) = 0, array(CAST(NULL AS STRING)), array_distinct(transform(listed, l -> l.type)))) AS type"
@@ -506,7 +507,7 @@ def expense_cents(ledger: DataFrame, accounts: DataFrame, rules: DataFrame, reve
 
 def revenue_cents(revenue: DataFrame, po_shares: DataFrame) -> DataFrame:
     """Income and cost rows in whole cents; shared costs once per channel, by purchase cost."""
-    rows = revenue.withColumn("shared", receivers_of(po_shares).scalar())
+    rows = revenue.withColumn("shared", receivers_of(po_shares, shared="share").scalar())
     receivers = f"if(channel = {text(PRO_RATA)}, shared, array({receiver('channel', '1')}))"
     chosen = rows.selectExpr(*PL_COLUMNS[:4], f"{receivers} AS receivers")
     return spread_in_cents(chosen, "receivers", UNALLOCATED).select(*PL_COLUMNS)
@@ -533,9 +534,9 @@ def statement_in_cents(
 
 def rounded_sources(ledger: DataFrame, accounts: DataFrame) -> DataFrame:
     """Section, account and amount of every posted ledger row, each rounded to cents: what a statement must sum to."""
-    income = classify(posted(ledger, accounts, REVENUE_TYPES)).select("pl_section", "account_name", "amount")
-    spent = _expense_rows(ledger, accounts).select("pl_section", "account_name", "amount")
-    return income.unionByName(spent).selectExpr("pl_section", "account_name", "round(amount, 2) AS amount")
+    rows = classify(posted(ledger, accounts, [*REVENUE_TYPES, "Expense", "Other Expense"]))
+    spent = f"CASE account_type WHEN 'Expense' THEN {text(OPERATING_EXPENSE)} WHEN 'Other Expense' THEN {text(OTHER_EXPENSE)} END"
+    return rows.selectExpr(f"coalesce(pl_section, {spent}) AS pl_section", "account_name", "round(amount, 2) AS amount")
 
 
 def report_channels(rules: DataFrame) -> list[str]:

@@ -1,6 +1,7 @@
 """Largest remainders per row, against exact fractions."""
 
 import random
+import re
 from collections import Counter
 from decimal import ROUND_HALF_UP, Decimal
 from fractions import Fraction
@@ -10,6 +11,7 @@ import pytest
 
 import __spark_entry__ as entry
 from marginloom.operators.cents import receivers_of, spread_in_cents
+from marginloom.plans import pnl
 from marginloom.plans.bindings import Sources
 
 ROWS = "id INT, amount DECIMAL(18,4), receivers ARRAY<STRUCT<channel: STRING, share: DECIMAL(13,12)>>, channel STRING"
@@ -88,3 +90,25 @@ def test_statement_in_cents_is_near_the_exact_one(spark, columns):
     near = cents.groupBy("pl_section", "channel").agg({"amount": "sum", "*": "count"}).toDF("pl_section", "channel", "b", "m")
     rows = both.join(near, ["pl_section", "channel"], "full").collect()
     assert rows and all(r.n == r.m and abs(r.a - r.b) <= Decimal("0.01") * r.n for r in rows)
+
+
+def test_statement_computes_shares_of_revenue_once(spark):
+    text = entry.queries()["cents_conservation"](spark, entry.SMOKE_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    # two shares of revenue in one subquery, purchase cost in another; sources in one pass
+    assert len(set(re.findall(r"scalar-subquery#\d+", text))) == 2
+
+
+def test_sources_are_read_once(spark):
+    s = Sources(spark, entry.SMOKE_DIR)
+    text = pnl.rounded_sources(s.ledger, s.accounts)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("l_extendedprice") and text.count("Relation") == 2
+
+
+def test_sole_receivers_round_like_any_other(make, spark, got):
+    amounts = ["0.0049", "0.005", "-0.005", "-0.0149", "12.345", "-12.345", "99999999999999.9999", "0", None]
+    rows = make("id INT, amount DECIMAL(18,4)", list(enumerate(amounts)))
+    sole = "array(struct('a' AS channel, CAST(1 AS DECIMAL(13,12)) AS share))"
+    beside = "array(struct('a' AS channel, CAST(1 AS DECIMAL(13,12)) AS share), struct('b' AS channel, CAST(0 AS DECIMAL(13,12)) AS share))"
+    plain = got(spread_in_cents(rows, sole, "rest"), "id", "amount", "channel")
+    assert plain == [r for r in got(spread_in_cents(rows, beside, "rest"), "id", "amount", "channel") if r[2] == "a"]
+    assert plain == got(rows.selectExpr("id", "round(amount, 2) AS amount", "'a' AS channel"))
