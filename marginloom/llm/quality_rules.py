@@ -60,15 +60,23 @@ def _joined(hashes: Column, n: Column, step: int) -> Column:
     return F.zip_with(F.slice(hashes, 1, count), F.slice(hashes, step + 1, count), lambda a, b: F.xxhash64(a, b))
 
 
+def _ending(word: Column) -> Column:
+    """Hash of a word's ending."""
+    return F.xxhash64(F.substring(word, -ENDING, ENDING))
+
+
+def _inside(word: Column, hashed: Column) -> Column:
+    """Hash of two adjacent characters of a word, at a place that the word's own hash draws."""
+    place = (F.pmod(hashed, F.greatest(F.length(word) - 1, F.lit(1))) + 1).cast("int")
+    return F.xxhash64(F.lit(1), F.substr(word, place, F.lit(2)))
+
+
 def _endings(words: Column) -> Column:
-    """Hashes of the words' endings."""
-    return F.transform(words, lambda w: F.xxhash64(F.substring(w, -ENDING, ENDING)))
+    return F.transform(words, _ending)
 
 
 def _insides(words: Column, hashes: Column) -> Column:
-    """Hashes of two adjacent characters of each word, at a place that the word's own hash draws."""
-    place = lambda w, h: (F.pmod(h, F.greatest(F.length(w) - 1, F.lit(1))) + 1).cast("int")
-    return F.zip_with(words, hashes, lambda w, h: F.xxhash64(F.lit(1), F.substr(w, place(w, h), F.lit(2))))
+    return F.zip_with(words, hashes, _inside)
 
 
 def _feature(gram: Column, features: int) -> Column:
@@ -82,15 +90,19 @@ def feature_counts(docs: DataFrame, trusted: DataFrame, scratch: Scratch, featur
     # labels grow with the documents: never broadcast, at any size
     known = docs.select("doc_id", "text").join(marked.hint("merge"), "doc_id", "left")
     texts = known.select("trusted", _words(F.coalesce(F.col("text"), F.lit(""))).alias("words"))
-    # a column of its own: written into the function, the endings would be computed anew for each use
-    hashed = texts.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
-    ends = hashed.select(
-        "trusted", _endings(F.col("words")).alias("ends"), _insides(F.col("words"), F.col("hashes")).alias("insides")
+    # a row per word and its next one: generated code hashes rows several times as fast as a function in an array
+    following = F.slice("words", 2, F.greatest(F.size("words") - 1, F.lit(0)))
+    pairs = texts.select("trusted", F.inline(F.arrays_zip(F.col("words").alias("word"), following.alias("next"))).alias("word", "next"))
+    word, after = F.col("word"), F.col("next")
+    # columns of their own: written into the features, an ending would be computed anew for each use
+    hashed = pairs.select("trusted", "word", F.xxhash64(word).alias("hash"), _ending(word).alias("end"), F.when(after.isNotNull(), _ending(after)).alias("next_end"))
+    pair = F.when(F.col("next_end").isNotNull(), F.xxhash64("end", "next_end"))
+    numbers = F.array(
+        _feature(F.col("end"), features),
+        _feature(pair, features),
+        _feature(_inside(word, F.col("hash")), INSIDES) + features,
     )
-    pairs = _joined(F.col("ends"), F.size("ends") - 1, 1)
-    feature = lambda grams, n, first=0: F.transform(grams, lambda g: _feature(g, n) + first)
-    numbers = F.concat(feature(F.concat("ends", pairs), features), feature("insides", INSIDES, features))
-    counts = ends.select("trusted", F.explode(numbers).alias("feature")).groupBy("feature")
+    counts = hashed.select("trusted", F.explode(numbers).alias("feature")).where("feature IS NOT NULL").groupBy("feature")
     return counts.agg(F.count("*").alias("c"), F.count("trusted").alias("t"))
 
 
@@ -159,7 +171,7 @@ def _judged(docs: DataFrame, weights: DataFrame, features: int) -> tuple[DataFra
     hashed = hashed.withColumn(name("weights"), weights.scalar())
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(f"[^{_SPACE[1:]}"))
     at = lambda grams, n, first=0: F.aggregate(grams, F.lit(0.0), lambda s, g: s + F.get(ratios, _feature(g, n) + first))
-    grams = F.size(ends) + F.size(end_pairs) + F.size(insides)
+    grams = 2 * F.size(words) + F.greatest(F.size(words) - 1, F.lit(0))
     added = at(ends, features) + at(end_pairs, features) + at(insides, INSIDES, features)
     ratio = added / F.greatest(grams, F.lit(1))
     counts = {

@@ -25,7 +25,8 @@ from marginloom.llm.mil_classifier import (
 )
 from marginloom.llm.packing import ByteTokenizer, pack, pack_lengths, piece_lengths, token_pieces
 from marginloom.llm.piece_codec import codec, decode_pieces, encode_pieces, round_trip
-from marginloom.llm.quality_rules import INSIDES, keep_quality, quality_rules, score_threshold
+from marginloom.llm.quality_rules import INSIDES, feature_counts, keep_quality, quality_rules, score_threshold
+from marginloom.llm.scratch import Scratch
 
 MODEL, BYTES = (public_tokenizers.path(n) for n in ("piece_bpe_32k.model", "byte_bpe_50k.json"))
 DOCS = "doc_id long, text string, kept string, _row long"
@@ -569,3 +570,28 @@ def test_pages_of_the_given_tables():
         from html import unescape
 
         assert main_text(html).split("\n\n") == [x for x in (" ".join(unescape(b).split()) for b in blocks) if x]
+
+
+def test_chunks_are_searched_for_special_tokens_together():
+    class Counted(list):
+        walks = 0
+
+        def __iter__(self):
+            Counted.walks += 1
+            return super().__iter__()
+
+    tokenizer = ByteTokenizer(BYTES)
+    special = tokenizer.special[0]
+    texts = ["one two " * 3 + "".join(f"w{i} " for i in range(500)) + "end", " lead", "a\nb c\nd", f"x {special}y z", "q " * 3, "", None]
+    plain = [np.array(tokenizer.tokenizer.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert list(tokenizer.encode(texts)) == plain
+    tokenizer.known, tokenizer.first, tokenizer.special = {}, {}, Counted(tokenizer.special)
+    assert list(tokenizer.encode(texts[:1])) == plain[:1] and Counted.walks < 10
+
+
+def test_features_are_counted_in_generated_code(spark):
+    docs = spark.createDataFrame([("a", "ab cd\nef"), ("a", "x"), ("b", None), ("c", " \t "), (None, "ab cd")], "doc_id STRING, text STRING")
+    counted = feature_counts(docs, spark.createDataFrame([("a",)], "doc_id STRING"), Scratch(spark, "test"))
+    # 6 words' endings and insides, 3 pairs; of them 4 words and 2 pairs in trusted rows
+    assert counted.agg({"c": "sum", "t": "sum"}).first().asDict() == {"sum(c)": 15, "sum(t)": 10}
+    assert "lambdafunction" not in counted._jdf.queryExecution().optimizedPlan().toString()
