@@ -17,6 +17,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -94,15 +95,17 @@ class ByteTokenizer:
         rest = chunks
         if self.fast:
             # one call for all of them: between chunks a newline, which is a word and an id of its own
-            plain = [c for c in chunks if c[:1] == " " and "\n" not in c and not any(s in c for s in self.special)]
+            plain = [c for c in chunks if c[:1] == " " and "\n" not in c]
+            joined = "\n".join(plain)
+            if any(s in joined for s in self.special):
+                plain = [c for c in plain if not any(s in c for s in self.special)]
+                joined = "\n".join(plain)
             if plain and len(self.newline) == 1:
-                ids = np.array(self.fast.encode_ordinary("\n".join(plain)), "<u4")
+                ids = np.array(self.fast.encode_ordinary(joined), "<u4")
                 ends = np.append(np.flatnonzero(ids == self.newline[0]), len(ids)).tolist()
                 if len(ends) == len(plain):
-                    data, start = ids.tobytes(), 0
-                    for chunk, end in zip(plain, ends, strict=True):
-                        out[chunk] = data[4 * start : 4 * end]
-                        start = end + 1
+                    data, bounds = ids.tobytes(), [-1, *ends]
+                    out.update(zip(plain, [data[4 * a + 4 : 4 * b] for a, b in pairwise(bounds)], strict=True))
             rest = [c for c in chunks if c not in out]
             for chunk in rest:
                 if not any(s in chunk for s in self.special):
@@ -146,15 +149,20 @@ class ByteTokenizer:
         yield from self._encode_group(group)
 
     def _encode_group(self, group: list[list[str] | None]) -> Iterator[bytes]:
-        self.known = self._learn(self.known, dict.fromkeys(c for g in group if g for c in g[1:]), " ")
-        self.first = self._learn(self.first, dict.fromkeys(g[0] for g in group if g), "")
+        later, begun = {}, {}
+        for g in group:
+            if g:
+                begun[g[0]] = None
+                later.update(dict.fromkeys(g[1:]))
+        self.known, self.first = self._learn(self.known, later, " "), self._learn(self.first, begun, "")
         known, first = self.known.__getitem__, self.first
         for g in group:
             yield first[g[0]] + b"".join(map(known, g[1:])) if g else b""
         # long chunks, a text without spaces for one, hardly come again
-        for table in (self.known, self.first):
-            for chunk in {c for g in group if g for c in g if len(c) > LONG_CHUNK}:
-                table.pop(chunk, None)
+        for table, chunks in ((self.known, later), (self.first, begun)):
+            for chunk in chunks:
+                if len(chunk) > LONG_CHUNK:
+                    table.pop(chunk, None)
 
 
 _tokenizers: dict[str, ByteTokenizer] = {}
