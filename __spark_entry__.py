@@ -67,17 +67,17 @@ def portable(df: DataFrame, digits: int = 4) -> DataFrame:
 # --- marketing ---
 
 
-def _spend(s: Sources) -> DataFrame:
-    return mk.ad_spend(s.fb_ad_sets, s.fb_insights, s.g_campaigns, s.g_performance, s.other_spend, FX)
+def _spend(s: Sources, last: str | None = None) -> DataFrame:
+    return mk.ad_spend(s.fb_ad_sets, s.fb_insights, s.g_campaigns, s.g_performance, s.other_spend, FX, last)
 
 
 def _closed(s: Sources) -> DataFrame:
     return mk.closed_invoices(s.invoices, s.sales_order_invoice, s.linked_sales_orders, ORDER_RULES)
 
 
-def _payments(s: Sources) -> DataFrame:
+def _payments(s: Sources, last: str | None = None) -> DataFrame:
     return mk.weekly_payments(
-        s.invoice_payments, s.invoices, s.sales_order_invoice, s.linked_sales_orders, s.customers, ORDER_RULES
+        s.invoice_payments, s.invoices, s.sales_order_invoice, s.linked_sales_orders, s.customers, ORDER_RULES, last=last
     )
 
 
@@ -94,7 +94,7 @@ def _weekly_tables(s: Sources) -> dict:
         items=s.items,
         categories=s.categories,
         sales_persons=s.sales_persons,
-        payments=_payments(s),
+        payments=_payments(s, AS_OF),
         deals=s.deals_weekly,
         as_of=AS_OF,
     )
@@ -317,10 +317,10 @@ _QUERIES: dict[str, Callable[[Sources], DataFrame]] = {
     "paid_status": _paid_status,
     "week_scaffold": _scaffold,
     "sales_spend_category": lambda s: mk.newest_weeks_first(
-        mk.sales_and_spend_by_category(_spend(s), **_weekly_tables(s))
+        mk.sales_and_spend_by_category(_spend(s, AS_OF), **_weekly_tables(s))
     ),
     "sales_spend_channel": lambda s: mk.newest_weeks_first(
-        mk.sales_and_spend_by_channel(_spend(s), **_weekly_tables(s))
+        mk.sales_and_spend_by_channel(_spend(s, AS_OF), **_weekly_tables(s))
     ),
     "order_lines": _lines,
     "stock_on_hand": _stock,

@@ -6,6 +6,7 @@ Each takes and returns Spark SQL text, to be used in ``selectExpr``, ``where`` o
 
 from marginloom.functions.calendar import (
     as_date,
+    in_later_week,
     iso_week_key,
     minutes_between,
     slash_date,
@@ -22,6 +23,7 @@ from marginloom.functions.text import name_segment
 __all__ = [
     "OrderRules",
     "as_date",
+    "in_later_week",
     "iso_week_key",
     "minutes_between",
     "name_segment",

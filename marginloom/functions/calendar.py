@@ -46,6 +46,17 @@ def iso_week_key(day: str) -> str:
     return week_text(f"(year(date_add({monday}, 3)) * 100 + weekofyear({monday}))")
 
 
+def in_later_week(day: str, last: str) -> str:
+    """Whether the day surely lies in a week with a greater ``week_key`` than that of ``last``, decided by dates alone.
+
+    A Monday of late December may open week 1 of its own year. So days around the end of a year count as not later, as
+    do those of the year of such a ``last``: whoever needs them told apart compares the keys.
+    """
+    date, year = f"CAST({day} AS DATE)", f"year({week_start(last)})"
+    same_year = f"{date} > {week_end(last)} AND {date} <= make_date({year}, 12, 28)"
+    return f"({same_year} OR {date} >= make_date({year} + 1, 1, 7) AND {date} <= DATE'9999-12-31')"
+
+
 def slash_date(day: str) -> str:
     return f"date_format(CAST({day} AS DATE), 'yyyy/MM/dd')"
 

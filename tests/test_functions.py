@@ -1,6 +1,7 @@
 from marginloom.functions import (
     OrderRules,
     as_date,
+    in_later_week,
     iso_week_key,
     minutes_between,
     name_segment,
@@ -98,3 +99,16 @@ def test_wall_clock_does_not_follow_the_session_zone(spark, make):
 def test_minutes_are_truncated_and_only_forward(make):
     spans = make("a BIGINT, b BIGINT", [(0, 59_999_999), (0, 60_000_000), (0, 0), (5, 1), (0, 300_000_000)])
     assert [r[0] for r in spans.selectExpr(minutes_between("a", "b")).collect()] == [0, 1, None, None, 5]
+
+
+def test_days_of_later_weeks_have_greater_keys(spark):
+    days = spark.sql("SELECT explode(sequence(DATE'1996-01-01', DATE'2003-12-31')) AS day")
+    for last in ("1998-06-15", "1998-12-28", "1999-12-31", "2001-12-31", "2002-01-06"):
+        key = week_key(as_date(last))
+        later = days.selectExpr("*", f"{in_later_week('day', as_date(last))} AS later", f"{week_key('day')} > {key} AS greater")
+        assert later.where("later AND NOT greater").count() == 0
+        # only days around the end of a year are left to the keys, unless the last week itself is one that keeps its old year
+        if last in ("2001-12-31", "2002-01-06"):
+            continue
+        assert later.where("greater AND NOT later AND date_format(day, 'MMdd') BETWEEN '0107' AND '1228'").count() == 0
+    assert days.where(in_later_week("CAST(NULL AS DATE)", as_date("1998-06-15"))).count() == 0

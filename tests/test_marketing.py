@@ -160,6 +160,25 @@ def test_by_channel_spreads_channel_spend_over_empty_weeks(spend, tables, got):
     assert got(house) == [(WEEK1, 41.18, 8.01, 69142.33), (WEEK3, None, None, None)]
 
 
+def test_a_week_key_of_two_weeks_repeats_rows_and_takes_payments_of_both(spark, spend, tables, source, got):
+    """The Mondays 2024-01-01 and 2024-12-30 share the key 2024-01; a table up to the second has rows of both."""
+    days = [("i1", "2024-01-02"), ("i2", "2024-12-31"), ("i3", "2024-06-04")]
+    invoices = source("invoices", [{"invoice_id": i, "invoice_date": d, "status": "Closed"} for i, d in days])
+    payments = source("invoice_payments", [{"invoice_id": i, "created_time": f"{d} 10:00:00", "amount": 1} for i, d in days])
+    none = source("sales_order_invoice", []), source("sales_orders", [])
+    customers, last = source("customers", []), "2024-12-31"
+    given = tables | dict(
+        scaffold=mk.week_channel_scaffold(spark, "2024-01-01", last, RULES.channels()),
+        closed=mk.closed_invoices(invoices, *none, RULES),
+        payments=mk.weekly_payments(payments, invoices, *none, customers, RULES, last=last),
+        customers=customers,
+        as_of=last,
+    )
+    table = mk.sales_and_spend_by_channel(spend, **given).where("invoice_id IS NOT NULL")
+    # two lines and one, each in both weeks
+    assert got(table, "invoice_id", "year_week", "total_paid") == [(i, "2024-01", 2.0) for i in ["i1"] * 4 + ["i2"] * 2]
+
+
 def test_unique_flag_marks_one_row_per_group(spend, tables):
     table = mk.sales_and_spend_by_category(spend, **tables, unique_flag=True)
     flagged = table.where("is_first_row = 1 AND channel = 'House'").collect()

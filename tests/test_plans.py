@@ -104,6 +104,25 @@ def test_invoice_lines_are_read_once(spark, name, monkeypatch):
     assert sum(len(scans(text, "lineitem")) for text in seen) <= payments + spend + 3
 
 
+@pytest.mark.parametrize("name", ["sales_spend_category", "sales_spend_channel"])
+def test_amounts_of_a_week_are_not_staged_with_lines(spark, name, monkeypatch):
+    """What the rows of a week and channel share meets the staged lines last; a day decides whether a payment is read."""
+    staged, together, kept = entry.mk.staged, entry.mk.staged_together, {}
+
+    def noted(tables):
+        kept.update(tables)
+        return tables
+
+    monkeypatch.setattr(entry.mk, "staged", lambda df, table: staged(noted({table: df})[table], table))
+    monkeypatch.setattr(entry.mk, "staged_together", lambda tables: together(noted(tables)))
+    entry.queries()[name](spark, entry.SMOKE_DIR)
+    shared = {"paid_total", "pipeline", "weighted_pipeline", "deal_count", "fb_cad", "google_cad", "other_cad", "week_start"}
+    assert not shared & set(kept["sold-lines"].columns)
+    # payments are cut by their day, no text of a week is built and compared on each
+    filters = [line for line in plan(kept["weekly-payments"]).split("\n") if re.search(r"Filter .*l_shipdate", line)]
+    assert filters and all("1998-06-22" in line and "lpad" not in line for line in filters)
+
+
 def test_date_filter_of_the_pivot_reaches_the_ledger_scans(far):
     dated = [s for s in scans(far["pl_pivot"], "lineitem") if "GreaterThanOrEqual(l_shipdate" in s]
     assert len(dated) == 2  # income and cost, and expenses; not the base of the shares, which needs all dates
